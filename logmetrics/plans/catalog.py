@@ -84,3 +84,54 @@ def q_percentiles_exact(spark, sf_dir):
 @register("metric_samples")
 def q_metric_samples(spark, sf_dir):
     return M.metric_samples(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]))
+
+
+# --- event-time windows, anomalies, delay, daily report, bands ---------------------
+
+from logmetrics.operators import bands as B  # noqa: E402
+from logmetrics.operators import reports as R  # noqa: E402
+from logmetrics.operators import windows as W  # noqa: E402
+
+# The dashboard's error-rate red band is the default anomaly threshold; the window is
+# an hour because the fixture has a few events per minute.
+ANOMALY_WINDOW = "1 hour"
+
+
+@register("window_1m")
+def q_window_1m(spark, sf_dir):
+    return W.windowed_metrics(load_logs(spark, sf_dir), "1 minute")
+
+
+@register("window_5m")
+def q_window_5m(spark, sf_dir):
+    return W.windowed_metrics(load_logs(spark, sf_dir), "5 minutes")
+
+
+@register("errors_5s")
+def q_errors_5s(spark, sf_dir):
+    return W.error_counts(load_logs(spark, sf_dir), "5 seconds")
+
+
+@register("error_anomalies")
+def q_error_anomalies(spark, sf_dir):
+    return W.error_anomalies(load_logs(spark, sf_dir), ANOMALY_WINDOW)
+
+
+@register("ingest_delay")
+def q_ingest_delay(spark, sf_dir):
+    return W.ingest_delay(parsed_logs(spark, sf_dir, columns=["timestamp", "service"]))
+
+
+@register("daily_report")
+def q_daily_report(spark, sf_dir):
+    return R.daily_report(load_logs(spark, sf_dir))
+
+
+@register("threshold_band")
+def q_threshold_band(spark, sf_dir):
+    logs = load_logs(spark, sf_dir)
+    err = M.error_rate(logs).select(F.lit("error_rate_pct").alias("panel"), "service",
+                                    F.col("error_rate").alias("value"))
+    lat = M.latency_percentiles(logs).select(F.lit("latency_ms").alias("panel"), "service",
+                                             F.col("p95").cast("double").alias("value"))
+    return B.threshold_band(err, "value", "error_rate_pct").unionByName(B.threshold_band(lat, "value", "latency_ms"))

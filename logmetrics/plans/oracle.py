@@ -100,3 +100,57 @@ FROM (SELECT service, {PCT} FROM logs GROUP BY service) s,
                   ('p99', CAST(coalesce(p99, 0) AS DOUBLE))) v(pct, v)
 WHERE p50 IS NOT NULL"""
 )
+
+MEASURES = f"""count(*) AS log_count, avg(response_time_ms) AS avg_latency, {PCT},
+  count(*) FILTER (WHERE level = 'ERROR') AS error_count"""
+
+
+def _window(d: str) -> str:
+    return (f"time_bucket(INTERVAL '{d}', event_ts) AS window_start, "
+            f"time_bucket(INTERVAL '{d}', event_ts) + INTERVAL '{d}' AS window_end")
+
+
+ORACLE["window_1m"] = with_logs(f"SELECT {_window('1 minute')}, service, level, {MEASURES} FROM logs GROUP BY ALL")
+ORACLE["window_5m"] = with_logs(f"SELECT {_window('5 minutes')}, service, level, {MEASURES} FROM logs GROUP BY ALL")
+ORACLE["errors_5s"] = with_logs(
+    f"SELECT {_window('5 seconds')}, service, count(*) AS errors FROM logs WHERE level = 'ERROR' GROUP BY ALL"
+)
+ORACLE["error_anomalies"] = with_logs(
+    f"""SELECT * FROM (
+  SELECT {_window('1 hour')}, service, count(*) AS total, count(*) FILTER (WHERE level = 'ERROR') AS errors,
+    CAST(count(*) FILTER (WHERE level = 'ERROR') AS DOUBLE) / count(*) * 100.0 AS error_rate
+  FROM logs GROUP BY ALL) t
+WHERE error_rate > 10.0"""
+)
+ORACLE["ingest_delay"] = with_logs(
+    """SELECT service, count(d) AS samples, avg(d) / 1000.0 AS avg_delay_ms,
+  quantile_disc(d, 0.5) / 1000.0 AS delay_p50_ms, quantile_disc(d, 0.95) / 1000.0 AS delay_p95_ms,
+  quantile_disc(d, 0.99) / 1000.0 AS delay_p99_ms, max(d) / 1000.0 AS max_delay_ms
+FROM (SELECT service,
+        epoch_us(time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second')
+        - epoch_us(strptime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ')) AS d
+      FROM logs) t
+GROUP BY service"""
+)
+ORACLE["daily_report"] = with_logs(
+    f"""SELECT CAST(event_ts AS DATE) AS date, service, level, count(*) AS log_count,
+  count(*) FILTER (WHERE level = 'ERROR') AS error_count, avg(response_time_ms) AS avg_latency, {PCT},
+  count(*) FILTER (WHERE floor(http_status / 100) = 2) AS status_2xx,
+  count(*) FILTER (WHERE floor(http_status / 100) = 3) AS status_3xx,
+  count(*) FILTER (WHERE floor(http_status / 100) = 4) AS status_4xx,
+  count(*) FILTER (WHERE floor(http_status / 100) = 5) AS status_5xx,
+  CAST(count(*) FILTER (WHERE level = 'ERROR') AS DOUBLE) / count(*) * 100.0 AS error_rate
+FROM logs GROUP BY ALL"""
+)
+ORACLE["threshold_band"] = with_logs(
+    f"""SELECT panel, service, value,
+  CASE WHEN value IS NULL THEN NULL WHEN value >= hi THEN 'red' WHEN value >= mid THEN 'yellow' ELSE 'green' END
+    AS band
+FROM (
+  SELECT 'error_rate_pct' AS panel, service,
+    CAST(count(*) FILTER (WHERE level = 'ERROR') AS DOUBLE) / count(*) * 100.0 AS value, 5.0 AS mid, 10.0 AS hi
+  FROM logs GROUP BY service
+  UNION ALL
+  SELECT 'latency_ms', service, CAST(quantile_disc(response_time_ms, 0.95) AS DOUBLE), 200.0, 500.0
+  FROM logs GROUP BY service HAVING quantile_disc(response_time_ms, 0.5) IS NOT NULL) t"""
+)
