@@ -135,3 +135,81 @@ def q_threshold_band(spark, sf_dir):
     lat = M.latency_percentiles(logs).select(F.lit("latency_ms").alias("panel"), "service",
                                              F.col("p95").cast("double").alias("value"))
     return B.threshold_band(err, "value", "error_rate_pct").unionByName(B.threshold_band(lat, "value", "latency_ms"))
+
+
+# --- counters, rates, sums over series ---------------------------------------------
+
+from logmetrics.operators import counters as C  # noqa: E402
+
+# The fixture has at most a few events per minute, so the scrape step is an hour and
+# the dashboard's [1m] / [5m] ranges keep their sample counts (5 and 21 samples at a
+# 15 s scrape) as 4 h and 20 h at a 1 h step.
+COUNTER_STEP = "1 hour"
+SHORT_RANGE = "4 hours"
+LONG_RANGE = "20 hours"
+SERIES = ("service", "level")
+
+
+def fixture_counter(spark, sf_dir):
+    return C.counter_samples(load_logs(spark, sf_dir), COUNTER_STEP, SERIES)
+
+
+def fixture_rates(spark, sf_dir, range_):
+    return C.counter_rate(fixture_counter(spark, sf_dir), SERIES, range_, COUNTER_STEP)
+
+
+@register("counter_samples")
+def q_counter_samples(spark, sf_dir):
+    return fixture_counter(spark, sf_dir)
+
+
+@register("counter_increase")
+def q_counter_increase(spark, sf_dir):
+    return C.counter_increase(fixture_counter(spark, sf_dir), SERIES, SHORT_RANGE, COUNTER_STEP)
+
+
+@register("counter_rate")
+def q_counter_rate(spark, sf_dir):
+    return fixture_rates(spark, sf_dir, SHORT_RANGE)
+
+
+@register("logs_per_second")
+def q_logs_per_second(spark, sf_dir):
+    return C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE))
+
+
+@register("rate_by_service")
+def q_rate_by_service(spark, sf_dir):
+    return C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["service"])
+
+
+@register("rate_by_level")
+def q_rate_by_level(spark, sf_dir):
+    return C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["level"])
+
+
+@register("error_rate_5m")
+def q_error_rate_5m(spark, sf_dir):
+    return C.ratio_of_rates(fixture_rates(spark, sf_dir, LONG_RANGE))
+
+
+@register("event_rate_1m")
+def q_event_rate_1m(spark, sf_dir):
+    return C.event_rate(load_logs(spark, sf_dir), "1 minute", "15 seconds", keys=["service"])
+
+
+@register("event_rate_5m")
+def q_event_rate_5m(spark, sf_dir):
+    return C.event_rate(load_logs(spark, sf_dir), "5 minutes", "1 minute", keys=["level"])
+
+
+@register("last_value_gauge")
+def q_last_value_gauge(spark, sf_dir):
+    s = fixture_counter(spark, sf_dir)
+    return s.groupBy(*SERIES).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+
+
+@register("total_logs")
+def q_total_logs(spark, sf_dir):
+    s = fixture_counter(spark, sf_dir)
+    return s.groupBy(*SERIES).agg(F.max_by("value", "ts").alias("v")).agg(F.sum("v").alias("total_logs"))

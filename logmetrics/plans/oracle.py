@@ -154,3 +154,92 @@ FROM (
   SELECT 'latency_ms', service, CAST(quantile_disc(response_time_ms, 0.95) AS DOUBLE), 200.0, 500.0
   FROM logs GROUP BY service HAVING quantile_disc(response_time_ms, 0.5) IS NOT NULL) t"""
 )
+
+# --- counters -------------------------------------------------------------------------
+
+COUNTS = """counts AS (
+  SELECT coalesce(service, '') AS service, coalesce(level, '') AS level,
+    time_bucket(INTERVAL '1 hour', event_ts) + INTERVAL '1 hour' AS ts, count(*) AS n
+  FROM logs WHERE event_ts IS NOT NULL GROUP BY ALL)"""
+GRID = """bounds AS (SELECT service, level, min(ts) AS s FROM counts GROUP BY ALL),
+grid AS (
+  SELECT service, level, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '1 hour')) AS ts
+  FROM bounds)"""
+SAMPLES = """samples AS (
+  SELECT g.service, g.level, g.ts,
+    CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY g.service, g.level ORDER BY g.ts
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value
+  FROM grid g LEFT JOIN counts c ON c.service = g.service AND c.level = g.level AND c.ts = g.ts)"""
+
+
+def _stats(range_sql: str) -> str:
+    return f"""corr AS (
+  SELECT *, CASE WHEN prev IS NOT NULL AND value < prev THEN prev ELSE 0.0 END AS c
+  FROM (SELECT *, lag(value) OVER (PARTITION BY service, level ORDER BY ts) AS prev FROM samples) l),
+st AS (
+  SELECT service, level, epoch_us(ts) AS t_us, count(*) OVER f AS n,
+    epoch_us(first_value(ts) OVER f) AS first_us, epoch_us(ts) AS last_us,
+    first_value(value) OVER f AS first_v, value AS last_v, sum(c) OVER f - first_value(c) OVER f AS resets
+  FROM corr
+  WINDOW f AS (PARTITION BY service, level ORDER BY ts RANGE BETWEEN INTERVAL '{range_sql}' PRECEDING AND CURRENT ROW))"""
+
+
+def _rates(range_sql: str, range_us: int) -> str:
+    return f"""{_stats(range_sql)},
+r0 AS (
+  SELECT service, level, t_us, n, first_v, last_v - first_v + resets AS inc, (last_us - first_us) / 1e6 AS si,
+    (first_us - (t_us - {range_us})) / 1e6 AS d_start0, (t_us - last_us) / 1e6 AS d_end
+  FROM st WHERE n >= 2),
+r1 AS (
+  SELECT *, si / (n - 1) AS avg_i,
+    CASE WHEN inc > 0 AND first_v >= 0 AND si * (first_v / inc) < d_start0 THEN si * (first_v / inc)
+         ELSE d_start0 END AS d_start
+  FROM r0),
+rates AS (
+  SELECT service, level, make_timestamp(t_us) AS ts,
+    inc * ((si + CASE WHEN d_start < avg_i * 1.1::DOUBLE THEN d_start ELSE avg_i / 2.0::DOUBLE END
+               + CASE WHEN d_end < avg_i * 1.1::DOUBLE THEN d_end ELSE avg_i / 2.0::DOUBLE END) / si)
+      / {range_us / 1e6}::DOUBLE AS rate
+  FROM r1)"""
+
+
+_H = 3_600_000_000
+SHORT_RATES = _rates("4 hours", 4 * _H)
+LONG_RATES = _rates("20 hours", 20 * _H)
+
+ORACLE["counter_samples"] = with_logs("SELECT * FROM samples", COUNTS, GRID, SAMPLES)
+ORACLE["counter_increase"] = with_logs(
+    "SELECT service, level, make_timestamp(t_us) AS ts, n, last_v - first_v + resets AS increase "
+    "FROM st WHERE n >= 2", COUNTS, GRID, SAMPLES, _stats("4 hours"))
+ORACLE["counter_rate"] = with_logs("SELECT * FROM rates", COUNTS, GRID, SAMPLES, SHORT_RATES)
+ORACLE["logs_per_second"] = with_logs("SELECT ts, sum(rate) AS value FROM rates GROUP BY ts",
+                                      COUNTS, GRID, SAMPLES, SHORT_RATES)
+ORACLE["rate_by_service"] = with_logs("SELECT ts, service, sum(rate) AS value FROM rates GROUP BY ALL",
+                                      COUNTS, GRID, SAMPLES, SHORT_RATES)
+ORACLE["rate_by_level"] = with_logs("SELECT ts, level, sum(rate) AS value FROM rates GROUP BY ALL",
+                                    COUNTS, GRID, SAMPLES, SHORT_RATES)
+ORACLE["error_rate_5m"] = with_logs(
+    """SELECT ts, CASE WHEN den = 0 THEN NULL ELSE num / den * 100.0 END AS value
+FROM (SELECT ts, sum(rate) FILTER (WHERE level = 'ERROR') AS num, sum(rate) AS den,
+        count(*) FILTER (WHERE level = 'ERROR') AS k
+      FROM rates GROUP BY ts) t
+WHERE k > 0""", COUNTS, GRID, SAMPLES, LONG_RATES)
+
+
+def _event_rate(key: str, step_s: int, range_s: int) -> str:
+    k = range_s // step_s
+    return with_logs(
+        f"""SELECT e.ts, e.{key}, CAST(sum(b.n) AS BIGINT) AS events, CAST(sum(b.n) AS BIGINT) / {range_s}.0::DOUBLE AS rate
+FROM (SELECT DISTINCT {key}, b + to_seconds({step_s} * k) AS ts FROM b, range(1, {k + 1}) r(k)) e
+JOIN b ON b.{key} = e.{key} AND b.b >= e.ts - to_seconds({range_s}) AND b.b < e.ts
+GROUP BY ALL""",
+        f"""b AS (SELECT coalesce({key}, '') AS {key}, time_bucket(to_seconds({step_s}), event_ts) AS b,
+  count(*) AS n FROM logs WHERE event_ts IS NOT NULL GROUP BY ALL)""")
+
+
+ORACLE["event_rate_1m"] = _event_rate("service", 15, 60)
+ORACLE["event_rate_5m"] = _event_rate("level", 60, 300)
+ORACLE["last_value_gauge"] = with_logs(
+    "SELECT service, level, max(ts) AS ts, arg_max(value, ts) AS value FROM samples GROUP BY ALL",
+    COUNTS, GRID, SAMPLES)
+ORACLE["total_logs"] = with_logs("SELECT CAST(count(*) AS DOUBLE) AS total_logs FROM logs WHERE event_ts IS NOT NULL")
