@@ -25,6 +25,20 @@ from logmetrics.functions.time import epoch_micros, interval_micros
 BLOCK = "1 day"
 
 
+def _series_window(keys: Sequence[str]):
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
+def _join_blocks(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join the per-block table back on (keys, block); labels may be null, so the
+    key comparison is null-safe."""
+    renamed = small.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
+                           *[c for c in small.columns if c not in keys])
+    renamed = renamed.withColumnRenamed("_blk", "_kb")
+    cond = [big["_blk"] == renamed["_kb"]] + [big[k].eqNullSafe(renamed[f"_k_{i}"]) for i, k in enumerate(keys)]
+    return big.join(renamed, cond, "inner").drop("_kb", *[f"_k_{i}" for i in range(len(keys))])
+
+
 def with_block(df: DataFrame, ts_col: str, block: str | int = BLOCK, out: str = "_blk") -> DataFrame:
     b = interval_micros(block)
     us = epoch_micros(ts_col)
@@ -39,10 +53,10 @@ def blocked_running_sum(df: DataFrame, keys: Sequence[str], ts_col: str, value_c
     within = Window.partitionBy(*keys, "_blk").orderBy(ts_col).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_within", F.sum(value_col).over(within))
     totals = d.groupBy(*keys, "_blk").agg(F.sum(value_col).alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = _series_window(keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(*keys, "_blk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_prefix"))
     return (
-        d.join(prefix, on=[*keys, "_blk"], how="inner")
+        _join_blocks(d, prefix, keys)
         .withColumn(out, F.col("_within") + F.col("_prefix"))
         .drop("_within", "_prefix", "_blk")
     )
@@ -57,10 +71,10 @@ def blocked_lag(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
     d = d.withColumn("_lag", F.lag(value_col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     lasts = d.groupBy(*keys, "_blk").agg(F.max_by(value_col, ts_col).alias("_last"))
     prev = lasts.select(
-        *keys, "_blk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_blk")).alias("_prev_blk")
+        *keys, "_blk", F.lag("_last").over(_series_window(keys).orderBy("_blk")).alias("_prev_blk")
     )
     return (
-        d.join(prev, on=[*keys, "_blk"], how="inner")
+        _join_blocks(d, prev, keys)
         .withColumn(out, F.when(F.col("_first"), F.col("_prev_blk")).otherwise(F.col("_lag")))
         .drop("_lag", "_first", "_prev_blk", "_blk")
     )
@@ -75,10 +89,10 @@ def blocked_lead(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str
     d = d.withColumn("_lead", F.lag(value_col).over(w)).withColumn("_last", F.row_number().over(w) == 1)
     firsts = d.groupBy(*keys, "_blk").agg(F.min_by(value_col, ts_col).alias("_first"))
     nxt = firsts.select(
-        *keys, "_blk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_blk")).alias("_next_blk")
+        *keys, "_blk", F.lead("_first").over(_series_window(keys).orderBy("_blk")).alias("_next_blk")
     )
     return (
-        d.join(nxt, on=[*keys, "_blk"], how="inner")
+        _join_blocks(d, nxt, keys)
         .withColumn(out, F.when(F.col("_last"), F.col("_next_blk")).otherwise(F.col("_lead")))
         .drop("_lead", "_last", "_next_blk", "_blk")
     )

@@ -103,15 +103,17 @@ def latency_percentiles(logs: DataFrame, keys: Sequence[str] = ("service",), acc
     )
 
 
-def metric_samples(logs: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def metric_samples(logs: DataFrame, accuracy: int = DEFAULT_ACCURACY, by: Sequence[str] = ()) -> DataFrame:
     """The three gauges of one batch in long form:
-    ``(metric, service, level, percentile, value DOUBLE)``.
+    ``(*by, metric, service, level, percentile, value DOUBLE)``; ``by`` adds keys such as
+    ``batch_id`` to compute many batches at once.
 
     One scan and one aggregation: GROUPING SETS ((service, level), (service)) give the
     per-level counts and, on the service rows, the error totals and all-level
     percentiles.  The expansion happens before the partial aggregate, so the shuffle
     carries partial buffers only."""
-    agg = logs.groupingSets([["service", "level"], ["service"]], "service", "level").agg(
+    by = list(by)
+    agg = logs.groupingSets([[*by, "service", "level"], [*by, "service"]], *by, "service", "level").agg(
         F.grouping_id().alias("gid"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(is_error()).alias("errors"),
@@ -134,4 +136,4 @@ def metric_samples(logs: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFra
         sample(has_p50, METRIC_LATENCY, null_s, F.lit("p95"), F.coalesce(F.col("p95"), F.lit(0))),
         sample(has_p50, METRIC_LATENCY, null_s, F.lit("p99"), F.coalesce(F.col("p99"), F.lit(0))),
     )
-    return agg.select(F.inline(F.filter(samples, lambda s: s.isNotNull())))
+    return agg.select(*by, F.inline(F.filter(samples, lambda s: s.isNotNull())))

@@ -213,3 +213,70 @@ def q_last_value_gauge(spark, sf_dir):
 def q_total_logs(spark, sf_dir):
     s = fixture_counter(spark, sf_dir)
     return s.groupBy(*SERIES).agg(F.max_by("value", "ts").alias("v")).agg(F.sum("v").alias("total_logs"))
+
+
+# --- metrics history and the dashboard's gauge series ------------------------------
+
+from logmetrics.config import METRIC_LATENCY, METRIC_LOGS_PER_BATCH  # noqa: E402
+from logmetrics.operators import series as S  # noqa: E402
+
+# Replayed micro-batches are an hour of arrivals each (a 1 s trigger at the fixture's
+# density would make batches of one record).  Resampling follows the counters' scale:
+# 1 h step; the 5-minute look-back and the 15-minute dashboard range keep their length
+# in steps (20 and 60 steps of 15 s) as 20 h and 60 h.
+REPLAY_TRIGGER = "1 hour"
+RESAMPLE_STEP = "1 hour"
+LOOKBACK = "20 hours"
+DASH_RANGE = "60 hours"
+
+
+def fixture_history(spark, sf_dir):
+    return S.replay_history(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]),
+                            REPLAY_TRIGGER)
+
+
+@register("metrics_history")
+def q_metrics_history(spark, sf_dir):
+    return fixture_history(spark, sf_dir)
+
+
+@register("metrics_latest")
+def q_metrics_latest(spark, sf_dir):
+    return S.latest_batch(fixture_history(spark, sf_dir))
+
+
+@register("select_series")
+def q_select_series(spark, sf_dir):
+    h = S.select_series(fixture_history(spark, sf_dir), metric=METRIC_LATENCY, percentile=["p95", "p99"])
+    return h.select("ts", "service", "percentile", "value")
+
+
+@register("time_range")
+def q_time_range(spark, sf_dir):
+    return S.time_range(fixture_history(spark, sf_dir), DASH_RANGE)
+
+
+@register("series_label")
+def q_series_label(spark, sf_dir):
+    return S.label_series(fixture_history(spark, sf_dir))
+
+
+@register("logs_per_batch_by_service")
+def q_logs_per_batch_by_service(spark, sf_dir):
+    return S.sum_by(fixture_history(spark, sf_dir), METRIC_LOGS_PER_BATCH, ["service"])
+
+
+@register("series_reduce")
+def q_series_reduce(spark, sf_dir):
+    return S.reduce_series(fixture_history(spark, sf_dir))
+
+
+@register("resample_last")
+def q_resample_last(spark, sf_dir):
+    h = S.select_series(fixture_history(spark, sf_dir), metric=METRIC_LOGS_PER_BATCH)
+    return S.resample_last(h, ["service", "level"], RESAMPLE_STEP, LOOKBACK)
+
+
+@register("gateway_scrape")
+def q_gateway_scrape(spark, sf_dir):
+    return S.gateway_scrape(fixture_history(spark, sf_dir), RESAMPLE_STEP)

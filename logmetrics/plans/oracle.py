@@ -243,3 +243,66 @@ ORACLE["last_value_gauge"] = with_logs(
     "SELECT service, level, max(ts) AS ts, arg_max(value, ts) AS value FROM samples GROUP BY ALL",
     COUNTS, GRID, SAMPLES)
 ORACLE["total_logs"] = with_logs("SELECT CAST(count(*) AS DOUBLE) AS total_logs FROM logs WHERE event_ts IS NOT NULL")
+
+# --- metrics history --------------------------------------------------------------------
+
+HISTORY = f"""h0 AS (
+  SELECT epoch_us(kts) // 3600000000 AS batch_id, time_bucket(INTERVAL '1 hour', kts) + INTERVAL '1 hour' AS ts,
+    service, level, response_time_ms
+  FROM (SELECT *, time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second' AS kts FROM logs) p),
+history AS (
+  SELECT batch_id, ts, 'spark_logs_per_batch' AS metric, service, level, CAST(NULL AS VARCHAR) AS percentile,
+    CAST(count(*) AS DOUBLE) AS value
+  FROM h0 GROUP BY batch_id, ts, service, level
+  UNION ALL
+  SELECT batch_id, ts, 'spark_error_rate', service, NULL, NULL,
+    CAST(count(*) FILTER (WHERE level = 'ERROR') AS DOUBLE) / count(*) * 100.0
+  FROM h0 GROUP BY batch_id, ts, service
+  UNION ALL
+  SELECT batch_id, ts, 'spark_latency_ms', service, NULL, pct, v
+  FROM (SELECT batch_id, ts, service, {PCT} FROM h0 GROUP BY batch_id, ts, service) s,
+    LATERAL (VALUES ('p50', CAST(p50 AS DOUBLE)), ('p95', CAST(coalesce(p95, 0) AS DOUBLE)),
+                    ('p99', CAST(coalesce(p99, 0) AS DOUBLE))) v(pct, v)
+  WHERE p50 IS NOT NULL)"""
+
+ORACLE["metrics_history"] = with_logs("SELECT * FROM history", HISTORY)
+ORACLE["metrics_latest"] = with_logs("SELECT * FROM history WHERE batch_id = (SELECT max(batch_id) FROM history)",
+                                     HISTORY)
+ORACLE["select_series"] = with_logs(
+    "SELECT ts, service, percentile, value FROM history "
+    "WHERE metric = 'spark_latency_ms' AND percentile IN ('p95', 'p99')", HISTORY)
+ORACLE["time_range"] = with_logs(
+    "SELECT * FROM history WHERE ts BETWEEN (SELECT max(ts) FROM history) - INTERVAL '60 hours' "
+    "AND (SELECT max(ts) FROM history)", HISTORY)
+ORACLE["series_label"] = with_logs(
+    """SELECT ts, metric,
+  CASE WHEN metric = 'spark_logs_per_batch' THEN coalesce(service, '') || ' - ' || coalesce(level, '')
+       ELSE coalesce(service, '') || ' ' || upper(percentile) END AS label, value
+FROM history
+WHERE metric = 'spark_logs_per_batch' OR (metric = 'spark_latency_ms' AND percentile IN ('p95', 'p99'))""",
+    HISTORY)
+ORACLE["logs_per_batch_by_service"] = with_logs(
+    "SELECT ts, service, sum(value) AS value FROM history WHERE metric = 'spark_logs_per_batch' GROUP BY ALL",
+    HISTORY)
+ORACLE["series_reduce"] = with_logs(
+    """SELECT metric, service, level, percentile, arg_max(value, ts) FILTER (WHERE value IS NOT NULL) AS last_value,
+  avg(value) AS mean_value, max(value) AS max_value
+FROM history GROUP BY metric, service, level, percentile""", HISTORY)
+ORACLE["resample_last"] = with_logs(
+    """SELECT g.t AS ts, g.service, g.level, s.value
+FROM grid g ASOF JOIN s ON g.service IS NOT DISTINCT FROM s.service AND g.level IS NOT DISTINCT FROM s.level
+  AND g.t >= s.ts
+WHERE s.ts > g.t - INTERVAL '20 hours'""",
+    HISTORY,
+    "s AS (SELECT ts, service, level, value FROM history WHERE metric = 'spark_logs_per_batch')",
+    """grid AS (SELECT service, level,
+  unnest(generate_series(min(ts), (SELECT max(ts) FROM history), INTERVAL '1 hour')) AS t
+  FROM s GROUP BY service, level)""")
+ORACLE["gateway_scrape"] = with_logs(
+    """SELECT g.t AS ts, h.metric, h.service, h.level, h.percentile, h.value
+FROM (SELECT g.t, b.batch_id FROM grid g ASOF JOIN batches b ON g.t >= b.ts) g
+JOIN history h ON h.batch_id = g.batch_id""",
+    HISTORY,
+    "batches AS (SELECT batch_id, max(ts) AS ts FROM history GROUP BY batch_id)",
+    """grid AS (SELECT unnest(generate_series((SELECT min(ts) FROM history), (SELECT max(ts) FROM history),
+  INTERVAL '1 hour')) AS t)""")
