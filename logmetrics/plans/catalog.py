@@ -280,3 +280,26 @@ def q_resample_last(spark, sf_dir):
 @register("gateway_scrape")
 def q_gateway_scrape(spark, sf_dir):
     return S.gateway_scrape(fixture_history(spark, sf_dir), RESAMPLE_STEP)
+
+
+# --- histograms -------------------------------------------------------------------------
+
+from logmetrics.config import LATENCY_BUCKETS, SIZE_BUCKETS  # noqa: E402
+from logmetrics.operators import histograms as H  # noqa: E402
+
+
+@register("size_histogram")
+def q_size_histogram(spark, sf_dir):
+    return H.histogram(load_logs(spark, sf_dir), payload_bytes(LOG_COLUMNS), SIZE_BUCKETS)
+
+
+@register("latency_histogram")
+def q_latency_histogram(spark, sf_dir):
+    logs = load_logs(spark, sf_dir)
+    return H.histogram(logs, F.col("response_time_ms") / F.lit(1000.0), LATENCY_BUCKETS, keys=["service"])
+
+
+@register("histogram_quantile")
+def q_histogram_quantile(spark, sf_dir):
+    return H.latency_quantile_ms(load_logs(spark, sf_dir), 0.95, COUNTER_STEP, LONG_RANGE, ["service"],
+                                 LATENCY_BUCKETS)

@@ -306,3 +306,102 @@ JOIN history h ON h.batch_id = g.batch_id""",
     "batches AS (SELECT batch_id, max(ts) AS ts FROM history GROUP BY batch_id)",
     """grid AS (SELECT unnest(generate_series((SELECT min(ts) FROM history), (SELECT max(ts) FROM history),
   INTERVAL '1 hour')) AS t)""")
+
+# --- histograms -------------------------------------------------------------------------
+
+
+def _k(keys, p=""):
+    return ", ".join(f"{p}{k}" for k in keys)
+
+
+def _on(keys, a, b):
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+
+
+def counter_ctes(keys: list[str], counts_sql: str, range_sql: str, range_us: int) -> list[str]:
+    """Dense cumulative counters over ``counts(keys..., ts, n)`` and their rates."""
+    k = _k(keys)
+    return [
+        f"counts AS ({counts_sql})",
+        f"""bounds AS (SELECT {k}, min(ts) AS s FROM counts GROUP BY ALL),
+grid AS (SELECT {k}, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '1 hour')) AS ts FROM bounds)""",
+        f"""samples AS (
+  SELECT {_k(keys, 'g.')}, g.ts,
+    CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY {_k(keys, 'g.')} ORDER BY g.ts
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value
+  FROM grid g LEFT JOIN counts c ON {_on(keys, 'c', 'g')} AND c.ts = g.ts)""",
+        f"""corr AS (
+  SELECT *, CASE WHEN prev IS NOT NULL AND value < prev THEN prev ELSE 0.0 END AS c
+  FROM (SELECT *, lag(value) OVER (PARTITION BY {k} ORDER BY ts) AS prev FROM samples) l),
+st AS (
+  SELECT {k}, epoch_us(ts) AS t_us, count(*) OVER f AS n,
+    epoch_us(first_value(ts) OVER f) AS first_us, epoch_us(ts) AS last_us,
+    first_value(value) OVER f AS first_v, value AS last_v, sum(c) OVER f - first_value(c) OVER f AS resets
+  FROM corr
+  WINDOW f AS (PARTITION BY {k} ORDER BY ts RANGE BETWEEN INTERVAL '{range_sql}' PRECEDING AND CURRENT ROW))""",
+        f"""r0 AS (
+  SELECT {k}, t_us, n, first_v, last_v - first_v + resets AS inc, (last_us - first_us) / 1e6 AS si,
+    (first_us - (t_us - {range_us})) / 1e6 AS d_start0, (t_us - last_us) / 1e6 AS d_end
+  FROM st WHERE n >= 2),
+r1 AS (
+  SELECT *, si / (n - 1) AS avg_i,
+    CASE WHEN inc > 0 AND first_v >= 0 AND si * (first_v / inc) < d_start0 THEN si * (first_v / inc)
+         ELSE d_start0 END AS d_start
+  FROM r0),
+rates AS (
+  SELECT {k}, make_timestamp(t_us) AS ts,
+    inc * ((si + CASE WHEN d_start < avg_i * 1.1::DOUBLE THEN d_start ELSE avg_i / 2.0::DOUBLE END
+               + CASE WHEN d_end < avg_i * 1.1::DOUBLE THEN d_end ELSE avg_i / 2.0::DOUBLE END) / si)
+      / {range_us / 1e6}::DOUBLE AS rate
+  FROM r1)""",
+    ]
+
+
+_PAYLOAD_BYTES = f"CAST(strlen({_PAYLOAD}) + 2 * 12 - 1 AS BIGINT)"
+_SIZE_LES = "[100.0::DOUBLE, 200.0, 500.0, 1000.0, 2000.0, 5000.0, 'Infinity'::DOUBLE]"
+_LAT_LES = "[0.001::DOUBLE, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 'Infinity'::DOUBLE]"
+
+ORACLE["size_histogram"] = with_logs(
+    f"""SELECT b.le, count(x) FILTER (WHERE x <= b.le) AS bucket_count,
+  (SELECT CAST(sum(x) AS BIGINT) FROM d) AS sum_value, (SELECT count(x) FROM d) AS count_value
+FROM (SELECT unnest({_SIZE_LES}::DOUBLE[]) AS le) b, d GROUP BY b.le""",
+    f"d AS (SELECT {_PAYLOAD_BYTES} AS x FROM logs)")
+
+ORACLE["latency_histogram"] = with_logs(
+    f"""SELECT d.service, b.le, count(x) FILTER (WHERE x <= b.le) AS bucket_count, s.sum_value, s.count_value
+FROM (SELECT unnest({_LAT_LES}::DOUBLE[]) AS le) b, d
+JOIN (SELECT service, sum(x) AS sum_value, count(x) AS count_value FROM d GROUP BY service) s
+  ON s.service IS NOT DISTINCT FROM d.service
+GROUP BY d.service, b.le, s.sum_value, s.count_value""",
+    "d AS (SELECT service, response_time_ms / 1000.0::DOUBLE AS x FROM logs)")
+
+_HIST_COUNTS = f"""SELECT coalesce(h.service, '') AS service, b.le, h.ts, count(h.x) FILTER (WHERE h.x <= b.le) AS n
+  FROM (SELECT service, time_bucket(INTERVAL '1 hour', event_ts) + INTERVAL '1 hour' AS ts,
+          response_time_ms / 1000.0::DOUBLE AS x FROM logs WHERE event_ts IS NOT NULL) h,
+       (SELECT unnest({_LAT_LES}::DOUBLE[]) AS le) b
+  GROUP BY ALL"""
+
+ORACLE["histogram_quantile"] = with_logs(
+    """SELECT r.service, r.ts,
+  CASE WHEN t.nb < 2 OR t.maxle <> 'Infinity'::DOUBLE OR t.total = 0 THEN NULL
+       WHEN r.idx = t.nb - 1 THEN r.pl
+       WHEN r.idx = 0 AND r.le <= 0 THEN r.le
+       ELSE coalesce(r.pl, 0.0) + (r.le - coalesce(r.pl, 0.0))
+            * ((r.rnk - coalesce(r.pv, 0.0)) / nullif(r.v - coalesce(r.pv, 0.0), 0))
+  END * 1000.0::DOUBLE AS value_ms
+FROM ranked r
+JOIN tot t ON t.service = r.service AND t.ts = r.ts
+LEFT JOIN pick p ON p.service = r.service AND p.ts = r.ts
+WHERE r.idx = coalesce(p.b, t.nb - 1)""",
+    *counter_ctes(["service", "le"], _HIST_COUNTS, "20 hours", 20 * 3_600_000_000),
+    """mono AS (SELECT service, ts, le,
+  max(rate) OVER (PARTITION BY service, ts ORDER BY le ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+  FROM rates)""",
+    """tot AS (SELECT service, ts, count(*) AS nb, max(le) AS maxle, arg_max(v, le) AS total FROM mono GROUP BY ALL)""",
+    """ranked AS (
+  SELECT m.service, m.ts, m.le, m.v, 0.95::DOUBLE * t.total AS rnk,
+    lag(m.v) OVER w AS pv, lag(m.le) OVER w AS pl, row_number() OVER w - 1 AS idx
+  FROM mono m JOIN tot t ON t.service = m.service AND t.ts = m.ts
+  WINDOW w AS (PARTITION BY m.service, m.ts ORDER BY m.le))""",
+    """pick AS (SELECT r.service, r.ts, min(r.idx) AS b FROM ranked r JOIN tot t ON t.service = r.service AND t.ts = r.ts
+  WHERE r.v >= r.rnk AND r.idx < t.nb - 1 GROUP BY ALL)""")
