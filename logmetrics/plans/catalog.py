@@ -303,3 +303,89 @@ def q_latency_histogram(spark, sf_dir):
 def q_histogram_quantile(spark, sf_dir):
     return H.latency_quantile_ms(load_logs(spark, sf_dir), 0.95, COUNTER_STEP, LONG_RANGE, ["service"],
                                  LATENCY_BUCKETS)
+
+
+# --- streaming, archive, synthetic producers ---------------------------------------------
+
+from logmetrics.functions.time import epoch_micros  # noqa: E402
+from logmetrics.session import scratch_path  # noqa: E402
+from logmetrics.sources import archive as A  # noqa: E402
+from logmetrics.sources import synth as Y  # noqa: E402
+from logmetrics.sources.streams import read_log_stream  # noqa: E402
+from logmetrics.streaming import job as J  # noqa: E402
+from logmetrics.streaming import stateful as ST  # noqa: E402
+
+WIRE_FILES = 8  # micro-batches of the replayed stream (one file per trigger)
+
+
+def stream_fixture(spark, sf_dir, name):
+    """Write the fixture's topic records as files in arrival order - ``WIRE_FILES``
+    consecutive time slices, one write each so file times follow the slices - and
+    open them as a rate-limited stream (one file per micro-batch).
+    Returns (stream, scratch folder)."""
+    root = scratch_path(spark, name)
+    wire = wire_records(load_logs(spark, sf_dir))
+    us = epoch_micros("timestamp")
+    lo = epoch_micros(wire.agg(F.min("timestamp")).scalar())
+    hi = epoch_micros(wire.agg(F.max("timestamp")).scalar())
+    sliced = wire.withColumn("_slice", F.floor((us - lo) * F.lit(WIRE_FILES) / (hi - lo + F.lit(1))))
+    for i in range(WIRE_FILES):  # a fixed number of appends, one per slice
+        sliced.filter(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(f"{root}/wire")
+    return read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=1), root
+
+
+@register("stream_batch_metrics")
+def q_stream_batch_metrics(spark, sf_dir):
+    stream, root = stream_fixture(spark, sf_dir, "stream-metrics")
+    q = J.start_metrics_job(stream, f"{root}/history", f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    h = J.read_history(spark, f"{root}/history")
+    return (S.select_series(h, metric=METRIC_LOGS_PER_BATCH).groupBy("service", "level")
+            .agg(F.sum("value").cast("long").alias("log_count"), F.countDistinct("batch_id").alias("batches"))
+            .drop("batches"))
+
+
+@register("stream_logs_total")
+def q_stream_logs_total(spark, sf_dir):
+    stream, root = stream_fixture(spark, sf_dir, "stream-total")
+    parsed = parse_logs(stream, columns=["service", "level"])
+    q = ST.start_overwrite_sink(ST.logs_total(parsed), f"{root}/total", f"{root}/ckpt",
+                                trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/total")
+
+
+@register("stream_window_1m")
+def q_stream_window_1m(spark, sf_dir):
+    stream, root = stream_fixture(spark, sf_dir, "stream-window")
+    parsed = parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"])
+    q = ST.start_append_sink(ST.windowed_stream(parsed, "1 minute", "1 minute"), f"{root}/windows",
+                             f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/windows")
+
+
+@register("scan_archive")
+def q_scan_archive(spark, sf_dir):
+    root = scratch_path(spark, "archive")
+    A.write_archive(load_logs(spark, sf_dir), root)
+    return A.scan_archive(spark, root).select("event_id", "date", "service", "level", "http_status",
+                                               "response_time_ms")
+
+
+@register("retention_split")
+def q_retention_split(spark, sf_dir):
+    t = A.retention_tiers(load_logs(spark, sf_dir))
+    return t.groupBy(F.to_date("event_ts").alias("date"), "tier").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("synth_logs")
+def q_synth_logs(spark, sf_dir):
+    ev = load_logs(spark, sf_dir).select("event_id", "event_ts")
+    return Y.synth_logs(ev, "event_id", "event_ts")
+
+
+@register("synth_logs_correlated")
+def q_synth_logs_correlated(spark, sf_dir):
+    ev = load_logs(spark, sf_dir).select("event_id", "event_ts")
+    return Y.synth_logs_correlated(ev, "event_id", "event_ts")

@@ -405,3 +405,20 @@ WHERE r.idx = coalesce(p.b, t.nb - 1)""",
   WINDOW w AS (PARTITION BY m.service, m.ts ORDER BY m.le))""",
     """pick AS (SELECT r.service, r.ts, min(r.idx) AS b FROM ranked r JOIN tot t ON t.service = r.service AND t.ts = r.ts
   WHERE r.v >= r.rnk AND r.idx < t.nb - 1 GROUP BY ALL)""")
+
+# --- streaming, archive -----------------------------------------------------------------
+
+ORACLE["stream_batch_metrics"] = with_logs("SELECT service, level, count(*) AS log_count FROM logs GROUP BY ALL")
+ORACLE["stream_logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")
+ORACLE["stream_window_1m"] = with_logs(
+    f"""SELECT * FROM (SELECT {_window('1 minute')}, service, level, {MEASURES} FROM logs GROUP BY ALL) w
+WHERE window_end <= (SELECT max(event_ts) FROM logs) - INTERVAL '1 minute'""")
+ORACLE["scan_archive"] = with_logs(
+    "SELECT event_id, CAST(event_ts AS DATE) AS date, service, level, http_status, response_time_ms FROM logs")
+ORACLE["retention_split"] = with_logs(
+    """SELECT CAST(event_ts AS DATE) AS date,
+  CASE WHEN date_diff('day', CAST(event_ts AS DATE), CAST((SELECT max(event_ts) FROM logs) AS DATE)) < 7 THEN 'topic'
+       WHEN date_diff('day', CAST(event_ts AS DATE), CAST((SELECT max(event_ts) FROM logs) AS DATE)) < 30 THEN 'hot'
+       ELSE 'archive' END AS tier,
+  count(*) AS rows
+FROM logs GROUP BY ALL""")

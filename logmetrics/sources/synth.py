@@ -1,0 +1,119 @@
+"""Synthetic log records, one per input row (the producers' record contents as column
+expressions).  Randomness is a hash of (seed, field, id), so a row's content does not
+depend on partitioning or retries, and generation is a pure projection."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from logmetrics.config import (
+    CORRELATED_LEVEL_WEIGHTS,
+    CORRELATED_LEVELS,
+    CORRELATED_MESSAGE_PREFIX,
+    CORRELATED_METHODS,
+    CORRELATED_PATHS,
+    CORRELATED_SERVICES,
+    CORRELATED_STATUS,
+    LEVELS,
+    RESPONSE_TIME_RANGE,
+    WEB_LEVEL_WEIGHTS,
+    WEB_MESSAGE,
+    WEB_METHODS,
+    WEB_PATHS,
+    WEB_SERVICES,
+    WEB_STATUS_CODES,
+    WEB_STATUS_WEIGHTS,
+)
+from logmetrics.functions.text import zero_padded
+from logmetrics.functions.time import iso_utc
+
+_TWO53 = float(2**53)
+
+
+def uniform(seed: int, field: str, id_col: str) -> Column:
+    """Deterministic uniform [0, 1) per (seed, field, id)."""
+    h = F.xxhash64(F.lit(int(seed)), F.lit(field), F.col(id_col))
+    return F.pmod(h, F.lit(2**53)).cast("double") / F.lit(_TWO53)
+
+
+def weighted(u: Column, values: Sequence, weights: Sequence[float]) -> Column:
+    total = float(sum(weights))
+    expr = F.lit(values[-1])
+    acc = 0.0
+    bounds = []
+    for v, w in zip(values, weights):
+        acc += w
+        bounds.append((acc / total, v))
+    for bound, v in reversed(bounds[:-1]):
+        expr = F.when(u < F.lit(bound), F.lit(v)).otherwise(expr)
+    return expr
+
+
+def choice(u: Column, values: Sequence) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(u * len(values)) + 1).cast("int"))
+
+
+def randint(u: Column, lo: int, hi: int) -> Column:
+    return (F.lit(lo) + F.floor(u * (hi - lo + 1))).cast("int")
+
+
+def synth_logs(rows: DataFrame, id_col: str, ts_col: str, seed: int = 42) -> DataFrame:
+    """Web profile: weighted level and status (independent), uniform service, host,
+    trace, method, path, latency and client address."""
+
+    def u(f):
+        return uniform(seed, f, id_col)
+
+    lo, hi = RESPONSE_TIME_RANGE
+    return rows.select(
+        F.col(id_col).alias("request_no"),
+        F.col(ts_col).alias("event_ts"),
+        iso_utc(ts_col).alias("timestamp"),
+        weighted(u("level"), LEVELS, WEB_LEVEL_WEIGHTS).alias("level"),
+        choice(u("service"), WEB_SERVICES).alias("service"),
+        F.concat(F.lit("host-"), randint(u("host"), 1, 10).cast("string")).alias("host"),
+        zero_padded("req-", id_col).alias("request_id"),
+        F.concat(F.lit("trace-"), randint(u("trace"), 100000, 999999).cast("string")).alias("trace_id"),
+        choice(u("method"), WEB_METHODS).alias("http_method"),
+        choice(u("path"), WEB_PATHS).alias("http_path"),
+        weighted(u("status"), WEB_STATUS_CODES, WEB_STATUS_WEIGHTS).cast("int").alias("http_status"),
+        randint(u("latency"), lo, hi).alias("response_time_ms"),
+        F.concat(F.lit("10.0."), randint(u("ip3"), 1, 255).cast("string"), F.lit("."),
+                 randint(u("ip4"), 1, 255).cast("string")).alias("client_ip"),
+        F.lit(WEB_MESSAGE).alias("message"),
+        F.lit(None).cast("string").alias("stack_trace"),
+    )
+
+
+def synth_logs_correlated(rows: DataFrame, id_col: str, ts_col: str, seed: int = 42) -> DataFrame:
+    """Level-correlated profile: level by weight, status drawn from the level's three
+    codes, five services, four methods, three paths, no client address."""
+
+    def u(f):
+        return uniform(seed, f, id_col)
+
+    level = weighted(u("level"), CORRELATED_LEVELS, CORRELATED_LEVEL_WEIGHTS)
+    su = u("status")
+    status = F.when(level == "ERROR", choice(su, CORRELATED_STATUS["ERROR"])).when(
+        level == "WARN", choice(su, CORRELATED_STATUS["WARN"])).otherwise(choice(su, CORRELATED_STATUS["INFO"]))
+    lo, hi = RESPONSE_TIME_RANGE
+    return rows.select(
+        F.col(id_col).alias("request_no"),
+        F.col(ts_col).alias("event_ts"),
+        iso_utc(ts_col).alias("timestamp"),
+        level.alias("level"),
+        choice(u("service"), CORRELATED_SERVICES).alias("service"),
+        F.concat(F.lit("host-"), randint(u("host"), 1, 10).cast("string")).alias("host"),
+        zero_padded("req-", id_col).alias("request_id"),
+        F.concat(F.lit("trace-"), randint(u("trace"), 100000, 999999).cast("string")).alias("trace_id"),
+        choice(u("method"), CORRELATED_METHODS).alias("http_method"),
+        F.concat(F.lit("/api/v1/"), choice(u("path"), CORRELATED_PATHS)).alias("http_path"),
+        status.cast("int").alias("http_status"),
+        randint(u("latency"), lo, hi).alias("response_time_ms"),
+        F.lit(None).cast("string").alias("client_ip"),
+        F.concat(F.lit(CORRELATED_MESSAGE_PREFIX), level).alias("message"),
+        F.lit(None).cast("string").alias("stack_trace"),
+    )
