@@ -49,8 +49,13 @@ def _c(col) -> Column:
 
 
 def epoch_micros(col) -> Column:
-    """Microseconds since 1970-01-01 of an NTZ timestamp (BIGINT)."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(col))
+    """Microseconds since 1970-01-01 of an NTZ timestamp (BIGINT), from its date and
+    time-of-day fields, so no session time zone is involved."""
+    c = _c(col)
+    day = F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+    tod = (F.hour(c).cast("long") * F.lit(3_600_000_000) + F.minute(c).cast("long") * F.lit(60_000_000)
+           + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
+    return day + tod
 
 
 def add_micros(col, micros) -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from logmetrics.config import ERROR_LEVEL
 from logmetrics.functions.time import bucket_end, epoch_micros, from_epoch_micros, interval_micros
 from logmetrics.operators.blocks import BLOCK, blocked_lag, blocked_running_sum
+from logmetrics.session import materialize
 
 
 def label_cols(keys: Sequence[str]) -> list[Column]:
@@ -73,14 +74,20 @@ def grid_points(starts: DataFrame, keys: Sequence[str], end: Column, step: str,
 
 def cumulative_samples(counts: DataFrame, keys: Sequence[str], step: str, value: str = "value",
                        block: str = BLOCK) -> DataFrame:
-    """Dense cumulative series from per-step counts ``(labels, ts, n)``."""
+    """Dense cumulative series from per-step counts ``(labels, ts, n)``.
+
+    The counts (one row per series and active step, independent of log volume) are
+    stored once, so the raw logs behind them are scanned once although the plan reads
+    them three times (end of data, series starts, values); the dense samples are
+    stored too, since range functions read them several times."""
     keys = list(keys)
+    counts = materialize(counts, "step-counts")
     end = counts.agg(F.max("ts")).scalar()
     starts = counts.groupBy(*keys).agg(F.min("ts").alias("start"))
     grid = grid_points(starts, keys, end, step, block).withColumn("n", F.lit(0).cast("long"))
     dense = grid.unionByName(counts.select(*keys, "ts", "n")).groupBy(*keys, "ts").agg(F.sum("n").alias("n"))
     out = blocked_running_sum(dense, keys, "ts", "n", "_cum", block)
-    return out.select(*keys, "ts", F.col("_cum").cast("double").alias(value))
+    return materialize(out.select(*keys, "ts", F.col("_cum").cast("double").alias(value)), "counter-samples")
 
 
 def counter_samples(logs: DataFrame, step: str, keys: Sequence[str] = ("service", "level"),
@@ -95,7 +102,8 @@ def counter_range(samples: DataFrame, keys: Sequence[str], range_: str, step: st
     """Per (labels, t): the statistics of the samples in [t - range, t] that the range
     functions need: ``n, first_us, last_us, first_v, last_v, resets, t_us``.
 
-    ``t`` runs over the step grid up to the last sample time of the table."""
+    ``t`` runs over the step grid up to the last sample time of the table.  The plan
+    reads ``samples`` three times; pass a stored table (``counter_samples`` returns one)."""
     keys = list(keys)
     r_us, s_us = interval_micros(range_), interval_micros(step)
     t_max = epoch_micros(samples.agg(F.max("ts")).scalar())

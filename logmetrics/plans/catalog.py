@@ -219,6 +219,7 @@ def q_total_logs(spark, sf_dir):
 
 from logmetrics.config import METRIC_LATENCY, METRIC_LOGS_PER_BATCH  # noqa: E402
 from logmetrics.operators import series as S  # noqa: E402
+from logmetrics.session import materialize  # noqa: E402
 
 # Replayed micro-batches are an hour of arrivals each (a 1 s trigger at the fixture's
 # density would make batches of one record).  Resampling follows the counters' scale:
@@ -231,8 +232,10 @@ DASH_RANGE = "60 hours"
 
 
 def fixture_history(spark, sf_dir):
-    return S.replay_history(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]),
-                            REPLAY_TRIGGER)
+    """The metrics history table, as the streaming job would have stored it."""
+    h = S.replay_history(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]),
+                         REPLAY_TRIGGER)
+    return materialize(h, "metrics-history")
 
 
 @register("metrics_history")

@@ -51,3 +51,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, for tables a job writes to cut
     lineage or to hand data from one stage to the next."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used at the small boundaries of multi-stage plans (per-step counts, dense counter
+    samples, metrics history): the upstream plan - often a full scan of the logs - runs
+    once, later stages that read the table several times re-read a small stored table,
+    and the lineage is cut, so a lost executor never recomputes from the raw logs."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
