@@ -1,0 +1,67 @@
+import datetime as dt
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from logmetrics.config import CORRELATED_STATUS, LEVELS, WEB_LEVEL_WEIGHTS
+from logmetrics.sources.synth import synth_logs, synth_logs_correlated
+
+from conftest import SF_SMALL
+
+
+def _rows(spark, n):
+    return spark.range(n).withColumn("ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
+
+
+def test_web_profile_shares(spark):
+    n = 200_000
+    df = synth_logs(_rows(spark, n), "id", "ts")
+    shares = {r.level: r["count"] / n for r in df.groupBy("level").count().collect()}
+    total = sum(WEB_LEVEL_WEIGHTS)
+    for lvl, w in zip(LEVELS, WEB_LEVEL_WEIGHTS):
+        assert abs(shares[lvl] - w / total) < 0.01
+    r = df.agg(F.min("response_time_ms"), F.max("response_time_ms"), F.countDistinct("service")).collect()[0]
+    assert (r[0], r[1], r[2]) == (5, 500, 6)
+    assert df.filter(~F.col("request_id").rlike(r"^req-\d{8,}$")).count() == 0
+
+
+def test_correlated_profile(spark):
+    df = synth_logs_correlated(_rows(spark, 50_000), "id", "ts")
+    for lvl, codes in CORRELATED_STATUS.items():
+        got = {r.http_status for r in df.filter(F.col("level") == lvl).select("http_status").distinct().collect()}
+        assert got == set(codes)
+    assert df.filter(F.col("client_ip").isNotNull()).count() == 0
+
+
+def test_same_id_same_record(spark):
+    a = synth_logs(_rows(spark, 1000).repartition(7), "id", "ts")
+    b = synth_logs(_rows(spark, 1000).repartition(3), "id", "ts")
+    assert a.exceptAll(b).count() == 0
+
+
+def test_entry_and_contract(spark):
+    out = E.entry(spark)
+    assert out.count() > 0
+    assert {"service", "level", "log_count", "p95"} <= set(out.columns)
+    assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", ["batch_metrics", "error_rate", "window_5m", "counter_rate", "metrics_history",
+                                  "histogram_quantile", "resample_last"])
+def test_oracle_small(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
+    res = con.execute(E.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    want = sorted(tuple(_n(v) for v in r) for r in res.fetchall())
+    df = E.queries()[name](spark, SF_SMALL).select(*cols)
+    got = sorted(tuple(_n(v) for v in r) for r in df.collect())
+    assert got == want
+
+
+def _n(v):
+    if isinstance(v, float):
+        return round(v, 9)
+    return v
