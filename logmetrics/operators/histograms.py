@@ -59,34 +59,40 @@ def histogram_samples(df: DataFrame, value: Column, bounds: Sequence[float], ste
     return cumulative_samples(counts, [*keys, "le"], step, block=block)
 
 
-def bucket_quantile(q: float, buckets: Column) -> Column:
-    """Quantile from an array of struct(le, v), sorted by ``le``.  NULL (the
-    exposition's NaN) when there is no +Inf bucket, fewer than two buckets or no
-    observations.  Counts are first made monotonic (running max)."""
-    n = F.size(buckets)
+def quantile_from_buckets(df: DataFrame, q: float, buckets: str, out: str) -> DataFrame:
+    """Add ``out`` = the q-quantile of ``buckets`` (array of struct(le, v) sorted by le).
+
+    NULL (the exposition's NaN) when there is no +Inf bucket, fewer than two buckets or
+    no observations.  Counts are first made monotonic (running max).  Each
+    intermediate is its own projection so the array work is done once per row."""
+    bk = F.col(buckets)
     mono = F.transform(
-        buckets,
+        bk,
         lambda x, i: F.struct(
             x["le"].alias("le"),
-            F.aggregate(F.slice(buckets, 1, i + 1), F.lit(float("-inf")), lambda acc, y: F.greatest(acc, y["v"])).alias("v"),
+            F.array_max(F.transform(F.slice(bk, 1, i + 1), lambda y: y["v"])).alias("v"),
         ),
     )
-    total = F.element_at(mono, -1)["v"]
-    rank = F.lit(float(q)) * total
+    d = df.withColumn("_m", mono).withColumn("_n", F.size(bk)).withColumn("_inf", F.element_at(bk, -1)["le"])
+    d = d.withColumn("_rank", F.lit(float(q)) * F.element_at(F.col("_m"), -1)["v"])
     # first bucket (0-based) among the finite ones whose count reaches the rank
-    b = F.size(F.filter(F.slice(mono, 1, n - 1), lambda x: x["v"] < rank))
-    cur = F.element_at(mono, b + 1)
-    prev = F.element_at(mono, F.greatest(b, F.lit(1)))
-    prev_le = F.when(b > 0, prev["le"]).otherwise(F.lit(0.0))
-    prev_v = F.when(b > 0, prev["v"]).otherwise(F.lit(0.0))
-    interp = prev_le + (cur["le"] - prev_le) * F.try_divide(rank - prev_v, cur["v"] - prev_v)
-    nan = (n < 2) | (F.element_at(buckets, -1)["le"] != F.lit(INF)) | (total == 0)
-    return (
+    d = d.withColumn("_b", F.size(F.filter(F.slice(F.col("_m"), 1, F.col("_n") - 1),
+                                           lambda x: x["v"] < F.col("_rank"))))
+    d = d.withColumn("_cur", F.element_at(F.col("_m"), F.col("_b") + 1)).withColumn(
+        "_prev", F.when(F.col("_b") > 0, F.element_at(F.col("_m"), F.col("_b"))))
+    prev_le = F.coalesce(F.col("_prev")["le"], F.lit(0.0))
+    prev_v = F.coalesce(F.col("_prev")["v"], F.lit(0.0))
+    cur = F.col("_cur")
+    interp = prev_le + (cur["le"] - prev_le) * F.try_divide(F.col("_rank") - prev_v, cur["v"] - prev_v)
+    total = F.element_at(F.col("_m"), -1)["v"]
+    nan = (F.col("_n") < 2) | (F.col("_inf") != F.lit(INF)) | (total == 0)
+    res = (
         F.when(nan, F.lit(None).cast("double"))
-        .when(b == n - 1, F.element_at(mono, -2)["le"])
-        .when((b == 0) & (cur["le"] <= 0), cur["le"])
+        .when(F.col("_b") == F.col("_n") - 1, F.element_at(F.col("_m"), -2)["le"])
+        .when((F.col("_b") == 0) & (cur["le"] <= 0), cur["le"])
         .otherwise(interp)
     )
+    return d.withColumn(out, res).drop("_m", "_n", "_inf", "_rank", "_b", "_cur", "_prev")
 
 
 def histogram_quantile(q: float, bucket_rates: DataFrame, keys: Sequence[str], value: str = "rate",
@@ -96,7 +102,7 @@ def histogram_quantile(q: float, bucket_rates: DataFrame, keys: Sequence[str], v
     g = bucket_rates.groupBy(*keys, "ts").agg(
         F.array_sort(F.collect_list(F.struct(F.col("le").alias("le"), F.col(value).alias("v")))).alias("_bk")
     )
-    return g.select(*keys, "ts", bucket_quantile(q, F.col("_bk")).alias(out))
+    return quantile_from_buckets(g, q, "_bk", out).select(*keys, "ts", out)
 
 
 def latency_quantile_ms(df: DataFrame, q: float, step: str, range_: str, keys: Sequence[str], bounds: Sequence[float],

@@ -331,7 +331,8 @@ def stream_fixture(spark, sf_dir, name):
     us = epoch_micros("timestamp")
     lo = epoch_micros(wire.agg(F.min("timestamp")).scalar())
     hi = epoch_micros(wire.agg(F.max("timestamp")).scalar())
-    sliced = wire.withColumn("_slice", F.floor((us - lo) * F.lit(WIRE_FILES) / (hi - lo + F.lit(1))))
+    sliced = materialize(wire.withColumn("_slice", F.floor((us - lo) * F.lit(WIRE_FILES) / (hi - lo + F.lit(1)))),
+                         f"{name}-sliced")
     for i in range(WIRE_FILES):  # a fixed number of appends, one per slice
         sliced.filter(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(f"{root}/wire")
     return read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=1), root
