@@ -393,3 +393,9 @@ def q_synth_logs(spark, sf_dir):
 def q_synth_logs_correlated(spark, sf_dir):
     ev = load_logs(spark, sf_dir).select("event_id", "event_ts")
     return Y.synth_logs_correlated(ev, "event_id", "event_ts")
+
+
+@register("logs_total")
+def q_logs_total(spark, sf_dir):
+    """The labelled log counter over the whole input (batch form of the streaming state)."""
+    return ST.logs_total(parsed_logs(spark, sf_dir, columns=["service", "level"]))

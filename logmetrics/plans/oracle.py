@@ -422,3 +422,4 @@ ORACLE["retention_split"] = with_logs(
        ELSE 'archive' END AS tier,
   count(*) AS rows
 FROM logs GROUP BY ALL""")
+ORACLE["logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")

@@ -73,3 +73,20 @@ def test_kafka_options():
     o = kafka_options("k1:9092,k2:9092")
     assert o == {"kafka.bootstrap.servers": "k1:9092,k2:9092", "subscribe": "application-logs",
                  "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
+
+
+def test_archive_stream_and_scan(spark):
+    from logmetrics.config import LOG_COLUMNS
+    from logmetrics.sources.archive import scan_archive
+
+    stream, root = stream_fixture(spark, SF_SMALL, "t-archive")
+    arch = ST.archive_stream(parse_logs(stream))
+    ST.start_append_sink(arch, f"{root}/a", f"{root}/c", partition_by=["date"], trigger=AVAILABLE_NOW).awaitTermination()
+    back = scan_archive(spark, f"{root}/a").select(*LOG_COLUMNS)
+    logs = load_logs(spark, SF_SMALL).select(*LOG_COLUMNS)
+    assert back.exceptAll(logs).count() == 0 and logs.exceptAll(back).count() == 0
+    one_day = scan_archive(spark, f"{root}/a", "2024-01-05", "2024-01-05")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    pf = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+    assert "date" in pf and "2024-01-05" in pf  # the date range prunes folders
+    assert one_day.count() == logs.filter(F.col("timestamp").startswith("2024-01-05")).count()
