@@ -129,12 +129,20 @@ def q_daily_report(spark, sf_dir):
 
 @register("threshold_band")
 def q_threshold_band(spark, sf_dir):
-    logs = load_logs(spark, sf_dir)
-    err = M.error_rate(logs).select(F.lit("error_rate_pct").alias("panel"), "service",
-                                    F.col("error_rate").alias("value"))
-    lat = M.latency_percentiles(logs).select(F.lit("latency_ms").alias("panel"), "service",
-                                             F.col("p95").cast("double").alias("value"))
-    return B.threshold_band(err, "value", "error_rate_pct").unionByName(B.threshold_band(lat, "value", "latency_ms"))
+    """Error rate (%) and p95 latency per service with their dashboard bands, from one
+    aggregation over the logs."""
+    agg = load_logs(spark, sf_dir).groupBy("service").agg(
+        (F.try_divide(F.count_if(M.is_error()).cast("double"), F.count(F.lit(1))) * F.lit(100.0)).alias("err"),
+        *M.percentile_columns("response_time_ms"),
+    )
+    rows = F.array(
+        F.struct(F.lit("error_rate_pct").alias("panel"), F.col("err").alias("value"),
+                 B.band(F.col("err"), B.THRESHOLDS["error_rate_pct"]).alias("band")),
+        F.when(F.col("p50").isNotNull(), F.struct(
+            F.lit("latency_ms").alias("panel"), F.col("p95").cast("double").alias("value"),
+            B.band(F.col("p95").cast("double"), B.THRESHOLDS["latency_ms"]).alias("band"))),
+    )
+    return agg.select("service", F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
 # --- counters, rates, sums over series ---------------------------------------------
