@@ -2,15 +2,16 @@
 
 A window ``PARTITION BY series ORDER BY ts`` sends every row of a series to one task,
 so one hot series would become one huge task.  These helpers split each series into
-time blocks (``PARTITION BY series, block``) and carry what crosses a block edge
-through a small per-block table (one row per series and block):
+time blocks (``PARTITION BY series, block``).  What crosses a block edge comes from a
+small per-block table (one row per series and block) and enters the block as one
+extra *carry* row that sorts before (or after) the block's own rows:
 
-* running sum = sum within the block + sum of all earlier blocks;
-* previous / next value = within the block, else the last value of the previous
-  block / first value of the next block.
+* running sum: the carry holds the sum of all earlier blocks;
+* previous value: the carry holds the last value of the previous block;
+* next value: the carry holds the first value of the next block.
 
-The per-block table is a few hundred rows per series per year at a daily block; the
-join back to it is planned by Spark (AQE may broadcast it after measuring it).
+The carry rows are unioned into the same window partition and dropped afterwards, so
+the large side is shuffled exactly once (for the window) and never joined.
 """
 
 from __future__ import annotations
@@ -25,41 +26,35 @@ from logmetrics.functions.time import epoch_micros, interval_micros
 BLOCK = "1 day"
 
 
-def _series_window(keys: Sequence[str]):
-    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-
-
-def _join_blocks(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join the per-block table back on (keys, block); labels may be null, so the
-    key comparison is null-safe."""
-    renamed = small.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
-                           *[c for c in small.columns if c not in keys])
-    renamed = renamed.withColumnRenamed("_blk", "_kb")
-    cond = [big["_blk"] == renamed["_kb"]] + [big[k].eqNullSafe(renamed[f"_k_{i}"]) for i, k in enumerate(keys)]
-    return big.join(renamed, cond, "inner").drop("_kb", *[f"_k_{i}" for i in range(len(keys))])
-
-
 def with_block(df: DataFrame, ts_col: str, block: str | int = BLOCK, out: str = "_blk") -> DataFrame:
     b = interval_micros(block)
     us = epoch_micros(ts_col)
     return df.withColumn(out, us - F.pmod(us, F.lit(b)))
 
 
+def _series_window(keys: Sequence[str]):
+    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+
+
+def _with_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str], ts_col: str, value_col: str) -> DataFrame:
+    """Union the data rows (``_carry_row`` false) with carry rows ``(keys, _blk, _c)``."""
+    c = carry.select(*keys, "_blk", F.col("_c").cast(d.schema[value_col].dataType).alias(value_col),
+                     F.lit(True).alias("_carry_row"))
+    return d.withColumn("_carry_row", F.lit(False)).unionByName(c, allowMissingColumns=True)
+
+
 def blocked_running_sum(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, out: str,
                         block: str | int = BLOCK) -> DataFrame:
     """``out`` = sum of ``value_col`` over all rows of the series with ts <= this row's ts."""
     keys = list(keys)
     d = with_block(df, ts_col, block)
-    within = Window.partitionBy(*keys, "_blk").orderBy(ts_col).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_within", F.sum(value_col).over(within))
     totals = d.groupBy(*keys, "_blk").agg(F.sum(value_col).alias("_tot"))
     before = _series_window(keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(*keys, "_blk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_prefix"))
-    return (
-        _join_blocks(d, prefix, keys)
-        .withColumn(out, F.col("_within") + F.col("_prefix"))
-        .drop("_within", "_prefix", "_blk")
-    )
+    carry = totals.select(*keys, "_blk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_c"))
+    u = _with_carry(d, carry, keys, ts_col, value_col)
+    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col("_carry_row").desc(), F.col(ts_col))
+         .rowsBetween(Window.unboundedPreceding, 0))
+    return u.withColumn(out, F.sum(value_col).over(w)).filter(~F.col("_carry_row")).drop("_carry_row", "_blk")
 
 
 def blocked_lag(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, out: str,
@@ -67,17 +62,11 @@ def blocked_lag(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
     """``out`` = ``value_col`` of the previous row of the series (null for the first)."""
     keys = list(keys)
     d = with_block(df, ts_col, block)
-    w = Window.partitionBy(*keys, "_blk").orderBy(ts_col)
-    d = d.withColumn("_lag", F.lag(value_col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     lasts = d.groupBy(*keys, "_blk").agg(F.max_by(value_col, ts_col).alias("_last"))
-    prev = lasts.select(
-        *keys, "_blk", F.lag("_last").over(_series_window(keys).orderBy("_blk")).alias("_prev_blk")
-    )
-    return (
-        _join_blocks(d, prev, keys)
-        .withColumn(out, F.when(F.col("_first"), F.col("_prev_blk")).otherwise(F.col("_lag")))
-        .drop("_lag", "_first", "_prev_blk", "_blk")
-    )
+    carry = lasts.select(*keys, "_blk", F.lag("_last").over(_series_window(keys).orderBy("_blk")).alias("_c"))
+    u = _with_carry(d, carry, keys, ts_col, value_col)
+    w = Window.partitionBy(*keys, "_blk").orderBy(F.col("_carry_row").desc(), F.col(ts_col))
+    return u.withColumn(out, F.lag(value_col).over(w)).filter(~F.col("_carry_row")).drop("_carry_row", "_blk")
 
 
 def blocked_lead(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, out: str,
@@ -85,14 +74,8 @@ def blocked_lead(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str
     """``out`` = ``value_col`` of the next row of the series (null for the last)."""
     keys = list(keys)
     d = with_block(df, ts_col, block)
-    w = Window.partitionBy(*keys, "_blk").orderBy(F.col(ts_col).desc())
-    d = d.withColumn("_lead", F.lag(value_col).over(w)).withColumn("_last", F.row_number().over(w) == 1)
     firsts = d.groupBy(*keys, "_blk").agg(F.min_by(value_col, ts_col).alias("_first"))
-    nxt = firsts.select(
-        *keys, "_blk", F.lead("_first").over(_series_window(keys).orderBy("_blk")).alias("_next_blk")
-    )
-    return (
-        _join_blocks(d, nxt, keys)
-        .withColumn(out, F.when(F.col("_last"), F.col("_next_blk")).otherwise(F.col("_lead")))
-        .drop("_lead", "_last", "_next_blk", "_blk")
-    )
+    carry = firsts.select(*keys, "_blk", F.lead("_first").over(_series_window(keys).orderBy("_blk")).alias("_c"))
+    u = _with_carry(d, carry, keys, ts_col, value_col)
+    w = Window.partitionBy(*keys, "_blk").orderBy(F.col("_carry_row").asc(), F.col(ts_col))
+    return u.withColumn(out, F.lead(value_col).over(w)).filter(~F.col("_carry_row")).drop("_carry_row", "_blk")
