@@ -330,19 +330,25 @@ WIRE_FILES = 8  # micro-batches of the replayed stream (one file per trigger)
 
 
 def stream_fixture(spark, sf_dir, name):
-    """Write the fixture's topic records as files in arrival order - ``WIRE_FILES``
-    consecutive time slices, one write each so file times follow the slices - and
+    """Write the fixture's topic records as ``WIRE_FILES`` files in arrival order and
     open them as a rate-limited stream (one file per micro-batch).
+
+    One range-partitioned write puts consecutive time slices in consecutive part files;
+    their modification times are then set in slice order (a metadata update on a few
+    files), which is the order the file source admits them in.
     Returns (stream, scratch folder)."""
     root = scratch_path(spark, name)
     wire = wire_records(load_logs(spark, sf_dir))
-    us = epoch_micros("timestamp")
-    lo = epoch_micros(wire.agg(F.min("timestamp")).scalar())
-    hi = epoch_micros(wire.agg(F.max("timestamp")).scalar())
-    sliced = materialize(wire.withColumn("_slice", F.floor((us - lo) * F.lit(WIRE_FILES) / (hi - lo + F.lit(1)))),
-                         f"{name}-sliced")
-    for i in range(WIRE_FILES):  # a fixed number of appends, one per slice
-        sliced.filter(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(f"{root}/wire")
+    (wire.repartitionByRange(WIRE_FILES, "timestamp").sortWithinPartitions("timestamp")
+     .write.parquet(f"{root}/wire"))
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/wire")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((st.getPath().toString() for st in fs.listStatus(folder)
+                    if st.getPath().getName().startswith("part-")), key=lambda p: p.rsplit("/", 1)[-1])
+    base = max(st.getModificationTime() for st in fs.listStatus(folder))
+    for i, part in enumerate(parts):  # part-00000 holds the earliest slice
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(part), base + 1000 * (i + 1), -1)
     return read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=1), root
 
 
