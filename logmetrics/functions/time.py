@@ -89,3 +89,11 @@ def iso_utc(col) -> Column:
 def parse_iso_utc(col) -> Column:
     """Parse the log ``timestamp`` string to NTZ; NULL when unparseable (never raises)."""
     return F.to_timestamp_ntz(_c(col), F.lit(ISO_PARSE_FORMAT))
+
+
+def ntz_literal(value) -> Column:
+    """A wall-clock NTZ literal from a datetime / date / 'YYYY-MM-DD HH:MM:SS' string
+    (no session time zone involved)."""
+    if hasattr(value, "isoformat"):
+        value = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+    return F.lit(str(value)).cast("timestamp_ntz")

@@ -16,7 +16,7 @@ from pyspark.sql.types import TimestampType
 
 from logmetrics.config import DEFAULT_ACCURACY, METRIC_LATENCY, METRIC_LOGS_PER_BATCH
 from logmetrics.functions.text import series_label
-from logmetrics.functions.time import epoch_micros, from_epoch_micros, interval_micros
+from logmetrics.functions.time import epoch_micros, from_epoch_micros, interval_micros, ntz_literal
 from logmetrics.operators.blocks import BLOCK, blocked_lead
 from logmetrics.operators.metrics import metric_samples
 
@@ -55,7 +55,7 @@ def select_series(history: DataFrame, **labels) -> DataFrame:
 
 def time_range(df: DataFrame, range_: str, as_of=None, ts_col: str = "ts") -> DataFrame:
     """Rows with ``as_of - range <= ts <= as_of``; ``as_of`` defaults to the newest ts."""
-    end = df.agg(F.max(ts_col)).scalar() if as_of is None else F.lit(as_of)
+    end = df.agg(F.max(ts_col)).scalar() if as_of is None else ntz_literal(as_of)
     start = from_epoch_micros(epoch_micros(end) - F.lit(interval_micros(range_)))
     return df.filter((F.col(ts_col) >= start) & (F.col(ts_col) <= end))
 

@@ -318,7 +318,6 @@ def q_histogram_quantile(spark, sf_dir):
 
 # --- streaming, archive, synthetic producers ---------------------------------------------
 
-from logmetrics.functions.time import epoch_micros  # noqa: E402
 from logmetrics.session import scratch_path  # noqa: E402
 from logmetrics.sources import archive as A  # noqa: E402
 from logmetrics.sources import synth as Y  # noqa: E402

@@ -8,6 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logmetrics.functions.time import ntz_literal
+
 TOPIC_DAYS = 7
 HOT_DAYS = 30
 
@@ -42,7 +44,7 @@ def retention_tiers(logs: DataFrame, as_of=None, time_col: str = "event_ts", top
                     hot_days: int = HOT_DAYS) -> DataFrame:
     """Tag each row with its storage tier by age at ``as_of`` (default: newest event):
     'topic' within ``topic_days``, 'hot' within ``hot_days``, else 'archive'."""
-    end = logs.agg(F.max(time_col)).scalar() if as_of is None else F.lit(as_of)
+    end = logs.agg(F.max(time_col)).scalar() if as_of is None else ntz_literal(as_of)
     age_days = F.datediff(F.to_date(end), F.to_date(F.col(time_col)))
     tier = (F.when(age_days < topic_days, "topic").when(age_days < hot_days, "hot").otherwise("archive"))
     return logs.withColumn("tier", tier)

@@ -47,3 +47,10 @@ def test_select_reduce_label(spark):
     assert red["spark_latency_ms"] == (10.0, 10.0, 10.0)
     labels = sorted(r.label for r in S.label_series(hist).collect())
     assert labels == ["a - INFO", "a P95", "a P95"]
+
+
+def test_time_range_with_as_of(spark):
+    df = spark.createDataFrame([(h(m), float(m)) for m in (0, 10, 20, 30)], "ts timestamp_ntz, value double")
+    got = sorted(r.value for r in S.time_range(df, "15 minutes", as_of=h(25)).collect())
+    assert got == [10.0, 20.0]
+    assert sorted(r.value for r in S.time_range(df, "10 minutes").collect()) == [20.0, 30.0]
