@@ -44,3 +44,21 @@ def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
     return reader.schema(WIRE_SCHEMA).load(path)
+
+
+def synth_stream(spark: SparkSession, rows_per_second: int, profile: str = "web", seed: int = 42) -> DataFrame:
+    """Live stand-in for the producers: the ``rate`` source emits ``rows_per_second``
+    rows, each becomes one synthetic log record (deterministic per row number) and is
+    encoded as a topic record; write it with ``format("kafka")`` or to files."""
+    from pyspark.sql import functions as F
+
+    from logmetrics.functions.time import from_epoch_micros
+    from logmetrics.sources.codec import encode_logs
+    from logmetrics.sources.synth import synth_logs, synth_logs_correlated
+
+    rows = (spark.readStream.format("rate").option("rowsPerSecond", str(int(rows_per_second))).load()
+            .select(F.col("value").alias("n"),
+                    from_epoch_micros(F.unix_micros(F.col("timestamp"))).alias("ts")))
+    make = synth_logs if profile == "web" else synth_logs_correlated
+    logs = make(rows, "n", "ts", seed)
+    return encode_logs(logs, timestamp_col="event_ts")

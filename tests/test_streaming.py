@@ -90,3 +90,18 @@ def test_archive_stream_and_scan(spark):
     pf = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
     assert "date" in pf and "2024-01-05" in pf  # the date range prunes folders
     assert one_day.count() == logs.filter(F.col("timestamp").startswith("2024-01-05")).count()
+
+
+def test_synth_stream_feeds_the_parser(spark):
+    from logmetrics.sources.streams import synth_stream
+
+    root = scratch_path(spark, "t-synth")
+    parsed = parse_logs(synth_stream(spark, 200), columns=["level", "service", "response_time_ms"])
+    q = ST.start_append_sink(parsed, f"{root}/out", f"{root}/c", trigger={"processingTime": "1 second"})
+    try:
+        q.awaitTermination(6)
+    finally:
+        q.stop()
+    out = spark.read.parquet(f"{root}/out")
+    assert out.count() > 0
+    assert out.filter(F.col("level").isNull() | F.col("service").isNull()).count() == 0
