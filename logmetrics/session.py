@@ -37,12 +37,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.  A cluster names it in
     ``spark.checkpoint.dir``; only when it is unset (local tests) do we create one."""
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext
+        sc = None
+    path = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         # Only reached when nothing names a shared folder, as in local tests.
         path = tempfile.mkdtemp(prefix="logmetrics-ckpt-", dir="/tmp")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 
