@@ -42,3 +42,13 @@ def series_label(template: str, **cols) -> Column:
         parts.append(F.coalesce(F.col(cols.get(name, name)).cast("string"), F.lit("")))
         rest = rest[j + 1 :]
     return F.concat(*parts)
+
+
+FIXED_SCALE = 1e9
+
+
+def fixed_sum(col: Column) -> Column:
+    """Sum of doubles that does not depend on the order partial sums are merged in:
+    each term is rounded to 1e-9 and the integers are added as DECIMAL(38,0) (exact),
+    then scaled back.  Results are reproducible across partitionings and runs."""
+    return F.sum(F.round(col * F.lit(FIXED_SCALE)).cast("decimal(38,0)")).cast("double") / F.lit(FIXED_SCALE)

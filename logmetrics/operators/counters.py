@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logmetrics.config import ERROR_LEVEL
+from logmetrics.functions.text import fixed_sum
 from logmetrics.functions.time import bucket_end, epoch_micros, from_epoch_micros, interval_micros
 from logmetrics.operators.blocks import BLOCK, blocked_lag, blocked_running_sum
 from logmetrics.session import materialize
@@ -166,8 +167,8 @@ def counter_rate(samples: DataFrame, keys: Sequence[str], range_: str, step: str
 
 
 def sum_rates(rates: DataFrame, by: Sequence[str] = (), value: str = "rate", out: str = "value") -> DataFrame:
-    """``sum by (by) (rate(...))`` per evaluation time."""
-    return rates.groupBy("ts", *by).agg(F.sum(value).alias(out))
+    """``sum by (by) (rate(...))`` per evaluation time (order-independent sum)."""
+    return rates.groupBy("ts", *by).agg(fixed_sum(F.col(value)).alias(out))
 
 
 def ratio_of_rates(rates: DataFrame, level_col: str = "level", level: str = ERROR_LEVEL,
@@ -176,9 +177,9 @@ def ratio_of_rates(rates: DataFrame, level_col: str = "level", level: str = ERRO
     series of level L exists (the numerator is empty); NULL where the total is 0."""
     sel = F.col(level_col) == F.lit(level)
     agg = rates.groupBy("ts").agg(
-        F.sum(F.when(sel, F.col(value))).alias("_num"),
+        fixed_sum(F.when(sel, F.col(value))).alias("_num"),
         F.count(F.when(sel, F.lit(1))).alias("_k"),
-        F.sum(value).alias("_den"),
+        fixed_sum(F.col(value)).alias("_den"),
     )
     return agg.filter(F.col("_k") > 0).select("ts", (F.try_divide(F.col("_num"), F.col("_den")) * F.lit(100.0)).alias(out))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from logmetrics.config import DEFAULT_ACCURACY, METRIC_LATENCY, METRIC_LOGS_PER_BATCH
-from logmetrics.functions.text import series_label
+from logmetrics.functions.text import fixed_sum, series_label
 from logmetrics.functions.time import epoch_micros, from_epoch_micros, interval_micros, ntz_literal
 from logmetrics.operators.blocks import BLOCK, blocked_lead
 from logmetrics.operators.metrics import metric_samples
@@ -77,10 +77,11 @@ def sum_by(history: DataFrame, metric: str, by: Sequence[str]) -> DataFrame:
 
 
 def reduce_series(history: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
-    """Panel reducers per series over the whole range: last non-null, mean, max."""
+    """Panel reducers per series over the whole range: last non-null, mean (from an
+    order-independent sum), max."""
     return history.groupBy(*keys).agg(
         F.expr("max_by(value, ts) FILTER (WHERE value IS NOT NULL)").alias("last_value"),
-        F.avg("value").alias("mean_value"),
+        (fixed_sum(F.col("value")) / F.count("value")).alias("mean_value"),
         F.max("value").alias("max_value"),
     )
 

@@ -212,15 +212,15 @@ ORACLE["counter_increase"] = with_logs(
     "SELECT service, level, make_timestamp(t_us) AS ts, n, last_v - first_v + resets AS increase "
     "FROM st WHERE n >= 2", COUNTS, GRID, SAMPLES, _stats("4 hours"))
 ORACLE["counter_rate"] = with_logs("SELECT * FROM rates", COUNTS, GRID, SAMPLES, SHORT_RATES)
-ORACLE["logs_per_second"] = with_logs("SELECT ts, sum(rate) AS value FROM rates GROUP BY ts",
+ORACLE["logs_per_second"] = with_logs("SELECT ts, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS value FROM rates GROUP BY ts",
                                       COUNTS, GRID, SAMPLES, SHORT_RATES)
-ORACLE["rate_by_service"] = with_logs("SELECT ts, service, sum(rate) AS value FROM rates GROUP BY ALL",
+ORACLE["rate_by_service"] = with_logs("SELECT ts, service, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS value FROM rates GROUP BY ALL",
                                       COUNTS, GRID, SAMPLES, SHORT_RATES)
-ORACLE["rate_by_level"] = with_logs("SELECT ts, level, sum(rate) AS value FROM rates GROUP BY ALL",
+ORACLE["rate_by_level"] = with_logs("SELECT ts, level, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS value FROM rates GROUP BY ALL",
                                     COUNTS, GRID, SAMPLES, SHORT_RATES)
 ORACLE["error_rate_5m"] = with_logs(
     """SELECT ts, CASE WHEN den = 0 THEN NULL ELSE num / den * 100.0 END AS value
-FROM (SELECT ts, sum(rate) FILTER (WHERE level = 'ERROR') AS num, sum(rate) AS den,
+FROM (SELECT ts, CAST(sum(CAST(round(CASE WHEN level = 'ERROR' THEN rate END * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS num, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS den,
         count(*) FILTER (WHERE level = 'ERROR') AS k
       FROM rates GROUP BY ts) t
 WHERE k > 0""", COUNTS, GRID, SAMPLES, LONG_RATES)
@@ -286,7 +286,7 @@ ORACLE["logs_per_batch_by_service"] = with_logs(
     HISTORY)
 ORACLE["series_reduce"] = with_logs(
     """SELECT metric, service, level, percentile, arg_max(value, ts) FILTER (WHERE value IS NOT NULL) AS last_value,
-  avg(value) AS mean_value, max(value) AS max_value
+  CAST(sum(CAST(round(value * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 / count(value) AS mean_value, max(value) AS max_value
 FROM history GROUP BY metric, service, level, percentile""", HISTORY)
 ORACLE["resample_last"] = with_logs(
     """SELECT g.t AS ts, g.service, g.level, s.value
