@@ -6,7 +6,7 @@ in the shared checkpoint folder and read again as the next stage's input."""
 
 from __future__ import annotations
 
-from logmetrics.llm import decontamination, packing, toxicity
+from logmetrics.llm import decontamination, ngram_join, packing, secrets, toxicity
 from logmetrics.llm.common import store, table
 
 
@@ -15,11 +15,21 @@ def drop_toxic(spark, docs, sf_dir):
     return toxicity.remove_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_similar(spark, docs, sf_dir):
+    """One document of each group of similar ones stays: that with the least id."""
+    return ngram_join.one_of_each(docs)
+
+
 def drop_contaminated(spark, docs, sf_dir):
     """Documents that hold a passage of the benchmark go."""
     return decontamination.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark, docs, sf_dir):
+    """Every document stays; its secrets are replaced by a mark."""
+    return secrets.redact(docs)
+
+
 def pack(spark, docs, sf_dir):
     """What is left becomes sequences: one row per piece, as op10 returns."""
     return packing.report(docs)
@@ -27,7 +37,9 @@ def pack(spark, docs, sf_dir):
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_similar),
     ("benchmark decontamination", drop_contaminated),
+    ("secret scans", redact_secrets),
     ("best-fit packing", pack),
 ]
 

@@ -43,11 +43,11 @@ def fold(key, n: int):
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def slices(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``SLICE_BYTES`` (one row at least) that cover all rows."""
+def slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes (one row at least) that cover all rows."""
     start, total = 0, 0
     for i, n in enumerate(lengths.tolist()):
-        if i > start and total + n > SLICE_BYTES:
+        if i > start and total + n > most:
             yield start, i
             start, total = i, 0
         total += n
@@ -61,6 +61,7 @@ def add_from_text(
     make: Callable[[], Callable[[list], Sequence[Sequence]]],
     text: str = "text",
     as_bytes: bool = False,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """All columns of ``df`` plus ``fields``, computed from the column ``text``.
 
@@ -77,7 +78,7 @@ def add_from_text(
         for batch in batches:
             column = batch.column(at)
             sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-            for a, b in slices(sizes):
+            for a, b in slices(sizes, slice_bytes):
                 part = batch.slice(a, b - a)
                 col = part.column(at)
                 values = (col.cast(pa.binary()) if as_bytes else col).to_pylist()
