@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import add_from_text, fresh, store
 from .components import components
 from .decontamination import words
+from .hashing import mix, prefix_sums
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -43,53 +44,19 @@ BLOCK = 256
 #: Columns of one dense multiplication in verification.
 _COLUMNS = 4096
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, grown on demand."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
-
-    def get(self, n: int):
-        if n > len(self.up):
-            n = max(n, 2 * len(self.up), 1 << 16)
-            grown = []
-            for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-                steps = np.full(n, base, dtype=np.uint64)
-                steps[0] = 1
-                grown.append(np.cumprod(steps, dtype=np.uint64))
-            self.up, self.down = grown
-        return self.up, self.down
-
-
-_POWERS = _Powers()
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Spread a 64-bit hash over all bits (multiply and shift, twice)."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 def shingles(plain: bytes, size: int = SHINGLE) -> np.ndarray:
     """64-bit hashes of the runs of ``size`` words of ``plain``, whose words stand one
     space apart; a rolling polynomial hash gives every run from two prefix sums."""
     if not plain:
         return np.zeros(0, dtype=np.uint64)
     raw = np.frombuffer(plain, dtype=np.uint8)
-    up, down = _POWERS.get(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
+    sums, down = prefix_sums(raw)
     gaps = np.flatnonzero(raw == 32)
     starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(raw)]])
     n = max(1, len(starts) - size + 1)
     last = min(size, len(starts)) - 1
     a, b = starts[:n], ends[last : last + n]
-    return _mix((sums[b] - sums[a]) * down[a])
+    return mix((sums[b] - sums[a]) * down[a])
 
 
 def forest_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
@@ -119,7 +86,7 @@ class Forest:
             h += self.b
             np.minimum(least, h.min(axis=0), out=least)
         labels = least.reshape(self.trees, self.depth).astype(np.uint64)
-        return _mix((labels * self.join).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
+        return mix((labels * self.join).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
 
 
 def _plain(text: bytes | None) -> bytes:
