@@ -3,7 +3,12 @@ scan that adds columns to a table from its text column."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +25,35 @@ SLICE_BYTES = 4 << 20
 Field = tuple[str, str, pa.DataType]  # column name, Spark type, Arrow type
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would,
+    so that tasks can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    folder = tempfile.mkdtemp(prefix="logmetrics-")  # only the driver reads it, to serve it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/logmetrics.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "logmetrics").rglob("*.py")):
+            z.write(f, f.relative_to(root).as_posix())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: later steps re-read a small
     table instead of recomputing, also after an executor is lost."""
+    ship(df.sparkSession)
     return materialize(df, f"llm-{name}")
 
 
@@ -67,6 +94,7 @@ def add_from_text(
 
     ``make()`` runs once per task and returns a function from a list of texts (None for
     null; UTF-8 bytes with ``as_bytes``) to one list of values per field."""
+    ship(df.sparkSession)
     schema = T.StructType(list(df.schema.fields))
     for name, kind, _ in fields:
         schema = schema.add(name, T.DataType.fromDDL(kind))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import store
+from .common import ship, store
 from .components import components
 from .ngram_join import _roots
 
@@ -123,6 +123,7 @@ def _unit(vector) -> np.ndarray | None:
 def filtered(rows: DataFrame, n: int, threshold: float) -> DataFrame:
     """``rows`` (id, vector) to (id, key, unit, filters); key is null for vectors that
     link with nothing."""
+    ship(rows.sparkSession)
     schema = T.StructType([rows.schema["id"], *T.StructType.fromDDL("key binary, unit array<double>, filters array<bigint>").fields])
     kinds = [pa.binary(), pa.list_(pa.float64()), pa.list_(pa.int64())]
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import add_from_text, fold, store
+from .common import add_from_text, fold, ship, store
 
 END = b""
 SMOOTH = 0.1
@@ -53,6 +53,7 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, c) over all rows of ``docs``; the end is the empty word."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(text).cast("binary").alias("t"))
 
     def scan(batches):
@@ -154,6 +155,7 @@ def _tree_average(rows: DataFrame) -> np.ndarray | None:
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id") -> gru.Params:
     """Rounds of local training and averaging over ``docs`` (training rows only)."""
+    ship(docs.sparkSession)
     layout = vocabulary.layout
     params = gru.initial(layout, vocabulary.class_counts, vocabulary.word_counts)
     share = max(1 / SHARE, min(1.0, LEAST_TOKENS / max(1, vocabulary.n)))
