@@ -26,6 +26,7 @@ import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import ahocorasick
 import numpy as np
@@ -40,6 +41,8 @@ MAX_OTHER = 6_000
 MAX_CHARS = 60_000
 MAX_ENTRIES = 2_000
 SHORTEST, LONGEST = 4, 16
+#: Expected number of lexicon entries that only chance made.
+MAX_CHANCE = 0.05
 THRESHOLD = 0.3
 
 # Characters read as Latin letters.
@@ -97,14 +100,16 @@ def _features(automaton, folded: str) -> tuple[float, float]:
 
 
 def _unlike(texts: list[str]) -> list[int]:
-    """Indices of texts of which no nearly equal one came before: any of four minima of
+    """Indices of texts of which no nearly equal one came before: any of 16 minima of
     hashed 3-word runs that was seen already marks a copy."""
     seen: set = set()
+    factors = np.random.default_rng(7).integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     kept = []
     for i, t in enumerate(texts):
         w = t.split()
-        runs = np.array([hash(x) for x in zip(w, w[1:], w[2:], strict=False)] or [hash(t)], dtype=np.int64).view(np.uint64)
-        keys = {(j, int(np.min(runs * np.uint64(m)))) for j, m in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))}
+        runs = [" ".join(x) for x in zip(w, w[1:], w[2:], strict=False)] or [t]
+        hashes = np.array([crc32(x.encode()) for x in runs], dtype=np.uint64)
+        keys = set(enumerate((hashes[:, None] * factors >> np.uint64(20)).min(axis=0).tolist()))
         if not keys & seen:
             kept.append(i)
         seen |= keys
@@ -136,7 +141,7 @@ def learn(texts: list[str], toxic: list[int], share: float) -> Model:
             continue
         n = neg.get(s, 0)
         w = math.log((p + 0.5) / (n_pos + 1)) - math.log((n + 0.5) / (n_neg + 1))
-        if w - 1.64 * math.sqrt(1 / (p + 0.5) + 1 / (n + 0.5)) > math.log(2):
+        if w > math.log(8) and _chance(p, p + n, n_pos / (n_pos + n_neg)) < MAX_CHANCE / len(pos):
             found[s] = (w, p)
     longer = Counter()
     for s, (_, p) in found.items():
@@ -169,6 +174,16 @@ def learn(texts: list[str], toxic: list[int], share: float) -> Model:
     return model
 
 
+def _chance(p: int, n: int, share: float) -> float:
+    """Bound on the chance that ``p`` or more of ``n`` texts are toxic if a text is with
+    probability ``share`` (Chernoff)."""
+    q = p / n
+    if q <= share:
+        return 1.0
+    rest = (1 - q) * math.log((1 - q) / (1 - share)) if q < 1 else 0.0
+    return math.exp(-n * (q * math.log(q / share) + rest))
+
+
 def _exceptions(folded: list[str], y: np.ndarray, weights: dict[str, float]) -> dict[str, float]:
     """Two-word phrases around a lexicon word that untoxic texts use and toxic ones don't."""
     if not weights:
