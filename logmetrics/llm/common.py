@@ -90,14 +90,15 @@ def add_from_text(
     as_bytes: bool = False,
     slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
-    """All columns of ``df`` plus ``fields``, computed from the column ``text``.
+    """All columns of ``df`` plus ``fields``, computed from the column ``text``.  A field
+    whose name ``df`` has already gets underscores added, here and in all operators.
 
     ``make()`` runs once per task and returns a function from a list of texts (None for
     null; UTF-8 bytes with ``as_bytes``) to one list of values per field."""
     ship(df.sparkSession)
     schema = T.StructType(list(df.schema.fields))
     for name, kind, _ in fields:
-        schema = schema.add(name, T.DataType.fromDDL(kind))
+        schema = schema.add(fresh(df, name), T.DataType.fromDDL(kind))
     at = df.columns.index(text)
     kinds = [k for _, _, k in fields]
 

@@ -20,9 +20,11 @@ counts once.  An empty benchmark leaves every text clean."""
 from __future__ import annotations
 
 import hashlib
+import re
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,9 +146,7 @@ def find_contamination(
 ) -> DataFrame:
     """All columns of ``docs`` plus the struct ``into`` with ``n_words``, ``spans`` (hit
     word ranges, merged, end exclusive) and ``items`` (sorted ids with occurrences)."""
-    if into in docs.columns:
-        raise ValueError(f"docs already has a column {into}")
-    plain = docs.columns
+    plain, into = docs.columns, fresh(docs, into)
     n_col, s_col, i_col = (fresh(docs, f"{into}_{x}") for x in ("n", "spans", "items"))
     out = docs.withColumns(
         {
@@ -187,11 +187,9 @@ def n_hit(found) -> F.Column:
 
 def _cut(texts: list[bytes | None], spans: list) -> list[str | None]:
     """Texts without their hit words and what stands between hit words of a span."""
-    import re
-
     out: list[str | None] = []
     for text, hit in zip(texts, spans, strict=True):
-        if text is None or not hit:
+        if text is None or hit is None or len(hit) == 0:
             out.append(None if text is None else text.decode("utf-8", "replace"))
             continue
         at = [m.span() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", text)]
@@ -215,7 +213,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **ho
     """``docs`` with every hit span cut out of ``text``; other columns stay as they are."""
     into = fresh(docs, "contamination")
     found = find_contamination(docs, benchmark, text=text, into=into, **how)
-    cut = F.pandas_udf(lambda t, s: __import__("pandas").Series(_cut([None if x is None else x.encode() for x in t], list(s))), "string")
+    cut = F.pandas_udf(lambda t, s: pd.Series(_cut([None if x is None else x.encode() for x in t], list(s))), "string")
     hit = F.size(F.col(into)["spans"]) > 0
     return found.withColumn(text, F.when(hit, cut(F.col(text), F.col(into)["spans"])).otherwise(F.col(text))).select(*docs.columns)
 

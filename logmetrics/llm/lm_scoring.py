@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import add_from_text, fold, ship, store
+from .common import add_from_text, fold, fresh, ship, store
 
 END = b""
 SMOOTH = 0.1
@@ -235,9 +235,8 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params: gr
     )
     out = scanned.drop("further").join(found, "rid", "left")
     more = F.coalesce("more", F.lit(0.0))
-    return out.select(
-        "row.*", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), (F.col("base") + more).alias("base_score"), (F.col("lm") + more).alias("score")
-    )
+    new = {"n_tokens": F.col("n_tokens"), "n_known": F.col("n_known") + F.coalesce("known", F.lit(0)), "base_score": F.col("base") + more, "score": F.col("lm") + more}
+    return out.select(*(F.col("row")[c].alias(c) for c in names), *(v.alias(fresh(docs, k)) for k, v in new.items()))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -193,7 +193,7 @@ def thresholds(docs: DataFrame, text: str = "text", false_share: float = FALSE_S
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", least: dict[int, int] | None = None) -> DataFrame:
     """All columns of ``docs`` plus ``into``: sorted structs (start, kind number, end),
     in code points, end exclusive; ``KINDS`` names the kinds."""
-    least = thresholds(docs, text) if least is None else least
+    least, into = thresholds(docs, text) if least is None else least, fresh(docs, into)
     t, b = fresh(docs, "t"), fresh(docs, "b")
     out = docs.withColumn(t, F.coalesce(F.col(text), F.lit(""))).withColumn(b, base_spans(F.col(t)))
     if not least:

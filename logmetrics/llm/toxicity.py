@@ -22,7 +22,6 @@ score is the share of toxic labels (0 without labels)."""
 from __future__ import annotations
 
 import math
-import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
@@ -186,22 +185,18 @@ def _chance(p: int, n: int, share: float) -> float:
 
 def _exceptions(folded: list[str], y: np.ndarray, weights: dict[str, float]) -> dict[str, float]:
     """Two-word phrases around a lexicon word that untoxic texts use and toxic ones don't."""
-    if not weights:
-        return {}
-    pattern = re.compile(r"(?:(\S+) +)?(?=((?:" + "|".join(re.escape(s[1:]) for s in weights) + r")\S*)(?: +(\S+))?)")
     pos: Counter = Counter()
     neg: Counter = Counter()
     weight_of: dict[str, float] = {}
     for t, k in zip(folded, y, strict=True):
+        words = t.split()
         phrases = set()
-        for m in pattern.finditer(t):
-            if m.start(2) and t[m.start(2) - 1] != " ":
-                continue
-            before, word, after = m.groups()
-            w = max(v for s, v in weights.items() if word.startswith(s[1:]))
-            for phrase in ([f" {before} {word} "] if before else []) + ([f" {word} {after} "] if after else []):
-                phrases.add(phrase)
-                weight_of[phrase] = w
+        for i, word in enumerate(words):
+            w = max((weights.get(" " + word[:n], 0.0) for n in range(SHORTEST, min(LONGEST, len(word)) + 1)), default=0.0)
+            if w:
+                near = [" ".join(words[a : a + 2]) for a in (i - 1, i) if 0 <= a < len(words) - 1]
+                phrases.update(f" {x} " for x in near)
+                weight_of.update((f" {x} ", w) for x in near)
         (pos if k else neg).update(phrases)
     return {s: weight_of[s] for s, n in neg.items() if n >= 3 and not pos.get(s)}
 
