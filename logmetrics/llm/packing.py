@@ -10,10 +10,11 @@ Scale.  Tokenising is one narrow scan; a bounded cache of words makes it cheap.
 shuffled afterwards is one short row per piece.  A group is bounded whatever the input,
 the number of groups grows with it, and each gives away less than one bin on average.
 
-Exactness of the cache: the tokenizer drops white space before it splits a text, and
-neither its normaliser nor its pattern looks across white space, so the ids of a text are
-those of its white-space-free chunks, one after the other.  Texts with the four ASCII
-separators that Python, but not the tokenizer, takes for white space are encoded whole.
+Exactness of the cache: the tokenizer lower-cases a text, splits it by a pattern, drops
+white space, and encodes what is left piece by piece.  Texts of Latin-1 characters, which
+its normal form leaves alone, are split here by the same pattern and looked up by a 64-bit
+hash; texts with other characters, an apostrophe (it may start a contraction) or a special
+token's string go through it whole.
 
 Cases.  A null or empty text is the end id alone.  Repeated rows are packed one by one.
 Ties go to the longer, then to the smaller id.  An empty table gives no rows."""
@@ -30,20 +31,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_from_text, fresh, store
+from .common import add_from_text, fresh, ship, store
+from .hashing import mix, prefix_sums
 
 CAPACITY = 2048
 END_ID = 0
 GROUP = 8192
-#: Words in a task's cache of token ids (about 150 bytes each).
-CACHE_WORDS = 1_000_000
+#: Places for pieces in a task's table of token ids (about 60 bytes each).
+CACHE_PIECES = 3_000_000
+#: Bytes of text that are looked up at once; they stay in the processor's cache.
+_AT_ONCE = 1 << 19
 TOKENIZER = "word_bpe_49k.json"
 
 
+# How the tokenizer's pattern sorts Latin-1 characters in lower case: white
+# space (0), letters (1) and all else (3) come in runs, digits (2) alone.
+_KIND = np.full(256, 3, dtype=np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32, 0x85, 0xA0]] = 0
+_KIND[[*range(0x61, 0x7B), 0xAA, 0xB5, 0xBA, *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = 1
+_KIND[[*range(0x30, 0x3A), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = 2
+
+
 class Encoder:
-    """Texts to token ids as little-endian 32-bit bytes, by way of a cache of words."""
+    """Texts to token ids as little-endian 32-bit bytes, by way of a table of pieces."""
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, capacity: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         if path is None:
@@ -51,38 +63,116 @@ class Encoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.capacity = capacity
+        self._clear()
+
+    def _clear(self) -> None:
+        self.bits = max(8, (2 * self.capacity - 1).bit_length())
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)  # 0: free
+        self.entry = np.zeros(1 << self.bits, dtype=np.int32)
+        self.n = 0
+        self.at = np.zeros(1024, dtype=np.int64)  # entry -> place of its ids
+        self.size = np.zeros(1024, dtype=np.int64)
+        self.ids = np.zeros(4096, dtype="<u4")
+        self.n_ids = 0
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of new words: plain lower-case ones many at a time, as one text whose
-        tokens are dealt back by the ends of words; the others one by one."""
-        simple = [w for w in new if w.isascii() and w.isalpha()]
-        rest = [w for w in new if not (w.isascii() and w.isalpha())]
-        for i in range(0, len(simple), 2000):
-            part = simple[i : i + 2000]
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1: linear probing, all hashes at once."""
+        out = np.full(len(h), -1, dtype=np.int64)
+        left = np.arange(len(h))
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(left):
+            key = self.keys[slot]
+            hit = key == h[left]
+            out[left[hit]] = self.entry[slot[hit]]
+            more = ~hit & (key != 0)
+            left, slot = left[more], (slot[more] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def _add(self, h: np.ndarray, ids: list[np.ndarray]) -> None:
+        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
+        for name, used, more in (("at", self.n, len(ids)), ("size", self.n, len(ids)), ("ids", self.n_ids, len(flat))):
+            old = getattr(self, name)
+            if used + more > len(old):
+                setattr(self, name, np.concatenate([old[:used], np.zeros(max(used, more) + more, dtype=old.dtype)]))
+        self.ids[self.n_ids : self.n_ids + len(flat)] = flat
+        self.at[self.n : self.n + len(ids)] = self.n_ids + np.cumsum(sizes) - sizes
+        self.size[self.n : self.n + len(ids)] = sizes
+        mask = (1 << self.bits) - 1
+        for k, (key, slot) in enumerate(zip(h, (h >> np.uint64(64 - self.bits)).tolist(), strict=True)):
+            while self.keys[slot]:
+                slot = (slot + 1) & mask
+            self.keys[slot] = key
+            self.entry[slot] = self.n + k
+        self.n += len(ids)
+        self.n_ids += len(flat)
+
+    def _learn(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of new pieces: letters many in one text, whose tokens are dealt back by
+        the word number the tokenizer gives them; the rest one by one."""
+        found: dict[str, np.ndarray] = {}
+        letters = [w for w in words if w.isalpha()]
+        for i in range(0, len(letters), 4000):
+            part = letters[i : i + 4000]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(e.ids, dtype="<u4"), e.word_ids
-            ends = np.flatnonzero(np.diff(np.array(owner))) + 1
-            pieces = np.split(ids, ends)
-            if len(pieces) == len(part):
-                self.cache.update(zip(part, [p.tobytes() for p in pieces], strict=True))
-            else:
-                rest += part
-        if rest:
-            self.cache.update(zip(rest, self._raw(rest), strict=True))
+            ids, word = np.array(e.ids, dtype="<u4"), np.array(e.word_ids)
+            ends = [0, *(np.flatnonzero(np.diff(word)) + 1).tolist(), len(ids)]
+            if len(ends) == len(part) + 1:
+                found.update((w, ids[a:b]) for w, a, b in zip(part, ends, ends[1:], strict=False))
+        rest = [w for w in words if w not in found]
+        found.update((w, np.frombuffer(x, dtype="<u4")) for w, x in zip(rest, self._raw(rest), strict=True))
+        return [found[w] for w in words]
+
+    def _plain(self, text: str) -> bytes | None:
+        """The text in lower case as Latin-1, if it then splits by ``_KIND`` alone: no
+        other characters, no special token, and no apostrophe, which may start a
+        contraction."""
+        if "'" in text or any(s in text for s in self.special):
+            return None
+        try:
+            return text.lower().encode("latin-1")
+        except UnicodeEncodeError:
+            return None
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        chunks = [None if t and any(c in t for c in "\x1c\x1d\x1e\x1f") else (t or "").split() for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = set().union(*(c for c in chunks if c)) - self.cache.keys()
-        if new:
-            self._learn(list(new))
-        get = self.cache.__getitem__
-        return [self._raw([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, chunks, strict=True)]
+        plain = [self._plain(t or "") for t in texts]
+        known = self._encode_plain([p or b"" for p in plain])
+        return [k if p is not None else self._raw([t])[0] for t, p, k in zip(texts, plain, known, strict=True)]
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
+        if self.n > self.capacity // 2:
+            self._clear()
+        whole = b"\n".join([*texts, b""])
+        raw = np.frombuffer(whole, dtype=np.uint8)
+        kind = _KIND[raw]
+        change = np.ones(len(raw) + 1, dtype=bool)
+        np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
+        change[1:-1] |= kind[1:] == 2
+        starts = np.flatnonzero(change[:-1] & (kind > 0))
+        ends = np.flatnonzero(change[1:] & (kind > 0)) + 1
+        sums, down = prefix_sums(raw)
+        h = mix((sums[ends] - sums[starts]) * down[starts]) ^ (ends - starts).astype(np.uint64)
+        h[h == 0] = 1
+        entry = self._find(h)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            new, first = np.unique(h[missing], return_index=True)
+            if self.n + len(new) > self.capacity:  # one text beyond the table
+                return self._raw([t.decode("latin-1") for t in texts])
+            spots = missing[first]
+            self._add(new, self._learn([whole[a:b].decode("latin-1") for a, b in zip(starts[spots].tolist(), ends[spots].tolist(), strict=True)]))
+            entry[missing] = self._find(h[missing])
+        size = self.size[entry]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(self.at[entry] - upto[:-1], size) + np.arange(upto[-1])]
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        cut = upto[np.searchsorted(starts, text_ends)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *cut], cut, strict=False)]
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
@@ -102,7 +192,7 @@ def pieces(docs: DataFrame, text: str = "text", capacity: int = CAPACITY, with_i
     """One row per piece: the columns of ``docs`` but ``text``, then ``piece`` (from 0),
     ``start``, ``length``, ``ids_crc32`` and, on request, the token ``ids``."""
     kept = [c for c in docs.columns if c != text]
-    into = fresh(docs, "pieces")
+    into, rest = fresh(docs, "pieces"), docs.select(*kept)
     fields = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     if with_ids:
         fields.append(("ids", pa.list_(pa.int32())))
@@ -128,8 +218,8 @@ def pieces(docs: DataFrame, text: str = "text", capacity: int = CAPACITY, with_i
 
         return work
 
-    found = add_from_text(docs, [(into, _PIECE.format(",ids:array<int>" if with_ids else ""), kind)], make, text)
-    return found.select(*kept, F.explode(into).alias(into)).select(*kept, f"{into}.*")
+    found = add_from_text(docs, [(into, _PIECE.format(",ids:array<int>" if with_ids else ""), kind)], make, text, slice_bytes=_AT_ONCE)
+    return found.select(*kept, F.explode(into).alias(into)).select(*kept, *(F.col(into)[n].alias(fresh(rest, n)) for n, _ in fields))
 
 
 def pack(lengths: np.ndarray, capacity: int = CAPACITY, rounds: int = 40) -> np.ndarray:
@@ -222,10 +312,11 @@ def assign(parts: DataFrame, length: str = "length", order: tuple[str, ...] = ("
     """``parts`` plus ``sequence_id`` and ``offset``: its bin and its place there.
 
     ``parts`` is read twice (a count, then the packing), so store it before."""
+    ship(parts.sparkSession)
     n_groups = max(1, round(parts.count() / group))
-    key, seq, off = fresh(parts, "grp"), "sequence_id", "offset"
+    key, seq, off = (fresh(parts, c) for c in ("grp", "sequence_id", "offset"))
     dealt = parts.withColumn(key, F.pmod(F.xxhash64(*order, length), F.lit(n_groups)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema) + f", {seq} bigint, `{off}` bigint"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema) + f", `{seq}` bigint, `{off}` bigint"
 
     def work(keys: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([*order, length], kind="stable").reset_index(drop=True)
