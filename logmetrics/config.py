@@ -30,7 +30,7 @@ LOG_FIELDS = [
 LEVELS = ["DEBUG", "INFO", "WARN", "ERROR"]
 ERROR_LEVEL = "ERROR"
 
-# Web producer profile.
+# What the web producer writes.
 WEB_SERVICES = [
     "api-gateway",
     "auth-service",
@@ -39,9 +39,6 @@ WEB_SERVICES = [
     "order-service",
     "notification-service",
 ]
-WEB_LEVEL_WEIGHTS = [5, 70, 20, 5]
-WEB_STATUS_CODES = [200, 201, 204, 400, 401, 403, 404, 500, 502, 503]
-WEB_STATUS_WEIGHTS = [50, 10, 5, 10, 5, 3, 7, 5, 3, 2]
 WEB_METHODS = ["GET", "POST", "PUT", "DELETE", "PATCH"]
 WEB_PATHS = [
     "/api/v1/users",
@@ -56,18 +53,6 @@ WEB_PATHS = [
 ]
 WEB_MESSAGE = "Load test log"
 
-# Level-correlated producer profile (level chosen by task weight, status by level).
-CORRELATED_SERVICES = ["api-gateway", "auth-service", "user-service", "payment-service", "order-service"]
-CORRELATED_LEVELS = ["INFO", "WARN", "ERROR"]
-CORRELATED_LEVEL_WEIGHTS = [10, 3, 1]
-CORRELATED_STATUS = {"ERROR": [500, 502, 503], "WARN": [400, 401, 404], "INFO": [200, 201, 204]}
-CORRELATED_METHODS = ["GET", "POST", "PUT", "DELETE"]
-CORRELATED_PATHS = ["users", "orders", "products"]
-CORRELATED_MESSAGE_PREFIX = "Test log message - "
-
-# Response time drawn uniformly from this closed range (ms).
-RESPONSE_TIME_RANGE = (5, 500)
-
 # Histogram bucket upper bounds (the +Inf bucket is implicit).
 SIZE_BUCKETS = [100.0, 200.0, 500.0, 1000.0, 2000.0, 5000.0]
 LATENCY_BUCKETS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]
@@ -87,7 +72,7 @@ PERCENTILES = [("p50", 0.5), ("p95", 0.95), ("p99", 0.99)]
 
 # Source defaults of the streaming job.
 DEFAULT_TOPIC = "application-logs"
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 10000
+ORIGINAL_SOURCE = {"fail_on_data_loss": False, "max_offsets_per_trigger": 10000}
 DEFAULT_TRIGGER = "1 second"
 DEFAULT_QUERY_NAME = "unified_metrics"
 

@@ -25,8 +25,9 @@ _UNITS = {
 
 # Wire format of the log ``timestamp`` field (UTC, microseconds, literal Z).
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-# Parse pattern: the fraction is optional (Python's isoformat drops it at 0 us).
-ISO_PARSE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
+# Parse pattern: the fraction is optional (Python's isoformat drops it at 0 us), and the
+# zone is Z or an offset, so a string names one instant.
+ISO_PARSE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 
 
 def interval_micros(duration: str | int) -> int:
@@ -86,14 +87,22 @@ def iso_utc(col) -> Column:
     return F.date_format(_c(col), ISO_FORMAT)
 
 
+def parse_instant(col) -> Column:
+    """The log ``timestamp`` string as TIMESTAMP; NULL when unparseable.  The one parser of
+    batch and streaming jobs: bad input never raises, also under ANSI."""
+    return F.try_to_timestamp(_c(col), F.lit(ISO_PARSE_FORMAT))
+
+
 def parse_iso_utc(col) -> Column:
-    """Parse the log ``timestamp`` string to NTZ; NULL when unparseable (never raises)."""
-    return F.to_timestamp_ntz(_c(col), F.lit(ISO_PARSE_FORMAT))
+    """The log ``timestamp`` string as UTC wall clock (NTZ); NULL when unparseable."""
+    return from_epoch_micros(F.unix_micros(parse_instant(col)))
 
 
 def ntz_literal(value) -> Column:
     """A wall-clock NTZ literal from a datetime / date / 'YYYY-MM-DD HH:MM:SS' string
-    (no session time zone involved)."""
+    (no session time zone involved); a column stays as it is."""
+    if isinstance(value, Column):
+        return value
     if hasattr(value, "isoformat"):
         value = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
     return F.lit(str(value)).cast("timestamp_ntz")

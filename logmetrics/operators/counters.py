@@ -3,15 +3,14 @@
 
 * ``step_counts``: logs per (labels, step) - one partial aggregate over the raw logs,
   so the only shuffle of raw data carries per-task partial counts.
-* ``cumulative_samples`` / ``counter_samples``: the counter as a scrape would see it
-  at every step from the series' first step to the last step of the data
-  (dense grid, running sum in day blocks).
+* ``cumulative_samples`` / ``counter_samples``: the counter as a scrape sees it at every
+  step from the series' first step, or the evaluation start, to the evaluation end (by
+  default the last step of the data).  What lies before the start is one base count.
 * ``counter_range`` -> ``counter_increase`` / ``counter_rate``: for every evaluation
   time t on a step grid, the samples with t - range <= ts <= t (both ends included),
-  reset corrections, and the rate with edge extrapolation.  Each sample is fanned out
-  to the range/step evaluation times whose range holds it, then one aggregation per
-  (series, t) collects first/last/count - no per-series window frame, so a hot series
-  is spread over all tasks.
+  reset corrections, and the rate with edge extrapolation.  A series is cut into time
+  blocks padded by one range, so one sliding frame per block holds all that t needs, a
+  hot series is spread over all tasks, and a sample is copied only near a block's edge.
 * ``sum_rates`` / ``ratio_of_rates``: ``sum by (...)`` and the error-rate ratio.
 
 Series labels are non-null strings: a null label becomes '' (an empty label value is
@@ -22,13 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logmetrics.config import ERROR_LEVEL
-from logmetrics.functions.text import fixed_sum
-from logmetrics.functions.time import bucket_end, epoch_micros, from_epoch_micros, interval_micros
-from logmetrics.operators.blocks import BLOCK, blocked_lag, blocked_running_sum
+from logmetrics.functions.time import bucket_end, epoch_micros, from_epoch_micros, interval_micros, ntz_literal
+from logmetrics.operators.blocks import BLOCK
 from logmetrics.session import materialize
 
 
@@ -73,102 +71,172 @@ def grid_points(starts: DataFrame, keys: Sequence[str], end: Column, step: str,
     )
 
 
-def cumulative_samples(counts: DataFrame, keys: Sequence[str], step: str, value: str = "value",
-                       block: str = BLOCK) -> DataFrame:
-    """Dense cumulative series from per-step counts ``(labels, ts, n)``.
-
-    The counts (one row per series and active step, independent of log volume) are
-    stored once, so the raw logs behind them are scanned once although the plan reads
-    them three times (end of data, series starts, values); the dense samples are
-    stored too, since range functions read them several times."""
-    keys = list(keys)
-    counts = materialize(counts, "step-counts")
-    end = counts.agg(F.max("ts")).scalar()
+def _clip(df: DataFrame, start, end, ts: str = "ts") -> DataFrame:
+    """Rows up to ``end``; rows before ``start`` are moved to it, where they are the base
+    that a running sum starts from."""
+    if end is not None:
+        df = df.filter(F.col(ts) <= ntz_literal(end))
+    if start is not None:
+        df = df.withColumn(ts, F.greatest(F.col(ts), ntz_literal(start)))
+    return df
+
+
+def cumulative_samples(counts: DataFrame, keys: Sequence[str], step: str, values: Sequence[str] = ("n",),
+                       outs: Sequence[str] = ("value",), start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """Cumulative series at every step from per-step counts ``(labels, ts, values)``.
+
+    ``start`` and ``end`` (step-aligned) bound the evaluation.  The counts (one row per
+    series and active step, independent of log volume) are stored once, since end of
+    data, series starts, block totals and values all come from them.  Steps are made
+    block by block and summed within their block; a block starts from the sum of all
+    earlier ones."""
+    keys, values, outs = list(keys), list(values), list(outs)
+    counts = materialize(counts.select(*keys, "ts", *values), "step-counts")
+    counts = _clip(counts, start, end)
+    last = counts.agg(F.max("ts")).scalar() if end is None else ntz_literal(end)
     starts = counts.groupBy(*keys).agg(F.min("ts").alias("start"))
-    grid = grid_points(starts, keys, end, step, block).withColumn("n", F.lit(0).cast("long"))
-    dense = grid.unionByName(counts.select(*keys, "ts", "n")).groupBy(*keys, "ts").agg(F.sum("n").alias("n"))
-    out = blocked_running_sum(dense, keys, "ts", "n", "_cum", block)
-    return materialize(out.select(*keys, "ts", F.col("_cum").cast("double").alias(value)), "counter-samples")
-
-
-def counter_samples(logs: DataFrame, step: str, keys: Sequence[str] = ("service", "level"),
-                    time_col: str = "event_ts", block: str = BLOCK) -> DataFrame:
-    """``logs_produced_total{labels}`` as scraped at the end of every step:
-    (labels, ts, value = logs with event time before ts)."""
-    return cumulative_samples(step_counts(logs, step, keys, time_col), keys, step, block=block)
-
+    s_us, b_us = interval_micros(step), interval_micros(block)
+    b_us = max(s_us, b_us - b_us % s_us)
 
-def counter_range(samples: DataFrame, keys: Sequence[str], range_: str, step: str, value: str = "value",
-                  block: str = BLOCK) -> DataFrame:
-    """Per (labels, t): the statistics of the samples in [t - range, t] that the range
-    functions need: ``n, first_us, last_us, first_v, last_v, resets, t_us``.
+    def blk(us: Column) -> Column:
+        return us - F.pmod(us, F.lit(b_us))
 
-    ``t`` runs over the step grid up to the last sample time of the table.  The plan
-    reads ``samples`` three times; pass a stored table (``counter_samples`` returns one)."""
-    keys = list(keys)
-    r_us, s_us = interval_micros(range_), interval_micros(step)
-    t_max = epoch_micros(samples.agg(F.max("ts")).scalar())
-    d = blocked_lag(samples.select(*keys, "ts", F.col(value).alias("_v")), keys, "ts", "_v", "_prev", block)
-    corr = F.when(F.col("_prev").isNotNull() & (F.col("_v") < F.col("_prev")), F.col("_prev")).otherwise(F.lit(0.0))
     us = epoch_micros("ts")
-    lo = us + F.pmod(-us, F.lit(s_us))
-    hi = F.least(us + F.lit(r_us) - F.pmod(us + F.lit(r_us), F.lit(s_us)), t_max)
-    fan = (
-        d.select(*keys, us.alias("_us"), F.col("_v"), corr.alias("_c"), lo.alias("_lo"), hi.alias("_hi"))
-        .filter(F.col("_lo") <= F.col("_hi"))
-        .select(*keys, "_us", "_v", "_c", F.explode(F.sequence("_lo", "_hi", F.lit(s_us))).alias("t_us"))
-    )
-    return fan.groupBy(*keys, "t_us").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_us").alias("first_us"),
-        F.max("_us").alias("last_us"),
-        F.min_by("_v", "_us").alias("first_v"),
-        F.max_by("_v", "_us").alias("last_v"),
-        (F.sum("_c") - F.min_by("_c", "_us")).alias("resets"),
-    )
+    zeros = [F.lit(0).cast("long").alias(v) for v in values]
+    grid = grid_points(starts, keys, last, step, block)
+    steps = grid.select(*keys, us.alias("_us"), *zeros, F.lit(True).alias("_step"))
+    data = counts.select(*keys, us.alias("_us"), *values, F.lit(False).alias("_step"))
+    # One row per series and block, with the sum of all earlier blocks.
+    all_blocks = starts.select(*keys, F.explode(F.sequence(blk(epoch_micros("start")), blk(epoch_micros(last)), F.lit(b_us))).alias("_blk"), *zeros)
+    totals = all_blocks.unionByName(counts.select(*keys, blk(us).alias("_blk"), *values)).groupBy(*keys, "_blk").agg(*[F.sum(v).alias(v) for v in values])
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, (F.col("_blk") - 1).alias("_us"), *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(v) for v in values],
+                          F.lit(False).alias("_step"), "_blk")
+    rows = steps.unionByName(data).withColumn("_blk", blk(F.col("_us"))).unionByName(carry)
+    upto = Window.partitionBy(*keys, "_blk").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    sums = [F.sum(v).over(upto).cast("double").alias(o) for v, o in zip(values, outs, strict=True)]
+    return rows.select(*keys, "_us", "_step", *sums).filter("_step").select(*keys, from_epoch_micros(F.col("_us")).alias("ts"), *outs)
 
 
-def _increase() -> Column:
-    return F.col("last_v") - F.col("first_v") + F.col("resets")
+def counter_samples(logs: DataFrame, step: str, keys: Sequence[str] = ("service", "level"),
+                    time_col: str = "event_ts", start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """``logs_produced_total{labels}`` as scraped at the end of every step:
+    (labels, ts, value = logs with event time before ts)."""
+    return cumulative_samples(step_counts(logs, step, keys, time_col), keys, step, start=start, end=end, block=block)
+
+
+def counter_range(samples: DataFrame, keys: Sequence[str], range_: str, step: str, values: Sequence[str] = ("value",),
+                  start=None, end=None, on_grid: bool = False, block: str = BLOCK) -> DataFrame:
+    """Per (labels, t): what the range functions need of the samples in [t - range, t]:
+    ``t_us, n, first_us, last_us`` and per value column ``first_*, last_*, resets_*``.
+
+    ``t`` runs over the step grid from a series' first sample, or ``start``, to ``end``
+    (by default the last sample time of the table).  ``on_grid`` says that every t has
+    its own sample and that counters never drop, as ``counter_samples`` makes them.
+    Samples of a series with equal times count as one, the largest."""
+    keys, values = list(keys), list(values)
+    r_us, s_us, b_us = interval_micros(range_), interval_micros(step), interval_micros(block)
+    b_us = max(s_us, b_us - b_us % s_us)
+
+    def blk(us: Column) -> Column:
+        return us - F.pmod(us, F.lit(b_us))
+
+    d = samples
+    if end is not None:
+        d = d.filter(F.col("ts") <= ntz_literal(end))
+    if start is not None:
+        d = d.filter(F.col("ts") >= from_epoch_micros(epoch_micros(ntz_literal(start)) - F.lit(r_us)))
+    d = d.select(*keys, epoch_micros("ts").alias("_us"), *values)
+    if not on_grid:
+        d = d.groupBy(*keys, "_us").agg(*[F.max(v).alias(v) for v in values])
+    own = F.array_distinct(F.sequence(blk(F.col("_us")), blk(F.col("_us") + F.lit(r_us)), F.lit(b_us)))
+    rows = d.withColumn("_eval", F.lit(on_grid)).withColumn("_blk", F.explode(own))
+    if not on_grid:
+        starts = samples.groupBy(*keys).agg(F.min("ts").alias("_s"))
+        first = epoch_micros("_s") if start is None else F.greatest(epoch_micros("_s"), epoch_micros(ntz_literal(start)))
+        starts = starts.select(*keys, from_epoch_micros(first + F.pmod(-first, F.lit(s_us))).alias("start"))
+        last = samples.agg(F.max("ts")).scalar() if end is None else ntz_literal(end)
+        times = grid_points(starts, keys, last, step, block).select(*keys, epoch_micros("ts").alias("_us"))
+        nulls = [F.lit(None).cast(samples.schema[v].dataType).alias(v) for v in values]
+        rows = rows.unionByName(times.select(*keys, "_us", *nulls, F.lit(True).alias("_eval"), blk(F.col("_us")).alias("_blk")))
+    w = Window.partitionBy(*keys, "_blk").orderBy("_us")
+    frame = w.rangeBetween(-r_us, 0)
+    mine = F.col("_eval") & (blk(F.col("_us")) == F.col("_blk"))
+    if start is not None:
+        mine = mine & (F.col("_us") >= epoch_micros(ntz_literal(start)))
+    v0 = F.col(values[0])
+    at = F.when(v0.isNotNull(), F.col("_us"))
+    if on_grid:
+        out = rows.select(
+            *keys, "_us", "_blk", "_eval", F.count(F.lit(1)).over(frame).alias("n"), F.first("_us").over(frame).alias("first_us"), F.col("_us").alias("last_us"),
+            *[F.first(v).over(frame).alias(f"first_{v}") for v in values], *[F.col(v).alias(f"last_{v}") for v in values],
+            *[F.lit(0.0).alias(f"resets_{v}") for v in values],
+        )
+    else:
+        drops = []
+        for v in values:
+            prev = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+            drops.append(F.when(F.col(v).isNotNull(), F.when(F.col(v) < prev, prev).otherwise(F.lit(0.0))).alias(f"_c_{v}"))
+        rows = rows.select("*", *drops)
+        out = rows.select(
+            *keys, "_us", "_blk", "_eval", F.count(v0).over(frame).alias("n"), F.min(at).over(frame).alias("first_us"), F.max(at).over(frame).alias("last_us"),
+            *[F.first(v, ignorenulls=True).over(frame).alias(f"first_{v}") for v in values],
+            *[F.last(v, ignorenulls=True).over(frame).alias(f"last_{v}") for v in values],
+            *[(F.sum(f"_c_{v}").over(frame) - F.first(f"_c_{v}", ignorenulls=True).over(frame)).alias(f"resets_{v}") for v in values],
+        )
+    return out.filter(mine).withColumnRenamed("_us", "t_us").drop("_blk", "_eval")
+
+
+def _increase(value: str = "value") -> Column:
+    return F.col(f"last_{value}") - F.col(f"first_{value}") + F.col(f"resets_{value}")
 
 
 def counter_increase(samples: DataFrame, keys: Sequence[str], range_: str, step: str, value: str = "value",
-                     block: str = BLOCK) -> DataFrame:
+                     start=None, end=None, on_grid: bool = False, block: str = BLOCK) -> DataFrame:
     """Reset-aware increase inside each range (last - first + the value before each
     drop), without extrapolation; needs two samples in the range."""
-    st = counter_range(samples, keys, range_, step, value, block).filter(F.col("n") >= 2)
-    return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), "n", _increase().alias("increase"))
+    st = counter_range(samples, keys, range_, step, [value], start, end, on_grid, block).filter(F.col("n") >= 2)
+    return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), "n", _increase(value).alias("increase"))
 
 
-def extrapolated(range_: str, per_second: bool) -> Column:
+def extrapolated(range_: str, per_second: bool, value: str = "value") -> Column:
     """Range-function result with edge extrapolation, from ``counter_range`` columns."""
     r_us = interval_micros(range_)
     e6 = F.lit(1e6)
-    inc = _increase()
+    inc, first = _increase(value), F.col(f"first_{value}")
     si = (F.col("last_us") - F.col("first_us")) / e6
-    avg = si / (F.col("n") - F.lit(1))
+    avg = F.try_divide(si, F.col("n") - F.lit(1))
     d_start = (F.col("first_us") - (F.col("t_us") - F.lit(r_us))) / e6
     d_end = (F.col("t_us") - F.col("last_us")) / e6
-    to_zero = si * (F.col("first_v") / inc)
-    d_start = F.when((inc > 0) & (F.col("first_v") >= 0) & (to_zero < d_start), to_zero).otherwise(d_start)
+    to_zero = si * F.try_divide(first, inc)
+    d_start = F.when((inc > 0) & (first >= 0) & (to_zero < d_start), to_zero).otherwise(d_start)
     thr = avg * F.lit(1.1)
     half = avg / F.lit(2.0)
     ext = si + F.when(d_start < thr, d_start).otherwise(half) + F.when(d_end < thr, d_end).otherwise(half)
-    out = inc * (ext / si)
+    out = inc * F.try_divide(ext, si)
     return out / F.lit(r_us / 1e6) if per_second else out
 
 
 def counter_rate(samples: DataFrame, keys: Sequence[str], range_: str, step: str, value: str = "value",
-                 block: str = BLOCK) -> DataFrame:
+                 start=None, end=None, on_grid: bool = False, block: str = BLOCK) -> DataFrame:
     """Per-second rate of a counter over ``range_`` at every ``step`` (needs two samples
     in the range; otherwise the series has no value at t)."""
-    st = counter_range(samples, keys, range_, step, value, block).filter(F.col("n") >= 2)
-    return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), extrapolated(range_, True).alias("rate"))
+    st = counter_range(samples, keys, range_, step, [value], start, end, on_grid, block).filter(F.col("n") >= 2)
+    return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), extrapolated(range_, True, value).alias("rate"))
+
+
+def log_rates(logs: DataFrame, range_: str, step: str, keys: Sequence[str] = ("service", "level"), time_col: str = "event_ts",
+              start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """``rate(logs_produced_total[range])`` straight from raw logs, at every step from
+    ``start`` to ``end``; samples are made from one range before the start on."""
+    early = None if start is None else F.timestamp_add("MICROSECOND", F.lit(-interval_micros(range_)), ntz_literal(start))
+    samples = counter_samples(logs, step, keys, time_col, early, end, block)
+    return counter_rate(samples, keys, range_, step, start=start, end=end, on_grid=True, block=block)
 
 
 def sum_rates(rates: DataFrame, by: Sequence[str] = (), value: str = "rate", out: str = "value") -> DataFrame:
-    """``sum by (by) (rate(...))`` per evaluation time (order-independent sum)."""
-    return rates.groupBy("ts", *by).agg(fixed_sum(F.col(value)).alias(out))
+    """``sum by (by) (rate(...))`` per evaluation time ."""
+    return rates.groupBy("ts", *by).agg(F.sum(value).alias(out))
 
 
 def ratio_of_rates(rates: DataFrame, level_col: str = "level", level: str = ERROR_LEVEL,
@@ -177,9 +245,9 @@ def ratio_of_rates(rates: DataFrame, level_col: str = "level", level: str = ERRO
     series of level L exists (the numerator is empty); NULL where the total is 0."""
     sel = F.col(level_col) == F.lit(level)
     agg = rates.groupBy("ts").agg(
-        fixed_sum(F.when(sel, F.col(value))).alias("_num"),
+        F.sum(F.when(sel, F.col(value))).alias("_num"),
         F.count(F.when(sel, F.lit(1))).alias("_k"),
-        fixed_sum(F.col(value)).alias("_den"),
+        F.sum(value).alias("_den"),
     )
     return agg.filter(F.col("_k") > 0).select("ts", (F.try_divide(F.col("_num"), F.col("_den")) * F.lit(100.0)).alias(out))
 

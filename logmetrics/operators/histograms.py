@@ -18,9 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logmetrics.functions.time import bucket_end
+from logmetrics.functions.time import bucket_end, from_epoch_micros, interval_micros, ntz_literal
 from logmetrics.operators.blocks import BLOCK
-from logmetrics.operators.counters import counter_rate, cumulative_samples, label_cols
+from logmetrics.operators.counters import counter_range, cumulative_samples, extrapolated, label_cols
 
 INF = float("inf")
 
@@ -31,16 +31,16 @@ def _bucket_counts(value: Column, bounds: Sequence[float]) -> list[Column]:
     ]
 
 
-def _unpivot(df: DataFrame, keys: Sequence[str], bounds: Sequence[float], out: str) -> DataFrame:
-    les = [*map(float, bounds), INF]
-    pairs = F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"_b{i}").alias(out)) for i, le in enumerate(les)])
-    return df.select(*keys, F.inline(pairs))
-
+def histogram(df: DataFrame, value: Column, bounds: Sequence[float], keys: Sequence[str] = (), scale: float | None = None) -> DataFrame:
+    """(keys, le, bucket_count, sum_value, count_value); ``le`` = +Infinity for the last.
 
-def histogram(df: DataFrame, value: Column, bounds: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, le, bucket_count, sum_value, count_value); ``le`` = +Infinity for the last."""
+    With ``scale``, ``value`` counts whole units (such as milliseconds) of which ``scale``
+    make one unit of the bounds: the sum is taken over whole numbers and divided once,
+    so it doesn't depend on the order of merging."""
     keys = list(keys)
-    agg = df.groupBy(*keys).agg(*_bucket_counts(value, bounds), F.sum(value).alias("sum_value"),
+    scaled = value if scale is None else value / F.lit(float(scale))
+    total = F.sum(value) if scale is None else F.sum(value) / F.lit(float(scale))
+    agg = df.groupBy(*keys).agg(*_bucket_counts(scaled, bounds), total.alias("sum_value"),
                                 F.count(value).alias("count_value"))
     les = [*map(float, bounds), INF]
     pairs = F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"_b{i}").alias("bucket_count")) for i, le in
@@ -49,14 +49,15 @@ def histogram(df: DataFrame, value: Column, bounds: Sequence[float], keys: Seque
 
 
 def histogram_samples(df: DataFrame, value: Column, bounds: Sequence[float], step: str, keys: Sequence[str] = (),
-                      time_col: str = "event_ts", block: str = BLOCK) -> DataFrame:
-    """Bucket counters scraped at every step: (keys, le, ts, value)."""
+                      time_col: str = "event_ts", start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """Bucket counters scraped at every step, one column per bucket: (keys, ts, b0, b1, ..).
+    All buckets of a series start and are scraped together, so they are one row."""
     keys = list(keys)
     per_step = df.filter(F.col(time_col).isNotNull()).groupBy(
         *label_cols(keys), bucket_end(time_col, step).alias("ts")
     ).agg(*_bucket_counts(value, bounds))
-    counts = _unpivot(per_step, [*keys, "ts"], bounds, "n")
-    return cumulative_samples(counts, [*keys, "le"], step, block=block)
+    n = len(bounds) + 1
+    return cumulative_samples(per_step, keys, step, [f"_b{i}" for i in range(n)], [f"b{i}" for i in range(n)], start, end, block)
 
 
 def quantile_from_buckets(df: DataFrame, q: float, buckets: str, out: str) -> DataFrame:
@@ -106,10 +107,15 @@ def histogram_quantile(q: float, bucket_rates: DataFrame, keys: Sequence[str], v
 
 
 def latency_quantile_ms(df: DataFrame, q: float, step: str, range_: str, keys: Sequence[str], bounds: Sequence[float],
-                        latency_ms: str = "response_time_ms", block: str = BLOCK) -> DataFrame:
-    """``histogram_quantile(q, rate(latency_seconds_bucket[range])) * 1000`` from raw logs."""
+                        latency_ms: str = "response_time_ms", start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """``histogram_quantile(q, rate(latency_seconds_bucket[range])) * 1000`` from raw logs,
+    at every step from ``start`` to ``end``."""
     seconds = F.col(latency_ms) / F.lit(1000.0)
-    samples = histogram_samples(df, seconds, bounds, step, keys, block=block)
-    rates = counter_rate(samples, [*keys, "le"], range_, step, block=block)
-    qs = histogram_quantile(q, rates, keys, out="_q")
+    early = None if start is None else F.timestamp_add("MICROSECOND", F.lit(-interval_micros(range_)), ntz_literal(start))
+    samples = histogram_samples(df, seconds, bounds, step, keys, start=early, end=end, block=block)
+    names = [f"b{i}" for i in range(len(bounds) + 1)]
+    st = counter_range(samples, keys, range_, step, names, start, end, True, block).filter(F.col("n") >= 2)
+    pairs = F.array(*[F.struct(F.lit(le).alias("le"), extrapolated(range_, True, b).alias("v")) for le, b in zip([*map(float, bounds), INF], names, strict=True)])
+    rates = st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), pairs.alias("_bk"))
+    qs = quantile_from_buckets(rates, q, "_bk", "_q")
     return qs.select(*keys, "ts", (F.col("_q") * F.lit(1000.0)).alias("value_ms"))

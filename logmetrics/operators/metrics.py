@@ -32,15 +32,15 @@ def is_error(level_col: str = "level") -> Column:
 
 
 def percentile_columns(col: str = LATENCY, accuracy: int = DEFAULT_ACCURACY, exact: bool = False,
-                       prefix: str = "") -> list[Column]:
+                       prefix: str = "", kind: str = "int") -> list[Column]:
     """p50 / p95 / p99 of ``col``.
 
     Approximate: one ``percentile_approx`` call with an array of ranks (one sketch for
     the three values).  Exact: ``percentile_disc`` (a value-count map per group,
-    partial-aggregated), cast back to the column's integer type."""
+    partial-aggregated), in the column's own type (``kind``, INT for latencies)."""
     if exact:
         return [
-            F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{col}`)").cast("int").alias(prefix + name)
+            F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{col}`)").cast(kind).alias(prefix + name)
             for name, q in PERCENTILES
         ]
     arr = F.percentile_approx(F.col(col), [q for _, q in PERCENTILES], accuracy)
@@ -76,16 +76,6 @@ def error_rate(logs: DataFrame, keys: Sequence[str] = ("service",)) -> DataFrame
     )
 
 
-def rollup_error_rate(metrics: DataFrame, keys: Sequence[str] = ("service",)) -> DataFrame:
-    """Error rate rolled up from a (service, level) aggregate instead of raw logs."""
-    return (
-        metrics.groupBy(*keys)
-        .agg(F.sum("log_count").alias("total"), F.sum("error_count").alias("errors"))
-        .withColumn("error_rate", F.try_divide(F.col("errors").cast("double"), F.col("total")) * F.lit(100.0))
-        .filter(F.col("error_rate").isNotNull())
-    )
-
-
 def latency_percentiles(logs: DataFrame, keys: Sequence[str] = ("service",), accuracy: int = DEFAULT_ACCURACY,
                         exact: bool = False) -> DataFrame:
     """Latency percentiles per service over all of its levels.
@@ -103,37 +93,52 @@ def latency_percentiles(logs: DataFrame, keys: Sequence[str] = ("service",), acc
     )
 
 
-def metric_samples(logs: DataFrame, accuracy: int = DEFAULT_ACCURACY, by: Sequence[str] = ()) -> DataFrame:
+def _rank_value(pairs: Column, total: Column, q: float) -> Column:
+    """Least value of sorted (v, n) pairs whose running count reaches ``q * total``."""
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("v"))
+
+    def step(acc, x):
+        seen = acc["seen"] + x["n"]
+        hit = acc["v"].isNull() & (seen >= F.lit(q) * total)
+        return F.struct(seen.alias("seen"), F.when(hit, x["v"]).otherwise(acc["v"]).alias("v"))
+
+    return F.aggregate(pairs, start, step, lambda acc: acc["v"])
+
+
+def metric_samples(logs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The three gauges of one batch in long form:
     ``(*by, metric, service, level, percentile, value DOUBLE)``; ``by`` adds keys such as
     ``batch_id`` to compute many batches at once.
 
-    One scan and one aggregation: GROUPING SETS ((service, level), (service)) give the
-    per-level counts and, on the service rows, the error totals and all-level
-    percentiles.  The expansion happens before the partial aggregate, so the shuffle
-    carries partial buffers only."""
+    Raw logs are aggregated once, to counts per (service, level, latency); latencies are
+    whole milliseconds, so that table is small and percentiles from it are exact.  A
+    second, small aggregation per service holds its levels' counts and its latencies'."""
     by = list(by)
-    agg = logs.groupingSets([[*by, "service", "level"], [*by, "service"]], *by, "service", "level").agg(
-        F.grouping_id().alias("gid"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(is_error()).alias("errors"),
-        *percentile_columns(LATENCY, accuracy),
+    counts = logs.groupBy(*by, "service", "level", LATENCY).agg(F.count(F.lit(1)).alias("n"))
+    per_service = counts.groupBy(*by, "service").agg(
+        F.sum("n").alias("total"),
+        F.coalesce(F.sum(F.when(is_error(), F.col("n"))), F.lit(0)).alias("errors"),
+        F.collect_list(F.struct("level", "n")).alias("levels"),
+        F.array_sort(F.collect_list(F.when(F.col(LATENCY).isNotNull(), F.struct(F.col(LATENCY).alias("v"), F.col("n").alias("n"))))).alias("pairs"),
     )
-    svc = F.col("gid") == 1
+    timed = F.aggregate("pairs", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    per_service = per_service.withColumn("timed", timed)
     null_s = F.lit(None).cast("string")
 
-    def sample(cond: Column, metric: str, level: Column, pct: Column, value: Column) -> Column:
-        return F.when(cond, F.struct(F.lit(metric).alias("metric"), F.col("service").alias("service"),
-                                     level.alias("level"), pct.alias("percentile"),
-                                     value.cast("double").alias("value")))
-
-    rate = F.try_divide(F.col("errors").cast("double"), F.col("n")) * F.lit(100.0)
-    has_p50 = svc & F.col("p50").isNotNull()
-    samples = F.array(
-        sample(F.col("gid") == 0, METRIC_LOGS_PER_BATCH, F.col("level"), null_s, F.col("n")),
-        sample(svc & rate.isNotNull(), METRIC_ERROR_RATE, null_s, null_s, rate),
-        sample(has_p50, METRIC_LATENCY, null_s, F.lit("p50"), F.col("p50")),
-        sample(has_p50, METRIC_LATENCY, null_s, F.lit("p95"), F.coalesce(F.col("p95"), F.lit(0))),
-        sample(has_p50, METRIC_LATENCY, null_s, F.lit("p99"), F.coalesce(F.col("p99"), F.lit(0))),
+    def sample(metric: str, level: Column, pct: Column, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), level.alias("level"), pct.alias("percentile"), value.cast("double").alias("value"))
+
+    names = F.array_distinct(F.transform("levels", lambda x: x["level"]))
+    of_level = F.transform(
+        names,
+        lambda lv: sample(
+            METRIC_LOGS_PER_BATCH, lv, null_s,
+            F.aggregate("levels", F.lit(0).cast("long"), lambda a, x: a + F.when(x["level"].eqNullSafe(lv), x["n"]).otherwise(F.lit(0))),
+        ),
+    )
+    rate = F.array(sample(METRIC_ERROR_RATE, null_s, null_s, F.col("errors").cast("double") / F.col("total") * F.lit(100.0)))
+    ranks = F.array(*[sample(METRIC_LATENCY, null_s, F.lit(name), _rank_value(F.col("pairs"), F.col("timed"), q)) for name, q in PERCENTILES])
+    out = per_service.select(
+        *by, "service", F.explode(F.concat(of_level, rate, F.when(F.col("timed") > 0, ranks).otherwise(F.slice(ranks, 1, 0)))).alias("s")
     )
-    return agg.select(*by, F.inline(F.filter(samples, lambda s: s.isNotNull())))
+    return out.select(*by, "s.metric", "service", "s.level", "s.percentile", "s.value")

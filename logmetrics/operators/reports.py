@@ -14,13 +14,13 @@ STATUS_CLASSES = (2, 3, 4, 5)
 
 
 def daily_report(logs: DataFrame, keys: Sequence[str] = ("service", "level"), time_col: str = "event_ts",
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
     status_class = F.floor(F.col("http_status") / F.lit(100))
     agg = logs.groupBy(F.to_date(F.col(time_col)).alias("date"), *keys).agg(
         F.count(F.lit(1)).alias("log_count"),
         F.count_if(is_error()).alias("error_count"),
         F.avg("response_time_ms").alias("avg_latency"),
-        *percentile_columns("response_time_ms", accuracy),
+        *percentile_columns("response_time_ms", accuracy, exact),
         *[F.count_if(status_class == F.lit(k)).alias(f"status_{k}xx") for k in STATUS_CLASSES],
     )
     return agg.withColumn(

@@ -27,9 +27,9 @@ def _flat(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFr
 
 
 def windowed_metrics(logs: DataFrame, duration: str, keys: Sequence[str] = ("service", "level"),
-                     time_col: str = "event_ts", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     time_col: str = "event_ts", accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
     """Per tumbling window and (service, level): the per-batch measures."""
-    agg = logs.groupBy(F.window(time_col, duration).alias("window"), *keys).agg(*log_measures(accuracy))
+    agg = logs.groupBy(F.window(time_col, duration).alias("window"), *keys).agg(*log_measures(accuracy, exact))
     return _flat(agg, keys, ["log_count", "avg_latency", "p50", "p95", "p99", "error_count"])
 
 
@@ -74,9 +74,10 @@ def _instant_micros(df: DataFrame, col: str):
     return epoch_micros(col)
 
 
-def ingest_delay(parsed: DataFrame, keys: Sequence[str] = ("service",), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Delay from the log's own timestamp to its arrival on the topic, in ms:
-    samples, mean, p50 / p95 / p99 and max per service.
+def ingest_delay(parsed: DataFrame, keys: Sequence[str] = ("service",), accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
+    """Delay from the log's own timestamp to its arrival on the topic, in ms: samples,
+    mean, p50 / p95 / p99 and max per service, and ``unparsed``, the rows whose
+    timestamp (or arrival) is missing or unreadable and so have no delay.
 
     Aggregates integer microseconds and scales at the end, so sums are exact and the
     result does not depend on the order partial aggregates are merged in."""
@@ -84,15 +85,16 @@ def ingest_delay(parsed: DataFrame, keys: Sequence[str] = ("service",), accuracy
     delay_us = _instant_micros(parsed, "kafka_timestamp") - event_us
     d = parsed.select(*keys, delay_us.alias("delay_us"))
     ms = F.lit(1000.0)
-    pcts = percentile_columns("delay_us", accuracy, prefix="delay_")
+    pcts = percentile_columns("delay_us", accuracy, exact, prefix="delay_", kind="bigint")
     agg = d.groupBy(*keys).agg(
         F.count("delay_us").alias("samples"),
+        F.count_if(F.col("delay_us").isNull()).alias("unparsed"),
         F.avg("delay_us").alias("avg_us"),
         *pcts,
         F.max("delay_us").alias("max_us"),
     )
     return agg.select(
-        *keys, "samples", (F.col("avg_us") / ms).alias("avg_delay_ms"),
+        *keys, "samples", "unparsed", (F.col("avg_us") / ms).alias("avg_delay_ms"),
         *[(F.col(f"delay_{n}") / ms).alias(f"delay_{n}_ms") for n in ("p50", "p95", "p99")],
         (F.col("max_us") / ms).alias("max_delay_ms"),
     )

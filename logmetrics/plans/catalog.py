@@ -1,8 +1,10 @@
 """The registry of named queries: ``name -> f(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables (``events`` through the fixture ``logs`` view)
-over their whole extent; parameters below are fixed per query.  The fixture's events
-are sparse (about 4 per minute at most), so time-series queries use hour steps.
+over their whole extent, with the dashboard's own parameters: 15 s scrapes, 1 m and 5 m
+ranges, 5 m look-back, 1 s micro-batches.  Queries whose result a sum of doubles in some
+order decides are rounded to 9 significant digits at the very end (``significant``);
+the operators behind them are not.  Percentiles are exact.
 """
 
 from __future__ import annotations
@@ -12,8 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.config import LOG_COLUMNS
-from logmetrics.functions.text import payload_bytes
+from logmetrics.config import DASHBOARD_RANGE, DEFAULT_LOOKBACK, DEFAULT_TRIGGER, LOG_COLUMNS, SCRAPE_INTERVAL
+from logmetrics.functions.text import payload_bytes, significant
+from logmetrics.functions.time import bucket_end
 from logmetrics.operators import metrics as M
 from logmetrics.sources.codec import parse_logs, wire_records
 from logmetrics.sources.fixtures import load_logs
@@ -62,17 +65,22 @@ def q_encode_logs(spark, sf_dir):
 
 @register("batch_metrics")
 def q_batch_metrics(spark, sf_dir):
-    return M.batch_metrics(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]))
+    return M.batch_metrics(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]), exact=True)
 
 
 @register("error_rate")
 def q_error_rate(spark, sf_dir):
-    return M.error_rate(parsed_logs(spark, sf_dir, columns=["service", "level"]))
+    return M.error_rate(load_logs(spark, sf_dir))
+
+
+@register("error_count")
+def q_error_count(spark, sf_dir):
+    return load_logs(spark, sf_dir).groupBy("service", "level").agg(F.count_if(M.is_error()).alias("error_count"))
 
 
 @register("latency_percentiles")
 def q_latency_percentiles(spark, sf_dir):
-    return M.latency_percentiles(parsed_logs(spark, sf_dir, columns=["service", "response_time_ms"]))
+    return M.latency_percentiles(load_logs(spark, sf_dir), exact=True)
 
 
 @register("percentiles_exact")
@@ -83,7 +91,7 @@ def q_percentiles_exact(spark, sf_dir):
 
 @register("metric_samples")
 def q_metric_samples(spark, sf_dir):
-    return M.metric_samples(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]))
+    return M.metric_samples(load_logs(spark, sf_dir))
 
 
 # --- event-time windows, anomalies, delay, daily report, bands ---------------------
@@ -99,12 +107,12 @@ ANOMALY_WINDOW = "1 hour"
 
 @register("window_1m")
 def q_window_1m(spark, sf_dir):
-    return W.windowed_metrics(load_logs(spark, sf_dir), "1 minute")
+    return W.windowed_metrics(load_logs(spark, sf_dir), "1 minute", exact=True)
 
 
 @register("window_5m")
 def q_window_5m(spark, sf_dir):
-    return W.windowed_metrics(load_logs(spark, sf_dir), "5 minutes")
+    return W.windowed_metrics(load_logs(spark, sf_dir), "5 minutes", exact=True)
 
 
 @register("errors_5s")
@@ -119,21 +127,40 @@ def q_error_anomalies(spark, sf_dir):
 
 @register("ingest_delay")
 def q_ingest_delay(spark, sf_dir):
-    return W.ingest_delay(parsed_logs(spark, sf_dir, columns=["timestamp", "service"]))
+    """Some records carry a timestamp that can't be read, some one without a fraction or
+    with an offset; the first kind is counted, the others are read."""
+    e = F.col("event_id")
+    stamp = (
+        F.when(e % 97 == 1, F.lit("bad"))
+        .when(e % 97 == 2, F.lit(None).cast("string"))
+        .when(e % 97 == 3, F.concat(F.substring("timestamp", 1, 19), F.lit("Z")))
+        .when(e % 97 == 4, F.regexp_replace("timestamp", "Z$", "+07:00"))
+        .otherwise(F.col("timestamp"))
+    )
+    wire = wire_records(load_logs(spark, sf_dir).withColumn("timestamp", stamp))
+    return W.ingest_delay(parse_logs(wire, columns=["timestamp", "service"]), exact=True)
+
+
+@register("unwindowed_rows")
+def q_unwindowed_rows(spark, sf_dir):
+    """Records that no event-time window can hold, per service."""
+    bad = F.when(F.col("event_id") % 89 == 0, F.lit("2024-13-01T00:00:00Z")).otherwise(F.col("timestamp"))
+    wire = wire_records(load_logs(spark, sf_dir).withColumn("timestamp", bad))
+    return W.unwindowed_rows(W.with_event_time(parse_logs(wire, columns=["timestamp", "service"])))
 
 
 @register("daily_report")
 def q_daily_report(spark, sf_dir):
-    return R.daily_report(load_logs(spark, sf_dir))
+    return R.daily_report(load_logs(spark, sf_dir), exact=True)
 
 
 @register("threshold_band")
 def q_threshold_band(spark, sf_dir):
-    """Error rate (%) and p95 latency per service with their dashboard bands, from one
-    aggregation over the logs."""
+    """Error rate (%) and p95 latency per service, and peak logs per second over all, with
+    their dashboard bands."""
     agg = load_logs(spark, sf_dir).groupBy("service").agg(
         (F.try_divide(F.count_if(M.is_error()).cast("double"), F.count(F.lit(1))) * F.lit(100.0)).alias("err"),
-        *M.percentile_columns("response_time_ms"),
+        *M.percentile_columns("response_time_ms", exact=True),
     )
     rows = F.array(
         F.struct(F.lit("error_rate_pct").alias("panel"), F.col("err").alias("value"),
@@ -142,63 +169,65 @@ def q_threshold_band(spark, sf_dir):
             F.lit("latency_ms").alias("panel"), F.col("p95").cast("double").alias("value"),
             B.band(F.col("p95").cast("double"), B.THRESHOLDS["latency_ms"]).alias("band"))),
     )
-    return agg.select("service", F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    per_service = agg.select("service", F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    per_second = load_logs(spark, sf_dir).groupBy(F.window("event_ts", "1 second")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    peak = per_second.agg(F.max("n").alias("value")).select(F.lit(None).cast("string").alias("service"), F.lit("logs_per_second").alias("panel"), "value")
+    return per_service.unionByName(B.threshold_band(peak, "value", "logs_per_second"))
 
 
 # --- counters, rates, sums over series ---------------------------------------------
 
 from logmetrics.operators import counters as C  # noqa: E402
 
-# The fixture has at most a few events per minute, so the scrape step is an hour and
-# the dashboard's [1m] / [5m] ranges keep their sample counts (5 and 21 samples at a
-# 15 s scrape) as 4 h and 20 h at a 1 h step.
-COUNTER_STEP = "1 hour"
-SHORT_RANGE = "4 hours"
-LONG_RANGE = "20 hours"
+SHORT_RANGE, LONG_RANGE = "1 minute", "5 minutes"
 SERIES = ("service", "level")
 
 
-def fixture_counter(spark, sf_dir):
-    return C.counter_samples(load_logs(spark, sf_dir), COUNTER_STEP, SERIES)
+def fixture_counter(spark, sf_dir, keys):
+    return C.counter_samples(load_logs(spark, sf_dir), SCRAPE_INTERVAL, keys)
+
 
+def fixture_rates(spark, sf_dir, range_, keys=SERIES):
+    return C.log_rates(load_logs(spark, sf_dir), range_, SCRAPE_INTERVAL, keys)
 
-def fixture_rates(spark, sf_dir, range_):
-    return C.counter_rate(fixture_counter(spark, sf_dir), SERIES, range_, COUNTER_STEP)
+
+def rounded(df, *cols):
+    return df.withColumns({c: significant(F.col(c)) for c in cols})
 
 
 @register("counter_samples")
 def q_counter_samples(spark, sf_dir):
-    return fixture_counter(spark, sf_dir)
+    return fixture_counter(spark, sf_dir, ["service"])
 
 
 @register("counter_increase")
 def q_counter_increase(spark, sf_dir):
-    return C.counter_increase(fixture_counter(spark, sf_dir), SERIES, SHORT_RANGE, COUNTER_STEP)
+    return C.counter_increase(fixture_counter(spark, sf_dir, ["level"]), ["level"], SHORT_RANGE, SCRAPE_INTERVAL, on_grid=True)
 
 
 @register("counter_rate")
 def q_counter_rate(spark, sf_dir):
-    return fixture_rates(spark, sf_dir, SHORT_RANGE)
+    return fixture_rates(spark, sf_dir, SHORT_RANGE, ["service"])
 
 
 @register("logs_per_second")
 def q_logs_per_second(spark, sf_dir):
-    return C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE))
+    return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE)), "value")
 
 
 @register("rate_by_service")
 def q_rate_by_service(spark, sf_dir):
-    return C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["service"])
+    return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["service"]), "value")
 
 
 @register("rate_by_level")
 def q_rate_by_level(spark, sf_dir):
-    return C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["level"])
+    return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["level"]), "value")
 
 
 @register("error_rate_5m")
 def q_error_rate_5m(spark, sf_dir):
-    return C.ratio_of_rates(fixture_rates(spark, sf_dir, LONG_RANGE))
+    return rounded(C.ratio_of_rates(fixture_rates(spark, sf_dir, LONG_RANGE)), "value")
 
 
 @register("event_rate_1m")
@@ -211,16 +240,22 @@ def q_event_rate_5m(spark, sf_dir):
     return C.event_rate(load_logs(spark, sf_dir), "5 minutes", "1 minute", keys=["level"])
 
 
+def counter_totals(spark, sf_dir):
+    """The counter's last value per series: a counter at the end of the data is the number
+    of its logs, so no series of samples is needed."""
+    steps = C.step_counts(load_logs(spark, sf_dir), SCRAPE_INTERVAL, SERIES)
+    return steps.groupBy(*SERIES).agg(F.sum("n").cast("double").alias("value")), steps
+
+
 @register("last_value_gauge")
 def q_last_value_gauge(spark, sf_dir):
-    s = fixture_counter(spark, sf_dir)
-    return s.groupBy(*SERIES).agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
+    totals, steps = counter_totals(spark, sf_dir)
+    return totals.select(*SERIES, steps.agg(F.max("ts")).scalar().alias("ts"), "value")
 
 
 @register("total_logs")
 def q_total_logs(spark, sf_dir):
-    s = fixture_counter(spark, sf_dir)
-    return s.groupBy(*SERIES).agg(F.max_by("value", "ts").alias("v")).agg(F.sum("v").alias("total_logs"))
+    return counter_totals(spark, sf_dir)[0].agg(F.sum("value").alias("total_logs"))
 
 
 # --- metrics history and the dashboard's gauge series ------------------------------
@@ -229,21 +264,13 @@ from logmetrics.config import METRIC_LATENCY, METRIC_LOGS_PER_BATCH  # noqa: E40
 from logmetrics.operators import series as S  # noqa: E402
 from logmetrics.session import materialize  # noqa: E402
 
-# Replayed micro-batches are an hour of arrivals each (a 1 s trigger at the fixture's
-# density would make batches of one record).  Resampling follows the counters' scale:
-# 1 h step; the 5-minute look-back and the 15-minute dashboard range keep their length
-# in steps (20 and 60 steps of 15 s) as 20 h and 60 h.
-REPLAY_TRIGGER = "1 hour"
-RESAMPLE_STEP = "1 hour"
-LOOKBACK = "20 hours"
-DASH_RANGE = "60 hours"
 
-
-def fixture_history(spark, sf_dir):
-    """The metrics history table, as the streaming job would have stored it."""
-    h = S.replay_history(parsed_logs(spark, sf_dir, columns=["service", "level", "response_time_ms"]),
-                         REPLAY_TRIGGER)
-    return materialize(h, "metrics-history")
+def fixture_history(spark, sf_dir, stored=False):
+    """The metrics history table, as the streaming job would have stored it; ``stored``
+    for queries that read it more than once."""
+    arrived = load_logs(spark, sf_dir).withColumn("kafka_timestamp", bucket_end("event_ts", "1 second"))
+    h = S.replay_history(arrived, DEFAULT_TRIGGER)
+    return materialize(h, "metrics-history") if stored else h
 
 
 @register("metrics_history")
@@ -253,7 +280,7 @@ def q_metrics_history(spark, sf_dir):
 
 @register("metrics_latest")
 def q_metrics_latest(spark, sf_dir):
-    return S.latest_batch(fixture_history(spark, sf_dir))
+    return S.latest_batch(fixture_history(spark, sf_dir, stored=True))
 
 
 @register("select_series")
@@ -264,7 +291,7 @@ def q_select_series(spark, sf_dir):
 
 @register("time_range")
 def q_time_range(spark, sf_dir):
-    return S.time_range(fixture_history(spark, sf_dir), DASH_RANGE)
+    return S.time_range(fixture_history(spark, sf_dir, stored=True), DASHBOARD_RANGE)
 
 
 @register("series_label")
@@ -279,18 +306,18 @@ def q_logs_per_batch_by_service(spark, sf_dir):
 
 @register("series_reduce")
 def q_series_reduce(spark, sf_dir):
-    return S.reduce_series(fixture_history(spark, sf_dir))
+    return rounded(S.reduce_series(fixture_history(spark, sf_dir)), "mean_value")
 
 
 @register("resample_last")
 def q_resample_last(spark, sf_dir):
-    h = S.select_series(fixture_history(spark, sf_dir), metric=METRIC_LOGS_PER_BATCH)
-    return S.resample_last(h, ["service", "level"], RESAMPLE_STEP, LOOKBACK)
+    h = S.select_series(fixture_history(spark, sf_dir, stored=True), metric=METRIC_LOGS_PER_BATCH)
+    return S.resample_last(h, ["service", "level"], SCRAPE_INTERVAL, DEFAULT_LOOKBACK)
 
 
 @register("gateway_scrape")
 def q_gateway_scrape(spark, sf_dir):
-    return S.gateway_scrape(fixture_history(spark, sf_dir), RESAMPLE_STEP)
+    return S.gateway_scrape(fixture_history(spark, sf_dir, stored=True), SCRAPE_INTERVAL)
 
 
 # --- histograms -------------------------------------------------------------------------
@@ -307,86 +334,96 @@ def q_size_histogram(spark, sf_dir):
 @register("latency_histogram")
 def q_latency_histogram(spark, sf_dir):
     logs = load_logs(spark, sf_dir)
-    return H.histogram(logs, F.col("response_time_ms") / F.lit(1000.0), LATENCY_BUCKETS, keys=["service"])
+    return H.histogram(logs, F.col("response_time_ms"), LATENCY_BUCKETS, keys=["service"], scale=1000.0)
 
 
 @register("histogram_quantile")
 def q_histogram_quantile(spark, sf_dir):
-    return H.latency_quantile_ms(load_logs(spark, sf_dir), 0.95, COUNTER_STEP, LONG_RANGE, ["service"],
+    return H.latency_quantile_ms(load_logs(spark, sf_dir), 0.95, SCRAPE_INTERVAL, LONG_RANGE, ["service"],
                                  LATENCY_BUCKETS)
 
 
-# --- streaming, archive, synthetic producers ---------------------------------------------
+# --- streaming, archive -------------------------------------------------------------------
 
 from logmetrics.session import scratch_path  # noqa: E402
 from logmetrics.sources import archive as A  # noqa: E402
-from logmetrics.sources import synth as Y  # noqa: E402
 from logmetrics.sources.streams import read_log_stream  # noqa: E402
 from logmetrics.streaming import job as J  # noqa: E402
 from logmetrics.streaming import stateful as ST  # noqa: E402
 
-WIRE_FILES = 8  # micro-batches of the replayed stream (one file per trigger)
+AVAILABLE_NOW = {"availableNow": True}
 
 
-def stream_fixture(spark, sf_dir, name):
-    """Write the fixture's topic records as ``WIRE_FILES`` files in arrival order and
-    open them as a rate-limited stream (one file per micro-batch).
+def replay_stream(spark, sf_dir, name, start, max_files=None):
+    """Replay the fixture's topic records week by week.
 
-    One range-partitioned write puts consecutive time slices in consecutive part files;
-    their modification times are then set in slice order (a metadata update on a few
-    files), which is the order the file source admits them in.
-    Returns (stream, scratch folder)."""
+    Each week's records are added to the topic folder after the one before has been
+    processed, and ``start(stream, root)`` is run again from its checkpoint, so batches
+    follow the weeks whatever order a file store lists files in.  Returns the scratch
+    folder."""
     root = scratch_path(spark, name)
-    wire = wire_records(load_logs(spark, sf_dir))
-    (wire.repartitionByRange(WIRE_FILES, "timestamp").sortWithinPartitions("timestamp")
-     .write.parquet(f"{root}/wire"))
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/wire")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted((st.getPath().toString() for st in fs.listStatus(folder)
-                    if st.getPath().getName().startswith("part-")), key=lambda p: p.rsplit("/", 1)[-1])
-    base = max(st.getModificationTime() for st in fs.listStatus(folder))
-    for i, part in enumerate(parts):  # part-00000 holds the earliest slice
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(part), base + 1000 * (i + 1), -1)
-    return read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=1), root
+    week = F.floor(F.datediff(F.to_date("event_ts"), F.lit("2000-01-03").cast("date")) / 7)
+    wire = wire_records(load_logs(spark, sf_dir).withColumn("week", week), keep=["week"])
+    wire.repartitionByRange("week", "timestamp").write.partitionBy("week").parquet(f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged")
+    for row in staged.select("week").distinct().orderBy("week").collect():
+        staged.filter(F.col("week") == row["week"]).drop("week").write.mode("append").parquet(f"{root}/wire")
+        start(read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=max_files), root).awaitTermination()
+    return root
 
 
 @register("stream_batch_metrics")
 def q_stream_batch_metrics(spark, sf_dir):
-    stream, root = stream_fixture(spark, sf_dir, "stream-metrics")
-    q = J.start_metrics_job(stream, f"{root}/history", f"{root}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
-    h = J.read_history(spark, f"{root}/history")
-    return (S.select_series(h, metric=METRIC_LOGS_PER_BATCH).groupBy("service", "level")
-            .agg(F.sum("value").cast("long").alias("log_count"), F.countDistinct("batch_id").alias("batches"))
-            .drop("batches"))
+    """All gauges of every micro-batch, as the job's sink stored them."""
+    root = replay_stream(spark, sf_dir, "stream-metrics", lambda s, root: J.start_metrics_job(s, f"{root}/history", f"{root}/ckpt", AVAILABLE_NOW))
+    return J.read_history(spark, f"{root}/history").drop("date")
+
+
+@register("rate_limited_stream")
+def q_rate_limited_stream(spark, sf_dir):
+    """One file per trigger: more, smaller batches, and the same records in all."""
+    root = replay_stream(spark, sf_dir, "stream-limited", lambda s, root: J.start_metrics_job(s, f"{root}/history", f"{root}/ckpt", AVAILABLE_NOW), 1)
+    h = S.select_series(J.read_history(spark, f"{root}/history"), metric=METRIC_LOGS_PER_BATCH)
+    return h.groupBy("service", "level").agg(F.sum("value").cast("long").alias("log_count"))
 
 
 @register("stream_logs_total")
 def q_stream_logs_total(spark, sf_dir):
-    stream, root = stream_fixture(spark, sf_dir, "stream-total")
-    parsed = parse_logs(stream, columns=["service", "level"])
-    q = ST.start_overwrite_sink(ST.logs_total(parsed), f"{root}/total", f"{root}/ckpt",
-                                trigger={"availableNow": True})
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/total")
+    def start(stream, root):
+        return ST.start_changes_sink(ST.logs_total(parse_logs(stream, columns=["service", "level"])), f"{root}/total", f"{root}/ckpt", AVAILABLE_NOW)
+
+    root = replay_stream(spark, sf_dir, "stream-total", start)
+    schema = ST.logs_total(load_logs(spark, sf_dir)).schema
+    return ST.read_changes(spark, f"{root}/total", schema)
 
 
 @register("stream_window_1m")
 def q_stream_window_1m(spark, sf_dir):
-    stream, root = stream_fixture(spark, sf_dir, "stream-window")
-    parsed = parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"])
-    q = ST.start_append_sink(ST.windowed_stream(parsed, "1 minute", "1 minute"), f"{root}/windows",
-                             f"{root}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
+    def start(stream, root):
+        parsed = parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"])
+        windows = ST.windowed_stream(parsed, "1 minute", "1 minute", exact=True)
+        return ST.start_append_sink(windows, f"{root}/windows", f"{root}/ckpt", trigger=AVAILABLE_NOW)
+
+    root = replay_stream(spark, sf_dir, "stream-window", start)
     return spark.read.parquet(f"{root}/windows")
 
 
+@register("archive_logs")
+def q_archive_logs(spark, sf_dir):
+    """The archive as the stream writes it, by event date."""
+    def start(stream, root):
+        return ST.start_append_sink(ST.archive_stream(parse_logs(stream)), f"{root}/archive", f"{root}/ckpt", partition_by=["date"], trigger=AVAILABLE_NOW)
+
+    root = replay_stream(spark, sf_dir, "stream-archive", start)
+    return A.scan_archive(spark, f"{root}/archive").select("date", "request_id", "service", "level", "response_time_ms")
+
+
 @register("scan_archive")
 def q_scan_archive(spark, sf_dir):
+    """A fortnight of the archive, by partition filter."""
     root = scratch_path(spark, "archive")
     A.write_archive(load_logs(spark, sf_dir), root)
-    return A.scan_archive(spark, root).select("event_id", "date", "service", "level", "http_status",
+    return A.scan_archive(spark, root, "2024-01-08", "2024-01-21").select("event_id", "date", "service", "level", "http_status",
                                                "response_time_ms")
 
 
@@ -396,19 +433,7 @@ def q_retention_split(spark, sf_dir):
     return t.groupBy(F.to_date("event_ts").alias("date"), "tier").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("synth_logs")
-def q_synth_logs(spark, sf_dir):
-    ev = load_logs(spark, sf_dir).select("event_id", "event_ts")
-    return Y.synth_logs(ev, "event_id", "event_ts")
-
-
-@register("synth_logs_correlated")
-def q_synth_logs_correlated(spark, sf_dir):
-    ev = load_logs(spark, sf_dir).select("event_id", "event_ts")
-    return Y.synth_logs_correlated(ev, "event_id", "event_ts")
-
-
 @register("logs_total")
 def q_logs_total(spark, sf_dir):
     """The labelled log counter over the whole input (batch form of the streaming state)."""
-    return ST.logs_total(parsed_logs(spark, sf_dir, columns=["service", "level"]))
+    return ST.logs_total(load_logs(spark, sf_dir))

@@ -17,7 +17,7 @@ LOGS = """logs AS (
     (['api-gateway', 'auth-service', 'user-service', 'payment-service', 'order-service',
       'notification-service'])[user_id % 6 + 1] AS service,
     'host-' || (user_id % 10 + 1) AS host,
-    'req-' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS request_id,
+    'req-' || printf('%08d', event_id) AS request_id,
     'trace-' || (100000 + (event_id * 7919) % 900000) AS trace_id,
     (['GET', 'POST', 'PUT', 'DELETE', 'PATCH'])[event_id % 5 + 1] AS http_method,
     (['/api/v1/users', '/api/v1/orders', '/api/v1/payments', '/api/v1/products'])[user_id % 4 + 1] AS http_path,
@@ -34,6 +34,11 @@ LOG_FIELDS = ('"timestamp", level, service, host, request_id, trace_id, http_met
               "response_time_ms, client_ip, message, stack_trace")
 
 
+def sig(x: str, digits: int = 9) -> str:
+    """``x`` rounded to significant digits, once, as the query does at its end."""
+    return f"CAST(printf('%.{digits - 1}e', {x}) AS DOUBLE)"
+
+
 def with_logs(body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join([LOGS, *ctes]) + "\n" + body
 
@@ -78,6 +83,10 @@ FROM (SELECT service, count(*) AS total, count(*) FILTER (WHERE level = 'ERROR')
 WHERE total > 0"""
 )
 
+ORACLE["error_count"] = with_logs(
+    "SELECT service, level, count(*) FILTER (WHERE level = 'ERROR') AS error_count FROM logs GROUP BY ALL"
+)
+
 ORACLE["latency_percentiles"] = with_logs(
     f"""SELECT service, p50, coalesce(p95, 0) AS p95, coalesce(p99, 0) AS p99
 FROM (SELECT service, {PCT} FROM logs GROUP BY service) t WHERE p50 IS NOT NULL"""
@@ -123,15 +132,19 @@ ORACLE["error_anomalies"] = with_logs(
 WHERE error_rate > 10.0"""
 )
 ORACLE["ingest_delay"] = with_logs(
-    """SELECT service, count(d) AS samples, avg(d) / 1000.0 AS avg_delay_ms,
+    """SELECT service, count(d) AS samples, count(*) - count(d) AS unparsed, avg(d) / 1000.0 AS avg_delay_ms,
   quantile_disc(d, 0.5) / 1000.0 AS delay_p50_ms, quantile_disc(d, 0.95) / 1000.0 AS delay_p95_ms,
   quantile_disc(d, 0.99) / 1000.0 AS delay_p99_ms, max(d) / 1000.0 AS max_delay_ms
 FROM (SELECT service,
         epoch_us(time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second')
-        - epoch_us(strptime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ')) AS d
+        - CASE event_id % 97 WHEN 1 THEN NULL WHEN 2 THEN NULL
+               WHEN 3 THEN epoch_us(date_trunc('second', event_ts))
+               WHEN 4 THEN epoch_us(event_ts - INTERVAL '7 hours')
+               ELSE epoch_us(event_ts) END AS d
       FROM logs) t
 GROUP BY service"""
 )
+ORACLE["unwindowed_rows"] = with_logs("SELECT service, count(*) AS rows FROM logs WHERE event_id % 89 = 0 GROUP BY service")
 ORACLE["daily_report"] = with_logs(
     f"""SELECT CAST(event_ts AS DATE) AS date, service, level, count(*) AS log_count,
   count(*) FILTER (WHERE level = 'ERROR') AS error_count, avg(response_time_ms) AS avg_latency, {PCT},
@@ -152,18 +165,21 @@ FROM (
   FROM logs GROUP BY service
   UNION ALL
   SELECT 'latency_ms', service, CAST(quantile_disc(response_time_ms, 0.95) AS DOUBLE), 200.0, 500.0
-  FROM logs GROUP BY service HAVING quantile_disc(response_time_ms, 0.5) IS NOT NULL) t"""
+  FROM logs GROUP BY service HAVING quantile_disc(response_time_ms, 0.5) IS NOT NULL
+  UNION ALL
+  SELECT 'logs_per_second', NULL, CAST(max(n) AS DOUBLE), 500.0, 1000.0
+  FROM (SELECT count(*) AS n FROM logs WHERE event_ts IS NOT NULL GROUP BY time_bucket(INTERVAL '1 second', event_ts)) c) t"""
 )
 
 # --- counters -------------------------------------------------------------------------
 
 COUNTS = """counts AS (
   SELECT coalesce(service, '') AS service, coalesce(level, '') AS level,
-    time_bucket(INTERVAL '1 hour', event_ts) + INTERVAL '1 hour' AS ts, count(*) AS n
+    time_bucket(INTERVAL '15 seconds', event_ts) + INTERVAL '15 seconds' AS ts, count(*) AS n
   FROM logs WHERE event_ts IS NOT NULL GROUP BY ALL)"""
 GRID = """bounds AS (SELECT service, level, min(ts) AS s FROM counts GROUP BY ALL),
 grid AS (
-  SELECT service, level, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '1 hour')) AS ts
+  SELECT service, level, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '15 seconds')) AS ts
   FROM bounds)"""
 SAMPLES = """samples AS (
   SELECT g.service, g.level, g.ts,
@@ -203,24 +219,28 @@ rates AS (
   FROM r1)"""
 
 
-_H = 3_600_000_000
-SHORT_RATES = _rates("4 hours", 4 * _H)
-LONG_RATES = _rates("20 hours", 20 * _H)
+_M = 60_000_000
+SHORT_RATES = _rates("1 minute", _M)
+LONG_RATES = _rates("5 minutes", 5 * _M)
 
-ORACLE["counter_samples"] = with_logs("SELECT * FROM samples", COUNTS, GRID, SAMPLES)
+# One label per series: the same steps with fewer series.
+_BY_SERVICE = [x.replace("coalesce(level, '') AS level", "'' AS level") for x in (COUNTS, GRID, SAMPLES)]
+_BY_LEVEL = [x.replace("coalesce(service, '') AS service", "'' AS service") for x in (COUNTS, GRID, SAMPLES)]
+
+ORACLE["counter_samples"] = with_logs("SELECT service, ts, value FROM samples", *_BY_SERVICE)
 ORACLE["counter_increase"] = with_logs(
-    "SELECT service, level, make_timestamp(t_us) AS ts, n, last_v - first_v + resets AS increase "
-    "FROM st WHERE n >= 2", COUNTS, GRID, SAMPLES, _stats("4 hours"))
-ORACLE["counter_rate"] = with_logs("SELECT * FROM rates", COUNTS, GRID, SAMPLES, SHORT_RATES)
-ORACLE["logs_per_second"] = with_logs("SELECT ts, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS value FROM rates GROUP BY ts",
+    "SELECT level, make_timestamp(t_us) AS ts, n, last_v - first_v + resets AS increase "
+    "FROM st WHERE n >= 2", *_BY_LEVEL, _stats("1 minute"))
+ORACLE["counter_rate"] = with_logs("SELECT service, ts, rate FROM rates", *_BY_SERVICE, SHORT_RATES)
+ORACLE["logs_per_second"] = with_logs(f"SELECT ts, {sig('sum(rate)')} AS value FROM rates GROUP BY ts",
                                       COUNTS, GRID, SAMPLES, SHORT_RATES)
-ORACLE["rate_by_service"] = with_logs("SELECT ts, service, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS value FROM rates GROUP BY ALL",
+ORACLE["rate_by_service"] = with_logs(f"SELECT ts, service, {sig('sum(rate)')} AS value FROM rates GROUP BY ALL",
                                       COUNTS, GRID, SAMPLES, SHORT_RATES)
-ORACLE["rate_by_level"] = with_logs("SELECT ts, level, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS value FROM rates GROUP BY ALL",
+ORACLE["rate_by_level"] = with_logs(f"SELECT ts, level, {sig('sum(rate)')} AS value FROM rates GROUP BY ALL",
                                     COUNTS, GRID, SAMPLES, SHORT_RATES)
 ORACLE["error_rate_5m"] = with_logs(
-    """SELECT ts, CASE WHEN den = 0 THEN NULL ELSE num / den * 100.0 END AS value
-FROM (SELECT ts, CAST(sum(CAST(round(CASE WHEN level = 'ERROR' THEN rate END * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS num, CAST(sum(CAST(round(rate * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 AS den,
+    f"""SELECT ts, CASE WHEN den = 0 THEN NULL ELSE {sig('num / den * 100.0')} END AS value
+FROM (SELECT ts, sum(CASE WHEN level = 'ERROR' THEN rate END) AS num, sum(rate) AS den,
         count(*) FILTER (WHERE level = 'ERROR') AS k
       FROM rates GROUP BY ts) t
 WHERE k > 0""", COUNTS, GRID, SAMPLES, LONG_RATES)
@@ -247,7 +267,7 @@ ORACLE["total_logs"] = with_logs("SELECT CAST(count(*) AS DOUBLE) AS total_logs
 # --- metrics history --------------------------------------------------------------------
 
 HISTORY = f"""h0 AS (
-  SELECT epoch_us(kts) // 3600000000 AS batch_id, time_bucket(INTERVAL '1 hour', kts) + INTERVAL '1 hour' AS ts,
+  SELECT epoch_us(kts) // 1000000 AS batch_id, time_bucket(INTERVAL '1 second', kts) + INTERVAL '1 second' AS ts,
     service, level, response_time_ms
   FROM (SELECT *, time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second' AS kts FROM logs) p),
 history AS (
@@ -272,7 +292,7 @@ ORACLE["select_series"] = with_logs(
     "SELECT ts, service, percentile, value FROM history "
     "WHERE metric = 'spark_latency_ms' AND percentile IN ('p95', 'p99')", HISTORY)
 ORACLE["time_range"] = with_logs(
-    "SELECT * FROM history WHERE ts BETWEEN (SELECT max(ts) FROM history) - INTERVAL '60 hours' "
+    "SELECT * FROM history WHERE ts BETWEEN (SELECT max(ts) FROM history) - INTERVAL '15 minutes' "
     "AND (SELECT max(ts) FROM history)", HISTORY)
 ORACLE["series_label"] = with_logs(
     """SELECT ts, metric,
@@ -285,18 +305,19 @@ ORACLE["logs_per_batch_by_service"] = with_logs(
     "SELECT ts, service, sum(value) AS value FROM history WHERE metric = 'spark_logs_per_batch' GROUP BY ALL",
     HISTORY)
 ORACLE["series_reduce"] = with_logs(
-    """SELECT metric, service, level, percentile, arg_max(value, ts) FILTER (WHERE value IS NOT NULL) AS last_value,
-  CAST(sum(CAST(round(value * 1e9) AS DECIMAL(38,0))) AS DOUBLE) / 1e9 / count(value) AS mean_value, max(value) AS max_value
+    f"""SELECT metric, service, level, percentile, arg_max(value, ts) FILTER (WHERE value IS NOT NULL) AS last_value,
+  {sig('avg(value)')} AS mean_value, max(value) AS max_value
 FROM history GROUP BY metric, service, level, percentile""", HISTORY)
 ORACLE["resample_last"] = with_logs(
     """SELECT g.t AS ts, g.service, g.level, s.value
 FROM grid g ASOF JOIN s ON g.service IS NOT DISTINCT FROM s.service AND g.level IS NOT DISTINCT FROM s.level
   AND g.t >= s.ts
-WHERE s.ts > g.t - INTERVAL '20 hours'""",
+WHERE s.ts > g.t - INTERVAL '5 minutes'""",
     HISTORY,
     "s AS (SELECT ts, service, level, value FROM history WHERE metric = 'spark_logs_per_batch')",
     """grid AS (SELECT service, level,
-  unnest(generate_series(min(ts), (SELECT max(ts) FROM history), INTERVAL '1 hour')) AS t
+  unnest(generate_series(time_bucket(INTERVAL '15 seconds', min(ts) + INTERVAL '14999999 microseconds'),
+                         (SELECT max(ts) FROM s), INTERVAL '15 seconds')) AS t
   FROM s GROUP BY service, level)""")
 ORACLE["gateway_scrape"] = with_logs(
     """SELECT g.t AS ts, h.metric, h.service, h.level, h.percentile, h.value
@@ -304,8 +325,9 @@ FROM (SELECT g.t, b.batch_id FROM grid g ASOF JOIN batches b ON g.t >= b.ts) g
 JOIN history h ON h.batch_id = g.batch_id""",
     HISTORY,
     "batches AS (SELECT batch_id, max(ts) AS ts FROM history GROUP BY batch_id)",
-    """grid AS (SELECT unnest(generate_series((SELECT min(ts) FROM history), (SELECT max(ts) FROM history),
-  INTERVAL '1 hour')) AS t)""")
+    """grid AS (SELECT unnest(generate_series(
+  time_bucket(INTERVAL '15 seconds', (SELECT min(ts) FROM history) + INTERVAL '14999999 microseconds'),
+  (SELECT max(ts) FROM history), INTERVAL '15 seconds')) AS t)""")
 
 # --- histograms -------------------------------------------------------------------------
 
@@ -324,7 +346,7 @@ def counter_ctes(keys: list[str], counts_sql: str, range_sql: str, range_us: int
     return [
         f"counts AS ({counts_sql})",
         f"""bounds AS (SELECT {k}, min(ts) AS s FROM counts GROUP BY ALL),
-grid AS (SELECT {k}, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '1 hour')) AS ts FROM bounds)""",
+grid AS (SELECT {k}, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '15 seconds')) AS ts FROM bounds)""",
         f"""samples AS (
   SELECT {_k(keys, 'g.')}, g.ts,
     CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY {_k(keys, 'g.')} ORDER BY g.ts
@@ -370,13 +392,13 @@ FROM (SELECT unnest({_SIZE_LES}::DOUBLE[]) AS le) b, d GROUP BY b.le""",
 ORACLE["latency_histogram"] = with_logs(
     f"""SELECT d.service, b.le, count(x) FILTER (WHERE x <= b.le) AS bucket_count, s.sum_value, s.count_value
 FROM (SELECT unnest({_LAT_LES}::DOUBLE[]) AS le) b, d
-JOIN (SELECT service, sum(x) AS sum_value, count(x) AS count_value FROM d GROUP BY service) s
+JOIN (SELECT service, CAST(sum(ms) AS BIGINT) / 1000.0::DOUBLE AS sum_value, count(ms) AS count_value FROM d GROUP BY service) s
   ON s.service IS NOT DISTINCT FROM d.service
 GROUP BY d.service, b.le, s.sum_value, s.count_value""",
-    "d AS (SELECT service, response_time_ms / 1000.0::DOUBLE AS x FROM logs)")
+    "d AS (SELECT service, response_time_ms AS ms, response_time_ms / 1000.0::DOUBLE AS x FROM logs)")
 
 _HIST_COUNTS = f"""SELECT coalesce(h.service, '') AS service, b.le, h.ts, count(h.x) FILTER (WHERE h.x <= b.le) AS n
-  FROM (SELECT service, time_bucket(INTERVAL '1 hour', event_ts) + INTERVAL '1 hour' AS ts,
+  FROM (SELECT service, time_bucket(INTERVAL '15 seconds', event_ts) + INTERVAL '15 seconds' AS ts,
           response_time_ms / 1000.0::DOUBLE AS x FROM logs WHERE event_ts IS NOT NULL) h,
        (SELECT unnest({_LAT_LES}::DOUBLE[]) AS le) b
   GROUP BY ALL"""
@@ -393,7 +415,7 @@ FROM ranked r
 JOIN tot t ON t.service = r.service AND t.ts = r.ts
 LEFT JOIN pick p ON p.service = r.service AND p.ts = r.ts
 WHERE r.idx = coalesce(p.b, t.nb - 1)""",
-    *counter_ctes(["service", "le"], _HIST_COUNTS, "20 hours", 20 * 3_600_000_000),
+    *counter_ctes(["service", "le"], _HIST_COUNTS, "5 minutes", 5 * _M),
     """mono AS (SELECT service, ts, le,
   max(rate) OVER (PARTITION BY service, ts ORDER BY le ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
   FROM rates)""",
@@ -408,17 +430,38 @@ WHERE r.idx = coalesce(p.b, t.nb - 1)""",
 
 # --- streaming, archive -----------------------------------------------------------------
 
-ORACLE["stream_batch_metrics"] = with_logs("SELECT service, level, count(*) AS log_count FROM logs GROUP BY ALL")
+STREAM = f"""w0 AS (
+  SELECT date_diff('day', DATE '2000-01-03', CAST(event_ts AS DATE)) // 7 AS week,
+    time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second' AS kts, service, level, response_time_ms
+  FROM logs),
+weeks AS (SELECT week, row_number() OVER (ORDER BY week) - 1 AS batch_id, max(kts) AS ts FROM w0 GROUP BY week),
+w AS (SELECT batch_id, ts, service, level, response_time_ms FROM w0 JOIN weeks USING (week))"""
+ORACLE["stream_batch_metrics"] = with_logs(
+    f"""SELECT batch_id, ts, 'spark_logs_per_batch' AS metric, service, level, CAST(NULL AS VARCHAR) AS percentile,
+  CAST(count(*) AS DOUBLE) AS value
+FROM w GROUP BY batch_id, ts, service, level
+UNION ALL
+SELECT batch_id, ts, 'spark_error_rate', service, NULL, NULL,
+  CAST(count(*) FILTER (WHERE level = 'ERROR') AS DOUBLE) / count(*) * 100.0
+FROM w GROUP BY batch_id, ts, service
+UNION ALL
+SELECT batch_id, ts, 'spark_latency_ms', service, NULL, pct, v
+FROM (SELECT batch_id, ts, service, {PCT} FROM w GROUP BY batch_id, ts, service) s,
+  LATERAL (VALUES ('p50', CAST(p50 AS DOUBLE)), ('p95', CAST(p95 AS DOUBLE)), ('p99', CAST(p99 AS DOUBLE))) v(pct, v)
+WHERE p50 IS NOT NULL""", STREAM)
+ORACLE["rate_limited_stream"] = with_logs("SELECT service, level, count(*) AS log_count FROM logs GROUP BY ALL")
+ORACLE["archive_logs"] = with_logs("SELECT CAST(event_ts AS DATE) AS date, request_id, service, level, response_time_ms FROM logs")
 ORACLE["stream_logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")
 ORACLE["stream_window_1m"] = with_logs(
     f"""SELECT * FROM (SELECT {_window('1 minute')}, service, level, {MEASURES} FROM logs GROUP BY ALL) w
 WHERE window_end <= (SELECT max(event_ts) FROM logs) - INTERVAL '1 minute'""")
 ORACLE["scan_archive"] = with_logs(
-    "SELECT event_id, CAST(event_ts AS DATE) AS date, service, level, http_status, response_time_ms FROM logs")
+    "SELECT event_id, CAST(event_ts AS DATE) AS date, service, level, http_status, response_time_ms FROM logs "
+    "WHERE CAST(event_ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'")
 ORACLE["retention_split"] = with_logs(
     """SELECT CAST(event_ts AS DATE) AS date,
-  CASE WHEN date_diff('day', CAST(event_ts AS DATE), CAST((SELECT max(event_ts) FROM logs) AS DATE)) < 7 THEN 'topic'
-       WHEN date_diff('day', CAST(event_ts AS DATE), CAST((SELECT max(event_ts) FROM logs) AS DATE)) < 30 THEN 'hot'
+  CASE WHEN event_ts >= (SELECT max(event_ts) FROM logs) - INTERVAL '7 days' THEN 'topic'
+       WHEN event_ts >= (SELECT max(event_ts) FROM logs) - INTERVAL '30 days' THEN 'hot'
        ELSE 'archive' END AS tier,
   count(*) AS rows
 FROM logs GROUP BY ALL""")

@@ -4,11 +4,15 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import SparkSession
 
+_scratch: list[str] = []
+
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "logmetrics") -> SparkSession:
     """Local session used by tests and ``bench.py``.  On a cluster, use the session
@@ -43,8 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     path = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        # Only reached when nothing names a shared folder, as in local tests.
-        path = tempfile.mkdtemp(prefix="logmetrics-ckpt-", dir="/tmp")
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="logmetrics-ckpt-", dir="/tmp")  # one machine, as in tests
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
@@ -53,7 +58,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, for tables a job writes to cut
     lineage or to hand data from one stage to the next."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch() -> None:
+    """Delete all folders that ``scratch_path`` gave out in this process.  For the end of
+    a job: tables read from them are gone then."""
+    while _scratch:
+        uri = re.sub(r"^file:/+", "file:///", _scratch.pop())
+        fs, path = FileSystem.from_uri(uri)
+        if fs.get_file_info(path).type == FileType.Directory:
+            fs.delete_dir(path)
 
 
 def materialize(df, name: str):

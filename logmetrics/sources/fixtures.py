@@ -10,22 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.config import LOG_COLUMNS
+from logmetrics.config import WEB_MESSAGE, WEB_METHODS, WEB_PATHS, WEB_SERVICES
+from logmetrics.functions.text import zero_padded
 from logmetrics.functions.time import iso_utc
 
-# FIXED VALUES of the fixture mapping (event fields -> log fields).
-FIXTURE_SERVICES = [
-    "api-gateway",
-    "auth-service",
-    "user-service",
-    "payment-service",
-    "order-service",
-    "notification-service",
-]
-FIXTURE_METHODS = ["GET", "POST", "PUT", "DELETE", "PATCH"]
-FIXTURE_PATHS = ["/api/v1/users", "/api/v1/orders", "/api/v1/payments", "/api/v1/products"]
-FIXTURE_LEVELS = {"error": "ERROR", "signup": "WARN", "view": "DEBUG"}  # anything else: INFO
-FIXTURE_MESSAGE = "Load test log"
+# The fixture spreads events over the first four paths.
+FIXTURE_PATHS = WEB_PATHS[:4]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +43,11 @@ def logs_from_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("event_ts"),
         iso_utc("ts").alias("timestamp"),
         level.alias("level"),
-        _pick(FIXTURE_SERVICES, F.pmod(uid, F.lit(6))).alias("service"),
+        _pick(WEB_SERVICES, F.pmod(uid, F.lit(6))).alias("service"),
         F.concat(F.lit("host-"), (F.pmod(uid, F.lit(10)) + 1).cast("string")).alias("host"),
-        F.concat(F.lit("req-"), F.lpad(eid.cast("string"), 8, "0")).alias("request_id"),
+        zero_padded("req-", eid).alias("request_id"),
         F.concat(F.lit("trace-"), (F.lit(100000) + F.pmod(eid * 7919, F.lit(900000))).cast("string")).alias("trace_id"),
-        _pick(FIXTURE_METHODS, F.pmod(eid, F.lit(5))).alias("http_method"),
+        _pick(WEB_METHODS, F.pmod(eid, F.lit(5))).alias("http_method"),
         _pick(FIXTURE_PATHS, F.pmod(uid, F.lit(4))).alias("http_path"),
         status.alias("http_status"),
         F.floor(F.col("value")).cast("int").alias("response_time_ms"),
@@ -65,7 +55,7 @@ def logs_from_events(events: DataFrame) -> DataFrame:
             F.lit("10.0."), (F.pmod(uid, F.lit(255)) + 1).cast("string"), F.lit("."),
             (F.pmod(eid, F.lit(255)) + 1).cast("string"),
         ).alias("client_ip"),
-        F.lit(FIXTURE_MESSAGE).alias("message"),
+        F.lit(WEB_MESSAGE).alias("message"),
         F.lit(None).cast("string").alias("stack_trace"),
     )
 
@@ -74,5 +64,3 @@ def load_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``logs`` view of ``{sf_dir}/events.parquet``."""
     return logs_from_events(read_table(spark, sf_dir, "events"))
 
-
-LOGS_VIEW_COLUMNS = ["event_id", "event_ts", *LOG_COLUMNS]

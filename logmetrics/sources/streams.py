@@ -1,22 +1,23 @@
-"""Stream sources for log records: the topic source and file / rate stand-ins with
-the same columns (``value BINARY``, ``timestamp``)."""
+"""Stream sources and sinks for log records: the topic, and file stand-ins with the same
+columns (``value BINARY``, ``timestamp``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, StructField, StructType, TimestampNTZType
 
-from logmetrics.config import DEFAULT_MAX_OFFSETS_PER_TRIGGER, DEFAULT_TOPIC
+from logmetrics.config import DEFAULT_TOPIC
 
 WIRE_SCHEMA = StructType([StructField("value", BinaryType(), True), StructField("timestamp", TimestampNTZType(), True)])
 
 
 def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "latest",
-                  fail_on_data_loss: bool = False,
-                  max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER) -> dict[str, str]:
+                  fail_on_data_loss: bool = True, max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """Options of the topic source: start at the latest offsets on a first start (a
-    checkpoint overrides it), skip offsets that expired instead of failing, and admit
-    at most ``max_offsets_per_trigger`` records per micro-batch."""
+    checkpoint overrides it), fail when offsets expired before they were read, and admit
+    whatever has arrived.  ``config.ORIGINAL_SOURCE`` holds the original job's choice, a
+    cap per micro-batch and silent skipping; with it, a lag beyond the topic's retention
+    loses records without an error."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
@@ -46,19 +47,13 @@ def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     return reader.schema(WIRE_SCHEMA).load(path)
 
 
-def synth_stream(spark: SparkSession, rows_per_second: int, profile: str = "web", seed: int = 42) -> DataFrame:
-    """Live stand-in for the producers: the ``rate`` source emits ``rows_per_second``
-    rows, each becomes one synthetic log record (deterministic per row number) and is
-    encoded as a topic record; write it with ``format("kafka")`` or to files."""
-    from pyspark.sql import functions as F
+def write_topic(records: DataFrame, bootstrap_servers: str, topic: str = DEFAULT_TOPIC) -> None:
+    """Send a batch of encoded records (``value``, optional ``key``) to the topic."""
+    topic_writer(records.write, bootstrap_servers, topic).save()
 
-    from logmetrics.functions.time import from_epoch_micros
-    from logmetrics.sources.codec import encode_logs
-    from logmetrics.sources.synth import synth_logs, synth_logs_correlated
 
-    rows = (spark.readStream.format("rate").option("rowsPerSecond", str(int(rows_per_second))).load()
-            .select(F.col("value").alias("n"),
-                    from_epoch_micros(F.unix_micros(F.col("timestamp"))).alias("ts")))
-    make = synth_logs if profile == "web" else synth_logs_correlated
-    logs = make(rows, "n", "ts", seed)
-    return encode_logs(logs, timestamp_col="event_ts")
+def topic_writer(writer, bootstrap_servers: str, topic: str = DEFAULT_TOPIC, checkpoint: str | None = None):
+    """``writer`` (``df.write`` or ``df.writeStream``) set up for the topic; a stream needs
+    a checkpoint folder and is started by the caller."""
+    writer = writer.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+    return writer.option("checkpointLocation", checkpoint) if checkpoint else writer

@@ -1,11 +1,11 @@
-"""The streaming metrics job: topic records -> parse -> per micro-batch gauges ->
-metrics history (one partition per batch) and, derived from it, the latest snapshot.
-
-Per batch there is one aggregation (grouping sets over service / level) and one write.
-No ``isEmpty`` probe and no ``collect``: an empty batch aggregates to no rows and the
-dynamic-partition overwrite then touches nothing, so the previous snapshot stays.  A
-retried batch rewrites exactly its own ``batch_id`` partition, so replays are
-idempotent.  Write errors are not swallowed: the batch fails and is retried from the
+"""The streaming metrics job: topic records -> parse -> per micro-batch gauges -> metrics
+history (one partition per date and batch) and, derived from it, the latest snapshot.
+
+Per batch there is one aggregation over raw records and one write.  No ``isEmpty`` probe
+and no ``collect``: an empty batch aggregates to no rows and the dynamic-partition
+overwrite then touches nothing, so the previous snapshot stays.  A batch's time is its
+newest arrival, so a retried batch rewrites exactly its own partition with the same
+rows.  Write errors are not swallowed: the batch fails and is retried from the
 checkpoint.
 """
 
@@ -16,54 +16,81 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampType
 
-from logmetrics.config import DEFAULT_ACCURACY, DEFAULT_QUERY_NAME, DEFAULT_TRIGGER
+from logmetrics.config import DEFAULT_QUERY_NAME, DEFAULT_TRIGGER
 from logmetrics.functions.time import from_epoch_micros
 from logmetrics.operators.metrics import metric_samples
 from logmetrics.sources.codec import parse_logs
 
 JOB_FIELDS = ["service", "level", "response_time_ms"]
+HISTORY = "batch_id bigint, ts timestamp_ntz, metric string, service string, level string, percentile string, value double"
 
 
-def batch_samples(batch_df: DataFrame, batch_id: int, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """History rows of one micro-batch: (batch_id, ts, metric, service, level, percentile, value);
-    ``ts`` is the time the batch ran (UTC wall clock)."""
-    now = from_epoch_micros(F.unix_micros(F.current_timestamp()))
-    return metric_samples(batch_df, accuracy).select(
-        F.lit(int(batch_id)).cast("long").alias("batch_id"), now.alias("ts"), "*"
-    )
+def batch_samples(batch_df: DataFrame, batch_id: int) -> DataFrame:
+    """History rows of one micro-batch: (batch_id, ts, metric, service, level, percentile,
+    value); ``ts`` is the batch's newest arrival time (UTC wall clock)."""
+    newest = batch_df.agg(F.max("kafka_timestamp")).scalar()
+    if isinstance(batch_df.schema["kafka_timestamp"].dataType, TimestampType):
+        newest = from_epoch_micros(F.unix_micros(newest))
+    return metric_samples(batch_df).select(F.lit(int(batch_id)).cast("long").alias("batch_id"), newest.alias("ts"), "*")
+
 
+def create_history(spark: SparkSession, path: str, parts: tuple[str, ...] = ("date", "batch_id")) -> None:
+    """Make the (empty) history table, so that it can be read before the first batch."""
+    empty = spark.createDataFrame([], HISTORY).withColumn("date", F.to_date("ts"))
+    empty.write.mode("append").partitionBy(*parts).parquet(path)
 
-def history_writer(history_path: str, accuracy: int = DEFAULT_ACCURACY) -> Callable[[DataFrame, int], None]:
+
+def history_writer(history_path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function appending one batch's gauges to the history table."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         (
-            batch_samples(batch_df, batch_id, accuracy)
+            batch_samples(batch_df, batch_id)
+            .withColumn("date", F.to_date("ts"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("date", "batch_id")
             .parquet(history_path)
         )
 
     return write
 
 
-def read_history(spark: SparkSession, history_path: str) -> DataFrame:
-    return spark.read.parquet(history_path)
+def compact_history(spark: SparkSession, history_path: str, compacted_path: str, date: str) -> None:
+    """Rewrite one closed date's batches, a folder each, as one folder of few files; safe
+    to repeat.  ``read_history`` prefers it, and the batch folders may then be deleted."""
+    day = _stored(spark, history_path).filter(F.col("date") == F.lit(date).cast("date"))
+    out = day.coalesce(1).sortWithinPartitions("ts", "batch_id")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(compacted_path)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.schema(f"{HISTORY}, date date").parquet(path)
+    return rows.select(*(c.split()[0] for c in HISTORY.split(", ")), "date")
+
+
+def read_history(spark: SparkSession, history_path: str, compacted_path: str | None = None) -> DataFrame:
+    """The history with its ``date``; compacted dates are read from their compact form."""
+    live = _stored(spark, history_path)
+    if compacted_path is None:
+        return live
+    compact = _stored(spark, compacted_path)
+    return live.join(compact.select("date").distinct(), "date", "left_anti").unionByName(compact)
 
 
 def start_metrics_job(wire_stream: DataFrame, history_path: str, checkpoint: str,
-                      trigger: dict | None = None, query_name: str = DEFAULT_QUERY_NAME,
-                      accuracy: int = DEFAULT_ACCURACY) -> StreamingQuery:
+                      trigger: dict | None = None, query_name: str = DEFAULT_QUERY_NAME) -> StreamingQuery:
     """Start the job.  ``trigger`` is passed to ``DataStreamWriter.trigger`` (default:
     processing time every second; tests use ``{"availableNow": True}``)."""
+    create_history(wire_stream.sparkSession, history_path)
     parsed = parse_logs(wire_stream, columns=JOB_FIELDS)
     return (
         parsed.writeStream.outputMode("append")
         .trigger(**(trigger or {"processingTime": DEFAULT_TRIGGER}))
         .option("checkpointLocation", checkpoint)
         .queryName(query_name)
-        .foreachBatch(history_writer(history_path, accuracy))
+        .foreachBatch(history_writer(history_path))
         .start()
     )

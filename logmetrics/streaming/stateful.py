@@ -5,22 +5,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from logmetrics.config import DEFAULT_ACCURACY, DEFAULT_WATERMARK
-from logmetrics.functions.time import from_epoch_micros
+from logmetrics.functions.time import from_epoch_micros, parse_instant
 from logmetrics.operators.metrics import log_measures
 
-# Offset-aware pattern: the trailing Z is read as UTC, so the instant does not depend
-# on the session time zone.
-ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
-
 
 def with_event_instant(parsed: DataFrame, out: str = "event_time") -> DataFrame:
     """Event time as TIMESTAMP (what ``withWatermark`` needs); null when unparseable."""
-    return parsed.withColumn(out, F.try_to_timestamp(F.col("timestamp"), F.lit(ISO_INSTANT)))
+    return parsed.withColumn(out, parse_instant("timestamp"))
 
 
 def logs_total(parsed: DataFrame, keys: Sequence[str] = ("service", "level")) -> DataFrame:
@@ -29,16 +26,24 @@ def logs_total(parsed: DataFrame, keys: Sequence[str] = ("service", "level")) ->
     return parsed.groupBy(*keys).agg(F.count(F.lit(1)).alias("logs_total"))
 
 
-def start_overwrite_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str = "complete",
-                         trigger: dict | None = None) -> StreamingQuery:
-    """Keep the newest complete result of a stateful query as a table (overwritten
-    each batch)."""
+def start_changes_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep a stateful query's changed rows (``update`` mode), one partition per batch: a
+    trigger writes what it changed, never the whole state, and never a table that is
+    being read; a retried batch rewrites its own partition."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(path)
-
+        (
+            batch_df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(path)
+        )
+
+    schema = StructType([*df.schema.fields, StructField("batch_id", LongType())])
+    df.sparkSession.createDataFrame([], schema).write.mode("append").partitionBy("batch_id").parquet(path)
     return (
-        df.writeStream.outputMode(output_mode)
+        df.writeStream.outputMode("update")
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
@@ -46,12 +51,19 @@ def start_overwrite_sink(df: DataFrame, path: str, checkpoint: str, output_mode:
     )
 
 
+def read_changes(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("service", "level")) -> DataFrame:
+    """The newest row per key of a changes table."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch_id", LongType())])).parquet(path)
+    values = [c for c in schema.names if c not in keys]
+    return rows.groupBy(*keys).agg(*[F.max_by(v, "batch_id").alias(v) for v in values])
+
+
 def windowed_stream(parsed: DataFrame, duration: str, watermark: str = DEFAULT_WATERMARK,
-                    keys: Sequence[str] = ("service", "level"), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    keys: Sequence[str] = ("service", "level"), accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
     """Tumbling event-time windows with a watermark; in ``append`` mode a window is
     emitted once the watermark passes its end, and its state is dropped."""
     ev = with_event_instant(parsed).withWatermark("event_time", watermark)
-    agg = ev.groupBy(F.window("event_time", duration).alias("window"), *keys).agg(*log_measures(accuracy))
+    agg = ev.groupBy(F.window("event_time", duration).alias("window"), *keys).agg(*log_measures(accuracy, exact))
     return agg.select(
         from_epoch_micros(F.unix_micros(F.col("window.start"))).alias("window_start"),
         from_epoch_micros(F.unix_micros(F.col("window.end"))).alias("window_end"),

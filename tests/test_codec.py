@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 from pyspark.sql import Row
@@ -5,8 +6,10 @@ from pyspark.sql import functions as F
 
 from logmetrics.config import LOG_COLUMNS
 from logmetrics.functions.text import payload_bytes
+from logmetrics.operators.windows import ingest_delay, with_event_time
 from logmetrics.sources.codec import encode_logs, log_schema, parse_logs, wire_records
-from logmetrics.sources.fixtures import load_logs
+from logmetrics.sources.fixtures import load_logs, logs_from_events
+from logmetrics.streaming.stateful import with_event_instant
 
 from conftest import SF_SMALL
 
@@ -63,3 +66,25 @@ def test_narrow_schema_and_encode(spark):
     df = spark.createDataFrame([Row(level="INFO", service=None, ts=None)], "level string, service string, ts timestamp_ntz")
     enc = encode_logs(df, columns=["level", "service"], timestamp_col="ts").collect()[0]
     assert bytes(enc["value"]).decode() == '{"level":"INFO"}'  # null fields dropped
+
+
+def test_long_ids_are_kept_whole(spark):
+    ids = [5, 99_999_999, 1_234_567_891, 1_234_567_892]
+    ev = spark.createDataFrame([(i, dt.datetime(2024, 1, 1), 1, "view", 2.0, '{"k": 1}') for i in ids],
+                               "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    got = [r.request_id for r in logs_from_events(ev).orderBy("event_id").collect()]
+    assert got == ["req-00000005", "req-99999999", "req-1234567891", "req-1234567892"]
+
+
+def test_bad_timestamps_become_null_and_are_counted(spark):
+    t = dt.datetime(2024, 1, 1, 12)
+    stamps = ["bad", "", None, "2024-13-01T00:00:00Z", "2024-01-01T11:59:59Z", "2024-01-01T11:59:59.500000Z", "2024-01-01T18:59:59.500000+07:00", "2024-01-01T11:59:59.500Z"]
+    wire = spark.createDataFrame([(f'{{"service":"a"{"" if s is None else f", \"timestamp\": \"{s}\""}}}'.encode(), t) for s in stamps], "value binary, timestamp timestamp_ntz")
+    parsed = parse_logs(wire, columns=["timestamp", "service"])
+    got = [r.event_ts for r in with_event_time(parsed).collect()]
+    half = dt.datetime(2024, 1, 1, 11, 59, 59, 500_000)
+    assert got == [None, None, None, None, half.replace(microsecond=0), half, half, half]
+    r = ingest_delay(parsed).first()
+    assert (r.samples, r.unparsed, r.max_delay_ms) == (4, 4, 1000.0)
+    stream = [x.event_time for x in with_event_instant(parsed).select(F.unix_micros("event_time").alias("event_time")).collect()]
+    assert [x is None for x in stream] == [x is None for x in got]

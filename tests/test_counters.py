@@ -3,9 +3,12 @@ hand-made counter series (constant slope, a reset, a lone sample, a wide gap, a
 counter starting near zero)."""
 
 import datetime as dt
+import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from logmetrics.functions.text import significant
 from logmetrics.operators import counters as C
 
 T0 = dt.datetime(2024, 1, 1)
@@ -94,3 +97,47 @@ def test_event_rate_windows(spark):
     got = {int((r.ts - T0).total_seconds()): r.events for r in C.event_rate(logs, "1 minute", "15 seconds").collect()}
     # window [t - 60, t): events at 1 and 14 are in step [0, 15), 16 in [15, 30), 70 in [60, 75)
     assert got == {15: 2, 30: 3, 45: 3, 60: 3, 75: 2, 90: 1, 105: 1, 120: 1}
+
+
+def test_duplicate_times_count_as_the_largest(spark):
+    rows = [("a", T0 + dt.timedelta(seconds=s), v) for s, v in [(0, 1.0), (15, 4.0), (15, 6.0), (30, 6.0), (30, 6.0), (45, 9.0)]]
+    rows += [("b", T0, 2.0), ("b", T0, 2.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, value double")
+    got = {(r.k, int((r.ts - T0).total_seconds())): r.rate for r in C.counter_rate(df, ["k"], "1 minute", "15 seconds").collect()}
+    pts = [(0, 1.0), (15, 6.0), (30, 6.0), (45, 9.0)]
+    assert set(got) == {("a", 15), ("a", 30), ("a", 45)}
+    for t in (15, 30, 45):
+        assert got["a", t] == pytest.approx(ref_rate(pts, t, RANGE), rel=1e-12)
+
+
+def test_block_edges_change_nothing(spark, samples):
+    keys = ["service", "level"]
+    whole = {tuple(r) for r in C.counter_rate(samples, keys, "1 minute", "15 seconds").collect()}
+    assert {tuple(r) for r in C.counter_rate(samples, keys, "1 minute", "15 seconds", block="30 seconds").collect()} == whole
+
+
+def test_evaluation_range(spark):
+    """With start and end, the rows are those of the whole evaluation in that range."""
+    logs = spark.createDataFrame([(T0 + dt.timedelta(seconds=7 * i * i % 900), f"s{i % 2}", "INFO") for i in range(60)], "event_ts timestamp_ntz, service string, level string")
+    start, end = T0 + dt.timedelta(seconds=300), T0 + dt.timedelta(seconds=600)
+    for f in (lambda **k: C.log_rates(logs, "1 minute", "15 seconds", **k), lambda **k: C.counter_samples(logs, "15 seconds", **k)):
+        whole = {tuple(r) for r in f().collect() if start <= r.ts <= end}
+        part = {tuple(r) for r in f(start=start, end=end).collect()}
+        assert part == whole and part
+    dense = C.counter_samples(logs, "15 seconds")
+    a = {tuple(r) for r in C.counter_rate(dense, ["service", "level"], "1 minute", "15 seconds", start=start, end=end).collect()}
+    assert a == {tuple(r) for r in C.log_rates(logs, "1 minute", "15 seconds", start=start, end=end).collect()}
+
+
+def test_sums_keep_small_terms_and_nan(spark):
+    rows = [(T0, 4e-12) for _ in range(1000)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, rate double")
+    assert C.sum_rates(df).first().value == pytest.approx(4e-9, rel=1e-12)
+    nan = spark.createDataFrame([*rows, (T0, float("nan"))], "ts timestamp_ntz, rate double")
+    assert math.isnan(C.sum_rates(nan).first().value)
+
+
+def test_significant(spark):
+    df = spark.createDataFrame([(1.23456789012e-7,), (float("nan"),), (None,), (0.0,), (-5e20 / 3,)], "x double")
+    got = [r.y for r in df.select(significant(F.col("x")).alias("y")).collect()]
+    assert got[0] == 1.23456789e-7 and math.isnan(got[1]) and got[2] is None and got[3] == 0.0 and got[4] == -1.66666667e20

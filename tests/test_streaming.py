@@ -3,16 +3,22 @@ batches keep the snapshot, admission control bounds batch size."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from logmetrics import session
+from logmetrics.config import ORIGINAL_SOURCE
+
 from logmetrics.operators import series as S
 from logmetrics.operators.windows import windowed_metrics
-from logmetrics.plans.catalog import stream_fixture
-from logmetrics.session import scratch_path
+from logmetrics.plans.catalog import replay_stream
+from logmetrics.session import ensure_checkpoint_dir, scratch_path
+from logmetrics.sources.archive import retention_tiers, split_retention
 from logmetrics.sources.codec import parse_logs
 from logmetrics.sources.fixtures import load_logs
-from logmetrics.sources.streams import kafka_options, read_log_stream
+from logmetrics.sources.streams import kafka_options, read_log_stream, topic_writer
 from logmetrics.streaming import job as J
+from logmetrics.streaming import run
 from logmetrics.streaming import stateful as ST
 
 from conftest import SF_SMALL
@@ -25,44 +31,54 @@ def _batch_counts(spark):
 
 
 def test_metrics_job_equals_batch_and_restart(spark):
-    stream, root = stream_fixture(spark, SF_SMALL, "t-job")
-    J.start_metrics_job(stream, f"{root}/h", f"{root}/c", trigger=AVAILABLE_NOW).awaitTermination()
+    start = lambda s, root: J.start_metrics_job(s, f"{root}/h", f"{root}/c", trigger=AVAILABLE_NOW)
+    root = replay_stream(spark, SF_SMALL, "t-job", start)
     hist = J.read_history(spark, f"{root}/h")
-    assert hist.select("batch_id").distinct().count() == 8  # one file per trigger
     per = S.select_series(hist, metric="spark_logs_per_batch").groupBy("service", "level").agg(F.sum("value").alias("n"))
     assert {(r.service, r.level): int(r.n) for r in per.collect()} == _batch_counts(spark)
-    before = sorted(map(tuple, hist.drop("ts").collect()))
+    before = sorted(map(tuple, hist.collect()), key=repr)
     # restart from the checkpoint: nothing new to read, nothing new written
-    s2 = read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=1)
-    J.start_metrics_job(s2, f"{root}/h", f"{root}/c", trigger=AVAILABLE_NOW).awaitTermination()
-    after = sorted(map(tuple, J.read_history(spark, f"{root}/h").drop("ts").collect()))
-    assert after == before
+    start(read_log_stream(spark, "parquet", f"{root}/wire"), root).awaitTermination()
+    assert sorted(map(tuple, J.read_history(spark, f"{root}/h").collect()), key=repr) == before
+    # compaction changes the files, not the rows
+    day = str(hist.select("date").first()[0])
+    J.compact_history(spark, f"{root}/h", f"{root}/compact", day)
+    J.compact_history(spark, f"{root}/h", f"{root}/compact", day)
+    both = J.read_history(spark, f"{root}/h", f"{root}/compact").select(*hist.columns)
+    assert sorted(map(tuple, both.collect()), key=repr) == before
 
 
 def test_replayed_and_empty_batches(spark):
     path = scratch_path(spark, "t-hist")
-    logs = load_logs(spark, SF_SMALL).select("service", "level", "response_time_ms")
+    J.create_history(spark, path)
+    assert J.read_history(spark, path).count() == 0  # readable before the first batch
+    logs = load_logs(spark, SF_SMALL).select("service", "level", "response_time_ms", F.col("event_ts").alias("kafka_timestamp"))
     write = J.history_writer(path)
     write(logs, 3)
-    n1 = spark.read.parquet(path).count()
-    write(logs, 3)  # retried batch: same partition rewritten
-    assert spark.read.parquet(path).count() == n1
+    first = sorted(map(tuple, J.read_history(spark, path).collect()), key=repr)
+    write(logs, 3)  # retried batch: same partition, same rows, same ts
+    assert sorted(map(tuple, J.read_history(spark, path).collect()), key=repr) == first
     write(logs.limit(0), 4)  # empty batch writes nothing; snapshot stays batch 3
-    hist = spark.read.parquet(path)
-    assert hist.count() == n1
+    hist = J.read_history(spark, path)
+    assert hist.count() == len(first)
     assert {r.batch_id for r in S.latest_batch(hist).select("batch_id").distinct().collect()} == {3}
+    assert dict(hist.dtypes)["batch_id"] == "bigint"
 
 
 def test_stateful_count_and_watermark_windows(spark):
-    stream, root = stream_fixture(spark, SF_SMALL, "t-state")
-    parsed = parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"])
-    ST.start_overwrite_sink(ST.logs_total(parsed), f"{root}/t", f"{root}/c1", trigger=AVAILABLE_NOW).awaitTermination()
-    got = {(r.service, r.level): r.logs_total for r in spark.read.parquet(f"{root}/t").collect()}
+    def total(stream, root):
+        return ST.start_changes_sink(ST.logs_total(parse_logs(stream, columns=["service", "level"])), f"{root}/t", f"{root}/c", AVAILABLE_NOW)
+
+    root = replay_stream(spark, SF_SMALL, "t-state", total)
+    schema = ST.logs_total(load_logs(spark, SF_SMALL)).schema
+    got = {(r.service, r.level): r.logs_total for r in ST.read_changes(spark, f"{root}/t", schema).collect()}
     assert got == _batch_counts(spark)
-    win = ST.windowed_stream(parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"]),
-                             "1 minute", "1 minute")
-    ST.start_append_sink(win, f"{root}/w", f"{root}/c2", trigger=AVAILABLE_NOW).awaitTermination()
-    out = spark.read.parquet(f"{root}/w")
+
+    def windows(stream, root):
+        parsed = parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"])
+        return ST.start_append_sink(ST.windowed_stream(parsed, "1 minute", "1 minute"), f"{root}/w", f"{root}/c", trigger=AVAILABLE_NOW)
+
+    out = spark.read.parquet(f"{replay_stream(spark, SF_SMALL, 't-window', windows)}/w")
     logs = load_logs(spark, SF_SMALL)
     wm = logs.agg(F.max("event_ts")).collect()[0][0]
     batch = windowed_metrics(logs, "1 minute").filter(F.col("window_end") <= F.lit(wm - dt.timedelta(minutes=1)))
@@ -72,16 +88,63 @@ def test_stateful_count_and_watermark_windows(spark):
 def test_kafka_options():
     o = kafka_options("k1:9092,k2:9092")
     assert o == {"kafka.bootstrap.servers": "k1:9092,k2:9092", "subscribe": "application-logs",
-                 "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
+                 "startingOffsets": "latest", "failOnDataLoss": "true"}
+    o = kafka_options("k1:9092", **ORIGINAL_SOURCE)
+    assert (o["failOnDataLoss"], o["maxOffsetsPerTrigger"]) == ("false", "10000")
+
+
+def test_topic_sink_options():
+    class Writer:
+        def __init__(self):
+            self.set = {}
+
+        def format(self, f):
+            self.set["format"] = f
+            return self
+
+        def option(self, k, v):
+            self.set[k] = v
+            return self
+
+    w = topic_writer(Writer(), "k:9092", "t", "/ckpt").set
+    assert w == {"format": "kafka", "kafka.bootstrap.servers": "k:9092", "topic": "t", "checkpointLocation": "/ckpt"}
+
+
+def test_job_arguments(monkeypatch):
+    a = run.arguments(["--bootstrap-servers", "b:1", "--history", "h", "--checkpoint", "c"])
+    assert (a.topic, a.trigger, a.max_offsets_per_trigger, a.skip_lost_offsets) == ("application-logs", "1 second", None, False)
+    for k, v in {"BOOTSTRAP_SERVERS": "e:2", "HISTORY": "x", "CHECKPOINT": "y", "TRIGGER": "5 seconds"}.items():
+        monkeypatch.setenv(k, v)
+    a = run.arguments([])
+    assert (a.bootstrap_servers, a.history, a.checkpoint, a.trigger) == ("e:2", "x", "y", "5 seconds")
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
 
 
 def test_archive_stream_and_scan(spark):
     from logmetrics.config import LOG_COLUMNS
     from logmetrics.sources.archive import scan_archive
 
-    stream, root = stream_fixture(spark, SF_SMALL, "t-archive")
-    arch = ST.archive_stream(parse_logs(stream))
-    ST.start_append_sink(arch, f"{root}/a", f"{root}/c", partition_by=["date"], trigger=AVAILABLE_NOW).awaitTermination()
+    def start(stream, root):
+        return ST.start_append_sink(ST.archive_stream(parse_logs(stream)), f"{root}/a", f"{root}/c", partition_by=["date"], trigger=AVAILABLE_NOW)
+
+    root = replay_stream(spark, SF_SMALL, "t-archive", start)
     back = scan_archive(spark, f"{root}/a").select(*LOG_COLUMNS)
     logs = load_logs(spark, SF_SMALL).select(*LOG_COLUMNS)
     assert back.exceptAll(logs).count() == 0 and logs.exceptAll(back).count() == 0
@@ -92,16 +155,23 @@ def test_archive_stream_and_scan(spark):
     assert one_day.count() == logs.filter(F.col("timestamp").startswith("2024-01-05")).count()
 
 
-def test_synth_stream_feeds_the_parser(spark):
-    from logmetrics.sources.streams import synth_stream
-
-    root = scratch_path(spark, "t-synth")
-    parsed = parse_logs(synth_stream(spark, 200), columns=["level", "service", "response_time_ms"])
-    q = ST.start_append_sink(parsed, f"{root}/out", f"{root}/c", trigger={"processingTime": "1 second"})
-    try:
-        q.awaitTermination(6)
-    finally:
-        q.stop()
-    out = spark.read.parquet(f"{root}/out")
-    assert out.count() > 0
-    assert out.filter(F.col("level").isNull() | F.col("service").isNull()).count() == 0
+def test_archive_writes_are_repeatable_and_retention_is_exact(spark):
+    t = dt.datetime(2024, 3, 1, 12)
+    ages = [dt.timedelta(days=6, hours=23), dt.timedelta(days=7), dt.timedelta(days=7, microseconds=1), dt.timedelta(days=30), dt.timedelta(days=31)]
+    logs = spark.createDataFrame([(i, t - a) for i, a in enumerate(ages)], "i int, event_ts timestamp_ntz")
+    tiers = {r.i: r.tier for r in retention_tiers(logs, as_of=t).collect()}
+    assert tiers == {0: "topic", 1: "topic", 2: "hot", 3: "hot", 4: "archive"}
+    root = scratch_path(spark, "t-ret")
+    for _ in range(2):
+        split_retention(logs, f"{root}/hot", f"{root}/archive", as_of=t)
+    assert spark.read.parquet(f"{root}/hot").count() == 4 and spark.read.parquet(f"{root}/archive").count() == 1
+
+
+def test_scratch_is_dropped(spark):
+    path = scratch_path(spark, "t-gone")
+    spark.range(3).write.parquet(path)
+    kept, session._scratch[:] = list(session._scratch), [path]
+    session.drop_scratch()
+    session._scratch[:] = kept
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
