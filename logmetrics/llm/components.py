@@ -7,26 +7,27 @@ from pyspark.sql import functions as F
 
 from .common import store
 
-#: A path of n edges needs about log2(n) rounds; this allows any real graph.
-MAX_ROUNDS = 60
+#: More rounds than any graph of the operators needs.
+MAX_ROUNDS = 200
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b), of any sortable type, to (node, component): the least node that
     links reach.  Only nodes with an edge appear.
 
-    A round gives each node the least label among its own and its neighbours', then the
-    label of its label, which halves the distance to the least one.  Labels are stored
-    after each round; hubs are summed by partial aggregates, and joins on them can be
-    split, since no step needs a hub's neighbours in one place."""
-    both = store(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
+    In a round each node takes the least of its own and its neighbours' labels, as one
+    aggregate over the labels sent along the edges and the node's own.  Labels are stored
+    after each round; hubs are summed by partial aggregates, and the join on them can be
+    split, since no step needs a hub's neighbours in one place.  Rounds are as many as
+    the longest way to a component's least node; the operators here make edges to the
+    least member of a set, so ways are short."""
+    both = store(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b"), "edges")
     labels = store(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
     for _ in range(MAX_ROUNDS):
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        of = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
-        new = store(step.join(of, "label").select("node", "old", F.least("label", "jump").alias("label")), "labels")
-        if new.where("old <> label").isEmpty():
-            return new.select("node", F.col("label").alias("component"))
+        sent = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("old"))
+        own = labels.select("node", "label", F.col("label").alias("old"))
+        new = store(sent.union(own).groupBy("node").agg(F.min("label").alias("label"), F.min("old").alias("old")), "labels")
         labels = new.select("node", "label")
+        if new.where("old <> label").isEmpty():
+            return labels.withColumnRenamed("label", "component")
     raise RuntimeError("components did not settle")

@@ -185,47 +185,44 @@ def _verify(rows: pd.DataFrame, size: int, threshold: float) -> pd.DataFrame:
         np.add.at(got, pairs[:, 1], copies[pairs[:, 0]])
         keys = unit["key"].to_numpy()
         at = np.flatnonzero(got)
-        out.append(pd.DataFrame({"key": keys[at], "n": got[at], "root": keys[_roots(len(unit), pairs)[at]]}))
-    return pd.concat(out) if out else pd.DataFrame({"key": [], "n": np.zeros(0, dtype=np.int64), "root": []})
+        whole = bool((unit["blocks"] == 1).all())
+        out.append(pd.DataFrame({"key": keys[at], "n": got[at], "root": keys[_roots(len(unit), pairs)[at]], "whole": whole}))
+    return pd.concat(out) if out else pd.DataFrame({"key": [], "n": np.zeros(0, dtype=np.int64), "root": [], "whole": np.zeros(0, dtype=bool)})
 
 
 def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, threshold: float = THRESHOLD, forest: Forest | None = None, block: int = BLOCK):
     """(rows, classes): ``rows`` (doc_id, key); ``classes`` (key, least_id, copies,
-    n_links, group_id, at_least) of every class with copies or links, where ``n_links``
-    counts the other rows linked with a row of the class, ``group_id`` is the least id
-    that links reach, and ``at_least`` the number of rows with the class's least id."""
+    n_links, group_id) of every class with copies or links, where ``n_links`` counts the
+    other rows linked with a row of the class, and ``group_id`` is the least id that
+    links reach."""
     forest = forest or Forest(threshold=threshold)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = store(signatures(docs, "text", forest, size).select("doc_id", "key", "trees"), "signatures")
     classes = store(
         rows.where("key is not null")
-        .groupBy("key", "doc_id")
-        .agg(F.count("*").alias("n"), F.first("trees").alias("trees"))
         .groupBy("key")
-        .agg(F.min("doc_id").alias("least_id"), F.sum("n").alias("copies"), F.coalesce(F.min_by("n", "doc_id"), F.sum("n")).alias("at_least"), F.first("trees").alias("trees"))
+        .agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.first("trees").alias("trees"))
         .withColumn("node", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")),
         "classes",
     )
     # The forest: members of a subtree are tied to its least member.
     labels = classes.select("node", F.explode("trees").alias("label"))
     subtrees = labels.groupBy("label").agg(F.min("node").alias("root"), F.max("node").alias("top")).where("root < top").select("label", "root")
-    ties = labels.join(subtrees, "label").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
+    ties = labels.join(subtrees, "label").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     groups = components(ties).withColumnRenamed("component", "grp")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    members = store(
-        classes.drop("trees", "at_least").join(groups, "node").join(sizes, "grp").select("key", "least_id", "copies", "grp", "members"), "members"
-    )
+    members = store(groups.join(sizes, "grp").join(classes.drop("trees"), "node").select("key", "least_id", "copies", "grp", "members"), "members")
     # Verification units: pairs of blocks of large groups, small groups bundled.
     n_bundles = max(1, -(-members.count() // block))
     blocks = F.ceil(F.col("members") / block).cast("int")
     own = F.when(F.col("members") <= block, F.lit(0)).otherwise(F.pmod(F.hash("key"), blocks))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-    texts = docs.join(members, F.col("doc_id").eqNullSafe(F.col("least_id")))
+    texts = docs.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
     units = (
         texts.withColumn("blocks", F.greatest(F.lit(1), blocks))
         .withColumn("block", own)
         .withColumn("pair", F.explode(pairs))
-        .select("key", "copies", "grp", "block", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), F.col("text").cast("binary").alias("text"), "members")
+        .select("key", "copies", "grp", "block", "blocks", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), F.col("text").cast("binary").alias("text"), "members")
         .withColumn("unit", F.when(F.col("members") <= block, F.pmod(F.xxhash64("grp"), F.lit(n_bundles))).otherwise(F.xxhash64("grp", "i", "j")))
         .drop("members")
     )
@@ -233,15 +230,21 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     def verify(unit: tuple[Any, ...], part: pd.DataFrame) -> pd.DataFrame:
         return _verify(part, size, threshold)
 
-    found = store(units.groupBy("unit").applyInPandas(verify, "key binary, n bigint, root binary"), "links")
-    linked = found.groupBy("key").agg(F.sum("n").alias("links"))
-    joined = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")
-    known = classes.drop("trees", "node").join(linked, "key", "left").join(joined, "key", "left").where("copies > 1 or links is not null")
-    known = store(known.withColumn("component", F.coalesce("component", "key")), "known")
+    found = store(units.groupBy("unit").applyInPandas(verify, "key binary, n bigint, root binary, whole boolean"), "links")
+    linked = found.groupBy("key").agg(F.sum("n").alias("links"), F.min("root").alias("root"))
+    known = classes.drop("trees", "node").join(linked, "key", "left").where("copies > 1 or links is not null")
+    # A unit that is a whole group names its components; blocks have to be tied first.
+    parts = found.where("not whole").select(F.col("key").alias("a"), F.col("root").alias("b"))
+    if parts.isEmpty():
+        known = known.withColumn("component", F.coalesce("root", "key"))
+    else:
+        joined = components(parts).withColumnRenamed("node", "key")
+        known = known.join(joined, "key", "left").withColumn("component", F.coalesce("component", "root", "key"))
+    known = store(known, "known")
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id")).alias("first")
     firsts = known.groupBy("component").agg(first).select("component", F.col("first.least_id").alias("group_id"))
     links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
-    out = known.join(firsts, "component").select("key", "least_id", "copies", links.alias("n_links"), "group_id", "at_least")
+    out = known.join(firsts, "component").select("key", "least_id", "copies", links.alias("n_links"), "group_id")
     return rows.select("doc_id", "key"), store(out, "similar")
 
 
@@ -264,7 +267,7 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how)
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
     """``docs`` with one row of each group of similar texts: that with the least id.  All
     rows without words stay."""
-    _, classes = similar_classes(docs, text, doc_id, **how)
+    members, classes = similar_classes(docs, text, doc_id, **how)
     key, mark = fresh(docs, "key"), fresh(docs, "mark")
     stay = classes.select(F.col("key").alias(mark), F.col("least_id").alias(f"{mark}least"), F.col("group_id").alias(f"{mark}grp"))
     rows = signatures(docs, text, None, 0, into=(key, ""))
@@ -273,9 +276,8 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **h
     joined = rows.join(stay, F.col(key) == F.col(mark), "left")
     kept = joined.where(F.col(mark).isNull() | F.col(doc_id).eqNullSafe(F.col(f"{mark}grp")))
     # Several rows may share a group's least id; only then is a further step needed.
-    mine = classes.where(F.col("least_id").eqNullSafe(F.col("group_id")))
-    twins = store(mine.groupBy("group_id").agg(F.sum("at_least").alias("n")).where("n > 1"), "twins")
-    if not twins.isEmpty():
+    first = members.join(classes, "key").where(F.col("doc_id").eqNullSafe(F.col("group_id")))
+    if not first.groupBy("group_id").count().where("count > 1").isEmpty():
         alone = kept.where(F.col(mark).isNull())
         kept = alone.unionByName(kept.where(F.col(mark).isNotNull()).dropDuplicates([f"{mark}grp"]))
     return kept.select(*docs.columns)
