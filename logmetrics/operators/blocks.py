@@ -1,17 +1,12 @@
-"""Ordered per-series computations that never put a whole series in one task.
+"""An ordered per-series computation that never puts a whole series in one task.
 
 A window ``PARTITION BY series ORDER BY ts`` sends every row of a series to one task,
-so one hot series would become one huge task.  These helpers split each series into
-time blocks (``PARTITION BY series, block``).  What crosses a block edge comes from a
-small per-block table (one row per series and block) and enters the block as one
-extra *carry* row that sorts before (or after) the block's own rows:
-
-* running sum: the carry holds the sum of all earlier blocks;
-* previous value: the carry holds the last value of the previous block;
-* next value: the carry holds the first value of the next block.
-
-The carry rows are unioned into the same window partition and dropped afterwards, so
-the large side is shuffled exactly once (for the window) and never joined.
+so one hot series would become one huge task.  ``blocked_lead`` splits each series into
+time blocks (``PARTITION BY series, block``).  The first value of the next block comes
+from a small per-block table (one row per series and block) and enters the block as one
+extra *carry* row that sorts after the block's own rows and is dropped afterwards, so
+the large side is shuffled exactly once (for the window) and never joined.  With no
+series columns, all rows are one series, whose block table is ordered in one task.
 """
 
 from __future__ import annotations
@@ -43,32 +38,6 @@ def _with_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str], ts_col: str
     return d.withColumn("_carry_row", F.lit(False)).unionByName(c, allowMissingColumns=True)
 
 
-def blocked_running_sum(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, out: str,
-                        block: str | int = BLOCK) -> DataFrame:
-    """``out`` = sum of ``value_col`` over all rows of the series with ts <= this row's ts."""
-    keys = list(keys)
-    d = with_block(df, ts_col, block)
-    totals = d.groupBy(*keys, "_blk").agg(F.sum(value_col).alias("_tot"))
-    before = _series_window(keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, "_blk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_c"))
-    u = _with_carry(d, carry, keys, ts_col, value_col)
-    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col("_carry_row").desc(), F.col(ts_col))
-         .rowsBetween(Window.unboundedPreceding, 0))
-    return u.withColumn(out, F.sum(value_col).over(w)).filter(~F.col("_carry_row")).drop("_carry_row", "_blk")
-
-
-def blocked_lag(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, out: str,
-                block: str | int = BLOCK) -> DataFrame:
-    """``out`` = ``value_col`` of the previous row of the series (null for the first)."""
-    keys = list(keys)
-    d = with_block(df, ts_col, block)
-    lasts = d.groupBy(*keys, "_blk").agg(F.max_by(value_col, ts_col).alias("_last"))
-    carry = lasts.select(*keys, "_blk", F.lag("_last").over(_series_window(keys).orderBy("_blk")).alias("_c"))
-    u = _with_carry(d, carry, keys, ts_col, value_col)
-    w = Window.partitionBy(*keys, "_blk").orderBy(F.col("_carry_row").desc(), F.col(ts_col))
-    return u.withColumn(out, F.lag(value_col).over(w)).filter(~F.col("_carry_row")).drop("_carry_row", "_blk")
-
-
 def blocked_lead(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, out: str,
                  block: str | int = BLOCK) -> DataFrame:
     """``out`` = ``value_col`` of the next row of the series (null for the last)."""

@@ -81,41 +81,84 @@ def _clip(df: DataFrame, start, end, ts: str = "ts") -> DataFrame:
     return df
 
 
-def cumulative_samples(counts: DataFrame, keys: Sequence[str], step: str, values: Sequence[str] = ("n",),
-                       outs: Sequence[str] = ("value",), start=None, end=None, block: str = BLOCK) -> DataFrame:
-    """Cumulative series at every step from per-step counts ``(labels, ts, values)``.
+def _blocks_of(step: str, block: str):
+    """Start of the block that holds a time; blocks hold whole steps."""
+    s_us, b_us = interval_micros(step), interval_micros(block)
+    b_us = max(s_us, b_us - b_us % s_us)
+    return b_us, lambda us: us - F.pmod(us, F.lit(b_us))
 
-    ``start`` and ``end`` (step-aligned) bound the evaluation.  The counts (one row per
-    series and active step, independent of log volume) are stored once, since end of
-    data, series starts, block totals and values all come from them.  Steps are made
-    block by block and summed within their block; a block starts from the sum of all
-    earlier ones."""
+
+def _padded_samples(counts: DataFrame, keys: Sequence[str], step: str, values: Sequence[str], outs: Sequence[str],
+                    start, end, block: str, pad: int) -> DataFrame:
+    """Cumulative series at every step, in time blocks that also hold the steps of the
+    ``pad`` microseconds before them: (labels, _blk, _us, outs).
+
+    Steps, counts and a base row per block meet in one window: the base holds the sum of
+    all earlier blocks, less the counts that the block's pad brings again."""
     keys, values, outs = list(keys), list(values), list(outs)
     counts = materialize(counts.select(*keys, "ts", *values), "step-counts")
     counts = _clip(counts, start, end)
     last = counts.agg(F.max("ts")).scalar() if end is None else ntz_literal(end)
     starts = counts.groupBy(*keys).agg(F.min("ts").alias("start"))
-    s_us, b_us = interval_micros(step), interval_micros(block)
-    b_us = max(s_us, b_us - b_us % s_us)
-
-    def blk(us: Column) -> Column:
-        return us - F.pmod(us, F.lit(b_us))
-
+    b_us, blk = _blocks_of(step, block)
     us = epoch_micros("ts")
     zeros = [F.lit(0).cast("long").alias(v) for v in values]
-    grid = grid_points(starts, keys, last, step, block)
-    steps = grid.select(*keys, us.alias("_us"), *zeros, F.lit(True).alias("_step"))
-    data = counts.select(*keys, us.alias("_us"), *values, F.lit(False).alias("_step"))
-    # One row per series and block, with the sum of all earlier blocks.
-    all_blocks = starts.select(*keys, F.explode(F.sequence(blk(epoch_micros("start")), blk(epoch_micros(last)), F.lit(b_us))).alias("_blk"), *zeros)
+
+    def padded(df: DataFrame) -> DataFrame:
+        own = F.sequence(blk(F.col("_us")), blk(F.col("_us") + F.lit(pad)), F.lit(b_us))
+        return df.withColumn("_blk", F.explode(own))
+
+    steps = padded(grid_points(starts, keys, last, step, block).select(*keys, us.alias("_us"), *zeros, F.lit(True).alias("_step")))
+    data = padded(counts.select(*keys, us.alias("_us"), *values, F.lit(False).alias("_step")))
+    base_us = F.col("_blk") - F.lit(pad + 1)
+    again = data.filter(blk(F.col("_us")) != F.col("_blk")).select(*keys, base_us.alias("_us"), *[(-F.col(v)).alias(v) for v in values], "_step", "_blk")
+    all_blocks = starts.select(*keys, F.explode(F.sequence(blk(epoch_micros("start")), blk(epoch_micros(last) + F.lit(pad)), F.lit(b_us))).alias("_blk"), *zeros)
     totals = all_blocks.unionByName(counts.select(*keys, blk(us).alias("_blk"), *values)).groupBy(*keys, "_blk").agg(*[F.sum(v).alias(v) for v in values])
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, (F.col("_blk") - 1).alias("_us"), *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(v) for v in values],
-                          F.lit(False).alias("_step"), "_blk")
-    rows = steps.unionByName(data).withColumn("_blk", blk(F.col("_us"))).unionByName(carry)
+    base = totals.select(*keys, base_us.alias("_us"), *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(v) for v in values], F.lit(False).alias("_step"), "_blk")
+    rows = steps.unionByName(data).unionByName(again).unionByName(base)
     upto = Window.partitionBy(*keys, "_blk").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
     sums = [F.sum(v).over(upto).cast("double").alias(o) for v, o in zip(values, outs, strict=True)]
-    return rows.select(*keys, "_us", "_step", *sums).filter("_step").select(*keys, from_epoch_micros(F.col("_us")).alias("ts"), *outs)
+    return rows.select(*keys, "_blk", "_us", "_step", *sums).filter("_step").drop("_step")
+
+
+def cumulative_samples(counts: DataFrame, keys: Sequence[str], step: str, values: Sequence[str] = ("n",),
+                       outs: Sequence[str] = ("value",), start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """Cumulative series at every step from per-step counts ``(labels, ts, values)``.
+
+    ``start`` and ``end`` (step-aligned) bound the evaluation.  The counts (one row per
+    series and active step, independent of log volume) are stored once, since end of
+    data, series starts, block totals and values all come from them."""
+    rows = _padded_samples(counts, keys, step, values, outs, start, end, block, 0)
+    return rows.select(*keys, from_epoch_micros(F.col("_us")).alias("ts"), *outs)
+
+
+def cumulative_range(counts: DataFrame, keys: Sequence[str], range_: str, step: str, values: Sequence[str] = ("n",),
+                     outs: Sequence[str] = ("value",), start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """``counter_range`` of cumulative series that have a sample at every step and never
+    drop: the first sample of a range stands a fixed number of rows back, in the same
+    padded block, so samples are shuffled and sorted once for both questions."""
+    keys, outs = list(keys), list(outs)
+    r_us, s_us = interval_micros(range_), interval_micros(step)
+    early = None if start is None else F.timestamp_add("MICROSECOND", F.lit(-r_us), ntz_literal(start))
+    rows = _padded_samples(counts, keys, step, values, outs, early, end, block, r_us)
+    _, blk = _blocks_of(step, block)
+    w = Window.partitionBy(*keys, "_blk").orderBy("_us")
+    back = r_us // s_us
+    nth = F.row_number().over(w)
+    firsts = [F.when(F.col("_i") > back, F.col(f"_lag_{o}")).otherwise(F.col(f"_top_{o}")).alias(f"first_{o}") for o in outs]
+    rows = rows.select(
+        "*", nth.alias("_i"), *[F.lag(o, back).over(w).alias(f"_lag_{o}") for o in outs],
+        *[F.first(o).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_top_{o}") for o in outs],
+    )
+    n = F.least(F.col("_i"), F.lit(back + 1)).cast("long")
+    mine = blk(F.col("_us")) == F.col("_blk")
+    if start is not None:
+        mine = mine & (F.col("_us") >= epoch_micros(ntz_literal(start)))
+    return rows.filter(mine).select(
+        *keys, F.col("_us").alias("t_us"), n.alias("n"), (F.col("_us") - (n - 1) * F.lit(s_us)).alias("first_us"), F.col("_us").alias("last_us"),
+        *firsts, *[F.col(o).alias(f"last_{o}") for o in outs], *[F.lit(0.0).alias(f"resets_{o}") for o in outs],
+    )
 
 
 def counter_samples(logs: DataFrame, step: str, keys: Sequence[str] = ("service", "level"),
@@ -126,65 +169,46 @@ def counter_samples(logs: DataFrame, step: str, keys: Sequence[str] = ("service"
 
 
 def counter_range(samples: DataFrame, keys: Sequence[str], range_: str, step: str, values: Sequence[str] = ("value",),
-                  start=None, end=None, on_grid: bool = False, block: str = BLOCK) -> DataFrame:
+                  start=None, end=None, block: str = BLOCK) -> DataFrame:
     """Per (labels, t): what the range functions need of the samples in [t - range, t]:
     ``t_us, n, first_us, last_us`` and per value column ``first_*, last_*, resets_*``.
 
     ``t`` runs over the step grid from a series' first sample, or ``start``, to ``end``
-    (by default the last sample time of the table).  ``on_grid`` says that every t has
-    its own sample and that counters never drop, as ``counter_samples`` makes them.
-    Samples of a series with equal times count as one, the largest."""
+    (by default the last sample time of the table).  Samples of a series with equal times
+    count as one, the largest."""
     keys, values = list(keys), list(values)
-    r_us, s_us, b_us = interval_micros(range_), interval_micros(step), interval_micros(block)
-    b_us = max(s_us, b_us - b_us % s_us)
-
-    def blk(us: Column) -> Column:
-        return us - F.pmod(us, F.lit(b_us))
-
+    r_us, s_us = interval_micros(range_), interval_micros(step)
+    b_us, blk = _blocks_of(step, block)
     d = samples
     if end is not None:
         d = d.filter(F.col("ts") <= ntz_literal(end))
     if start is not None:
         d = d.filter(F.col("ts") >= from_epoch_micros(epoch_micros(ntz_literal(start)) - F.lit(r_us)))
-    d = d.select(*keys, epoch_micros("ts").alias("_us"), *values)
-    if not on_grid:
-        d = d.groupBy(*keys, "_us").agg(*[F.max(v).alias(v) for v in values])
-    own = F.array_distinct(F.sequence(blk(F.col("_us")), blk(F.col("_us") + F.lit(r_us)), F.lit(b_us)))
-    rows = d.withColumn("_eval", F.lit(on_grid)).withColumn("_blk", F.explode(own))
-    if not on_grid:
-        starts = samples.groupBy(*keys).agg(F.min("ts").alias("_s"))
-        first = epoch_micros("_s") if start is None else F.greatest(epoch_micros("_s"), epoch_micros(ntz_literal(start)))
-        starts = starts.select(*keys, from_epoch_micros(first + F.pmod(-first, F.lit(s_us))).alias("start"))
-        last = samples.agg(F.max("ts")).scalar() if end is None else ntz_literal(end)
-        times = grid_points(starts, keys, last, step, block).select(*keys, epoch_micros("ts").alias("_us"))
-        nulls = [F.lit(None).cast(samples.schema[v].dataType).alias(v) for v in values]
-        rows = rows.unionByName(times.select(*keys, "_us", *nulls, F.lit(True).alias("_eval"), blk(F.col("_us")).alias("_blk")))
+    d = d.groupBy(*keys, epoch_micros("ts").alias("_us")).agg(*[F.max(v).alias(v) for v in values])
+    own = F.sequence(blk(F.col("_us")), blk(F.col("_us") + F.lit(r_us)), F.lit(b_us))
+    rows = d.withColumn("_eval", F.lit(False)).withColumn("_blk", F.explode(own))
+    starts = samples.groupBy(*keys).agg(F.min("ts").alias("_s"))
+    first = epoch_micros("_s") if start is None else F.greatest(epoch_micros("_s"), epoch_micros(ntz_literal(start)))
+    starts = starts.select(*keys, from_epoch_micros(first + F.pmod(-first, F.lit(s_us))).alias("start"))
+    last = samples.agg(F.max("ts")).scalar() if end is None else ntz_literal(end)
+    times = grid_points(starts, keys, last, step, block).select(*keys, epoch_micros("ts").alias("_us"))
+    nulls = [F.lit(None).cast(samples.schema[v].dataType).alias(v) for v in values]
+    rows = rows.unionByName(times.select(*keys, "_us", *nulls, F.lit(True).alias("_eval"), blk(F.col("_us")).alias("_blk")))
     w = Window.partitionBy(*keys, "_blk").orderBy("_us")
     frame = w.rangeBetween(-r_us, 0)
-    mine = F.col("_eval") & (blk(F.col("_us")) == F.col("_blk"))
-    if start is not None:
-        mine = mine & (F.col("_us") >= epoch_micros(ntz_literal(start)))
     v0 = F.col(values[0])
     at = F.when(v0.isNotNull(), F.col("_us"))
-    if on_grid:
-        out = rows.select(
-            *keys, "_us", "_blk", "_eval", F.count(F.lit(1)).over(frame).alias("n"), F.first("_us").over(frame).alias("first_us"), F.col("_us").alias("last_us"),
-            *[F.first(v).over(frame).alias(f"first_{v}") for v in values], *[F.col(v).alias(f"last_{v}") for v in values],
-            *[F.lit(0.0).alias(f"resets_{v}") for v in values],
-        )
-    else:
-        drops = []
-        for v in values:
-            prev = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-            drops.append(F.when(F.col(v).isNotNull(), F.when(F.col(v) < prev, prev).otherwise(F.lit(0.0))).alias(f"_c_{v}"))
-        rows = rows.select("*", *drops)
-        out = rows.select(
-            *keys, "_us", "_blk", "_eval", F.count(v0).over(frame).alias("n"), F.min(at).over(frame).alias("first_us"), F.max(at).over(frame).alias("last_us"),
-            *[F.first(v, ignorenulls=True).over(frame).alias(f"first_{v}") for v in values],
-            *[F.last(v, ignorenulls=True).over(frame).alias(f"last_{v}") for v in values],
-            *[(F.sum(f"_c_{v}").over(frame) - F.first(f"_c_{v}", ignorenulls=True).over(frame)).alias(f"resets_{v}") for v in values],
-        )
-    return out.filter(mine).withColumnRenamed("_us", "t_us").drop("_blk", "_eval")
+    drops = []
+    for v in values:
+        prev = F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        drops.append(F.when(F.col(v).isNotNull(), F.when(F.col(v) < prev, prev).otherwise(F.lit(0.0))).alias(f"_c_{v}"))
+    out = rows.select("*", *drops).select(
+        *keys, F.col("_us").alias("t_us"), "_eval", F.count(v0).over(frame).alias("n"), F.min(at).over(frame).alias("first_us"), F.max(at).over(frame).alias("last_us"),
+        *[F.first(v, ignorenulls=True).over(frame).alias(f"first_{v}") for v in values],
+        *[F.last(v, ignorenulls=True).over(frame).alias(f"last_{v}") for v in values],
+        *[(F.sum(f"_c_{v}").over(frame) - F.first(f"_c_{v}", ignorenulls=True).over(frame)).alias(f"resets_{v}") for v in values],
+    )
+    return out.filter("_eval").drop("_eval")
 
 
 def _increase(value: str = "value") -> Column:
@@ -192,10 +216,10 @@ def _increase(value: str = "value") -> Column:
 
 
 def counter_increase(samples: DataFrame, keys: Sequence[str], range_: str, step: str, value: str = "value",
-                     start=None, end=None, on_grid: bool = False, block: str = BLOCK) -> DataFrame:
+                     start=None, end=None, block: str = BLOCK) -> DataFrame:
     """Reset-aware increase inside each range (last - first + the value before each
     drop), without extrapolation; needs two samples in the range."""
-    st = counter_range(samples, keys, range_, step, [value], start, end, on_grid, block).filter(F.col("n") >= 2)
+    st = counter_range(samples, keys, range_, step, [value], start, end, block).filter(F.col("n") >= 2)
     return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), "n", _increase(value).alias("increase"))
 
 
@@ -218,20 +242,26 @@ def extrapolated(range_: str, per_second: bool, value: str = "value") -> Column:
 
 
 def counter_rate(samples: DataFrame, keys: Sequence[str], range_: str, step: str, value: str = "value",
-                 start=None, end=None, on_grid: bool = False, block: str = BLOCK) -> DataFrame:
+                 start=None, end=None, block: str = BLOCK) -> DataFrame:
     """Per-second rate of a counter over ``range_`` at every ``step`` (needs two samples
     in the range; otherwise the series has no value at t)."""
-    st = counter_range(samples, keys, range_, step, [value], start, end, on_grid, block).filter(F.col("n") >= 2)
+    st = counter_range(samples, keys, range_, step, [value], start, end, block).filter(F.col("n") >= 2)
     return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), extrapolated(range_, True, value).alias("rate"))
 
 
+def log_increase(logs: DataFrame, range_: str, step: str, keys: Sequence[str] = ("service", "level"), time_col: str = "event_ts",
+                 start=None, end=None, block: str = BLOCK) -> DataFrame:
+    """``counter_increase`` of ``counter_samples``, straight from raw logs."""
+    st = cumulative_range(step_counts(logs, step, keys, time_col), keys, range_, step, start=start, end=end, block=block).filter(F.col("n") >= 2)
+    return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), "n", _increase().alias("increase"))
+
+
 def log_rates(logs: DataFrame, range_: str, step: str, keys: Sequence[str] = ("service", "level"), time_col: str = "event_ts",
               start=None, end=None, block: str = BLOCK) -> DataFrame:
-    """``rate(logs_produced_total[range])`` straight from raw logs, at every step from
-    ``start`` to ``end``; samples are made from one range before the start on."""
-    early = None if start is None else F.timestamp_add("MICROSECOND", F.lit(-interval_micros(range_)), ntz_literal(start))
-    samples = counter_samples(logs, step, keys, time_col, early, end, block)
-    return counter_rate(samples, keys, range_, step, start=start, end=end, on_grid=True, block=block)
+    """``rate(logs_produced_total[range])``, straight from raw logs, at every step from
+    ``start`` to ``end``."""
+    st = cumulative_range(step_counts(logs, step, keys, time_col), keys, range_, step, start=start, end=end, block=block).filter(F.col("n") >= 2)
+    return st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), extrapolated(range_, True).alias("rate"))
 
 
 def sum_rates(rates: DataFrame, by: Sequence[str] = (), value: str = "rate", out: str = "value") -> DataFrame:

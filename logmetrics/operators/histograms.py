@@ -18,16 +18,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logmetrics.functions.time import bucket_end, from_epoch_micros, interval_micros, ntz_literal
+from logmetrics.functions.time import bucket_end, from_epoch_micros
 from logmetrics.operators.blocks import BLOCK
-from logmetrics.operators.counters import counter_range, cumulative_samples, extrapolated, label_cols
+from logmetrics.operators.counters import cumulative_range, cumulative_samples, extrapolated, label_cols
 
 INF = float("inf")
 
 
 def _bucket_counts(value: Column, bounds: Sequence[float]) -> list[Column]:
-    return [F.count_if(value <= F.lit(float(b))).alias(f"_b{i}") for i, b in enumerate(bounds)] + [
-        F.count(value).alias(f"_b{len(bounds)}")
+    return [F.count_if(value <= F.lit(float(b))).alias(f"b{i}") for i, b in enumerate(bounds)] + [
+        F.count(value).alias(f"b{len(bounds)}")
     ]
 
 
@@ -43,21 +43,24 @@ def histogram(df: DataFrame, value: Column, bounds: Sequence[float], keys: Seque
     agg = df.groupBy(*keys).agg(*_bucket_counts(scaled, bounds), total.alias("sum_value"),
                                 F.count(value).alias("count_value"))
     les = [*map(float, bounds), INF]
-    pairs = F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"_b{i}").alias("bucket_count")) for i, le in
+    pairs = F.array(*[F.struct(F.lit(le).alias("le"), F.col(f"b{i}").alias("bucket_count")) for i, le in
                       enumerate(les)])
     return agg.select(*keys, F.inline(pairs), "sum_value", "count_value")
 
 
+def bucket_step_counts(df: DataFrame, value: Column, bounds: Sequence[float], step: str, keys: Sequence[str] = (),
+                       time_col: str = "event_ts") -> DataFrame:
+    """Cumulative bucket counts per step, one column per bucket: (keys, ts, b0, b1, ..).
+    All buckets of a series start and are scraped together, so they are one row."""
+    return df.filter(F.col(time_col).isNotNull()).groupBy(*label_cols(list(keys)), bucket_end(time_col, step).alias("ts")).agg(*_bucket_counts(value, bounds))
+
+
 def histogram_samples(df: DataFrame, value: Column, bounds: Sequence[float], step: str, keys: Sequence[str] = (),
                       time_col: str = "event_ts", start=None, end=None, block: str = BLOCK) -> DataFrame:
-    """Bucket counters scraped at every step, one column per bucket: (keys, ts, b0, b1, ..).
-    All buckets of a series start and are scraped together, so they are one row."""
-    keys = list(keys)
-    per_step = df.filter(F.col(time_col).isNotNull()).groupBy(
-        *label_cols(keys), bucket_end(time_col, step).alias("ts")
-    ).agg(*_bucket_counts(value, bounds))
-    n = len(bounds) + 1
-    return cumulative_samples(per_step, keys, step, [f"_b{i}" for i in range(n)], [f"b{i}" for i in range(n)], start, end, block)
+    """Bucket counters as scraped at every step: (keys, ts, b0, b1, ..)."""
+    names = [f"b{i}" for i in range(len(bounds) + 1)]
+    counts = bucket_step_counts(df, value, bounds, step, keys, time_col)
+    return cumulative_samples(counts, list(keys), step, names, names, start, end, block)
 
 
 def quantile_from_buckets(df: DataFrame, q: float, buckets: str, out: str) -> DataFrame:
@@ -111,10 +114,9 @@ def latency_quantile_ms(df: DataFrame, q: float, step: str, range_: str, keys: S
     """``histogram_quantile(q, rate(latency_seconds_bucket[range])) * 1000`` from raw logs,
     at every step from ``start`` to ``end``."""
     seconds = F.col(latency_ms) / F.lit(1000.0)
-    early = None if start is None else F.timestamp_add("MICROSECOND", F.lit(-interval_micros(range_)), ntz_literal(start))
-    samples = histogram_samples(df, seconds, bounds, step, keys, start=early, end=end, block=block)
     names = [f"b{i}" for i in range(len(bounds) + 1)]
-    st = counter_range(samples, keys, range_, step, names, start, end, True, block).filter(F.col("n") >= 2)
+    counts = bucket_step_counts(df, seconds, bounds, step, keys)
+    st = cumulative_range(counts, keys, range_, step, names, names, start, end, block).filter(F.col("n") >= 2)
     pairs = F.array(*[F.struct(F.lit(le).alias("le"), extrapolated(range_, True, b).alias("v")) for le, b in zip([*map(float, bounds), INF], names, strict=True)])
     rates = st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), pairs.alias("_bk"))
     qs = quantile_from_buckets(rates, q, "_bk", "_q")

@@ -183,10 +183,6 @@ SHORT_RANGE, LONG_RANGE = "1 minute", "5 minutes"
 SERIES = ("service", "level")
 
 
-def fixture_counter(spark, sf_dir, keys):
-    return C.counter_samples(load_logs(spark, sf_dir), SCRAPE_INTERVAL, keys)
-
-
 def fixture_rates(spark, sf_dir, range_, keys=SERIES):
     return C.log_rates(load_logs(spark, sf_dir), range_, SCRAPE_INTERVAL, keys)
 
@@ -197,12 +193,12 @@ def rounded(df, *cols):
 
 @register("counter_samples")
 def q_counter_samples(spark, sf_dir):
-    return fixture_counter(spark, sf_dir, ["service"])
+    return C.counter_samples(load_logs(spark, sf_dir), SCRAPE_INTERVAL, ["service"])
 
 
 @register("counter_increase")
 def q_counter_increase(spark, sf_dir):
-    return C.counter_increase(fixture_counter(spark, sf_dir, ["level"]), ["level"], SHORT_RANGE, SCRAPE_INTERVAL, on_grid=True)
+    return C.log_increase(load_logs(spark, sf_dir), SHORT_RANGE, SCRAPE_INTERVAL, ["level"])
 
 
 @register("counter_rate")

@@ -12,8 +12,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from logmetrics.session import build_session
+    from logmetrics.session import build_session, drop_scratch
 
     s = build_session(master="local[4]", shuffle_partitions=4, app="logmetrics-tests")
     yield s
+    drop_scratch()
     s.stop()

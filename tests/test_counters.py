@@ -141,3 +141,15 @@ def test_significant(spark):
     df = spark.createDataFrame([(1.23456789012e-7,), (float("nan"),), (None,), (0.0,), (-5e20 / 3,)], "x double")
     got = [r.y for r in df.select(significant(F.col("x")).alias("y")).collect()]
     assert got[0] == 1.23456789e-7 and math.isnan(got[1]) and got[2] is None and got[3] == 0.0 and got[4] == -1.66666667e20
+
+
+def test_log_ranges_equal_the_general_operator(spark):
+    logs = spark.createDataFrame([(T0 + dt.timedelta(seconds=11 * i * i % 1900), f"s{i % 2}", "INFO") for i in range(90)], "event_ts timestamp_ntz, service string, level string")
+    keys = ["service", "level"]
+    dense = C.counter_samples(logs, "15 seconds")
+    for block in ("1 day", "90 seconds"):
+        a = {(r.service, r.ts): r.rate for r in C.log_rates(logs, "1 minute", "15 seconds", block=block).collect()}
+        b = {(r.service, r.ts): r.rate for r in C.counter_rate(dense, keys, "1 minute", "15 seconds").collect()}
+        assert set(a) == set(b) and all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
+        a = {tuple(r) for r in C.log_increase(logs, "1 minute", "15 seconds", block=block).collect()}
+        assert a == {tuple(r) for r in C.counter_increase(dense, keys, "1 minute", "15 seconds").collect()}
