@@ -4,8 +4,8 @@ A filter is a direction on the sphere; a vector belongs to it if their inner pro
 exceeds a bound, that is, if it lies in a cap around it.  Directions form structured
 random product codes: each of ``CODES`` codes turns the space at random, cuts it in two
 halves and has signed orthonormal columns of random turns as code words of either half; a
-direction is a pair of code words.  List decoding sorts the inner products of each half
-and walks only pairs whose sum exceeds the bound.  Vectors that share a filter are
+direction is a pair of code words.  List decoding keeps the words of either half that
+could exceed the bound with the other half's best, and tries the pairs of those.  Vectors that share a filter are
 compared, and pairs of cosine ``THRESHOLD`` or more, in double precision, are links.
 
 The bound follows from the number of vectors, so that a filter has about ``MEMBERS`` of
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from statistics import NormalDist
 from typing import Any
 
 import numpy as np
@@ -41,23 +40,33 @@ from .components import components
 from .ngram_join import _roots
 
 THRESHOLD = 0.9
-MEMBERS = 24
-SHARED = 8.0
-CODES = 4
+MEMBERS = 32
+SHARED = 14.0
+CODES = 8
 BLOCK = 512
 
 
-def _share_given_member(z: float, cosine: float) -> float:
-    """P(a vector at this cosine is in a cap | the other one is), for normal projections
-    and a bound of ``z`` standard deviations."""
-    norm = NormalDist()
-    total = weight = 0.0
-    for k in range(400):
-        x = z + (k + 0.5) * 0.01
-        p = math.exp(-(x * x - z * z) / 2)
-        total += p * (1 - norm.cdf((z - cosine * x) / math.sqrt(1 - cosine * cosine)))
-        weight += p
-    return total / weight
+def _tail(dim: int, at: np.ndarray) -> np.ndarray:
+    """P(one coordinate of a random direction >= ``at``), by the density
+    (1 - s^2)^((dim - 3) / 2) on a fine grid."""
+    s = np.linspace(-1, 1, 200_001)
+    mid = (s[1:] + s[:-1]) / 2
+    upto = np.concatenate([[0.0], np.cumsum((1 - mid * mid) ** ((dim - 3) / 2))])
+    return 1 - np.interp(at, s, upto / upto[-1])
+
+
+def cap_bound(dim: int, share: float) -> float:
+    """Inner product that a share of all directions exceeds."""
+    s = np.linspace(-1, 1, 200_001)
+    return float(np.interp(-share, -_tail(dim, s), s))
+
+
+def share_of_partners(dim: int, bound: float, cosine: float) -> float:
+    """P(a vector at this cosine is in a cap | the other one is)."""
+    s = np.linspace(bound, 1, 4001)[:-1]
+    weight = (1 - s * s) ** ((dim - 3) / 2)
+    need = (bound - cosine * s) / np.sqrt((1 - cosine * cosine) * (1 - s * s))
+    return float((weight * _tail(dim - 1, np.clip(need, -1, 1))).sum() / weight.sum())
 
 
 class Caps:
@@ -66,8 +75,9 @@ class Caps:
     def __init__(self, dim: int, n: int, threshold: float = THRESHOLD, members: float = MEMBERS, shared: float = SHARED, codes: int = CODES, seed: int = 6):
         self.dim, self.codes = dim, codes
         share = min(0.02, members / max(n, 1))
-        self.bound = -NormalDist().inv_cdf(share)  # in standard deviations of a projection
-        per_vector = shared / _share_given_member(self.bound, threshold)
+        like = max(dim, 4)  # fewer dimensions have no such density; theirs is rougher
+        self.bound = cap_bound(like, share)
+        per_vector = shared / share_of_partners(like, self.bound, threshold)
         self.half = max(1, dim // 2)
         self.words = max(2, math.ceil(math.sqrt(per_vector / codes / share)))
         rng = np.random.default_rng([seed, dim])
@@ -91,18 +101,16 @@ class Caps:
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """Sorted filter numbers of each unit vector (rows)."""
         found = [[] for _ in unit]
-        # A direction is (u, v) / sqrt(2); a projection has standard deviation 1/sqrt(dim).
-        bound = self.bound * math.sqrt(2 / self.dim)
+        bound = self.bound * math.sqrt(2)  # a direction is (u, v) / sqrt(2)
         for c in range(self.codes):
             x = unit @ self.turns[c]
             a, b = x[:, : self.half] @ self.left[c].T, x[:, self.half :] @ self.right[c].T
-            order = np.argsort(-b, axis=1)
+            most_a, most_b = a.max(axis=1, initial=0), b.max(axis=1, initial=0)
             for i in range(len(unit)):
-                row = b[i, order[i]]
-                tops = np.flatnonzero(a[i] + row[0] >= bound)
-                counts = np.searchsorted(-row, a[i, tops] - bound, side="right")
-                for u, n in zip(tops.tolist(), counts.tolist(), strict=True):
-                    found[i].append((c * self.words + u) * self.words + order[i, :n])
+                us, vs = np.flatnonzero(a[i] >= bound - most_b[i]), np.flatnonzero(b[i] >= bound - most_a[i])
+                if len(us) and len(vs):
+                    p, q = np.nonzero(a[i, us][:, None] + b[i, vs] >= bound)
+                    found[i].append((c * self.words + us[p]) * self.words + vs[q])
         return [np.sort(np.concatenate(f)).astype(np.int64) if f else np.zeros(0, dtype=np.int64) for f in found]
 
 
@@ -204,9 +212,11 @@ def similar(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     n_bundles = max(1, -(-(caps.agg(F.sum("members")).first()[0] or 0) // (4 * block)))
     blocks = F.ceil(F.col("members") / block).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
+    # Which filters matter is worked out on keys alone; vectors then travel once.
+    shared = classes.select("key", F.explode("filters").alias("filter")).join(caps, "filter").groupBy("key").agg(F.collect_list(F.struct("filter", "members")).alias("shared"))
     units = (
-        classes.select("key", "copies", "unit", "filters", F.explode("filters").alias("filter"))
-        .join(caps, "filter")
+        classes.join(shared, "key")
+        .select("key", "copies", "unit", "filters", F.inline("shared"))
         .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.hash("key"), F.col("blocks")))
         .withColumn("pair", F.explode(pairs))
