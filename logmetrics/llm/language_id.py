@@ -11,8 +11,9 @@ The trees of all languages share their nodes, so one walk finds the longest cont
 all of them: since no context is longer than ``ORDER`` bytes, walking the last ``ORDER``
 bytes from the root does, for all positions at once.
 
-Bounds.  The trees are fitted on ``TEXTS_PER_LANGUAGE`` texts a language of at most
-``MAX_TRAIN_CHARS`` characters, drawn by a hash of the id; the frozen table has
+Bounds.  The trees of the ``MAX_LANGUAGES`` languages with most rows are fitted on
+``TEXTS_PER_LANGUAGE`` texts each of at most ``MAX_TRAIN_CHARS`` characters, drawn by a
+hash of the id; the frozen table has
 ``MAX_CELLS`` cells.  Prediction is one narrow scan of whole texts, without a shuffle.
 
 Cases.  Null texts and those without a letter are ``und`` with score 0; without any
@@ -38,6 +39,8 @@ MAX_TRAIN_CHARS = 20_000
 MIN_COUNT = 4
 #: Nodes x symbols x languages of the frozen table (float32).
 MAX_CELLS = 4_000_000
+#: Languages that are learned: those with the most rows.
+MAX_LANGUAGES = 100
 _CHUNK = 1 << 20
 UNDETERMINED = "und"
 
@@ -159,7 +162,8 @@ def fit(docs: DataFrame, train, text: str = "text", lang: str = "lang", doc_id:
     """Learn from the rows of ``docs`` with a language for which the condition ``train``
     holds: a draw by a hash of the id, whose rate per language comes from a count."""
     rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= MAX_TRAIN_CHARS))
-    n = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
+    sizes = rows.groupBy(F.col(lang).alias("lang")).count()
+    n = {r[0]: r[1] for r in sizes.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
     if not n:
         return None
     draw = F.pmod(F.xxhash64(F.col(doc_id), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)

@@ -25,4 +25,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN pos USING (r) LEFT JOIN it USING (r)
 """
 
-LLM_ORACLE = {"op5_decontamination": _OP5}
+_OP4 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 4), ' ') AS k
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+common AS (SELECT a.r AS i, b.r AS j, count(*) AS c FROM s a JOIN s b USING (k) WHERE a.r <> b.r GROUP BY ALL),
+link AS (SELECT i, j FROM common JOIN n x ON x.r = i JOIN n y ON y.r = j WHERE c / (x.n + y.n - c) >= 0.8::DOUBLE),
+reach(r, t) AS (SELECT r, r FROM d UNION SELECT reach.r, link.j FROM reach JOIN link ON link.i = reach.t),
+grp AS (SELECT reach.r, min(d.doc_id) AS group_id FROM reach JOIN d ON d.r = reach.t GROUP BY reach.r),
+deg AS (SELECT i AS r, count(*) AS n_links FROM link GROUP BY i)
+SELECT doc_id, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY w) ELSE doc_id END AS class_id,
+       coalesce(n_links, 0) AS n_links, group_id, group_id IS NOT DISTINCT FROM doc_id AS kept
+FROM d JOIN grp USING (r) LEFT JOIN deg USING (r)
+"""
+
+_OP6 = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT r, v FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+link AS (SELECT a.r AS i, b.r AS j FROM u a JOIN u b ON a.r <> b.r AND len(a.v) = len(b.v)
+         WHERE list_cosine_similarity(a.v, b.v) >= 0.9::DOUBLE),
+reach(r, t) AS (SELECT r, r FROM e UNION SELECT reach.r, link.j FROM reach JOIN link ON link.i = reach.t),
+comp AS (SELECT reach.r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.t GROUP BY reach.r),
+deg AS (SELECT i AS r, count(*) AS n_links FROM link GROUP BY i)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id IS NOT DISTINCT FROM vec_id AS kept
+FROM e JOIN comp USING (r) LEFT JOIN deg USING (r)
+"""
+
+LLM_ORACLE = {"op4_ngram_join": _OP4, "op5_decontamination": _OP5, "op6_embedding_dedup": _OP6}
