@@ -23,6 +23,7 @@ the end and unknown words.  Repeated rows are scored row by row."""
 from __future__ import annotations
 
 from collections import Counter
+from itertools import repeat
 from typing import Any
 
 import numpy as np
@@ -84,11 +85,11 @@ class Vocabulary:
         self.known, self.n, self.v = known, n, v
         words = self.network_words(known)
         self.number = {w: i for i, w in enumerate(words)}
-        self.endings = {e: k for k, e in enumerate(sorted(endings))}
+        self.endings = {e: k for k, e in enumerate(sorted({b"", *endings}))}
         size = len(words)
         start = np.array([*range(0, size, CLASS_WORDS), size] if size else [0], dtype=np.int64)
         self.layout = gru.Layout(start, len(start) - 1 + len(self.endings))
-        tail = np.array([endings[e] for e in sorted(endings)], dtype=np.float64).reshape(-1, 2)
+        tail = np.array([endings.get(e, (0, 0)) for e in self.endings], dtype=np.float64).reshape(-1, 2)
         self.tail_log = np.log10(tail[:, 0] + SMOOTH * (tail[:, 1] + 1))
         self.word_counts = np.array([known[w] for w in words], dtype=np.float64)
         fine = np.add.reduceat(self.word_counts, start[:-1]) if size else np.zeros(0)
@@ -99,8 +100,28 @@ class Vocabulary:
         return sorted(known, key=lambda w: (-known[w], w))[:VOCABULARY]
 
     def network_ids(self, words: list[bytes]) -> np.ndarray:
-        get, ends, other, base = self.number.get, self.endings, self.endings.get(b"", 0), len(self.number)
-        return np.array([i if (i := get(w)) is not None else base + ends.get(w[-2:], other) for w in words], dtype=np.int64)
+        return _NetworkIds(self)(words)
+
+
+class _Endings:
+    """Input number of a word that the network does not know: its ending's."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.first, self.places = len(vocabulary.number), vocabulary.endings
+
+    def __call__(self, word: bytes) -> int:
+        return self.first + self.places.get(word[-2:], self.places[b""])
+
+
+class _NetworkIds:
+    """Input numbers of words, without the dictionary of counts."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.number, self.ending = vocabulary.number, _Endings(vocabulary)
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        get, ending = self.number.get, self.ending
+        return np.array([i if (i := get(w)) is not None else ending(w) for w in words], dtype=np.int64)
 
 
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -156,7 +177,7 @@ def _tree_average(rows: DataFrame) -> np.ndarray | None:
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id") -> gru.Params:
     """Rounds of local training and averaging over ``docs`` (training rows only)."""
     ship(docs.sparkSession)
-    layout = vocabulary.layout
+    layout, ids_of = vocabulary.layout, _NetworkIds(vocabulary)
     params = gru.initial(layout, vocabulary.class_counts, vocabulary.word_counts)
     share = max(1 / SHARE, min(1.0, LEAST_TOKENS / max(1, vocabulary.n)))
     for k in range(ROUNDS):
@@ -165,7 +186,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str
         flat = params.flat
 
         def scan(batches, flat=flat, rate=RATES[k]):
-            texts = [vocabulary.network_ids(tokens(t.as_py())) for batch in batches for t in batch.column(0)]
+            texts = [ids_of(tokens(t.as_py())) for batch in batches for t in batch.column(0)]
             n = sum(map(len, texts))
             if n:
                 p = gru.train(gru.Params(layout, flat), layout, texts, rate)
@@ -182,31 +203,34 @@ def _scan_fields(vocabulary: Vocabulary, flat: np.ndarray):
     layout = vocabulary.layout
     base_log = float(np.log10(vocabulary.n + SMOOTH * (vocabulary.v + 1)))
 
+    # One look-up per token: a word's place, or -1, leads to its other numbers.
+    places = sorted(vocabulary.known)
+    logs = np.log10(np.array([vocabulary.known[w] for w in places] + [1.0]) + SMOOTH)
+    logs[-1] = 0.0  # words beyond the dictionary come in later
+    ids_of = vocabulary.network_ids(places)
+    tail_log, n_words, ending, n_places = vocabulary.tail_log, len(vocabulary.number), _Endings(vocabulary), len(places)
+    packed = b"\n".join(places)  # words hold no white space
+
     def make():
         p = gru.Params(layout, flat)
-        known = vocabulary.known
-        log_of = {w: float(np.log10(c + SMOOTH)) for w, c in known.items()}
-        n_words = len(vocabulary.number)
-        tail_log = vocabulary.tail_log.tolist()
+        get = {w: i for i, w in enumerate(packed.split(b"\n") if n_places else [])}.get
 
         def work(texts):
             ids, n_tokens, n_known, base, tail, further = [], [], [], [], [], []
             for t in texts:
                 of = tokens(t)
-                mine = vocabulary.network_ids(of)
-                logs = [log_of.get(w) for w in of]
-                missing = Counter(w for w, x in zip(of, logs, strict=True) if x is None)
-                some = sum(x for x in logs if x is not None)
-                out = 0.0  # words told apart by counts within their ending's class
-                for i in np.flatnonzero(mine >= n_words).tolist():
-                    x = logs[i]
-                    out += (x if x is not None else 0.0) - tail_log[mine[i] - n_words]
-                n = len(of)
-                ids.append(mine)
-                n_tokens.append(n)
-                n_known.append(n - missing.total())
-                base.append(some - n * base_log)
-                tail.append(out)
+                at = np.fromiter(map(get, of, repeat(-1)), dtype=np.int64, count=len(of))
+                mine, log = ids_of[at] if n_places else np.zeros(len(of), dtype=np.int64), logs[at]
+                gone = np.flatnonzero(at < 0).tolist()
+                missing = Counter([of[i] for i in gone])
+                number = {w: ending(w) for w in missing}
+                mine[gone] = [number[of[i]] for i in gone]
+                beyond = mine >= n_words  # told apart by counts within their ending's class
+                ids.append(mine.astype(np.int32))
+                n_tokens.append(len(of))
+                n_known.append(len(of) - len(gone))
+                base.append(float(log.sum()) - len(of) * base_log)
+                tail.append(float((log[beyond] - tail_log[mine[beyond] - n_words]).sum()))
                 further.append([{"word": w, "n": k} for w, k in missing.items()])
             ll = gru.score(p, layout, ids) / np.log(10)
             return [n_tokens, n_known, base, (ll + np.array(tail)).tolist(), further]
@@ -228,7 +252,7 @@ def score(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, params: gr
     names = [c for c in docs.columns if c != text]
     packed = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(text).alias("text")).withColumn("rid", F.monotonically_increasing_id())
     fields, make = _scan_fields(vocabulary, params.flat)
-    scanned = store(add_from_text(packed, fields, make, "text", as_bytes=True, slice_bytes=32 << 20).drop("text"), "scored")
+    scanned = store(add_from_text(packed, fields, make, "text", as_bytes=True, slice_bytes=16 << 20).drop("text"), "scored")
     further = scanned.select("rid", F.explode("further").alias("x")).select("rid", F.col("x.word").alias("word"), F.col("x.n").alias("n"))
     found = further.join(counts, "word", "left").groupBy("rid").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known")
