@@ -61,11 +61,11 @@ class Model:
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         # Symbols with ORDER edges before each text; an empty text stays one edge run.
         raw = np.frombuffer(edge + edge.join(t for t in texts), dtype=np.uint8)
-        x = self.symbol_of[raw]
+        x = self.symbol_of.astype(np.uint8)[raw]
         starts = np.cumsum(np.concatenate([[ORDER], sizes[:-1] + ORDER]))
         for a, n in zip(starts.tolist(), sizes.tolist(), strict=True):
             x[a - ORDER : a] = 0
-        owner = np.repeat(np.arange(len(texts)), sizes + ORDER)
+        bounds = np.append(starts - ORDER, len(x))  # a text's edges and bytes
         for a in range(ORDER, len(x), _CHUNK):
             b = min(len(x), a + _CHUNK)
             node = np.zeros(b - a, dtype=np.int64)
@@ -74,7 +74,9 @@ class Model:
             now = x[a:b]
             real = now != 0
             cost = flat_bits[(node * n_sym + now)[real]]
-            who = owner[a:b][real]
+            first, last = np.searchsorted(bounds, [a, b - 1], side="right") - 1
+            cut = np.clip(bounds[first : last + 2], a, b)
+            who = np.repeat(np.arange(first, last + 1), np.diff(cut))[real]
             if len(who):
                 cuts = np.flatnonzero(np.diff(who)) + 1
                 at = np.concatenate([[0], cuts])

@@ -44,9 +44,28 @@ BLOCK = 256
 #: Columns of one dense multiplication in verification.
 _COLUMNS = 4096
 
+#: Bytes of a text that are hashed at once.
+_AT_ONCE = 1 << 20
+
+
 def shingles(plain: bytes, size: int = SHINGLE) -> np.ndarray:
     """64-bit hashes of the runs of ``size`` words of ``plain``, whose words stand one
-    space apart; a rolling polynomial hash gives every run from two prefix sums."""
+    space apart.  A long text goes in parts that share ``size`` - 1 words."""
+    out, at = [], 0
+    while len(plain) - at > _AT_ONCE:
+        cut = back = plain.rfind(b" ", at, at + _AT_ONCE)
+        for _ in range(size - 1):
+            back = plain.rfind(b" ", at, max(back, at))
+        if back <= at:  # words as long as a part
+            break
+        out.append(_shingles(plain[at:cut], size))
+        at = back + 1
+    out.append(_shingles(plain[at:], size))
+    return np.concatenate(out)
+
+
+def _shingles(plain: bytes, size: int) -> np.ndarray:
+    """A rolling polynomial hash gives every run from two prefix sums."""
     if not plain:
         return np.zeros(0, dtype=np.uint64)
     raw = np.frombuffer(plain, dtype=np.uint8)
@@ -273,7 +292,7 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **h
     rows = signatures(docs, text, None, 0, into=(key, ""))
     # Rows without words get a key of their own, so they meet nothing and no hot key.
     rows = rows.withColumn(key, F.coalesce(F.col(key), F.concat(F.lit(b"\x00"), F.unhex(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))))))
-    joined = rows.join(stay, F.col(key) == F.col(mark), "left")
+    joined = rows.join(stay.hint("merge"), F.col(key) == F.col(mark), "left")
     kept = joined.where(F.col(mark).isNull() | F.col(doc_id).eqNullSafe(F.col(f"{mark}grp")))
     # Several rows may share a group's least id; only then is a further step needed.
     first = members.join(classes, "key").where(F.col("doc_id").eqNullSafe(F.col("group_id")))

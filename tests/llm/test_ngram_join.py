@@ -109,6 +109,14 @@ def test_shingles_are_position_free():
     assert len(n.shingles(b"a b")) == 1 and len(n.shingles(b"")) == 0
 
 
+def test_shingles_of_long_texts_in_parts(monkeypatch):
+    text = b" ".join(b"w%d" % (i * i % 97) for i in range(500)) + b" " + b"x" * 90 + b" a b c d e f"
+    whole = n.shingles(text)
+    for most in (20, 64, 333):
+        monkeypatch.setattr(n, "_AT_ONCE", most)
+        assert (n.shingles(text) == whole).all()
+
+
 def test_empty(spark):
     assert n.report(empty_docs(spark)).count() == 0
     assert n.one_of_each(empty_docs(spark)).count() == 0
