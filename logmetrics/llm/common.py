@@ -25,15 +25,22 @@ SLICE_BYTES = 4 << 20
 Field = tuple[str, str, pa.DataType]  # column name, Spark type, Arrow type
 
 
+#: Rows of an Arrow batch: some megabytes of texts of usual length.
+ROWS_AT_ONCE = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, as ``--py-files`` would,
-    so that tasks can import it wherever the driver was started."""
+    so that tasks can import it wherever the driver was started; and, unless the session
+    has its own setting, bound the rows of a batch that go to a task's Python at once,
+    since a row here is a whole text."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
+    if spark.conf.get(_BATCH_ROWS) == "10000":  # Spark's default suits short rows
+        spark.conf.set(_BATCH_ROWS, str(ROWS_AT_ONCE))
     root = Path(__file__).resolve().parents[2]
     folder = tempfile.mkdtemp(prefix="logmetrics-")  # only the driver reads it, to serve it
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -82,6 +89,22 @@ def slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def split_text(text: bytes, most: int) -> Iterator[bytes]:
+    """A long text in parts of about ``most`` bytes, cut after white space only, so that
+    no word is cut; a longer word stays whole."""
+    at = 0
+    while len(text) - at > most:
+        cut = max(text.rfind(b" ", at, at + most), text.rfind(b"\n", at, at + most))
+        if cut < 0:
+            ahead = [x for x in (text.find(b" ", at + most), text.find(b"\n", at + most)) if x >= 0]
+            if not ahead:
+                break
+            cut = min(ahead)
+        yield text[at : cut + 1]
+        at = cut + 1
+    yield text[at:]
+
+
 def add_from_text(
     df: DataFrame,
     fields: Sequence[Field],
