@@ -34,3 +34,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def ranges_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte range, never 0, whatever its place."""
+    sums, down = prefix_sums(raw)
+    h = mix((sums[ends] - sums[starts]) * down[starts]) ^ (ends - starts).astype(np.uint64)
+    h[h == 0] = 1
+    return h
+
+
+class HashTable:
+    """Hashes (not 0) to the numbers in which they were added: open addressing with
+    linear probing, looked up many at a time."""
+
+    def __init__(self, capacity: int):
+        self.bits = max(8, (2 * capacity - 1).bit_length())
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)  # 0: free
+        self.entry = np.zeros(1 << self.bits, dtype=np.int32)
+        self.n = 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each hash, or -1."""
+        out = np.full(len(h), -1, dtype=np.int64)
+        left = np.arange(len(h))
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(left):
+            key = self.keys[slot]
+            hit = key == h[left]
+            out[left[hit]] = self.entry[slot[hit]]
+            more = ~hit & (key != 0)
+            left, slot = left[more], (slot[more] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def add(self, h: np.ndarray) -> None:
+        """Add distinct hashes that are not in the table."""
+        mask = (1 << self.bits) - 1
+        for key, slot in zip(h, (h >> np.uint64(64 - self.bits)).tolist(), strict=True):
+            while self.keys[slot]:
+                slot = (slot + 1) & mask
+            self.keys[slot] = key
+            self.entry[slot] = self.n
+            self.n += 1

@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_from_text, fresh, ship, store
-from .hashing import mix, prefix_sums
+from .common import add_from_text, fresh, ship, slices, split_text, store
+from .hashing import HashTable, ranges_hash
 
 CAPACITY = 2048
 END_ID = 0
 GROUP = 8192
-#: Places for pieces in a task's table of token ids (about 60 bytes each).
-CACHE_PIECES = 3_000_000
+#: Places for pieces in a task's table of token ids (about 40 bytes each).
+CACHE_PIECES = 2_000_000
 #: Bytes of text that are looked up at once; they stay in the processor's cache.
 _AT_ONCE = 1 << 19
 TOKENIZER = "word_bpe_49k.json"
@@ -68,10 +68,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.bits = max(8, (2 * self.capacity - 1).bit_length())
-        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)  # 0: free
-        self.entry = np.zeros(1 << self.bits, dtype=np.int32)
-        self.n = 0
+        self.table = HashTable(self.capacity)
         self.at = np.zeros(1024, dtype=np.int64)  # entry -> place of its ids
         self.size = np.zeros(1024, dtype=np.int64)
         self.ids = np.zeros(4096, dtype="<u4")
@@ -80,36 +77,18 @@ class Encoder:
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Entry of each hash, or -1: linear probing, all hashes at once."""
-        out = np.full(len(h), -1, dtype=np.int64)
-        left = np.arange(len(h))
-        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        while len(left):
-            key = self.keys[slot]
-            hit = key == h[left]
-            out[left[hit]] = self.entry[slot[hit]]
-            more = ~hit & (key != 0)
-            left, slot = left[more], (slot[more] + 1) & ((1 << self.bits) - 1)
-        return out
-
     def _add(self, h: np.ndarray, ids: list[np.ndarray]) -> None:
         sizes = np.array([len(x) for x in ids], dtype=np.int64)
         flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
-        for name, used, more in (("at", self.n, len(ids)), ("size", self.n, len(ids)), ("ids", self.n_ids, len(flat))):
+        n = self.table.n
+        for name, used, more in (("at", n, len(ids)), ("size", n, len(ids)), ("ids", self.n_ids, len(flat))):
             old = getattr(self, name)
             if used + more > len(old):
                 setattr(self, name, np.concatenate([old[:used], np.zeros(max(used, more) + more, dtype=old.dtype)]))
         self.ids[self.n_ids : self.n_ids + len(flat)] = flat
-        self.at[self.n : self.n + len(ids)] = self.n_ids + np.cumsum(sizes) - sizes
-        self.size[self.n : self.n + len(ids)] = sizes
-        mask = (1 << self.bits) - 1
-        for k, (key, slot) in enumerate(zip(h, (h >> np.uint64(64 - self.bits)).tolist(), strict=True)):
-            while self.keys[slot]:
-                slot = (slot + 1) & mask
-            self.keys[slot] = key
-            self.entry[slot] = self.n + k
-        self.n += len(ids)
+        self.at[n : n + len(ids)] = self.n_ids + np.cumsum(sizes) - sizes
+        self.size[n : n + len(ids)] = sizes
+        self.table.add(h)
         self.n_ids += len(flat)
 
     def _learn(self, words: list[str]) -> list[np.ndarray]:
@@ -140,12 +119,24 @@ class Encoder:
             return None
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        plain = [self._plain(t or "") for t in texts]
-        known = self._encode_plain([p or b"" for p in plain])
-        return [k if p is not None else self._raw([t])[0] for t, p, k in zip(texts, plain, known, strict=True)]
+        """Ids of each text as little-endian 32-bit bytes; long plain texts go in parts,
+        which white space separates, so tables stay small."""
+        out: list[bytes] = []
+        parts, owner = [], []
+        for i, t in enumerate(texts):
+            plain = self._plain(t or "")
+            out.append(self._raw([t])[0] if plain is None else b"")
+            of = [] if plain is None else list(split_text(plain, _AT_ONCE))
+            parts += of
+            owner += [i] * len(of)
+        found: list[list[bytes]] = [[] for _ in texts]
+        for a, b in slices(np.array([len(x) for x in parts], dtype=np.int64), _AT_ONCE):
+            for i, x in zip(owner[a:b], self._encode_plain(parts[a:b]), strict=True):
+                found[i].append(x)
+        return [b"".join(f) if f else o for f, o in zip(found, out, strict=True)]
 
     def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
-        if self.n > self.capacity // 2:
+        if self.table.n > self.capacity // 2:
             self._clear()
         whole = b"\n".join([*texts, b""])
         raw = np.frombuffer(whole, dtype=np.uint8)
@@ -155,18 +146,16 @@ class Encoder:
         change[1:-1] |= kind[1:] == 2
         starts = np.flatnonzero(change[:-1] & (kind > 0))
         ends = np.flatnonzero(change[1:] & (kind > 0)) + 1
-        sums, down = prefix_sums(raw)
-        h = mix((sums[ends] - sums[starts]) * down[starts]) ^ (ends - starts).astype(np.uint64)
-        h[h == 0] = 1
-        entry = self._find(h)
+        h = ranges_hash(raw, starts, ends)
+        entry = self.table.find(h)
         missing = np.flatnonzero(entry < 0)
         if len(missing):
             new, first = np.unique(h[missing], return_index=True)
-            if self.n + len(new) > self.capacity:  # one text beyond the table
+            if self.table.n + len(new) > self.capacity:  # one text beyond the table
                 return self._raw([t.decode("latin-1") for t in texts])
             spots = missing[first]
             self._add(new, self._learn([whole[a:b].decode("latin-1") for a, b in zip(starts[spots].tolist(), ends[spots].tolist(), strict=True)]))
-            entry[missing] = self._find(h[missing])
+            entry[missing] = self.table.find(h[missing])
         size = self.size[entry]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.at[entry] - upto[:-1], size) + np.arange(upto[-1])]
