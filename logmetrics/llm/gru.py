@@ -76,6 +76,8 @@ def initial(layout: Layout, class_counts: np.ndarray, word_counts: np.ndarray, s
     p.cls_b[:] = np.log(class_counts + 0.5)
     p.cls_b -= p.cls_b.mean()
     p.out_b[:] = np.log(word_counts + 0.5)
+    for a, b in zip(layout.start, layout.start[1:], strict=False):
+        p.out_b[a:b] -= p.out_b[a:b].mean()
     return p
 
 
@@ -104,15 +106,24 @@ def run(p: Params, h: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, keep: b
     return before, h, saved
 
 
+def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(logits, their exponentials, row sums); rows are shifted only if they need it,
+    since weights of usual size are far from overflow."""
+    e = np.exp(logits)
+    total = e.sum(axis=1)
+    if not np.isfinite(total).all() or (total == 0).any():
+        logits = logits - logits.max(axis=1, keepdims=True)
+        e = np.exp(logits)
+        total = e.sum(axis=1)
+    return logits, e, total
+
+
 def log_likelihood(p: Params, layout: Layout, states: np.ndarray, targets: np.ndarray, grads: Params | None = None):
     """Natural log-probability of each target's class and, within the vocabulary, word.
     With ``grads``, adds the gradient of the summed loss and returns that of the states."""
     cls = layout.class_of(targets)
     rows = np.arange(len(targets))
-    logits = states @ p.cls + p.cls_b
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
+    logits, e, total = _softmax(states @ p.cls + p.cls_b)
     out = logits[rows, cls] - np.log(total)
     d_states = None
     if grads is not None:
@@ -129,10 +140,7 @@ def log_likelihood(p: Params, layout: Layout, states: np.ndarray, targets: np.nd
             continue
         a, b = layout.start[c], layout.start[c + 1]
         hs, own = states[at], targets[at] - a
-        logits = hs @ p.out[a:b].T + p.out_b[a:b]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
+        logits, e, total = _softmax(hs @ p.out[a:b].T + p.out_b[a:b])
         k = np.arange(len(at))
         out[at] += logits[k, own] - np.log(total)
         if grads is not None:

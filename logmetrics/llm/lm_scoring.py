@@ -23,7 +23,6 @@ the end and unknown words.  Repeated rows are scored row by row."""
 from __future__ import annotations
 
 from collections import Counter
-from itertools import repeat
 from typing import Any
 
 import numpy as np
@@ -33,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import add_from_text, fold, fresh, ship, store
+from .common import add_from_text, fold, fresh, ship, slices, split_text, store
+from .hashing import HashTable, ranges_hash
 
 END = b""
 SMOOTH = 0.1
@@ -44,6 +44,11 @@ ENDINGS = 48
 ROUNDS, SHARE, LEAST_TOKENS = 3, 64, 1_000_000
 RATES = (0.02, 0.012, 0.006)
 _FLUSH = 300_000
+#: Bytes of text that are looked up at once.
+_AT_ONCE = 1 << 19
+#: Bytes of words (1) and white space (0).
+_WORD = np.ones(256, dtype=np.int8)
+_WORD[[9, 10, 11, 12, 13, 32]] = 0
 _FAN = 32
 
 
@@ -203,7 +208,7 @@ def _scan_fields(vocabulary: Vocabulary, flat: np.ndarray):
     layout = vocabulary.layout
     base_log = float(np.log10(vocabulary.n + SMOOTH * (vocabulary.v + 1)))
 
-    # One look-up per token: a word's place, or -1, leads to its other numbers.
+    # One look-up per token, by a 64-bit hash: a word's place, or -1, leads to its numbers.
     places = sorted(vocabulary.known)
     logs = np.log10(np.array([vocabulary.known[w] for w in places] + [1.0]) + SMOOTH)
     logs[-1] = 0.0  # words beyond the dictionary come in later
@@ -213,25 +218,56 @@ def _scan_fields(vocabulary: Vocabulary, flat: np.ndarray):
 
     def make():
         p = gru.Params(layout, flat)
-        get = {w: i for i, w in enumerate(packed.split(b"\n") if n_places else [])}.get
+        raw = np.frombuffer(b"\n" + packed + b"\n", dtype=np.uint8)
+        edges = np.flatnonzero(raw == 10)
+        table = HashTable(n_places)
+        if n_places:  # an empty place is the end of a text
+            table.add(ranges_hash(raw, edges[:-1] + 1, edges[1:]))
+
+        def look_up(parts, last):
+            """Per part of a text: its network ids, log counts and words beyond the
+            dictionary.  Words, and an empty range after a text's last part for its end,
+            are byte ranges of all parts, which white space separates."""
+            whole = b"".join([t + b" \n" for t in parts])
+            raw = np.frombuffer(whole, dtype=np.uint8)
+            closing = np.cumsum([len(t) + 2 for t in parts]) - 1
+            change = np.flatnonzero(np.diff(_WORD[raw], prepend=0, append=0))
+            ends_at = closing[np.array(last, dtype=bool)]
+            starts, ends = np.concatenate([change[::2], ends_at]), np.concatenate([change[1::2], ends_at])
+            order = np.argsort(starts, kind="stable")
+            starts, ends = starts[order], ends[order]
+            at = table.find(ranges_hash(raw, starts, ends))
+            mine, log = ids_of[at] if n_places else np.zeros(len(at), dtype=np.int64), logs[at]
+            gone = np.flatnonzero(at < 0)
+            missing = [whole[a:b] for a, b in zip(starts[gone].tolist(), ends[gone].tolist(), strict=True)]
+            mine[gone] = [ending(w) for w in missing]
+            cut = np.searchsorted(starts, closing, side="right")[:-1]
+            cut_gone = np.searchsorted(gone, cut).tolist()
+            lists = [missing[a:b] for a, b in zip([0, *cut_gone], [*cut_gone, len(missing)], strict=True)]
+            return list(zip(np.split(mine.astype(np.int32), cut), np.split(log, cut), lists, strict=True))
 
         def work(texts):
+            parts, owner = [], []
+            for i, t in enumerate(texts):
+                of = list(split_text((t or b"").lower(), _AT_ONCE))
+                parts += of
+                owner += [i] * len(of)
+            last = [a != b for a, b in zip(owner, [*owner[1:], -1], strict=True)]
+            found: list[list] = [[] for _ in texts]
+            for a, b in slices(np.array([len(x) for x in parts]), _AT_ONCE):
+                for i, x in zip(owner[a:b], look_up(parts[a:b], last[a:b]), strict=True):
+                    found[i].append(x)
             ids, n_tokens, n_known, base, tail, further = [], [], [], [], [], []
-            for t in texts:
-                of = tokens(t)
-                at = np.fromiter(map(get, of, repeat(-1)), dtype=np.int64, count=len(of))
-                mine, log = ids_of[at] if n_places else np.zeros(len(of), dtype=np.int64), logs[at]
-                gone = np.flatnonzero(at < 0).tolist()
-                missing = Counter([of[i] for i in gone])
-                number = {w: ending(w) for w in missing}
-                mine[gone] = [number[of[i]] for i in gone]
+            for of in found:
+                mine, log = (of[0][0], of[0][1]) if len(of) == 1 else (np.concatenate([x[k] for x in of]) for k in (0, 1))
+                missing = Counter(w for x in of for w in x[2])
                 beyond = mine >= n_words  # told apart by counts within their ending's class
-                ids.append(mine.astype(np.int32))
-                n_tokens.append(len(of))
-                n_known.append(len(of) - len(gone))
-                base.append(float(log.sum()) - len(of) * base_log)
+                ids.append(mine)
+                n_tokens.append(len(mine))
+                n_known.append(len(mine) - missing.total())
+                base.append(float(log.sum()) - len(mine) * base_log)
                 tail.append(float((log[beyond] - tail_log[mine[beyond] - n_words]).sum()))
-                further.append([{"word": w, "n": k} for w, k in missing.items()])
+                further.append([{"word": w, "n": n} for w, n in missing.items()])
             ll = gru.score(p, layout, ids) / np.log(10)
             return [n_tokens, n_known, base, (ll + np.array(tail)).tolist(), further]
 
