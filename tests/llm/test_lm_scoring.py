@@ -138,3 +138,21 @@ def test_edges(spark):
     assert m.report(empty_docs(spark)).count() == 0
     out = m.report(docs_of(spark, [(i, None) for i in range(20)])).collect()
     assert {(r.n_tokens, r.n_known) for r in out} == {(1, 1)}
+
+
+def test_long_texts_in_parts_score_the_same(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{(i * k) % 13}" for k in range(60)) + "  ") for i in range(40)] + EDGE[:4]
+    df = docs_of(spark, docs).select("doc_id", "text")
+    counts = m.count_tokens(df)
+    v = m.build_vocabulary(counts)
+    p = gru.initial(v.layout, v.class_counts, v.word_counts)
+
+    def rows():
+        fields, make = m._scan_fields(v, p.flat)
+        out = make()([t.encode() if t is not None else None for _, t in docs])
+        return [list(map(str, x)) if k in (0, 1, 4) else np.round(x, 4).tolist() for k, x in enumerate(out)]
+
+    whole = rows()
+    monkeypatch.setattr(m, "_AT_ONCE", 17)
+    assert rows() == whole
+    assert whole[0] == [str(len(m.tokens((t or "").encode()))) for _, t in docs]
