@@ -131,16 +131,17 @@ def learn(texts: list[str], toxic: list[int], share: float) -> Model:
         return flat
     pos: Counter = Counter()
     neg: Counter = Counter()
-    for t, k in zip(folded, y, strict=True):
-        (pos if k else neg).update(_beginnings(t))
-    least = max(3, n_pos // 100)
+    for t in (t for t, k in zip(folded, y, strict=True) if k):
+        pos.update(_beginnings(t))
+    tried, least = len(pos), max(3, n_pos // 100)
+    pos = Counter({s: p for s, p in pos.items() if p >= least})
+    for t in (t for t, k in zip(folded, y, strict=True) if not k):
+        neg.update(_beginnings(t) & pos.keys())
     found = {}
     for s, p in pos.items():
-        if p < least:
-            continue
         n = neg.get(s, 0)
         w = math.log((p + 0.5) / (n_pos + 1)) - math.log((n + 0.5) / (n_neg + 1))
-        if w > math.log(8) and _chance(p, p + n, n_pos / (n_pos + n_neg)) < MAX_CHANCE / len(pos):
+        if w > math.log(8) and _chance(p, p + n, n_pos / (n_pos + n_neg)) < MAX_CHANCE / tried:
             found[s] = (w, p)
     longer = Counter()
     for s, (_, p) in found.items():
