@@ -187,14 +187,11 @@ def _verify(rows: pd.DataFrame, size: int, threshold: float) -> pd.DataFrame:
     """Links within one unit: blocks (i, j) of a candidate group, or whole small groups."""
     out = []
     for (_, i, j), unit in rows.groupby(["grp", "i", "j"], sort=False):
-        plain = [_plain(t) for t in unit["text"]]
-        right = [hashlib.md5(p, usedforsecurity=False).digest() == k for p, k in zip(plain, unit["key"], strict=True)]
-        unit = unit[right].assign(plain=[p for p, ok in zip(plain, right, strict=True) if ok])
         unit = unit.drop_duplicates("key").sort_values(["block", "key"], kind="stable")
         split = len(unit) if i == j else int((unit["block"] == i).sum())
         if split == 0 or len(unit) < 2 or (i != j and split == len(unit)):
             continue
-        sets = [np.unique(shingles(p, size)) for p in unit["plain"]]
+        sets = [np.unique(shingles(_plain(t), size)) for t in unit["text"]]
         pairs = _links(sets, split, threshold)
         if not len(pairs):
             continue
@@ -211,9 +208,10 @@ def _verify(rows: pd.DataFrame, size: int, threshold: float) -> pd.DataFrame:
 
 def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, threshold: float = THRESHOLD, forest: Forest | None = None, block: int = BLOCK):
     """(rows, classes): ``rows`` (doc_id, key); ``classes`` (key, least_id, copies,
-    n_links, group_id) of every class with copies or links, where ``n_links`` counts the
-    other rows linked with a row of the class, and ``group_id`` is the least id that
-    links reach."""
+    n_links, group_id, first) of every class with copies or links, where ``n_links`` counts
+    the other rows linked with a row of the class, ``group_id`` is the least id that
+    links reach, and ``first`` is the key of a class with that id.  Ids may be null or
+    repeated, so only ``first`` names a group surely."""
     forest = forest or Forest(threshold=threshold)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = store(signatures(docs, "text", forest, size).select("doc_id", "key", "trees"), "signatures")
@@ -236,7 +234,13 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     blocks = F.ceil(F.col("members") / block).cast("int")
     own = F.when(F.col("members") <= block, F.lit(0)).otherwise(F.pmod(F.hash("key"), blocks))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-    texts = docs.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least_id")))
+    # One text of each class, by its checksum; its least id, too, so that copies of a common
+    # text don't meet.  Rows alike in both are thinned only if there are any.
+    least = F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("key") == F.col("mark"))
+    marked = members.withColumnRenamed("key", "mark")
+    texts = signatures(docs, "text", None, size, into=("key", "")).join(marked.hint("merge"), least).drop("mark")
+    if not rows.join(marked, least).groupBy("mark").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["key"])
     units = (
         texts.withColumn("blocks", F.greatest(F.lit(1), blocks))
         .withColumn("block", own)
@@ -260,10 +264,10 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         joined = components(parts).withColumnRenamed("node", "key")
         known = known.join(joined, "key", "left").withColumn("component", F.coalesce("component", "root", "key"))
     known = store(known, "known")
-    first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id")).alias("first")
-    firsts = known.groupBy("component").agg(first).select("component", F.col("first.least_id").alias("group_id"))
+    first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key")).alias("first")
+    firsts = known.groupBy("component").agg(first).select("component", F.col("first.least_id").alias("group_id"), F.col("first.key").alias("first"))
     links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
-    out = known.join(firsts, "component").select("key", "least_id", "copies", links.alias("n_links"), "group_id")
+    out = known.join(firsts, "component").select("key", "least_id", "copies", links.alias("n_links"), "group_id", "first")
     return rows.select("doc_id", "key"), store(out, "similar")
 
 
@@ -284,21 +288,22 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how)
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` with one row of each group of similar texts: that with the least id.  All
-    rows without words stay."""
+    """``docs`` with one row of each group of similar texts: that with the least id, of
+    the least class if several have it.  All rows without words stay."""
     members, classes = similar_classes(docs, text, doc_id, **how)
     key, mark = fresh(docs, "key"), fresh(docs, "mark")
-    stay = classes.select(F.col("key").alias(mark), F.col("least_id").alias(f"{mark}least"), F.col("group_id").alias(f"{mark}grp"))
+    stay = classes.select(F.col("key").alias(mark), F.col("least_id").alias(f"{mark}least"), F.col("first").alias(f"{mark}first"))
     rows = signatures(docs, text, None, 0, into=(key, ""))
     # Rows without words get a key of their own, so they meet nothing and no hot key.
     rows = rows.withColumn(key, F.coalesce(F.col(key), F.concat(F.lit(b"\x00"), F.unhex(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))))))
     joined = rows.join(stay.hint("merge"), F.col(key) == F.col(mark), "left")
-    kept = joined.where(F.col(mark).isNull() | F.col(doc_id).eqNullSafe(F.col(f"{mark}grp")))
-    # Several rows may share a group's least id; only then is a further step needed.
-    first = members.join(classes, "key").where(F.col("doc_id").eqNullSafe(F.col("group_id")))
-    if not first.groupBy("group_id").count().where("count > 1").isEmpty():
+    chosen = (F.col(mark) == F.col(f"{mark}first")) & F.col(doc_id).eqNullSafe(F.col(f"{mark}least"))
+    kept = joined.where(F.col(mark).isNull() | chosen)
+    # Several rows of that class may share its least id; only then is a further step needed.
+    first = members.join(classes, "key").where((F.col("key") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
+    if not first.groupBy("key").count().where("count > 1").isEmpty():
         alone = kept.where(F.col(mark).isNull())
-        kept = alone.unionByName(kept.where(F.col(mark).isNotNull()).dropDuplicates([f"{mark}grp"]))
+        kept = alone.unionByName(kept.where(F.col(mark).isNotNull()).dropDuplicates([mark]))
     return kept.select(*docs.columns)
 
 

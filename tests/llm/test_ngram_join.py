@@ -91,6 +91,18 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in again.collect()) == kept
 
 
+def test_one_of_each_group_with_null_or_shared_ids(spark):
+    """Every group keeps one row, also where ids are null or two groups have the same."""
+    text = {g: " ".join(f"{g}{i}" for i in range(60)) for g in "abcde"}
+    near = {g: t + " end" for g, t in text.items()}
+    rows = [(None, text["a"]), (None, near["a"]), (None, text["b"]), (None, text["b"]), (7, text["c"]), (8, near["c"]), (7, text["d"]), (7, text["d"]), (7, near["e"]), (7, text["e"])]
+    out = sorted((r.text[0], r.doc_id) for r in n.one_of_each(docs_of(spark, rows)).collect())
+    assert out == [("a", None), ("b", None), ("c", 7), ("d", 7), ("e", 7)]
+    links, group = brute(rows)
+    want = sorted(((rows[i][0], links[i], group[i]) for i in range(len(rows))), key=str)
+    assert got(n.report(docs_of(spark, rows))) == want
+
+
 def test_depth_and_recall():
     assert 1 - (1 - 0.8 ** n.forest_depth()) ** n.TREES >= n.RECALL
     assert 1 - (1 - 0.8 ** (n.forest_depth() + 1)) ** n.TREES < n.RECALL
