@@ -5,8 +5,12 @@ negative.  A word's weight depends on the element it stands in and a tag's on it
 both are log-odds of being inside the article, learned from pages that mark theirs with
 ``article`` or ``main``, and kept to their sign.  One linear scan finds the contiguous
 region with the largest sum.  Elements that are never article text (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments), known by
-their name, role or class, score nothing and are left out of the region's text.  The text keeps every block of the region: character references decoded, white
+footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) score
+nothing and are left out of the region's text; a tag's name, its role or ``hidden`` say so
+at once.  A class or id is weighed: the share of its words that name such parts lowers
+the weight of all words in the element, and only an element whose words then weigh less
+than nothing is left out, never one that holds most words of the page or of its marked
+article.  The text keeps every block of the region: character references decoded, white
 space made one space, blocks joined by a newline.
 
 Bounds.  Weights are learned from the marked pages, of at most ``MAX_CHARS`` characters,
@@ -37,6 +41,8 @@ WORD, TAG, LEFT_OUT = 1.0, -0.25, -2.0
 #: A marked article of less than this share of the other text doesn't count as one.
 FRAGMENT = 0.25
 _INLINE_COST = -0.02
+#: Added to a word's weight if its element's class and id name nothing but such parts.
+NAMED = -1.8
 
 _TOKEN = re.compile(r"<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -54,6 +60,9 @@ NOT_ARTICLE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
+#: Words of a class or id that say nothing of its content, and those that deny the next.
+NEUTRAL = frozenset("area block body bottom box col column container content inner item items left link links list main outer page panel right section site slot top unit wrap wrapper".split())
+DENIES = frozenset("has hide hides no non not off with without".split())
 _PARTS = re.compile(r"[a-z]+")
 
 
@@ -69,38 +78,61 @@ class Weights:
         return self.tags.get(name, _INLINE_COST if name in INLINE else TAG)
 
 
-def _left_out(name: str, attributes: str) -> bool:
+def _left_out(name: str, attributes: str) -> tuple[bool, float]:
+    """Whether the element is never article text, and the weight that its class and id add
+    to its words."""
     if name in SKIPPED:
-        return True
+        return True, 0.0
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return False, 0.0
+    added = 0.0
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return True, 0.0
         if key == "role":
             if value.strip() in ROLES:
-                return True
+                return True, 0.0
         elif key in ("class", "id"):
-            spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()
-            if not NOT_ARTICLE.isdisjoint(_PARTS.findall(spaced)):
-                return True
-    return False
+            added = min(added, _named(m[2] or m[3] or m[4] or ""))
+    return False, added
+
+
+def _named(value: str) -> float:
+    """``NAMED`` times the share of words that name a part that isn't article, among those
+    that say anything."""
+    spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()
+    named = said = 0
+    for token in spaced.split():
+        parts = _PARTS.findall(token)
+        for before, part in zip(["", *parts], parts, strict=False):
+            hit = part in NOT_ARTICLE and before not in DENIES
+            named += hit
+            said += hit or part not in NEUTRAL and part not in DENIES
+    return NAMED * named / said if named else 0.0
 
 
 def parse(page: str):
-    """Tokens in page order: (kind, value, element, skipped, marked) with kind 'w' for a
-    run of text and 't' for a tag; ``marked``: inside an article or main element."""
-    stack: list[tuple[str, bool, bool]] = []  # name, skipped from here on, marked
+    """Tokens in page order: (kind, value, element, skipped, marked, added) with kind 'w'
+    for a run of text and 't' for a tag; ``marked``: inside an article or main element;
+    ``added``: what the names of its elements add to a word's weight."""
+    stack: list[tuple[str, bool, bool, int]] = []  # name, skipped from here on, marked, span or -1
+    spans: list[list] = []  # named and outermost marked elements: first token, end, added weight
     at, size = 0, len(page)
     out = []
 
+    def close(i):
+        for _, _, _, k in stack[i:]:
+            if k >= 0:
+                spans[k][1] = len(out)
+        del stack[i:]
+
     def state():
         return (stack[-1][1], stack[-1][2]) if stack else (False, False)
 
     def element():
-        for name, _, _ in reversed(stack):
+        for name, *_ in reversed(stack):
             if name not in INLINE:
                 return name
         return ""
@@ -132,25 +164,57 @@ def parse(page: str):
             skipped, marked = state()
             out.append(("t", name, "", skipped, marked))
             if depth is not None:
-                del stack[depth:]
+                close(depth)
             continue
         if name in ENDS_PARAGRAPH or name == "li":
             ends = "p" if name != "li" else "li"
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == ends:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i][0] in CONTAINERS:
                     break
         skipped, marked = state()
-        skipped = skipped or _left_out(name, attributes)
-        marked = marked or name in ("article", "main")
+        left_out, added = _left_out(name, attributes)
+        skipped = skipped or left_out
+        first, marked = not marked and name in ("article", "main"), marked or name in ("article", "main")
         out.append(("t", name, "", skipped, marked))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
             at = end.end() if end else size
         elif name not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append((name, skipped, marked))
+            spanned = not skipped and (added or first)
+            if spanned:
+                spans.append([len(out) - 1, 0, added])
+            stack.append((name, skipped, marked, len(spans) - 1 if spanned else -1))
+    close(0)
+    return _weigh_names(out, spans)
+
+
+def _weigh_names(tokens: list, spans: list[list]) -> list:
+    """Leave out the elements of ``spans`` whose words, with what their name adds, weigh
+    less than nothing; add to the words of the others.  Those that hold most words of the
+    page, or its largest marked element, count as without a name."""
+    words, tags = [0], [0.0]
+    for kind, value, _, skipped, _ in tokens:
+        words.append(words[-1] + (0 if skipped or kind == "t" else len(value.split())))
+        tags.append(tags[-1] + (0.0 if skipped or kind == "w" or value in INLINE else TAG))
+    marked = max(((words[b] - words[a], -a, b) for a, b, added in spans if not added), default=(0, 0, 0))
+    cut, more = [0] * (len(tokens) + 1), [0.0] * (len(tokens) + 1)
+    for a, b, added in spans:
+        n = words[b] - words[a]
+        if not added or 2 * n > words[-1] or marked[0] and a <= -marked[1] and b >= marked[2]:
+            continue
+        if (WORD + added) * n + tags[b] - tags[a] < 0:
+            cut[a] += 1
+            cut[b] -= 1
+        else:
+            more[a] += added
+            more[b] -= added
+    out, left, added = [], 0, 0.0
+    for (kind, value, element, skipped, mark), c, x in zip(tokens, cut, more, strict=False):
+        left, added = left + c, added + x
+        out.append((kind, value, element, skipped or left > 0, mark, added))
     return out
 
 
@@ -158,18 +222,18 @@ def scores(tokens: list, weights: Weights) -> list[float]:
     """The weight of each token.  What is left out anyway costs nothing but its tags, so
     an advert amid the article doesn't end the region.  If the page marks its article,
     and that is not a mere fragment of its text, words elsewhere are negative."""
-    words = [len(value.split()) if kind == "w" else 0 for kind, value, _, _, _ in tokens]
+    words = [len(value.split()) if kind == "w" else 0 for kind, value, *_ in tokens]
     inside = sum(n for n, t in zip(words, tokens, strict=True) if t[4] and not t[3])
     outside = sum(n for n, t in zip(words, tokens, strict=True) if not t[4] and not t[3])
     marks = inside > FRAGMENT * outside
     out = []
-    for n, (kind, value, element, skipped, marked) in zip(words, tokens, strict=True):
+    for n, (kind, value, element, skipped, marked, added) in zip(words, tokens, strict=True):
         if kind == "t":
             out.append(_INLINE_COST if skipped or marks and marked else weights.tag(value))
         elif marks and not marked:
             out.append(LEFT_OUT * n)
         else:
-            out.append(0.0 if skipped else weights.word(element) * n)
+            out.append(0.0 if skipped else (weights.word(element) + added) * n)
     return out
 
 
@@ -187,7 +251,7 @@ def extract(page: str | None, weights: Weights) -> str:
             best, best_span = total, (start, i + 1)
     blocks: list[str] = []
     block: list[str] = []
-    for kind, value, _, skipped, _ in tokens[slice(*best_span)]:
+    for kind, value, _, skipped, *_ in tokens[slice(*best_span)]:
         if kind == "w":
             if not skipped:
                 block.append(value)
@@ -205,7 +269,7 @@ def learn(pages: list[str]) -> Weights:
     inside: Counter = Counter()
     outside: Counter = Counter()
     for page in pages:
-        for kind, value, element, skipped, marked in parse(page):
+        for kind, value, element, skipped, marked, _ in parse(page):
             if not skipped:
                 (inside if marked else outside)[(kind, element if kind == "w" else value)] += len(value.split()) if kind == "w" else 1
     n_in, n_out = sum(inside.values()) + 1, sum(outside.values()) + 1

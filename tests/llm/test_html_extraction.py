@@ -43,6 +43,22 @@ def test_unmarked_page():
     assert h.extract(page, h.Weights()).startswith(TEXT) and "reader" not in h.extract(page, h.Weights())
 
 
+def test_names_are_weighed():
+    """A class or id that only mentions a menu, a sidebar or comments cuts no article."""
+    w = h.Weights()
+    text = "A first sentence with a number of words in it and then some more of them."
+    for name in ("layout has-sidebar", "post no-comments", "sidebar", "hasSidebar", "share"):
+        for inner in ("div", "article", "main"):
+            page = f'<div id="menu"><p>Home About</p></div><div class="{name}"><{inner}><p>{text}</p><p>{text}</p></{inner}></div>'
+            assert h.extract(page, w) == f"{text}\n{text}", (name, inner)
+    parts = "".join(f'<section {name}><p>{text}</p></section>' for name in ('id="related-work"', 'class="search-results"', 'class="intro"'))
+    assert h.extract(f"<div>{parts}</div>", w) == "\n".join([text] * 3)
+    small = "".join(f'<div class="{name}"><p>Few words</p></div><p>{text}</p>' for name in ("ad-slot", "comment-list", "share-buttons", "site-footer", "sidebar-left", "related-posts"))
+    assert h.extract(f"<body><p>{text}</p>{small}</body>", w) == "\n".join([text] * 7)
+    deep = '<div class="ad">' * 100 + "deep words" + "</div>" * 100
+    assert h.extract(f"<p>{text}</p>{deep}<p>{text}</p>", w) == f"{text}\n{text}"
+
+
 def test_odd_pages():
     w = h.Weights()
     assert h.extract(None, w) == h.extract("", w) == h.extract("<p></p><!-- open", w) == ""
