@@ -13,9 +13,9 @@ than nothing is left out, never one that holds most words of the page or of its
 article.  The text keeps every block of the region: character references decoded, white
 space made one space, blocks joined by a newline.
 
-Bounds.  Weights are learned from the marked pages, of at most ``MAX_CHARS`` characters,
-among about ``MAX_PAGES`` pages drawn by a hash of the id.  Extraction is one narrow scan of
-whole pages, without a shuffle.
+Bounds.  Weights are learned from ``MAX_PAGES`` marked pages of at most ``MAX_CHARS``
+characters, or all if there are fewer, drawn by a hash of the id at a rate that comes from
+their count.  Extraction is one narrow scan of whole pages, without a shuffle.
 
 Cases.  Null, empty and wordless pages give the empty text.  Unclosed tags, comments and
 elements end with their parent or the page.  Without marked pages the default weights
@@ -287,7 +287,8 @@ def learn(pages: list[str]) -> Weights:
 def fit(pages: DataFrame, text: str = "html", page_id: str = "page_id") -> Weights:
     marked = F.col(text).rlike("(?i)<(article|main)[\\s>]") & (F.length(text) <= MAX_CHARS)
     draw = F.pmod(F.xxhash64(F.col(page_id), F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    drawn = pages.where((draw < 1.5 * MAX_PAGES / max(1, pages.count())) & marked)
+    usable = pages.where(marked)
+    drawn = usable.where(draw < 1.5 * MAX_PAGES / max(1, usable.count()))
     got = drawn.select(F.col(text).alias("t"), F.xxhash64(page_id, F.lit(9)).alias("h")).orderBy("h", "t").limit(MAX_PAGES).collect()
     return learn([r["t"] for r in got])
 

@@ -72,6 +72,18 @@ def test_odd_pages():
     assert len(h.extract("<div>" * 3000 + "deep words here" + "</div>" * 3000, w)) > 0
 
 
+def test_all_marked_pages_are_used(spark, monkeypatch):
+    """Up to the bound, however few of the pages are marked."""
+    used = []
+    monkeypatch.setattr(h, "learn", lambda pages: used.append(len(pages)))
+    rows = [(i, "u", PAGE.format(extra="") if i % 100 == 0 else "<p>no mark</p>", "c", 1) for i in range(4000)]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    h.fit(pages)
+    monkeypatch.setattr(h, "MAX_PAGES", 10)
+    h.fit(pages)
+    assert used[0] == 40 and 0 < used[1] <= 10
+
+
 def test_report(spark):
     rows = [(i, f"http://x/{i}", PAGE.format(extra=""), "clash", 1) for i in range(5)]
     rows += [(7, "u", None, "c", 1), (8, None, "", "c", 1), (None, "u", "<p>words of a page</p>", "c", 1), (9, "u", f"<article><p>{LONG}</p></article>", "c", 1), (9, "u", "<p>twice</p>", "c", 1), (9, "u", "<p>twice</p>", "c", 1)]
