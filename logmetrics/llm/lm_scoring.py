@@ -7,10 +7,9 @@ bytes and is told apart there by its smoothed count.  A text's score is the log1
 probability of all its tokens, with the state carried through the whole text.
 
 Training is data-parallel: in each of ``ROUNDS`` rounds every task trains the current
-network on a share of its own training texts, and the results are averaged, weighted by
-their tokens, in a tree of bounded groups.  The share is 1 in ``SHARE`` of all training
-texts a round, or more while that is less than ``LEAST_TOKENS``; what is learned from thus
-grows with the input.
+network on all of its own training texts, and the results are averaged, weighted by their
+tokens, in a tree of bounded groups.  Every training text is thus learned from in every
+round, at every size of the input; a task holds about ``_LEARN_TOKENS`` at once.
 
 Scale.  Counting flushes bounded tables from each task and sums them by word.  Words from
 a count up, at most ``DICTIONARY``, go to all tasks; a text's other words leave the scan
@@ -23,6 +22,7 @@ the end and unknown words.  Repeated rows are scored row by row."""
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -41,9 +41,11 @@ SMOOTH = 0.1
 DICTIONARY = 200_000
 VOCABULARY, CLASS_WORDS = 1536, 64
 ENDINGS = 48
-ROUNDS, SHARE, LEAST_TOKENS = 3, 64, 1_000_000
+ROUNDS = 3
 RATES = (0.02, 0.012, 0.006)
 _FLUSH = 300_000
+#: Tokens that a task trains on at once, beyond a single longer text.
+_LEARN_TOKENS = 1 << 22
 #: Bytes of text that are looked up at once.
 _AT_ONCE = 1 << 19
 #: Bytes of words (1) and white space (0).
@@ -179,25 +181,39 @@ def _tree_average(rows: DataFrame) -> np.ndarray | None:
     return _average(got)[1] if got else None
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id") -> gru.Params:
-    """Rounds of local training and averaging over ``docs`` (training rows only)."""
+def _bounded(texts: Iterable[np.ndarray], most: int = _LEARN_TOKENS) -> Iterator[list[np.ndarray]]:
+    """Lists of texts of at most ``most`` tokens (one text at least) that cover them all."""
+    out: list[np.ndarray] = []
+    n = 0
+    for ids in texts:
+        if out and n + len(ids) > most:
+            yield out
+            out, n = [], 0
+        out.append(ids)
+        n += len(ids)
+    if out:
+        yield out
+
+
+def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> gru.Params:
+    """Rounds of local training and averaging over ``docs`` (training rows only), all rows
+    in every round."""
     ship(docs.sparkSession)
     layout, ids_of = vocabulary.layout, _NetworkIds(vocabulary)
     params = gru.initial(layout, vocabulary.class_counts, vocabulary.word_counts)
-    share = max(1 / SHARE, min(1.0, LEAST_TOKENS / max(1, vocabulary.n)))
+    rows = docs.select(F.col(text).cast("binary").alias("t"))
     for k in range(ROUNDS):
-        draw = F.pmod(F.xxhash64(F.col(key), F.lit(20 + k)), F.lit(1 << 30)) / float(1 << 30)
-        part = docs.where(draw < share).select(F.col(text).cast("binary").alias("t"))
         flat = params.flat
 
         def scan(batches, flat=flat, rate=RATES[k]):
-            texts = [ids_of(tokens(t.as_py())) for batch in batches for t in batch.column(0)]
-            n = sum(map(len, texts))
+            p, n = gru.Params(layout, flat), 0
+            for texts in _bounded(ids_of(tokens(t.as_py())) for batch in batches for t in batch.column(0)):
+                p = gru.train(p, layout, texts, rate)
+                n += sum(map(len, texts))
             if n:
-                p = gru.train(gru.Params(layout, flat), layout, texts, rate)
                 yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([p.flat.tobytes()], pa.binary())], names=["weight", "params"])
 
-        mean = _tree_average(part.mapInArrow(scan, "weight double, params binary"))
+        mean = _tree_average(rows.mapInArrow(scan, "weight double, params binary"))
         if mean is not None:
             params = gru.Params(layout, mean)
     return params

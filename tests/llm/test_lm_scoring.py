@@ -91,6 +91,31 @@ def test_training_lowers_the_loss():
     assert gru.score(gru.train(p, lay, texts * 8, 0.03), lay, texts).sum() > 0.5 * before
 
 
+def test_every_text_is_learned_from(spark, monkeypatch):
+    """A round's tokens are those of all training texts, however large the table."""
+    learned = []
+    average = m._tree_average
+
+    def seen(rows):
+        rows = m.store(rows, "seen")
+        learned.extend(r["weight"] for r in rows.collect())
+        return average(rows)
+
+    monkeypatch.setattr(m, "_tree_average", seen)
+    docs = docs_of(spark, [(i, f"aa bb cc dd{i % 9} ee" * (i % 5)) for i in range(300)] + EDGE)
+    v = m.build_vocabulary(m.count_tokens(docs))
+    n, v.n = v.n, 10**9
+    m.train(docs, v)
+    assert sum(learned) == m.ROUNDS * n
+
+
+def test_texts_in_bounded_lists():
+    texts = [np.arange(n) for n in (3, 4, 50, 0, 6, 4, 1)]
+    got = list(m._bounded(texts, 10))
+    assert [len(x) for part in got for x in part] == [3, 4, 50, 0, 6, 4, 1]
+    assert all(sum(map(len, part)) <= 10 or len(part) == 1 for part in got) and list(m._bounded([])) == []
+
+
 def held_out(i):
     return zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
 
