@@ -206,6 +206,21 @@ def q_counter_rate(spark, sf_dir):
     return fixture_rates(spark, sf_dir, SHORT_RANGE, ["service"])
 
 
+@register("counter_samples_series")
+def q_counter_samples_series(spark, sf_dir):
+    return C.counter_samples(load_logs(spark, sf_dir), SCRAPE_INTERVAL, SERIES)
+
+
+@register("counter_increase_series")
+def q_counter_increase_series(spark, sf_dir):
+    return C.log_increase(load_logs(spark, sf_dir), SHORT_RANGE, SCRAPE_INTERVAL, SERIES)
+
+
+@register("counter_rate_series")
+def q_counter_rate_series(spark, sf_dir):
+    return fixture_rates(spark, sf_dir, SHORT_RANGE)
+
+
 @register("logs_per_second")
 def q_logs_per_second(spark, sf_dir):
     return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE)), "value")

@@ -232,6 +232,11 @@ ORACLE["counter_increase"] = with_logs(
     "SELECT level, make_timestamp(t_us) AS ts, n, last_v - first_v + resets AS increase "
     "FROM st WHERE n >= 2", *_BY_LEVEL, _stats("1 minute"))
 ORACLE["counter_rate"] = with_logs("SELECT service, ts, rate FROM rates", *_BY_SERVICE, SHORT_RATES)
+ORACLE["counter_samples_series"] = with_logs("SELECT service, level, ts, value FROM samples", COUNTS, GRID, SAMPLES)
+ORACLE["counter_increase_series"] = with_logs(
+    "SELECT service, level, make_timestamp(t_us) AS ts, n, last_v - first_v + resets AS increase "
+    "FROM st WHERE n >= 2", COUNTS, GRID, SAMPLES, _stats("1 minute"))
+ORACLE["counter_rate_series"] = with_logs("SELECT service, level, ts, rate FROM rates", COUNTS, GRID, SAMPLES, SHORT_RATES)
 ORACLE["logs_per_second"] = with_logs(f"SELECT ts, {sig('sum(rate)')} AS value FROM rates GROUP BY ts",
                                       COUNTS, GRID, SAMPLES, SHORT_RATES)
 ORACLE["rate_by_service"] = with_logs(f"SELECT ts, service, {sig('sum(rate)')} AS value FROM rates GROUP BY ALL",

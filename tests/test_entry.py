@@ -31,5 +31,20 @@ def test_oracle_small(spark, name):
             assert a == b or isinstance(a, float) and math.isclose(a, b, rel_tol=1e-9), (g, w)
 
 
+@pytest.mark.parametrize("name", ["counter_samples_series", "counter_increase_series", "counter_rate_series"])
+def test_counters_per_series(spark, name, tmp_path):
+    """Every step of every (service, level) series, as the SQL has them."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
+    con.execute(f"CREATE TABLE want AS {E.oracle_sql()[name]}")
+    cols = [r[0] for r in con.execute("DESCRIBE want").fetchall()]
+    E.queries()[name](spark, SF_SMALL).select(*cols).write.parquet(f"{tmp_path}/got")
+    near = " AND ".join(f"abs(w.{c} - g.{c}) <= 1e-9 * abs(w.{c})" for c in cols[3:])
+    same = f"SELECT count(*) FROM want w JOIN '{tmp_path}/got/*.parquet' g USING (service, level, ts) WHERE {near}"
+    rows, series = con.execute("SELECT count(*), count(DISTINCT (service, level)) FROM want").fetchone()
+    assert cols[:3] == ["service", "level", "ts"] and series > 6
+    assert con.execute(same).fetchone()[0] == rows == con.execute(f"SELECT count(*) FROM '{tmp_path}/got/*.parquet'").fetchone()[0]
+
+
 def test_no_simulator_is_registered():
     assert not [q for q in E.queries() if q.startswith("synth")]
