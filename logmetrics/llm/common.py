@@ -134,7 +134,7 @@ def add_from_text(
                 part = batch.slice(a, b - a)
                 col = part.column(at)
                 values = (col.cast(pa.binary()) if as_bytes else col).to_pylist()
-                new = [pa.array(v, type=k) for v, k in zip(work(values), kinds, strict=True)]
+                new = [v if isinstance(v, pa.Array) else pa.array(v, type=k) for v, k in zip(work(values), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
 
     return df.mapInArrow(scan, schema)

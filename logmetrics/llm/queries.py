@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, ngram_join, packing, secrets, toxicity, url_filter
+from . import byte_bpe, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, ngram_join, packing, secrets, toxicity, url_filter
 from .common import table
 
 
@@ -46,6 +46,10 @@ def op10_packing(spark, sf_dir):
     return packing.report(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark, sf_dir):
+    return byte_bpe.report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -59,5 +63,6 @@ LLM_QUERIES = {
         op8_url_filter,
         op9_html_extraction,
         op10_packing,
+        op11_byte_bpe,
     )
 }
