@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, ngram_join, packing, periodic_runs, secrets, toxicity, url_filter
+from . import byte_bpe, decontamination, embedding_dedup, html_extraction, language_id, lm_scoring, merkle, ngram_join, packing, periodic_runs, secrets, toxicity, url_filter
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op12_periodic_runs(spark, sf_dir):
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -69,5 +73,6 @@ LLM_QUERIES = {
         op10_packing,
         op11_byte_bpe,
         op12_periodic_runs,
+        op13_merkle_manifest,
     )
 }
