@@ -11,9 +11,10 @@ Decoding joins the bytes of the ids.
 
 Scale.  Both ways are narrow scans in Arrow batches, cut into slices of bytes; no rows are
 shuffled.  The vocabulary travels once as a broadcast of its file (under ``MOST_BYTES``,
-which is checked).  A task keeps the ids of short matches it has met in a table of
-``CACHE`` entries, emptied when full, so results do not depend on it; longer matches are
-encoded anew.  Matches of very long texts come in portions.
+which is checked).  The matches of a slice that are new become a forest of segment trees of
+equal size in numpy, in which every round makes one merge in each tree; longer matches get
+a tree each.  A worker remembers up to ``CACHE`` short matches; results do not depend on
+it.  Matches of very long texts come in portions.
 
 Cases.  A null or empty text has no ids, which decode to no bytes; null ids likewise.
 Repeated rows are encoded one by one.  An id that is no token is an error.  An empty table
@@ -22,9 +23,8 @@ gives no rows.  Result columns whose name is taken get underscores added."""
 from __future__ import annotations
 
 import base64
-from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -33,14 +33,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_from_text, fresh, ship
+from .common import add_from_text, fresh, ship, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Largest vocabulary file that is broadcast.
 MOST_BYTES = 64 << 20
-#: Matches a task remembers, and the longest of them, in characters.
-CACHE, CACHED_CHARS = 200_000, 48
-#: Texts beyond this many characters give their matches in portions of ``PORTION``.
+#: Matches a Python worker remembers, and the longest of them, in characters.
+CACHE, CACHED_CHARS = 400_000, 48
+#: Bytes beyond which a match gets a tree of its own; leaves of a forest of shorter ones.
+LONG, FOREST = 256, 1 << 19
+#: Characters of texts whose matches are looked up at once; a longer text gives its
+#: matches in portions of ``PORTION``.
 WHOLE_CHARS, PORTION = 1 << 20, 1 << 16
 
 _NONE = 1 << 62  # a leaf without a pair
@@ -60,7 +63,12 @@ class Codec:
         for token, i in ranks.items():
             self.tokens[i] = token
         self.cache = cache
-        self._seen: dict[str, tuple[int, ...]] = {}
+        self._seen: dict[str, list[int]] = {}
+        self._single = np.array([-1 if i is None else i for i in self.single], dtype=np.int64)
+        # All pairs of tokens whose bytes are a token, as one number each.
+        splits = ((ranks.get(t[:k]), ranks.get(t[k:]), i) for t, i in ranks.items() for k in range(1, len(t)))
+        found = sorted((a * size + b, i) for a, b, i in splits if a is not None and b is not None) or [(-1, 0)]
+        self._pairs, self._merged = np.array(found, dtype=np.int64).T.copy()
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of ``piece`` by merging the leftmost pair of the least rank, again and again."""
@@ -118,15 +126,81 @@ class Codec:
             i = after[i]
         return out
 
-    def _piece(self, match: str) -> tuple[int, ...]:
-        raw = match.encode()
-        whole = self.ranks.get(raw)
-        ids = (whole,) if whole is not None else tuple(self.merge(raw))
-        if len(match) <= CACHED_CHARS:
-            if len(self._seen) >= self.cache:
-                self._seen.clear()
-            self._seen[match] = ids
-        return ids
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens; ``_NONE`` where their bytes are no token."""
+        key = a * len(self.tokens) + b
+        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        return np.where(self._pairs[at] == key, self._merged[at], _NONE)
+
+    def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
+        """``merge`` of many short pieces at once: a forest of trees of one size, in which
+        every round makes the next merge of each tree that has one."""
+        out: list[list[int]] = [[] for _ in pieces]
+        sizes: dict[int, list[int]] = {}
+        for k, piece in enumerate(pieces):
+            if len(piece) > LONG:
+                out[k] = self.merge(piece)
+            else:
+                sizes.setdefault(max(1, (len(piece) - 1).bit_length()), []).append(k)
+        for bits, of in sizes.items():
+            for at in range(0, len(of), FOREST >> bits):
+                part = of[at : at + (FOREST >> bits)]
+                for k, ids in zip(part, self._forest([pieces[k] for k in part], bits), strict=True):
+                    out[k] = ids
+        return out
+
+    def _forest(self, pieces: list[bytes], bits: int) -> list[list[int]]:
+        size, low = 1 << bits, (1 << bits) - 1
+        length = np.array([len(p) for p in pieces])
+        raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), dtype=np.uint8).reshape(-1, size)
+        spot = np.arange(size)
+        live = spot < length[:, None]
+        ids = self._single[raw]
+        if (ids[live] < 0).any():
+            raise ValueError("the vocabulary lacks a byte")
+        after = np.broadcast_to(spot + 1, raw.shape).copy()
+        before = after - 2
+        tree = np.full((len(pieces), 2 * size), _NONE)
+        first = self.pairs(ids[:, :-1], ids[:, 1:])
+        first[first != _NONE] <<= bits
+        tree[:, size:-1] = np.where(live[:, 1:] & (first != _NONE), first | spot[:-1], _NONE)
+        for at in range(bits - 1, -1, -1):
+            below = tree[:, 2 << at : 4 << at]
+            tree[:, 1 << at : 2 << at] = np.minimum(below[:, ::2], below[:, 1::2])
+        r = np.flatnonzero(tree[:, 1] != _NONE)
+        while len(r):
+            i = tree[r, 1] & low
+            ids[r, i] = tree[r, 1] >> bits
+            gone = after[r, i]
+            j = after[r, i] = after[r, gone]
+            live[r, gone] = False
+            more = j < length[r]
+            before[r[more], j[more]] = i[more]
+            h = before[r, i]
+            less = h >= 0
+            tree[r, size + gone] = _NONE
+            tree[r, size + i] = _NONE
+            tree[r[more], size + i[more]] = self._leaves(ids, r[more], i[more], j[more], bits)
+            tree[r[less], size + h[less]] = self._leaves(ids, r[less], h[less], i[less], bits)
+            ways = [size + gone, size + i, size + np.where(less, h, i)]
+            for _ in range(bits):
+                ways = [w >> 1 for w in ways]
+                for w in ways:
+                    tree[r, w] = np.minimum(tree[r, 2 * w], tree[r, 2 * w + 1])
+            r = r[tree[r, 1] != _NONE]
+        flat, ends = ids[live].tolist(), np.cumsum(live.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _leaves(self, ids: np.ndarray, r: np.ndarray, i: np.ndarray, j: np.ndarray, bits: int) -> np.ndarray:
+        rank = self.pairs(ids[r, i], ids[r, j])
+        return np.where(rank == _NONE, _NONE, (rank & (_NONE - 1)) << bits | i)
+
+    def _learn(self, new: list[str]) -> dict[str, list[int]]:
+        """Ids of matches: the token it is, or merges."""
+        raw = [m.encode() for m in new]
+        whole = [self.ranks.get(r) for r in raw]
+        merged = iter(self.merge_many([r for r, w in zip(raw, whole, strict=True) if w is None]))
+        return {m: next(merged) if w is None else [w] for m, w in zip(new, whole, strict=True)}
 
     def _matches(self, text: str) -> Iterator[list[str]]:
         if len(text) <= WHOLE_CHARS:
@@ -136,17 +210,30 @@ class Codec:
         while part := [m.group() for m in islice(found, PORTION)]:
             yield part
 
-    def encode(self, text: str | None) -> array:
-        """Ids of a text."""
-        out = array("i")
-        if not text:
-            return out
-        known, new, add = self._seen.get, self._piece, out.extend
-        for part in self._matches(text):
-            for match in part:
-                add(known(match) or new(match))
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out = []
+        for a, b in slices(np.array([len(t or "") for t in texts], dtype=np.int64), WHOLE_CHARS):
+            if b - a == 1:  # it may be a long one
+                parts = [self._ids([m])[0] for m in self._matches(texts[a] or "")]
+                out.append(np.concatenate([np.zeros(0, np.int32), *parts]))
+            else:
+                out += self._ids([self.pattern.findall(t or "") for t in texts[a:b]])
         return out
 
+    def _ids(self, matches: list[list[str]]) -> list[np.ndarray]:
+        new = set().union(*matches).difference(self._seen)
+        known = self._seen
+        if new:
+            learned = self._learn(list(new))
+            short = {m: ids for m, ids in learned.items() if len(m) <= CACHED_CHARS}
+            if len(known) + len(short) > self.cache:
+                known = {m: known[m] for ms in matches for m in ms if m in known}
+                self._seen = dict(islice(known.items(), self.cache))
+            self._seen.update(islice(short.items(), max(0, self.cache - len(self._seen))))
+            known = known | learned if len(self._seen) < len(known) + len(learned) else self._seen
+        return [np.fromiter(chain.from_iterable(map(known.__getitem__, ms)), np.int32) for ms in matches]
+
     def table(self) -> tuple[pa.Array, pa.Array]:
         """All ids in rising order and their bytes, for decoding in Arrow."""
         have = [i for i, t in enumerate(self.tokens) if t is not None]
@@ -198,9 +285,9 @@ def encode(docs: DataFrame, text: str = "text", vocabulary=None, pattern: str |
         codec = _codec(vocabulary, pattern)
 
         def work(texts):
-            ids = [codec.encode(t) for t in texts]
+            ids = codec.encode(texts)
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.concatenate([np.frombuffer(i, dtype=np.int32) for i in ids]) if ids else np.zeros(0, np.int32)
+            flat = np.concatenate([np.zeros(0, np.int32), *ids])
             return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))]
 
         return work

@@ -18,6 +18,10 @@ CODEC = b.Codec(RANKS, public_tokenizers.PATTERN)
 TINY = b.Codec(RANKS, public_tokenizers.PATTERN, cache=3)
 
 
+def ids_of(codec, text):
+    return codec.encode([text])[0].tolist()
+
+
 def plain_merge(ranks, piece):
     """Scan all pairs for the least rank, leftmost first, and merge; no tree."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -33,36 +37,40 @@ def plain_merge(ranks, piece):
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from("aeinrst' \n\t19ñß")), max_size=60))
 def test_encode_equals_the_library(text):
     want = LIBRARY.encode_ordinary(text)
-    assert CODEC.encode(text).tolist() == want
-    assert TINY.encode(text).tolist() == want
+    assert ids_of(CODEC, text) == want
+    assert ids_of(TINY, text) == want
+    assert [x.tolist() for x in TINY.encode([text, None, text + "s"])] == [want, [], LIBRARY.encode_ordinary(text + "s")]
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.binary(min_size=1, max_size=80))
-def test_merge_equals_a_plain_scan(piece):
-    assert CODEC.merge(piece) == plain_merge(RANKS, piece)
+@given(st.lists(st.one_of(st.binary(min_size=1, max_size=80), st.text(alphabet="theraonis ", min_size=1, max_size=30).map(str.encode)), max_size=9))
+def test_merge_equals_a_plain_scan(pieces):
+    want = [plain_merge(RANKS, p) for p in pieces]
+    assert [CODEC.merge(p) for p in pieces] == want
+    assert CODEC.merge_many(pieces) == want
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab", min_size=1, max_size=40))
 def test_ties_go_to_the_left(text):
     ranks = {bytes([i]): i for i in range(256)} | {b"aa": 256, b"ab": 257, b"aaa": 258, b"ba": 259, b"aab": 260, b"abab": 261}
-    assert b.Codec(ranks, r"\S+").merge(text.encode()) == plain_merge(ranks, text.encode())
+    codec, want = b.Codec(ranks, r"\S+"), plain_merge(ranks, text.encode())
+    assert codec.merge(text.encode()) == want and codec.merge_many([text.encode()]) == [want]
 
 
 def test_a_match_that_is_a_token_is_not_merged():
     ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"xyz": 257}  # xyz can't be reached by merges
     codec = b.Codec(ranks, r"\S+")
-    assert codec.encode("xyz").tolist() == [257] and codec.encode("xyzab").tolist() == [120, 121, 122, 256]
+    assert ids_of(codec, "xyz") == [257] and ids_of(codec, "xyzab") == [120, 121, 122, 256]
 
 
 def test_long_match_and_portions(monkeypatch):
     long = "abcdefghij" * 20_000
-    assert CODEC.encode(long).tolist() == LIBRARY.encode_ordinary(long)
+    assert ids_of(CODEC, long) == LIBRARY.encode_ordinary(long)
     monkeypatch.setattr(b, "WHOLE_CHARS", 10)
     monkeypatch.setattr(b, "PORTION", 3)
     text = "  it's 12 words,\n\n ñandú   done " * 5
-    assert CODEC.encode(text).tolist() == LIBRARY.encode_ordinary(text)
+    assert ids_of(CODEC, text) == LIBRARY.encode_ordinary(text)
 
 
 def test_report_equals_the_library(spark):
@@ -91,7 +99,7 @@ def test_unknown_id_and_missing_byte(spark):
     with pytest.raises(Exception, match="no token"):
         b.decode(spark.createDataFrame([([999_999],)], "ids array<int>")).collect()
     with pytest.raises(ValueError, match="lacks a byte"):
-        b.Codec({b"a": 0}, r"\S+").encode("b")
+        b.Codec({b"a": 0}, r"\S+").encode(["ab"])
 
 
 def test_pattern_covers_every_character():
