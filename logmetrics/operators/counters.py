@@ -11,7 +11,11 @@
   reset corrections, and the rate with edge extrapolation.  A series is cut into time
   blocks padded by one range, so one sliding frame per block holds all that t needs, a
   hot series is spread over all tasks, and a sample is copied only near a block's edge.
-* ``sum_rates`` / ``ratio_of_rates``: ``sum by (...)`` and the error-rate ratio.
+* ``change_points``: the same for counters made from logs, but only at the steps whose
+  range holds a change, each log count being spread over the ranges it falls in; all
+  other steps of a series have an increase of zero.  ``rate_sums`` and ``rate_ratio`` add
+  those rates up per time and lay the dense step grid once per time, not once per series.
+* ``sum_rates`` / ``ratio_of_rates``: ``sum by (...)`` and the error-rate ratio of any rates.
 
 Series labels are non-null strings: a null label becomes '' (an empty label value is
 the same as no label in the exposition model).
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logmetrics.config import ERROR_LEVEL
-from logmetrics.functions.time import bucket_end, epoch_micros, from_epoch_micros, interval_micros, ntz_literal
+from logmetrics.functions.time import add_micros, bucket_end, epoch_micros, from_epoch_micros, interval_micros, ntz_literal
 from logmetrics.operators.blocks import BLOCK
 from logmetrics.session import materialize
 
@@ -212,7 +216,8 @@ def counter_range(samples: DataFrame, keys: Sequence[str], range_: str, step: st
 
 
 def _increase(value: str = "value") -> Column:
-    return F.col(f"last_{value}") - F.col(f"first_{value}") + F.col(f"resets_{value}")
+    first = F.coalesce(F.col(f"first_{value}"), F.lit(0.0))  # unknown in change_points: then last is the increase
+    return F.col(f"last_{value}") - first + F.col(f"resets_{value}")
 
 
 def counter_increase(samples: DataFrame, keys: Sequence[str], range_: str, step: str, value: str = "value",
@@ -282,6 +287,80 @@ def ratio_of_rates(rates: DataFrame, level_col: str = "level", level: str = ERRO
     return agg.filter(F.col("_k") > 0).select("ts", (F.try_divide(F.col("_num"), F.col("_den")) * F.lit(100.0)).alias(out))
 
 
+def change_points(counts: DataFrame, keys: Sequence[str], range_: str, step: str, values: Sequence[str] = ("n",),
+                  outs: Sequence[str] = ("value",), start=None, end=None) -> tuple[DataFrame, DataFrame, Column]:
+    """``cumulative_range`` where it is not zero, from per-step counts ``(labels, ts, values)``:
+    its rows at the steps whose range holds a count after the series' first step; one row
+    per series with its ``start``; and the evaluation's end.
+
+    A count at step u is in the ranges of the next range / step steps, so it is spread over
+    them and summed per (series, step), by a partial aggregate: work follows the counts, not
+    the steps.  A range that begins before the series does begins with its first sample,
+    whose value is the first step's count; the value of any other first sample decides
+    nothing, since samples then reach the range's edge, so it is not known here (null)."""
+    keys, values, outs = list(keys), list(values), list(outs)
+    r_us, s_us = interval_micros(range_), interval_micros(step)
+    counts = materialize(counts.select(*keys, "ts", *values), "step-counts")
+    last = counts.agg(F.max("ts")).scalar() if end is None else ntz_literal(end)
+    starts = counts.groupBy(*keys).agg(F.min("ts").alias("start"), *[F.min_by(v, "ts").alias(f"_s_{v}") for v in values])
+    if end is not None:
+        starts = starts.filter(F.col("start") <= last)
+    u, t = epoch_micros("ts"), F.col("t_us")
+    later = counts.join(starts, keys).filter(F.col("ts") > F.col("start"))
+    if start is not None:
+        later = later.filter(F.col("ts") > from_epoch_micros(epoch_micros(ntz_literal(start)) - F.lit(r_us)))
+    spread = later.select(*keys, epoch_micros("start").alias("_s"), *[f"_s_{v}" for v in values], *values, F.explode(F.sequence(u, u + F.lit(r_us - s_us), F.lit(s_us))).alias("t_us"))
+    spread = spread.filter(t <= epoch_micros(last))
+    if start is not None:
+        spread = spread.filter(t >= epoch_micros(ntz_literal(start)))
+    sums = spread.groupBy(*keys, "t_us").agg(F.first("_s").alias("_s"), *[F.first(f"_s_{v}").alias(f"_s_{v}") for v in values], *[F.sum(v).alias(v) for v in values])
+    first_us = F.greatest(t - F.lit(r_us), F.col("_s"))
+    begun = F.col("_s") > t - F.lit(r_us)
+    firsts = [F.when(begun, F.col(f"_s_{v}").cast("double")) for v in values]
+    points = sums.select(
+        *keys, "t_us", ((t - first_us) / F.lit(s_us) + F.lit(1)).cast("long").alias("n"), first_us.alias("first_us"), t.alias("last_us"),
+        *[f.alias(f"first_{o}") for f, o in zip(firsts, outs, strict=True)],
+        *[(F.coalesce(f, F.lit(0.0)) + F.col(v)).alias(f"last_{o}") for f, v, o in zip(firsts, values, outs, strict=True)],
+        *[F.lit(0.0).alias(f"resets_{o}") for o in outs],
+    )
+    return points, starts.select(*keys, "start"), last
+
+
+def evaluated_steps(starts: DataFrame, by: Sequence[str], last: Column, step: str, start) -> DataFrame:
+    """Steps at which a rate exists: from the step after the first start, per ``by``."""
+    first = add_micros(F.min("start"), interval_micros(step))
+    begin = starts.groupBy(*by).agg((first if start is None else F.greatest(first, ntz_literal(start))).alias("start"))
+    return grid_points(begin.filter(F.col("start").isNotNull()), by, last, step)
+
+
+def _point_rates(logs: DataFrame, range_: str, step: str, keys: Sequence[str], time_col: str, start, end):
+    points, starts, last = change_points(step_counts(logs, step, keys, time_col), keys, range_, step, start=start, end=end)
+    return points.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), extrapolated(range_, True).alias("rate")), starts, last
+
+
+def rate_sums(logs: DataFrame, range_: str, step: str, by: Sequence[str] = (), keys: Sequence[str] = ("service", "level"),
+              time_col: str = "event_ts", out: str = "value", start=None, end=None) -> DataFrame:
+    """``sum by (by) (rate(logs_produced_total[range]))`` at every step, straight from raw
+    logs: ``sum_rates(log_rates(...))`` without a row per series and step."""
+    by = list(by)
+    rates, starts, last = _point_rates(logs, range_, step, keys, time_col, start, end)
+    zeros = evaluated_steps(starts, by, last, step, start).withColumn("rate", F.lit(0.0))
+    return rates.select(*by, "ts", "rate").unionByName(zeros).groupBy("ts", *by).agg(F.sum("rate").alias(out))
+
+
+def rate_ratio(logs: DataFrame, range_: str, step: str, level: str = ERROR_LEVEL, keys: Sequence[str] = ("service", "level"),
+               time_col: str = "event_ts", out: str = "value", start=None, end=None) -> DataFrame:
+    """``ratio_of_rates(log_rates(...))``, straight from raw logs: at every step from which a
+    series of ``level`` has a rate; NULL where all rates are zero."""
+    rates, starts, last = _point_rates(logs, range_, step, keys, time_col, start, end)
+    mine = F.col("level") == F.lit(level)
+    grid = evaluated_steps(starts.filter(mine), [], last, step, start)
+    rows = rates.select("ts", "rate", F.when(mine, F.col("rate")).otherwise(F.lit(0.0)).alias("_num"), F.lit(0).alias("_step"))
+    rows = rows.unionByName(grid.select("ts", F.lit(0.0).alias("rate"), F.lit(0.0).alias("_num"), F.lit(1).alias("_step")))
+    agg = rows.groupBy("ts").agg(F.sum("_num").alias("_num"), F.sum("rate").alias("_den"), F.max("_step").alias("_step"))
+    return agg.filter(F.col("_step") == 1).select("ts", (F.try_divide(F.col("_num"), F.col("_den")) * F.lit(100.0)).alias(out))
+
+
 def event_rate(logs: DataFrame, range_: str, step: str, keys: Sequence[str] = ("service",),
                time_col: str = "event_ts") -> DataFrame:
     """Events per second in the trailing ``range_`` [t - range, t) at every step t,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from logmetrics.functions.time import bucket_end, from_epoch_micros
 from logmetrics.operators.blocks import BLOCK
-from logmetrics.operators.counters import cumulative_range, cumulative_samples, extrapolated, label_cols
+from logmetrics.operators.counters import change_points, cumulative_samples, evaluated_steps, extrapolated, label_cols
 
 INF = float("inf")
 
@@ -110,14 +110,20 @@ def histogram_quantile(q: float, bucket_rates: DataFrame, keys: Sequence[str], v
 
 
 def latency_quantile_ms(df: DataFrame, q: float, step: str, range_: str, keys: Sequence[str], bounds: Sequence[float],
-                        latency_ms: str = "response_time_ms", start=None, end=None, block: str = BLOCK) -> DataFrame:
+                        latency_ms: str = "response_time_ms", start=None, end=None) -> DataFrame:
     """``histogram_quantile(q, rate(latency_seconds_bucket[range])) * 1000`` from raw logs,
-    at every step from ``start`` to ``end``."""
+    at every step from ``start`` to ``end``.
+
+    Quantiles are worked out where a range holds logs; at all other steps of a series no
+    bucket has a rate, so the value is NULL, and those steps are only laid out."""
+    keys = list(keys)
     seconds = F.col(latency_ms) / F.lit(1000.0)
     names = [f"b{i}" for i in range(len(bounds) + 1)]
     counts = bucket_step_counts(df, seconds, bounds, step, keys)
-    st = cumulative_range(counts, keys, range_, step, names, names, start, end, block).filter(F.col("n") >= 2)
+    points, starts, last = change_points(counts, keys, range_, step, names, names, start, end)
     pairs = F.array(*[F.struct(F.lit(le).alias("le"), extrapolated(range_, True, b).alias("v")) for le, b in zip([*map(float, bounds), INF], names, strict=True)])
-    rates = st.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), pairs.alias("_bk"))
+    rates = points.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), pairs.alias("_bk"))
     qs = quantile_from_buckets(rates, q, "_bk", "_q")
-    return qs.select(*keys, "ts", (F.col("_q") * F.lit(1000.0)).alias("value_ms"))
+    found = qs.select(*keys, "ts", (F.col("_q") * F.lit(1000.0)).alias("value_ms"))
+    steps = evaluated_steps(starts, keys, last, step, start).withColumn("value_ms", F.lit(None).cast("double"))
+    return found.unionByName(steps).groupBy(*keys, "ts").agg(F.max("value_ms").alias("value_ms"))

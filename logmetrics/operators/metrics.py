@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logmetrics.config import (
@@ -93,52 +93,47 @@ def latency_percentiles(logs: DataFrame, keys: Sequence[str] = ("service",), acc
     )
 
 
-def _rank_value(pairs: Column, total: Column, q: float) -> Column:
-    """Least value of sorted (v, n) pairs whose running count reaches ``q * total``."""
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("v"))
-
-    def step(acc, x):
-        seen = acc["seen"] + x["n"]
-        hit = acc["v"].isNull() & (seen >= F.lit(q) * total)
-        return F.struct(seen.alias("seen"), F.when(hit, x["v"]).otherwise(acc["v"]).alias("v"))
-
-    return F.aggregate(pairs, start, step, lambda acc: acc["v"])
-
-
-def metric_samples(logs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def metric_samples(logs: DataFrame, by: Sequence[str] = (), stamp: str | None = None) -> DataFrame:
     """The three gauges of one batch in long form:
     ``(*by, metric, service, level, percentile, value DOUBLE)``; ``by`` adds keys such as
-    ``batch_id`` to compute many batches at once.
+    ``batch_id`` to compute many batches at once, ``stamp`` a column with the largest value
+    of that column in the batch.
 
-    Raw logs are aggregated once, to counts per (service, level, latency); latencies are
-    whole milliseconds, so that table is small and percentiles from it are exact.  A
-    second, small aggregation per service holds its levels' counts and its latencies'."""
+    Raw logs are read once and aggregated to counts per (service, level, latency);
+    latencies are whole milliseconds, so that table is small and percentiles from it are
+    exact.  Counts of a service are then ranked by windows, row by row: no list of them is
+    ever gathered.  The row that carries the running count across a rank has its latency."""
     by = list(by)
-    counts = logs.groupBy(*by, "service", "level", LATENCY).agg(F.count(F.lit(1)).alias("n"))
-    per_service = counts.groupBy(*by, "service").agg(
-        F.sum("n").alias("total"),
-        F.coalesce(F.sum(F.when(is_error(), F.col("n"))), F.lit(0)).alias("errors"),
-        F.collect_list(F.struct("level", "n")).alias("levels"),
-        F.array_sort(F.collect_list(F.when(F.col(LATENCY).isNotNull(), F.struct(F.col(LATENCY).alias("v"), F.col("n").alias("n"))))).alias("pairs"),
+    newest = [F.max(stamp).alias(stamp)] if stamp else []
+    counts = logs.groupBy(*by, "service", "level", LATENCY).agg(F.count(F.lit(1)).alias("n"), *newest)
+    of_service, of_level = Window.partitionBy(*by, "service"), Window.partitionBy(*by, "service", "level")
+    ranked = of_service.orderBy(LATENCY, "level").rowsBetween(Window.unboundedPreceding, -1)
+    timed = F.when(F.col(LATENCY).isNotNull(), F.col("n")).otherwise(F.lit(0))
+    rows = counts.select(
+        *by, "service", "level", LATENCY, *([stamp] if stamp else []),
+        timed.alias("_n"),
+        F.coalesce(F.sum(timed).over(ranked), F.lit(0)).alias("_below"),
+        F.sum(timed).over(of_service).alias("_timed"),
+        F.sum("n").over(of_service).alias("_total"),
+        F.coalesce(F.sum(F.when(is_error(), F.col("n"))).over(of_service), F.lit(0)).alias("_errors"),
+        F.row_number().over(of_service.orderBy(LATENCY, "level")).alias("_i"),
+        F.sum("n").over(of_level).alias("_of_level"),
+        F.row_number().over(of_level.orderBy(LATENCY)).alias("_j"),
     )
-    timed = F.aggregate("pairs", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    per_service = per_service.withColumn("timed", timed)
-    null_s = F.lit(None).cast("string")
+    none = F.lit(None).cast("string")
 
     def sample(metric: str, level: Column, pct: Column, value: Column) -> Column:
         return F.struct(F.lit(metric).alias("metric"), level.alias("level"), pct.alias("percentile"), value.cast("double").alias("value"))
 
-    names = F.array_distinct(F.transform("levels", lambda x: x["level"]))
-    of_level = F.transform(
-        names,
-        lambda lv: sample(
-            METRIC_LOGS_PER_BATCH, lv, null_s,
-            F.aggregate("levels", F.lit(0).cast("long"), lambda a, x: a + F.when(x["level"].eqNullSafe(lv), x["n"]).otherwise(F.lit(0))),
-        ),
-    )
-    rate = F.array(sample(METRIC_ERROR_RATE, null_s, null_s, F.col("errors").cast("double") / F.col("total") * F.lit(100.0)))
-    ranks = F.array(*[sample(METRIC_LATENCY, null_s, F.lit(name), _rank_value(F.col("pairs"), F.col("timed"), q)) for name, q in PERCENTILES])
-    out = per_service.select(
-        *by, "service", F.explode(F.concat(of_level, rate, F.when(F.col("timed") > 0, ranks).otherwise(F.slice(ranks, 1, 0)))).alias("s")
+    def crosses(q: float) -> Column:
+        at = F.lit(q) * F.col("_timed")
+        return (F.col("_below") < at) & (F.col("_below") + F.col("_n") >= at)
+
+    gauges = F.array(
+        F.when(F.col("_j") == 1, sample(METRIC_LOGS_PER_BATCH, F.col("level"), none, F.col("_of_level"))),
+        F.when(F.col("_i") == 1, sample(METRIC_ERROR_RATE, none, none, F.col("_errors").cast("double") / F.col("_total") * F.lit(100.0))),
+        *[F.when(crosses(q), sample(METRIC_LATENCY, none, F.lit(name), F.col(LATENCY))) for name, q in PERCENTILES],
     )
-    return out.select(*by, "s.metric", "service", "s.level", "s.percentile", "s.value")
+    kept = rows.select(*by, "service", *([F.max(stamp).over(Window.partitionBy(*by)).alias(stamp)] if stamp else []), F.filter(gauges, lambda g: g.isNotNull()).alias("g"))
+    out = kept.select(*by, "service", *([stamp] if stamp else []), F.inline("g"))
+    return out.select(*by, "metric", "service", "level", "percentile", "value", *([stamp] if stamp else []))

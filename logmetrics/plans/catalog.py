@@ -9,14 +9,15 @@ the operators behind them are not.  Percentiles are exact.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logmetrics.config import DASHBOARD_RANGE, DEFAULT_LOOKBACK, DEFAULT_TRIGGER, LOG_COLUMNS, SCRAPE_INTERVAL
+from logmetrics.config import DASHBOARD_RANGE, DEFAULT_ACCURACY, DEFAULT_LOOKBACK, DEFAULT_TRIGGER, LOG_COLUMNS, SCRAPE_INTERVAL
 from logmetrics.functions.text import payload_bytes, significant
-from logmetrics.functions.time import bucket_end
+from logmetrics.functions.time import bucket_end, epoch_micros
 from logmetrics.operators import metrics as M
 from logmetrics.sources.codec import parse_logs, wire_records
 from logmetrics.sources.fixtures import load_logs
@@ -175,6 +176,49 @@ def q_threshold_band(spark, sf_dir):
     return per_service.unionByName(B.threshold_band(peak, "value", "logs_per_second"))
 
 
+# --- mergeable sketches ------------------------------------------------------------
+
+from logmetrics.operators import sketches as SK  # noqa: E402
+from logmetrics.session import materialize  # noqa: E402
+
+
+def minute_sketches(spark, sf_dir):
+    """The stored 1-minute sketches, which all roll-ups below start from."""
+    return materialize(SK.latency_sketches(load_logs(spark, sf_dir), "1 minute"), "minute-sketches")
+
+
+@register("sketch_5m")
+def q_sketch_5m(spark, sf_dir):
+    return SK.sketch_percentiles(SK.roll_up(minute_sketches(spark, sf_dir), "5 minutes"))
+
+
+@register("sketch_day")
+def q_sketch_day(spark, sf_dir):
+    """Days from hours from minutes."""
+    hours = SK.roll_up(minute_sketches(spark, sf_dir), "1 hour")
+    return SK.sketch_percentiles(SK.roll_up(hours, "1 day"))
+
+
+@register("sketch_service")
+def q_sketch_service(spark, sf_dir):
+    """A service's days from its levels' days."""
+    days = SK.roll_up(minute_sketches(spark, sf_dir), "1 day")
+    return SK.sketch_percentiles(SK.roll_up(days, "1 day", ["service"]))
+
+
+@register("percentile_rank_error")
+def q_percentile_rank_error(spark, sf_dir):
+    """Both approximations on their default path, over all logs per (service, level), held
+    against exact ranks: within the error each promises."""
+    logs = load_logs(spark, sf_dir)
+    sketched = SK.sketch_percentiles(SK.roll_up(minute_sketches(spark, sf_dir)))
+    out = None
+    for method, found, bound in (("percentile_approx", M.batch_metrics(logs), 1 / DEFAULT_ACCURACY), ("sketch", sketched, 2 * SK.rank_error())):
+        errors = SK.rank_errors(logs, found).select(F.lit(method).alias("method"), "service", "level", "percentile", "n", (F.col("rank_error") <= bound).alias("within"))
+        out = errors if out is None else out.unionByName(errors)
+    return out
+
+
 # --- counters, rates, sums over series ---------------------------------------------
 
 from logmetrics.operators import counters as C  # noqa: E402
@@ -223,22 +267,22 @@ def q_counter_rate_series(spark, sf_dir):
 
 @register("logs_per_second")
 def q_logs_per_second(spark, sf_dir):
-    return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE)), "value")
+    return rounded(C.rate_sums(load_logs(spark, sf_dir), SHORT_RANGE, SCRAPE_INTERVAL), "value")
 
 
 @register("rate_by_service")
 def q_rate_by_service(spark, sf_dir):
-    return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["service"]), "value")
+    return rounded(C.rate_sums(load_logs(spark, sf_dir), SHORT_RANGE, SCRAPE_INTERVAL, ["service"]), "value")
 
 
 @register("rate_by_level")
 def q_rate_by_level(spark, sf_dir):
-    return rounded(C.sum_rates(fixture_rates(spark, sf_dir, SHORT_RANGE), by=["level"]), "value")
+    return rounded(C.rate_sums(load_logs(spark, sf_dir), SHORT_RANGE, SCRAPE_INTERVAL, ["level"]), "value")
 
 
 @register("error_rate_5m")
 def q_error_rate_5m(spark, sf_dir):
-    return rounded(C.ratio_of_rates(fixture_rates(spark, sf_dir, LONG_RANGE)), "value")
+    return rounded(C.rate_ratio(load_logs(spark, sf_dir), LONG_RANGE, SCRAPE_INTERVAL), "value")
 
 
 @register("event_rate_1m")
@@ -273,7 +317,6 @@ def q_total_logs(spark, sf_dir):
 
 from logmetrics.config import METRIC_LATENCY, METRIC_LOGS_PER_BATCH  # noqa: E402
 from logmetrics.operators import series as S  # noqa: E402
-from logmetrics.session import materialize  # noqa: E402
 
 
 def fixture_history(spark, sf_dir, stored=False):
@@ -358,38 +401,74 @@ def q_histogram_quantile(spark, sf_dir):
 
 from logmetrics.session import scratch_path  # noqa: E402
 from logmetrics.sources import archive as A  # noqa: E402
+from logmetrics.sources import lifecycle as LC  # noqa: E402
+from logmetrics.sources import versions as V  # noqa: E402
 from logmetrics.sources.streams import read_log_stream  # noqa: E402
 from logmetrics.streaming import job as J  # noqa: E402
+from logmetrics.streaming import ledger as LG  # noqa: E402
 from logmetrics.streaming import stateful as ST  # noqa: E402
 
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def replay_stream(spark, sf_dir, name, start, max_files=None):
-    """Replay the fixture's topic records week by week.
+SLICES = 3
+
+
+def replay_stream(spark, sf_dir, name, start, max_files=None, logs=None):
+    """Replay the fixture's topic records in ``SLICES`` equal parts of their time.
 
-    Each week's records are added to the topic folder after the one before has been
+    Each slice's records are added to the topic folder after the one before has been
     processed, and ``start(stream, root)`` is run again from its checkpoint, so batches
-    follow the weeks whatever order a file store lists files in.  Returns the scratch
-    folder."""
+    follow the slices whatever order a file store lists files in.  ``logs`` may carry a
+    ``slice`` of their own.  Returns the scratch folder."""
     root = scratch_path(spark, name)
-    week = F.floor(F.datediff(F.to_date("event_ts"), F.lit("2000-01-03").cast("date")) / 7)
-    wire = wire_records(load_logs(spark, sf_dir).withColumn("week", week), keep=["week"])
-    wire.repartitionByRange("week", "timestamp").write.partitionBy("week").parquet(f"{root}/staged")
+    logs = with_slices(load_logs(spark, sf_dir)) if logs is None else logs
+    wire_records(logs, keep=["slice"]).write.partitionBy("slice").parquet(f"{root}/staged")
     staged = spark.read.parquet(f"{root}/staged")
-    for row in staged.select("week").distinct().orderBy("week").collect():
-        staged.filter(F.col("week") == row["week"]).drop("week").write.mode("append").parquet(f"{root}/wire")
+    for k in range(SLICES):
+        staged.filter(F.col("slice") == k).drop("slice").write.mode("append").parquet(f"{root}/wire")
         start(read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=max_files), root).awaitTermination()
     return root
 
 
+def with_slices(logs):
+    """``slice``: which of ``SLICES`` equal parts of the logs' time an event falls in."""
+    us = epoch_micros("event_ts")
+    ends = logs.agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    part = F.least(F.floor((us - lo) * SLICES / (hi - lo + 1)), F.lit(SLICES - 1))
+    return logs.withColumn("slice", F.coalesce(part, F.lit(0)).cast("int"))
+
+
 @register("stream_batch_metrics")
 def q_stream_batch_metrics(spark, sf_dir):
     """All gauges of every micro-batch, as the job's sink stored them."""
-    root = replay_stream(spark, sf_dir, "stream-metrics", lambda s, root: J.start_metrics_job(s, f"{root}/history", f"{root}/ckpt", AVAILABLE_NOW))
+    root = metrics_job(spark, sf_dir)
     return J.read_history(spark, f"{root}/history").drop("date")
 
 
+def metrics_job(spark, sf_dir):
+    return replay_stream(spark, sf_dir, "stream-metrics", lambda s, root: J.start_metrics_job(s, f"{root}/history", f"{root}/ckpt", AVAILABLE_NOW))
+
+
+@register("history_compacted")
+def q_history_compacted(spark, sf_dir):
+    """The whole history, from three commits that each hold some batches of every date,
+    after compaction has made one folder per date of the older two."""
+    history, root = fixture_history(spark, sf_dir, stored=True), scratch_path(spark, "history")
+    for k in range(SLICES):
+        entry = V.write_folder(history.where(F.col("batch_id") % SLICES == k), root, J.TABLE, "ts")
+        V.commit(spark, root, lambda _, entry=entry: ([entry], []), "replay", k)
+    J.compact_history(spark, root)
+    return J.read_history(spark, root).drop("date")
+
+
+@register("history_snapshot")
+def q_history_snapshot(spark, sf_dir):
+    """The newest batch, read by the folder of the last commit alone."""
+    return J.latest_snapshot(spark, f"{metrics_job(spark, sf_dir)}/history")
+
+
 @register("rate_limited_stream")
 def q_rate_limited_stream(spark, sf_dir):
     """One file per trigger: more, smaller batches, and the same records in all."""
@@ -412,7 +491,7 @@ def q_stream_logs_total(spark, sf_dir):
 def q_stream_window_1m(spark, sf_dir):
     def start(stream, root):
         parsed = parse_logs(stream, columns=["timestamp", "service", "level", "response_time_ms"])
-        windows = ST.windowed_stream(parsed, "1 minute", "1 minute", exact=True)
+        windows = ST.windowed_stream(parsed, "1 minute", "1 minute")
         return ST.start_append_sink(windows, f"{root}/windows", f"{root}/ckpt", trigger=AVAILABLE_NOW)
 
     root = replay_stream(spark, sf_dir, "stream-window", start)
@@ -438,6 +517,41 @@ def q_scan_archive(spark, sf_dir):
                                                "response_time_ms")
 
 
+@register("retention_tables")
+def q_retention_tables(spark, sf_dir):
+    """Hot and archive tables after three advancing runs: 7 days hot, 20 days in all."""
+    logs = load_logs(spark, sf_dir).select("event_id", "event_ts")
+    root = scratch_path(spark, "lifecycle")
+    LC.ingest(logs, root)
+    newest = logs.agg(F.max("event_ts")).first()[0]
+    for back in (15, 4, 0):
+        LC.apply_retention(spark, root, logs.schema, newest - dt.timedelta(days=back), hot_days=7, archive_days=20)
+    tables = [LC.scan(spark, root, t, logs.schema).select(F.lit(t).alias("tab"), "*") for t in (LC.HOT, LC.ARCHIVE)]
+    return tables[0].unionByName(tables[1])
+
+
+@register("ledger_balance")
+def q_ledger_balance(spark, sf_dir):
+    """What became of every record of a disordered stream: emitted, open, late, unreadable."""
+    return LG.balance(spark, ledger_job(spark, sf_dir))
+
+
+@register("ledger_windows")
+def q_ledger_windows(spark, sf_dir):
+    """The closed windows of the same stream."""
+    return LG.emitted_windows(spark, ledger_job(spark, sf_dir))
+
+
+def ledger_job(spark, sf_dir):
+    """Some records arrive a slice after their time, some carry a time that can't be read."""
+    logs = with_slices(load_logs(spark, sf_dir))
+    e = F.col("event_id")
+    logs = logs.withColumn("slice", F.when(e % 50 == 7, F.least(F.col("slice") + 1, F.lit(SLICES - 1))).otherwise(F.col("slice")))
+    logs = logs.withColumn("timestamp", F.when(e % 89 == 0, F.lit("2024-13-01T00:00:00Z")).otherwise(F.col("timestamp")))
+    start = lambda s, root: LG.start_ledger_job(s, f"{root}/ledger", f"{root}/ckpt", "1 minute", "1 minute", trigger=AVAILABLE_NOW)
+    return replay_stream(spark, sf_dir, "stream-ledger", start, logs=logs) + "/ledger"
+
+
 @register("retention_split")
 def q_retention_split(spark, sf_dir):
     t = A.retention_tiers(load_logs(spark, sf_dir))

@@ -171,6 +171,23 @@ FROM (
   FROM (SELECT count(*) AS n FROM logs WHERE event_ts IS NOT NULL GROUP BY time_bucket(INTERVAL '1 second', event_ts)) c) t"""
 )
 
+# --- sketches: exact, since no group at this size is beyond the sketch's exact range
+
+
+def _rolled(time: str, keys: str) -> str:
+    return with_logs(
+        f"""SELECT {time} AS window_start, {keys}, count(*) AS log_count, count(*) FILTER (WHERE level = 'ERROR') AS error_count,
+  avg(response_time_ms) AS avg_latency, {PCT} FROM logs WHERE event_ts IS NOT NULL GROUP BY ALL""")
+
+
+ORACLE["sketch_5m"] = _rolled("time_bucket(INTERVAL '5 minutes', event_ts)", "service, level")
+ORACLE["sketch_day"] = _rolled("date_trunc('day', event_ts)::TIMESTAMP", "service, level")
+ORACLE["sketch_service"] = _rolled("date_trunc('day', event_ts)::TIMESTAMP", "service")
+ORACLE["percentile_rank_error"] = with_logs(
+    """SELECT method, service, level, percentile, n, true AS within
+FROM (SELECT service, level, count(response_time_ms) AS n FROM logs GROUP BY ALL HAVING count(response_time_ms) > 0) g,
+  (SELECT unnest(['percentile_approx', 'sketch']) AS method) m, (SELECT unnest(['p50', 'p95', 'p99']) AS percentile) p""")
+
 # --- counters -------------------------------------------------------------------------
 
 COUNTS = """counts AS (
@@ -345,45 +362,6 @@ def _on(keys, a, b):
     return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
 
 
-def counter_ctes(keys: list[str], counts_sql: str, range_sql: str, range_us: int) -> list[str]:
-    """Dense cumulative counters over ``counts(keys..., ts, n)`` and their rates."""
-    k = _k(keys)
-    return [
-        f"counts AS ({counts_sql})",
-        f"""bounds AS (SELECT {k}, min(ts) AS s FROM counts GROUP BY ALL),
-grid AS (SELECT {k}, unnest(generate_series(s, (SELECT max(ts) FROM counts), INTERVAL '15 seconds')) AS ts FROM bounds)""",
-        f"""samples AS (
-  SELECT {_k(keys, 'g.')}, g.ts,
-    CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY {_k(keys, 'g.')} ORDER BY g.ts
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value
-  FROM grid g LEFT JOIN counts c ON {_on(keys, 'c', 'g')} AND c.ts = g.ts)""",
-        f"""corr AS (
-  SELECT *, CASE WHEN prev IS NOT NULL AND value < prev THEN prev ELSE 0.0 END AS c
-  FROM (SELECT *, lag(value) OVER (PARTITION BY {k} ORDER BY ts) AS prev FROM samples) l),
-st AS (
-  SELECT {k}, epoch_us(ts) AS t_us, count(*) OVER f AS n,
-    epoch_us(first_value(ts) OVER f) AS first_us, epoch_us(ts) AS last_us,
-    first_value(value) OVER f AS first_v, value AS last_v, sum(c) OVER f - first_value(c) OVER f AS resets
-  FROM corr
-  WINDOW f AS (PARTITION BY {k} ORDER BY ts RANGE BETWEEN INTERVAL '{range_sql}' PRECEDING AND CURRENT ROW))""",
-        f"""r0 AS (
-  SELECT {k}, t_us, n, first_v, last_v - first_v + resets AS inc, (last_us - first_us) / 1e6 AS si,
-    (first_us - (t_us - {range_us})) / 1e6 AS d_start0, (t_us - last_us) / 1e6 AS d_end
-  FROM st WHERE n >= 2),
-r1 AS (
-  SELECT *, si / (n - 1) AS avg_i,
-    CASE WHEN inc > 0 AND first_v >= 0 AND si * (first_v / inc) < d_start0 THEN si * (first_v / inc)
-         ELSE d_start0 END AS d_start
-  FROM r0),
-rates AS (
-  SELECT {k}, make_timestamp(t_us) AS ts,
-    inc * ((si + CASE WHEN d_start < avg_i * 1.1::DOUBLE THEN d_start ELSE avg_i / 2.0::DOUBLE END
-               + CASE WHEN d_end < avg_i * 1.1::DOUBLE THEN d_end ELSE avg_i / 2.0::DOUBLE END) / si)
-      / {range_us / 1e6}::DOUBLE AS rate
-  FROM r1)""",
-    ]
-
-
 _PAYLOAD_BYTES = f"CAST(strlen({_PAYLOAD}) + 2 * 12 - 1 AS BIGINT)"
 _SIZE_LES = "[100.0::DOUBLE, 200.0, 500.0, 1000.0, 2000.0, 5000.0, 'Infinity'::DOUBLE]"
 _LAT_LES = "[0.001::DOUBLE, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 'Infinity'::DOUBLE]"
@@ -402,45 +380,53 @@ JOIN (SELECT service, CAST(sum(ms) AS BIGINT) / 1000.0::DOUBLE AS sum_value, cou
 GROUP BY d.service, b.le, s.sum_value, s.count_value""",
     "d AS (SELECT service, response_time_ms AS ms, response_time_ms / 1000.0::DOUBLE AS x FROM logs)")
 
-_HIST_COUNTS = f"""SELECT coalesce(h.service, '') AS service, b.le, h.ts, count(h.x) FILTER (WHERE h.x <= b.le) AS n
-  FROM (SELECT service, time_bucket(INTERVAL '15 seconds', event_ts) + INTERVAL '15 seconds' AS ts,
-          response_time_ms / 1000.0::DOUBLE AS x FROM logs WHERE event_ts IS NOT NULL) h,
-       (SELECT unnest({_LAT_LES}::DOUBLE[]) AS le) b
-  GROUP BY ALL"""
+# histogram_quantile: one column per bucket; a range's first sample is 20 rows back.
+_LES = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, "'Infinity'"]
+_B = range(len(_LES))
+
+
+def _cols(form: str) -> str:
+    return ", ".join(form.format(i=i, le=f"{le}::DOUBLE") for i, le in enumerate(_LES))
+
+
+def _quantile_case() -> str:
+    """Interpolation in the first bucket whose count reaches the rank."""
+    cases = []
+    for i in _B[:-1]:
+        low_v, low_le = (f"v{i - 1}", f"{_LES[i - 1]}::DOUBLE") if i else ("0.0::DOUBLE", "0.0::DOUBLE")
+        cases.append(f"WHEN v{i} >= rnk THEN {low_le} + ({_LES[i]}::DOUBLE - {low_le}) * ((rnk - {low_v}) / nullif(v{i} - {low_v}, 0))")
+    return f"CASE WHEN v{_B[-1]} = 0 THEN NULL {' '.join(cases)} ELSE {_LES[-2]}::DOUBLE END"
+
 
 ORACLE["histogram_quantile"] = with_logs(
-    """SELECT r.service, r.ts,
-  CASE WHEN t.nb < 2 OR t.maxle <> 'Infinity'::DOUBLE OR t.total = 0 THEN NULL
-       WHEN r.idx = t.nb - 1 THEN r.pl
-       WHEN r.idx = 0 AND r.le <= 0 THEN r.le
-       ELSE coalesce(r.pl, 0.0) + (r.le - coalesce(r.pl, 0.0))
-            * ((r.rnk - coalesce(r.pv, 0.0)) / nullif(r.v - coalesce(r.pv, 0.0), 0))
-  END * 1000.0::DOUBLE AS value_ms
-FROM ranked r
-JOIN tot t ON t.service = r.service AND t.ts = r.ts
-LEFT JOIN pick p ON p.service = r.service AND p.ts = r.ts
-WHERE r.idx = coalesce(p.b, t.nb - 1)""",
-    *counter_ctes(["service", "le"], _HIST_COUNTS, "5 minutes", 5 * _M),
-    """mono AS (SELECT service, ts, le,
-  max(rate) OVER (PARTITION BY service, ts ORDER BY le ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
-  FROM rates)""",
-    """tot AS (SELECT service, ts, count(*) AS nb, max(le) AS maxle, arg_max(v, le) AS total FROM mono GROUP BY ALL)""",
-    """ranked AS (
-  SELECT m.service, m.ts, m.le, m.v, 0.95::DOUBLE * t.total AS rnk,
-    lag(m.v) OVER w AS pv, lag(m.le) OVER w AS pl, row_number() OVER w - 1 AS idx
-  FROM mono m JOIN tot t ON t.service = m.service AND t.ts = m.ts
-  WINDOW w AS (PARTITION BY m.service, m.ts ORDER BY m.le))""",
-    """pick AS (SELECT r.service, r.ts, min(r.idx) AS b FROM ranked r JOIN tot t ON t.service = r.service AND t.ts = r.ts
-  WHERE r.v >= r.rnk AND r.idx < t.nb - 1 GROUP BY ALL)""")
+    f"SELECT service, make_timestamp(t_us) AS ts, {_quantile_case()} * 1000.0::DOUBLE AS value_ms FROM q",
+    f"""c AS (SELECT coalesce(service, '') AS service, time_bucket(INTERVAL '15 seconds', event_ts) + INTERVAL '15 seconds' AS ts,
+  {_cols("count(x) FILTER (WHERE x <= {le}) AS b{i}")}
+  FROM (SELECT *, response_time_ms / 1000.0::DOUBLE AS x FROM logs) WHERE event_ts IS NOT NULL GROUP BY ALL)""",
+    """g AS (SELECT service, unnest(generate_series(s, (SELECT max(ts) FROM c), INTERVAL '15 seconds')) AS ts
+  FROM (SELECT service, min(ts) AS s FROM c GROUP BY service))""",
+    f"""s AS (SELECT service, ts, row_number() OVER w AS i, {_cols("sum(coalesce(b{i}, 0)) OVER w AS b{i}")}
+  FROM g LEFT JOIN c USING (service, ts) WINDOW w AS (PARTITION BY service ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+    f"""f AS (SELECT service, epoch_us(ts) AS t_us, least(i, 21) AS n, {_cols("CAST(b{i} AS DOUBLE) AS b{i}")},
+  {_cols("CAST(coalesce(lag(b{i}, 20) OVER w, first_value(b{i}) OVER w) AS DOUBLE) AS f{i}")}
+  FROM s WINDOW w AS (PARTITION BY service ORDER BY i))""",
+    f"""d AS (SELECT service, t_us, n, (n - 1) * 15.0::DOUBLE AS si, (300 - (n - 1) * 15.0::DOUBLE) AS gap, {_cols("f{i}")}, {_cols("b{i} - f{i} AS inc{i}")}
+  FROM f WHERE n >= 2)""",
+    f"""e AS (SELECT *, {_cols("CASE WHEN inc{i} > 0 AND si * (f{i} / inc{i}) < gap THEN si * (f{i} / inc{i}) ELSE gap END AS d{i}")} FROM d)""",
+    f"""r AS (SELECT service, t_us, {_cols("inc{i} * ((si + CASE WHEN d{i} < 16.5::DOUBLE THEN d{i} ELSE 7.5::DOUBLE END) / si) / 300.0::DOUBLE AS r{i}")} FROM e)""",
+    "m AS (SELECT service, t_us, " + ", ".join(f"greatest({', '.join(f'r{j}' for j in range(i + 1))}) AS v{i}" for i in _B) + " FROM r)",
+    f"q AS (SELECT *, 0.95::DOUBLE * v{_B[-1]} AS rnk FROM m)")
 
 # --- streaming, archive -----------------------------------------------------------------
 
-STREAM = f"""w0 AS (
-  SELECT date_diff('day', DATE '2000-01-03', CAST(event_ts AS DATE)) // 7 AS week,
-    time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second' AS kts, service, level, response_time_ms
-  FROM logs),
-weeks AS (SELECT week, row_number() OVER (ORDER BY week) - 1 AS batch_id, max(kts) AS ts FROM w0 GROUP BY week),
-w AS (SELECT batch_id, ts, service, level, response_time_ms FROM w0 JOIN weeks USING (week))"""
+_SLICE = """span AS (SELECT min(epoch_us(event_ts)) AS lo, max(epoch_us(event_ts)) AS hi FROM logs),
+sliced AS (SELECT *, coalesce(least(2, (epoch_us(event_ts) - lo) * 3 // (hi - lo + 1)), 0) AS slice FROM logs, span)"""
+STREAM = f"""{_SLICE},
+w0 AS (
+  SELECT slice, time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second' AS kts, service, level, response_time_ms
+  FROM sliced),
+parts AS (SELECT slice, row_number() OVER (ORDER BY slice) - 1 AS batch_id, max(kts) AS ts FROM w0 GROUP BY slice),
+w AS (SELECT batch_id, ts, service, level, response_time_ms FROM w0 JOIN parts USING (slice))"""
 ORACLE["stream_batch_metrics"] = with_logs(
     f"""SELECT batch_id, ts, 'spark_logs_per_batch' AS metric, service, level, CAST(NULL AS VARCHAR) AS percentile,
   CAST(count(*) AS DOUBLE) AS value
@@ -454,6 +440,8 @@ SELECT batch_id, ts, 'spark_latency_ms', service, NULL, pct, v
 FROM (SELECT batch_id, ts, service, {PCT} FROM w GROUP BY batch_id, ts, service) s,
   LATERAL (VALUES ('p50', CAST(p50 AS DOUBLE)), ('p95', CAST(p95 AS DOUBLE)), ('p99', CAST(p99 AS DOUBLE))) v(pct, v)
 WHERE p50 IS NOT NULL""", STREAM)
+ORACLE["history_compacted"] = ORACLE["metrics_history"]
+ORACLE["history_snapshot"] = f"SELECT * FROM ({ORACLE['stream_batch_metrics']}) s WHERE batch_id = 2"
 ORACLE["rate_limited_stream"] = with_logs("SELECT service, level, count(*) AS log_count FROM logs GROUP BY ALL")
 ORACLE["archive_logs"] = with_logs("SELECT CAST(event_ts AS DATE) AS date, request_id, service, level, response_time_ms FROM logs")
 ORACLE["stream_logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")
@@ -470,4 +458,17 @@ ORACLE["retention_split"] = with_logs(
        ELSE 'archive' END AS tier,
   count(*) AS rows
 FROM logs GROUP BY ALL""")
+ORACLE["retention_tables"] = with_logs(
+    """SELECT CASE WHEN event_ts >= newest - INTERVAL '7 days' THEN 'hot' ELSE 'archive' END AS tab, event_id, event_ts
+FROM logs, (SELECT max(event_ts) AS newest FROM logs) m WHERE event_ts >= newest - INTERVAL '20 days'""")
+_LEDGER = f"""{_SLICE},
+arrived AS (SELECT *, CASE WHEN event_id % 50 = 7 THEN least(slice + 1, 2) ELSE slice END AS part, event_id % 89 = 0 AS bad,
+  time_bucket(INTERVAL '1 minute', event_ts) + INTERVAL '1 minute' AS w_end FROM sliced),
+marks AS (SELECT k, (SELECT max(event_ts) FROM arrived WHERE NOT bad AND part < k) - INTERVAL '1 minute' AS mark FROM range(4) t(k)),
+judged AS (SELECT a.*, CASE WHEN bad THEN 'unreadable' WHEN w_end <= m.mark THEN 'late' WHEN w_end <= e.mark THEN 'emitted' ELSE 'open' END AS fate
+  FROM arrived a JOIN marks m ON m.k = a.part JOIN marks e ON e.k = 3)"""
+ORACLE["ledger_balance"] = with_logs("SELECT fate, service, count(*) AS rows FROM judged GROUP BY ALL", _LEDGER)
+ORACLE["ledger_windows"] = with_logs(
+    f"""SELECT w_end - INTERVAL '1 minute' AS window_start, w_end AS window_end, service, level, {MEASURES}
+FROM judged WHERE fate = 'emitted' GROUP BY ALL""", _LEDGER)
 ORACLE["logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")

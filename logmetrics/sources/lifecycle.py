@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from logmetrics.functions.time import ntz_literal
 from logmetrics.sources import versions as V
 from logmetrics.sources.archive import HOT_DAYS
 
@@ -49,14 +50,14 @@ def apply_retention(spark: SparkSession, root: str, schema: StructType | str, as
             return None
         cut = [e for e in aged if e.high >= edge]
         shorter = [e for e in expired if e.high >= end]
-        to_archive = V.read(spark, aged, schema).where(at < F.lit(edge).cast("timestamp_ntz"))
+        to_archive = V.read(spark, aged, schema).where(at < ntz_literal(edge))
         if end is not None:
-            to_archive = to_archive.where(at >= F.lit(end).cast("timestamp_ntz"))
+            to_archive = to_archive.where(at >= ntz_literal(end))
         made = V.write_dates(to_archive, root, ARCHIVE, time_col) if aged else []
         if cut:
-            made += V.write_dates(V.read(spark, cut, schema).where(at >= F.lit(edge).cast("timestamp_ntz")), root, HOT, time_col)
+            made += V.write_dates(V.read(spark, cut, schema).where(at >= ntz_literal(edge)), root, HOT, time_col)
         if shorter:
-            made += V.write_dates(V.read(spark, shorter, schema).where(at >= F.lit(end).cast("timestamp_ntz")), root, ARCHIVE, time_col)
+            made += V.write_dates(V.read(spark, shorter, schema).where(at >= ntz_literal(end)), root, ARCHIVE, time_col)
         return made, [*aged, *expired]
 
     return V.commit(spark, root, moves)
@@ -75,13 +76,5 @@ def scan(spark: SparkSession, root: str, table: str, schema: StructType | str, s
 
 
 def compact(spark: SparkSession, root: str, table: str, schema: StructType | str, time_col: str = "event_ts") -> V.Version:
-    """Dates of several folders become one folder each, by one parallel write."""
-
-    def merge(base: V.Version):
-        of: dict[dt.date | None, list[V.Entry]] = {}
-        for e in base.of(table):
-            of.setdefault(e.date, []).append(e)
-        many = [e for es in of.values() if len(es) > 1 for e in es]
-        return (V.write_dates(V.read(spark, many, schema), root, table, time_col), many) if many else None
-
-    return V.commit(spark, root, merge)
+    """Dates of several folders, as late rows make them, become one folder each."""
+    return V.compact(spark, root, table, schema, time_col)

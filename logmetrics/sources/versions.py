@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _ENTRY = "tab string, path string, date date, low timestamp_ntz, high timestamp_ntz, rows bigint, added bigint, writer string, done bigint"
+_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}  # the default drops microseconds
 KEPT = 20
 
 
@@ -65,7 +66,7 @@ Change = tuple[Iterable[Entry], Iterable[Entry]]  # added, removed
 
 
 def _manifests(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(f"{_ENTRY}, v bigint").json(f"{root}/manifests")
+    return spark.read.schema(f"{_ENTRY}, v bigint").options(**_TIME).json(f"{root}/manifests")
 
 
 def newest(spark: SparkSession, root: str, number: int | None = None) -> Version:
@@ -88,12 +89,14 @@ def newest(spark: SparkSession, root: str, number: int | None = None) -> Version
     return Version(number, tuple(e for e in (Entry(**r) for r in found) if e.tab or e.writer))
 
 
-def commit(spark: SparkSession, root: str, change: Callable[[Version], Change | None], writer: str | None = None, work: int | None = None) -> Version:
+def commit(spark: SparkSession, root: str, change: Callable[[Version], Change | None], writer: str | None = None, work: int | None = None,
+           base: Version | None = None) -> Version:
     """Make the next version by ``change`` of the newest, again if another writer was first.
 
     ``change`` returns the folders to add and to remove, or None for no commit.  With
-    ``writer`` and ``work`` (rising numbers), work that is done already is not repeated."""
-    base = newest(spark, root)
+    ``writer`` and ``work`` (rising numbers), work that is done already is not repeated.
+    ``base`` is the newest version as far as the writer knows."""
+    base = base or newest(spark, root)
     number = base.number + 1
     while True:
         if writer is not None and base.done(writer) >= work:
@@ -110,7 +113,7 @@ def commit(spark: SparkSession, root: str, change: Callable[[Version], Change |
             kept.append(Entry(writer=writer, done=work))
         rows = [tuple(asdict(e).values()) for e in [Entry(), *kept]]  # the first row marks an empty version
         try:
-            spark.createDataFrame(rows, _ENTRY).coalesce(1).write.mode("error").json(f"{root}/manifests/v={number:012d}")
+            spark.createDataFrame(rows, _ENTRY).coalesce(1).write.mode("error").options(**_TIME).json(f"{root}/manifests/v={number:012d}")
             return Version(number, tuple(kept))
         except AnalysisException as e:
             if "PATH_ALREADY_EXISTS" not in str(e):
@@ -161,6 +164,20 @@ def read(spark: SparkSession, entries: Sequence[Entry], schema: StructType | str
     return spark.read.schema(schema).parquet(*[e.path for e in entries])
 
 
+def compact(spark: SparkSession, root: str, tab: str, schema: StructType | str, time_col: str, spare: int = 0) -> Version:
+    """Dates of several folders become one folder each, by one parallel write and one
+    commit; the newest ``spare`` folders stay."""
+
+    def merge(base: Version) -> Change | None:
+        entries = base.of(tab)
+        old = entries[: len(entries) - spare]
+        several = {e.date for e in old if sum(o.date == e.date for o in old) > 1 or e.date is None and e.rows and e.low != e.high}
+        many = [e for e in old if e.date in several]
+        return (write_dates(read(spark, many, schema), root, tab, time_col), many) if many else None
+
+    return commit(spark, root, merge)
+
+
 def delete_folder(path: str) -> None:
     fs, place = FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
     if fs.get_file_info(place).type == FileType.Directory:

@@ -1,16 +1,19 @@
 """The streaming metrics job: topic records -> parse -> per micro-batch gauges -> metrics
-history (one partition per date and batch) and, derived from it, the latest snapshot.
+history, a table of versions (``sources.versions``), and from it the latest snapshot.
 
-Per batch there is one aggregation over raw records and one write.  No ``isEmpty`` probe
-and no ``collect``: an empty batch aggregates to no rows and the dynamic-partition
-overwrite then touches nothing, so the previous snapshot stays.  A batch's time is its
-newest arrival, so a retried batch rewrites exactly its own partition with the same
-rows.  Write errors are not swallowed: the batch fails and is retried from the
-checkpoint.
-"""
+A batch is read once, by one aggregation over raw records that also finds its newest
+arrival, which is the batch's time.  Its gauges become one folder, and a commit names it
+together with the batch's number: a batch that is retried, before or after its commit,
+adds nothing twice, and an empty one commits nothing, so the previous snapshot stays.
+Write errors are not swallowed: the batch fails and is retried from the checkpoint.
+
+Compaction is a commit as well.  Readers see the folders of one version, so they get the
+same rows before, during and after it, and a late batch of a compacted date is simply a
+further folder."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,65 +22,77 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from logmetrics.config import DEFAULT_QUERY_NAME, DEFAULT_TRIGGER
-from logmetrics.functions.time import from_epoch_micros
+from logmetrics.functions.time import from_epoch_micros, ntz_literal
 from logmetrics.operators.metrics import metric_samples
+from logmetrics.sources import versions as V
 from logmetrics.sources.codec import parse_logs
 
 JOB_FIELDS = ["service", "level", "response_time_ms"]
 HISTORY = "batch_id bigint, ts timestamp_ntz, metric string, service string, level string, percentile string, value double"
+TABLE = "history"
+#: The job merges folders whenever this many have come together.
+COMPACT_AT = 500
 
 
 def batch_samples(batch_df: DataFrame, batch_id: int) -> DataFrame:
     """History rows of one micro-batch: (batch_id, ts, metric, service, level, percentile,
     value); ``ts`` is the batch's newest arrival time (UTC wall clock)."""
-    newest = batch_df.agg(F.max("kafka_timestamp")).scalar()
+    newest = F.col("kafka_timestamp")
     if isinstance(batch_df.schema["kafka_timestamp"].dataType, TimestampType):
         newest = from_epoch_micros(F.unix_micros(newest))
-    return metric_samples(batch_df).select(F.lit(int(batch_id)).cast("long").alias("batch_id"), newest.alias("ts"), "*")
+    rows = metric_samples(batch_df, stamp="kafka_timestamp")
+    return rows.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), newest.alias("ts"), "metric", "service", "level", "percentile", "value")
 
 
-def create_history(spark: SparkSession, path: str, parts: tuple[str, ...] = ("date", "batch_id")) -> None:
-    """Make the (empty) history table, so that it can be read before the first batch."""
-    empty = spark.createDataFrame([], HISTORY).withColumn("date", F.to_date("ts"))
-    empty.write.mode("append").partitionBy(*parts).parquet(path)
+def create_history(spark: SparkSession, path: str) -> V.Version:
+    """Make the (empty) history, so that it can be read before the first batch."""
+    return V.commit(spark, path, lambda v: None if v.number else ((), ()))
 
 
-def history_writer(history_path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending one batch's gauges to the history table."""
+def history_writer(path: str, writer: str = "job", compact_at: int = COMPACT_AT) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that adds one batch's gauges to the history.  ``writer``
+    names the stream whose batch numbers these are: its checkpoint."""
+    seen: list[V.Version] = []  # the version after this writer's last commit
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        (
-            batch_samples(batch_df, batch_id)
-            .withColumn("date", F.to_date("ts"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date", "batch_id")
-            .parquet(history_path)
-        )
+        spark = batch_df.sparkSession
+        base = seen.pop() if seen else V.newest(spark, path)
+        if base.done(writer) >= batch_id:
+            return
+        entry = V.write_folder(batch_samples(batch_df, batch_id), path, TABLE, "ts")
+        if entry.rows:
+            base = V.commit(spark, path, lambda _: ([entry], []), writer, batch_id, base)
+        if len(base.of(TABLE)) % compact_at == 0 and entry.rows:
+            base = compact_history(spark, path)
+        seen.append(base)
 
     return write
 
 
-def compact_history(spark: SparkSession, history_path: str, compacted_path: str, date: str) -> None:
-    """Rewrite one closed date's batches, a folder each, as one folder of few files; safe
-    to repeat.  ``read_history`` prefers it, and the batch folders may then be deleted."""
-    day = _stored(spark, history_path).filter(F.col("date") == F.lit(date).cast("date"))
-    out = day.coalesce(1).sortWithinPartitions("ts", "batch_id")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(compacted_path)
+def compact_history(spark: SparkSession, path: str) -> V.Version:
+    """Merge all batches but the newest to one folder per date, by one parallel write."""
+    return V.compact(spark, path, TABLE, HISTORY, "ts", spare=1)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(f"{HISTORY}, date date").parquet(path)
-    return rows.select(*(c.split()[0] for c in HISTORY.split(", ")), "date")
+def read_history(spark: SparkSession, path: str, version: int | None = None, start: dt.datetime | None = None, stop: dt.datetime | None = None) -> DataFrame:
+    """The history with its ``date``, in one version.  A time range (both ends included)
+    reads the folders that reach into it, and no others."""
+    entries = V.newest(spark, path, version).of(TABLE)
+    if start is not None:
+        entries = [e for e in entries if e.high is not None and e.high >= start]
+    if stop is not None:
+        entries = [e for e in entries if e.low is not None and e.low <= stop]
+    rows = V.read(spark, entries, HISTORY)
+    if start is not None:
+        rows = rows.where(F.col("ts") >= ntz_literal(start))
+    if stop is not None:
+        rows = rows.where(F.col("ts") <= ntz_literal(stop))
+    return rows.withColumn("date", F.to_date("ts"))
 
 
-def read_history(spark: SparkSession, history_path: str, compacted_path: str | None = None) -> DataFrame:
-    """The history with its ``date``; compacted dates are read from their compact form."""
-    live = _stored(spark, history_path)
-    if compacted_path is None:
-        return live
-    compact = _stored(spark, compacted_path)
-    return live.join(compact.select("date").distinct(), "date", "left_anti").unionByName(compact)
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest batch's gauges: the folder of the last commit, and no other, is read."""
+    return V.read(spark, V.newest(spark, path).of(TABLE)[-1:], HISTORY)
 
 
 def start_metrics_job(wire_stream: DataFrame, history_path: str, checkpoint: str,
@@ -91,6 +106,6 @@ def start_metrics_job(wire_stream: DataFrame, history_path: str, checkpoint: str
         .trigger(**(trigger or {"processingTime": DEFAULT_TRIGGER}))
         .option("checkpointLocation", checkpoint)
         .queryName(query_name)
-        .foreachBatch(history_writer(history_path))
+        .foreachBatch(history_writer(history_path, checkpoint))
         .start()
     )

@@ -136,3 +136,13 @@ def test_empty_tables(spark):
     v = L.ingest(logs_of(spark, []), root)
     assert v.number == 1 and V.newest(spark, root).entries == v.entries
     assert L.apply_retention(spark, root, SCHEMA, T).number == 1 and ids(spark, root, L.ARCHIVE) == []
+
+
+def test_boundaries_hold_to_the_microsecond(spark):
+    root, us = scratch_path(spark, "t-us"), dt.timedelta(microseconds=1)
+    edge = T - dt.timedelta(days=10) + 123_456 * us
+    rows = [(k, edge + k * us) for k in (-2, -1, 0, 1)]
+    L.ingest(spark.createDataFrame(rows, SCHEMA), root)
+    L.apply_retention(spark, root, SCHEMA, edge + dt.timedelta(days=10), hot_days=10)
+    assert ids(spark, root, L.HOT) == [0, 1] and ids(spark, root, L.ARCHIVE) == [-2, -1]
+    assert [(e.low, e.high) for e in V.newest(spark, root).of(L.HOT)] == [(edge, edge + us)]

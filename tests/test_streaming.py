@@ -13,6 +13,7 @@ from logmetrics.operators import series as S
 from logmetrics.operators.windows import windowed_metrics
 from logmetrics.plans.catalog import replay_stream
 from logmetrics.session import ensure_checkpoint_dir, scratch_path
+from logmetrics.sources import versions as V
 from logmetrics.sources.archive import retention_tiers, split_retention
 from logmetrics.sources.codec import parse_logs
 from logmetrics.sources.fixtures import load_logs
@@ -40,29 +41,83 @@ def test_metrics_job_equals_batch_and_restart(spark):
     # restart from the checkpoint: nothing new to read, nothing new written
     start(read_log_stream(spark, "parquet", f"{root}/wire"), root).awaitTermination()
     assert sorted(map(tuple, J.read_history(spark, f"{root}/h").collect()), key=repr) == before
-    # compaction changes the files, not the rows
-    day = str(hist.select("date").first()[0])
-    J.compact_history(spark, f"{root}/h", f"{root}/compact", day)
-    J.compact_history(spark, f"{root}/h", f"{root}/compact", day)
-    both = J.read_history(spark, f"{root}/h", f"{root}/compact").select(*hist.columns)
-    assert sorted(map(tuple, both.collect()), key=repr) == before
+    # compaction changes the files, not the rows; the version before it reads the same
+    version = V.newest(spark, f"{root}/h")
+    after = J.compact_history(spark, f"{root}/h")
+    assert J.compact_history(spark, f"{root}/h").number == after.number
+    for number in (None, version.number):
+        rows = J.read_history(spark, f"{root}/h", number)
+        assert sorted(map(tuple, rows.collect()), key=repr) == before
+    newest = sorted((r for r in before if r[0] == max(r[0] for r in before)), key=repr)
+    assert sorted(map(tuple, J.latest_snapshot(spark, f"{root}/h").collect()), key=repr) == [r[:-1] for r in newest]
+
+
+def _arrived(spark, shift="INTERVAL '0' DAY"):
+    return load_logs(spark, SF_SMALL).select("service", "level", "response_time_ms", F.expr(f"event_ts + {shift}").alias("kafka_timestamp"))
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
 
 
 def test_replayed_and_empty_batches(spark):
     path = scratch_path(spark, "t-hist")
     J.create_history(spark, path)
     assert J.read_history(spark, path).count() == 0  # readable before the first batch
-    logs = load_logs(spark, SF_SMALL).select("service", "level", "response_time_ms", F.col("event_ts").alias("kafka_timestamp"))
-    write = J.history_writer(path)
-    write(logs, 3)
-    first = sorted(map(tuple, J.read_history(spark, path).collect()), key=repr)
-    write(logs, 3)  # retried batch: same partition, same rows, same ts
-    assert sorted(map(tuple, J.read_history(spark, path).collect()), key=repr) == first
-    write(logs.limit(0), 4)  # empty batch writes nothing; snapshot stays batch 3
+    logs = _arrived(spark)
+    J.history_writer(path)(logs, 3)
+    first = _rows(J.read_history(spark, path))
+    J.history_writer(path)(logs, 3)  # retried batch, by a writer that has restarted
+    assert _rows(J.read_history(spark, path)) == first
+    J.history_writer(path)(logs.limit(0), 4)  # empty batch commits nothing; the snapshot stays batch 3
     hist = J.read_history(spark, path)
     assert hist.count() == len(first)
     assert {r.batch_id for r in S.latest_batch(hist).select("batch_id").distinct().collect()} == {3}
+    assert {r.batch_id for r in J.latest_snapshot(spark, path).collect()} == {3}
     assert dict(hist.dtypes)["batch_id"] == "bigint"
+    J.history_writer(path, "another")(logs, 0)  # a stream with its own checkpoint counts from 0
+    assert J.read_history(spark, path).count() == 2 * len(first)
+
+
+def test_history_keeps_late_batches_of_compacted_dates(spark):
+    path = scratch_path(spark, "t-late")
+    write = J.history_writer(path, compact_at=4)  # compacts by itself at the fourth folder
+    for k, days in enumerate((0, 1, 0, 2)):
+        write(_arrived(spark, f"INTERVAL '{days}' DAY"), k)
+    assert len(V.newest(spark, path).of(J.TABLE)) == 3  # two dates, and the newest batch
+    write(_arrived(spark), 4)  # late: its date is compacted
+    hist = J.read_history(spark, path)
+    assert {r.batch_id for r in hist.select("batch_id").distinct().collect()} == {0, 1, 2, 3, 4}
+    before = _rows(hist)
+    J.compact_history(spark, path)
+    J.compact_history(spark, path)
+    assert _rows(J.read_history(spark, path)) == before
+    # a time range reads the folders that reach into it
+    low, high = hist.where("batch_id = 1").agg(F.min("ts"), F.max("ts")).first()
+    part = J.read_history(spark, path, start=low, stop=high)
+    assert _rows(part) == _rows(hist.where("batch_id = 1")) and len(part.inputFiles()) < len(hist.inputFiles())
+
+
+def test_a_micro_batch_is_scanned_once(spark):
+    plan = J.batch_samples(_arrived(spark), 1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Subquery" not in plan
+
+
+def test_batch_that_dies_before_its_commit(spark, monkeypatch):
+    path = scratch_path(spark, "t-die")
+    J.history_writer(path)(_arrived(spark), 0)
+    before = _rows(J.read_history(spark, path))
+
+    def dies(*a, **k):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(V, "commit", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            J.history_writer(path)(_arrived(spark, "INTERVAL '1' DAY"), 1)
+    assert _rows(J.read_history(spark, path)) == before
+    J.history_writer(path)(_arrived(spark, "INTERVAL '1' DAY"), 1)
+    assert J.read_history(spark, path).count() == 2 * len(before)
 
 
 def test_stateful_count_and_watermark_windows(spark):
