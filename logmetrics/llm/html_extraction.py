@@ -8,9 +8,10 @@ region with the largest sum.  Elements that are never article text (menus, heade
 footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) score
 nothing and are left out of the region's text; a tag's name, its role or ``hidden`` say so
 at once.  A class or id is weighed: the share of its words that name such parts lowers
-the weight of all words in the element, and only an element whose words then weigh less
-than nothing is left out, never one that holds most words of the page or of its marked
-article.  The text keeps every block of the region: character references decoded, white
+the weight of all words in the element, and an element whose words then weigh less than
+nothing is left out, unless it holds most words of the page.  One whose name leaves no
+doubt (comments, cookies, adverts, menus, sidebars and the like) is left out at any size.
+None is that holds the marked article.  The text keeps every block of the region: character references decoded, white
 space made one space, blocks joined by a newline.
 
 Bounds.  Weights are learned from ``MAX_PAGES`` marked pages of at most ``MAX_CHARS``
@@ -26,8 +27,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,8 +41,6 @@ from .common import add_from_text
 MAX_PAGES = 600
 MAX_CHARS = 100_000
 WORD, TAG, LEFT_OUT = 1.0, -0.25, -2.0
-#: A marked article of less than this share of the other text doesn't count as one.
-FRAGMENT = 0.25
 _INLINE_COST = -0.02
 #: Added to a word's weight if its element's class and id name nothing but such parts.
 NAMED = -1.8
@@ -59,6 +60,11 @@ CONTAINERS = frozenset("article aside blockquote body details div dl fieldset fi
 NOT_ARTICLE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Of these, the words that leave no doubt, and among them those of reader comments.
+COMMENTS = frozenset("comment comments commentlist disqus replies".split())
+SURE = COMMENTS | frozenset(
+    "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs consent cookie cookies footer gdpr masthead menu menus modal nav navbar navigation newsletter pager pagination popup promo promoted promotion sharing sidebar signup social sponsor sponsored subscribe".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 #: Words of a class or id that say nothing of its content, and those that deny the next.
 NEUTRAL = frozenset("area block body bottom box col column container content inner item items left link links list main outer page panel right section site slot top unit wrap wrapper".split())
@@ -78,70 +84,96 @@ class Weights:
         return self.tags.get(name, _INLINE_COST if name in INLINE else TAG)
 
 
-def _left_out(name: str, attributes: str) -> tuple[bool, float]:
-    """Whether the element is never article text, and the weight that its class and id add
-    to its words."""
+def _left_out(name: str, attributes: str) -> tuple[bool, float, bool]:
+    """Whether the element is never article text, the weight that its class and id add to
+    its words, and whether they leave no doubt."""
     if name in SKIPPED:
-        return True, 0.0
+        return True, 0.0, False
     if not attributes or name in ("html", "body", "article", "main"):
-        return False, 0.0
-    added = 0.0
+        return False, 0.0, False
+    added, sure = 0.0, False
     for m in _ATTRIBUTE.finditer(attributes):
         key = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True, 0.0
+            return True, 0.0, False
         if key == "role":
             if value.strip() in ROLES:
-                return True, 0.0
+                return True, 0.0, False
         elif key in ("class", "id"):
-            added = min(added, _named(m[2] or m[3] or m[4] or ""))
-    return False, added
+            weight, no_doubt = _named(m[2] or m[3] or m[4] or "")
+            added, sure = min(added, weight), sure or no_doubt
+    return False, added, sure
 
 
-def _named(value: str) -> float:
+def _named(value: str) -> tuple[float, bool]:
     """``NAMED`` times the share of words that name a part that isn't article, among those
-    that say anything."""
+    that say anything; and whether half of these, or more, leave no doubt."""
     spaced = re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()
-    named = said = 0
+    named = said = certain = 0
     for token in spaced.split():
         parts = _PARTS.findall(token)
         for before, part in zip(["", *parts], parts, strict=False):
             hit = part in NOT_ARTICLE and before not in DENIES
             named += hit
+            certain += hit and part in SURE
             said += hit or part not in NEUTRAL and part not in DENIES
-    return NAMED * named / said if named else 0.0
+    return (NAMED * named / said, 2 * certain >= said) if named else (0.0, False)
+
+
+class _Open:
+    """The elements that are open: a stack, with the places of each name and of containers,
+    so that the innermost one of a kind is found at once however deep they are."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool, int, str]] = []  # name, skipped, marked, span or -1, innermost block
+        self.places: dict[str, list[int]] = {}
+        self.containers: list[int] = []
+
+    def top(self) -> tuple[bool, bool, str]:
+        return (self.stack[-1][1], self.stack[-1][2], self.stack[-1][4]) if self.stack else (False, False, "")
+
+    def push(self, name: str, skipped: bool, marked: bool, span: int) -> None:
+        block = name if name not in INLINE else self.top()[2]
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in CONTAINERS:
+            self.containers.append(len(self.stack))
+        self.stack.append((name, skipped, marked, span, block))
+
+    def innermost(self, name: str) -> int:
+        return (self.places.get(name) or [-1])[-1]
+
+    def close(self, at: int) -> list[int]:
+        """Close all elements from a place on; returns their spans."""
+        spans = []
+        while len(self.stack) > at:
+            name, _, _, span, _ = self.stack.pop()
+            self.places[name].pop()
+            if self.containers and self.containers[-1] == len(self.stack):
+                self.containers.pop()
+            spans.append(span)
+        return spans
 
 
 def parse(page: str):
     """Tokens in page order: (kind, value, element, skipped, marked, added) with kind 'w'
     for a run of text and 't' for a tag; ``marked``: inside an article or main element;
     ``added``: what the names of its elements add to a word's weight."""
-    stack: list[tuple[str, bool, bool, int]] = []  # name, skipped from here on, marked, span or -1
-    spans: list[list] = []  # named and outermost marked elements: first token, end, added weight
+    opened = _Open()
+    spans: list[list] = []  # named and outermost marked elements: first token, end, added weight, no doubt
     at, size = 0, len(page)
     out = []
 
     def close(i):
-        for _, _, _, k in stack[i:]:
+        for k in opened.close(i):
             if k >= 0:
                 spans[k][1] = len(out)
-        del stack[i:]
-
-    def state():
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
-
-    def element():
-        for name, *_ in reversed(stack):
-            if name not in INLINE:
-                return name
-        return ""
 
     def text(a, b):
         if b > a:
             raw = page[a:b]
-            skipped, marked = state()
-            out.append(("w", html.unescape(raw) if "&" in raw else raw, element(), skipped, marked))
+            skipped, marked, block = opened.top()
+            out.append(("w", html.unescape(raw) if "&" in raw else raw, block, skipped, marked))
 
     while at < size:
         start = page.find("<", at)
@@ -160,22 +192,19 @@ def parse(page: str):
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            skipped, marked = state()
+            depth = opened.innermost(name)
+            skipped, marked, _ = opened.top()
             out.append(("t", name, "", skipped, marked))
-            if depth is not None:
+            if depth >= 0:
                 close(depth)
             continue
-        if name in ENDS_PARAGRAPH or name == "li":
-            ends = "p" if name != "li" else "li"
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == ends:
-                    close(i)
-                    break
-                if stack[i][0] in CONTAINERS:
-                    break
-        skipped, marked = state()
-        left_out, added = _left_out(name, attributes)
+        container = opened.containers[-1] if opened.containers else -1
+        if name in ENDS_PARAGRAPH and opened.innermost("p") > container:
+            close(opened.innermost("p"))
+        elif name == "li" and opened.innermost("li") >= max(container, 0):
+            close(opened.innermost("li"))
+        skipped, marked, _ = opened.top()
+        left_out, added, sure = _left_out(name, attributes)
         skipped = skipped or left_out
         first, marked = not marked and name in ("article", "main"), marked or name in ("article", "main")
         out.append(("t", name, "", skipped, marked))
@@ -185,30 +214,45 @@ def parse(page: str):
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             spanned = not skipped and (added or first)
             if spanned:
-                spans.append([len(out) - 1, 0, added])
-            stack.append((name, skipped, marked, len(spans) - 1 if spanned else -1))
+                spans.append([len(out) - 1, 0, added, sure])
+            opened.push(name, skipped, marked, len(spans) - 1 if spanned else -1)
     close(0)
     return _weigh_names(out, spans)
 
 
 def _weigh_names(tokens: list, spans: list[list]) -> list:
-    """Leave out the elements of ``spans`` whose words, with what their name adds, weigh
-    less than nothing; add to the words of the others.  Those that hold most words of the
-    page, or its largest marked element, count as without a name."""
+    """Leave out named elements; add to the words of those that stay.
+
+    A name without doubt is left out at any size.  Another is left out if its words, with
+    what its name adds, weigh less than nothing, and it doesn't hold most words of the
+    page.  An element that holds the page's article, the largest marked element that is in
+    no element of a sure name, if there is one, counts as without a name; but of several
+    marked elements in one of a sure name, as comments are, none is the article."""
     words, tags = [0], [0.0]
     for kind, value, _, skipped, _ in tokens:
         words.append(words[-1] + (0 if skipped or kind == "t" else len(value.split())))
         tags.append(tags[-1] + (0.0 if skipped or kind == "w" or value in INLINE else TAG))
-    marked = max(((words[b] - words[a], -a, b) for a, b, added in spans if not added), default=(0, 0, 0))
+    inside = [0] * (len(tokens) + 1)  # elements of a sure name that are open
+    for a, b, _, sure in spans:
+        if sure:
+            inside[a] += 1
+            inside[b] -= 1
+    inside = list(accumulate(inside))
+    marks = sorted((a, b) for a, b, added, _ in spans if not added)
+    starts = [a for a, _ in marks]
+    a, b = max(marks, key=lambda m: (not inside[m[0]], words[m[1]] - words[m[0]], -m[0]), default=(0, 0))
+    article = (a, b) if words[b] > words[a] else None
     cut, more = [0] * (len(tokens) + 1), [0.0] * (len(tokens) + 1)
-    for a, b, added in spans:
+    for a, b, added, sure in spans:
+        if not added:
+            continue
         n = words[b] - words[a]
-        if not added or 2 * n > words[-1] or marked[0] and a <= -marked[1] and b >= marked[2]:
+        if article and a <= article[0] and article[1] <= b and not (sure and bisect_left(starts, b) - bisect_left(starts, a) > 1 and inside[article[0]]):
             continue
-        if (WORD + added) * n + tags[b] - tags[a] < 0:
+        if sure or 2 * n <= words[-1] and (WORD + added) * n + tags[b] - tags[a] < 0:
             cut[a] += 1
             cut[b] -= 1
-        else:
+        elif 2 * n <= words[-1]:
             more[a] += added
             more[b] -= added
     out, left, added = [], 0, 0.0
@@ -220,12 +264,10 @@ def _weigh_names(tokens: list, spans: list[list]) -> list:
 
 def scores(tokens: list, weights: Weights) -> list[float]:
     """The weight of each token.  What is left out anyway costs nothing but its tags, so
-    an advert amid the article doesn't end the region.  If the page marks its article,
-    and that is not a mere fragment of its text, words elsewhere are negative."""
+    an advert amid the article doesn't end the region.  If the page marks its article, at
+    whatever share of its text, words elsewhere are negative."""
     words = [len(value.split()) if kind == "w" else 0 for kind, value, *_ in tokens]
-    inside = sum(n for n, t in zip(words, tokens, strict=True) if t[4] and not t[3])
-    outside = sum(n for n, t in zip(words, tokens, strict=True) if not t[4] and not t[3])
-    marks = inside > FRAGMENT * outside
+    marks = any(n and t[4] and not t[3] for n, t in zip(words, tokens, strict=True))
     out = []
     for n, (kind, value, element, skipped, marked, added) in zip(words, tokens, strict=True):
         if kind == "t":

@@ -1,3 +1,8 @@
+import re
+import time
+from html.parser import HTMLParser
+
+import pytest
 from llm.helpers import LONG
 
 from logmetrics.llm import html_extraction as h
@@ -47,8 +52,10 @@ def test_names_are_weighed():
     """A class or id that only mentions a menu, a sidebar or comments cuts no article."""
     w = h.Weights()
     text = "A first sentence with a number of words in it and then some more of them."
-    for name in ("layout has-sidebar", "post no-comments", "sidebar", "hasSidebar", "share"):
+    for name in ("layout has-sidebar", "post no-comments", "sidebar", "hasSidebar", "share", "comments"):
         for inner in ("div", "article", "main"):
+            if inner == "div" and name in ("sidebar", "comments"):  # nothing says that this is the article
+                continue
             page = f'<div id="menu"><p>Home About</p></div><div class="{name}"><{inner}><p>{text}</p><p>{text}</p></{inner}></div>'
             assert h.extract(page, w) == f"{text}\n{text}", (name, inner)
     parts = "".join(f'<section {name}><p>{text}</p></section>' for name in ('id="related-work"', 'class="search-results"', 'class="intro"'))
@@ -59,6 +66,80 @@ def test_names_are_weighed():
     assert h.extract(f"<p>{text}</p>{deep}<p>{text}</p>", w) == f"{text}\n{text}"
 
 
+WORDS = " ".join(f"word{i}" for i in range(40))
+LONGER = " ".join(f"other{i}" for i in range(400))
+
+
+@pytest.mark.parametrize("name", ['class="comments"', 'id="cookie-consent"', 'class="sidebar"', 'id="post-comments"', 'class="ad-slot top"', 'class="main-menu"'])
+@pytest.mark.parametrize("element", ["article", "div"])
+def test_long_named_parts_are_never_text(name, element):
+    w = h.Weights()
+    for part in (f"<div {name}><p>{LONGER}</p></div>", f"<div {name}>" + f"<article><p>{LONGER}</p></article>" * 3 + "</div>"):
+        for page in (f"<{element}><p>{WORDS}</p></{element}>{part}", f"{part}<{element}><p>{WORDS}</p></{element}>", f"<{element}><p>{WORDS}</p>{part}</{element}>"):
+            assert h.extract(f"<body>{page}</body>", w) == WORDS
+
+
+def test_a_marked_article_counts_at_any_share():
+    w = h.Weights()
+    assert h.extract(f"<p>{LONGER}</p><article><p>{WORDS}</p></article><p>{LONGER}</p>", w) == WORDS
+    assert h.extract(f'<div class="sidebar"><article><p>{WORDS}</p></article></div><p>{LONGER}</p>', w) == WORDS
+
+
+class Reference(HTMLParser):
+    """Another parser: text in article elements, outside of what is never article."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.blocks = [], [""]
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        names = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag not in h.INLINE:
+            self.blocks.append("")
+        if tag == "p":  # a paragraph ends the one before
+            while any(t == "p" for t, _ in self.stack) and self.stack[-1][0] in ("p", "b"):
+                self.stack.pop()
+        if tag not in h.VOID:
+            self.stack.append((tag, tag in h.SKIPPED or bool(re.search(r"\b(ads?|cookie|comments|sidebar|notice)\b", names))))
+
+    def handle_endtag(self, tag):
+        if tag not in h.INLINE:
+            self.blocks.append("")
+        if any(t == tag for t, _ in self.stack):
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if any(t in ("article", "main") for t, _ in self.stack) and not any(skip for _, skip in self.stack):
+            self.blocks[-1] += data
+
+    def text(self):
+        return "\n".join(b for b in (" ".join(x.split()) for x in self.blocks) if b)
+
+
+def test_test_pages_equal_another_parser(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    marked = [r for r in rows if r.html and "<article" in r.html]
+    got = {r.page_id: r.text for r in h.report(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()}
+    assert len(marked) > 100
+    assert [r.page_id for r in marked if got[r.page_id] != Reference(r.html).text()] == []
+
+
+def test_deep_pages_take_linear_time():
+    w = h.Weights()
+    start = time.perf_counter()
+    assert h.extract("<b>x " * 250_000, w).count("x") == 250_000
+    assert h.extract("<div>" * 100_000 + "deep words" + "</div>" * 100_000, w) in ("deep words", "")
+    assert h.extract("<p>" + "<i>a</b>" * 100_000, w).count("a") == 100_000
+    assert h.extract("<ul>" + "<li><b>word " * 100_000, w).count("word") == 100_000
+    h.extract('<div class="ad">word' * 50_000, w)
+    assert time.perf_counter() - start < 60
+
+
 def test_odd_pages():
     w = h.Weights()
     assert h.extract(None, w) == h.extract("", w) == h.extract("<p></p><!-- open", w) == ""
