@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 from llm.helpers import EDGE, docs_of, empty_docs
 from pyspark.sql import functions as F
@@ -91,6 +92,58 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert not any(v for i, v in rows.items() if i >= 1000)
 
 
+CODE = "x = getUserProfileById2Handler(HttpRequestFactoryBean2, '/static/images/photo2024')  # see docs/v2/guide/intro3"
+
+
+def random_key(r, n=32):
+    return "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+
+
+def test_identifiers_and_paths_are_no_secrets(spark):
+    """Few targets, or none beside decoys: nothing is added, and nothing is replaced."""
+    for rows in ([(1, CODE)], [(i, CODE) for i in range(200)], [(i, f"see {random_key(random.Random(i))} here") for i in range(19)]):
+        docs = docs_of(spark, rows)
+        assert {r.spans for r in s.report(docs).collect()} == {""}
+        assert sorted(r.text for r in s.redact(docs).collect()) == sorted(t for _, t in rows)
+    r = random.Random(4)
+    rows = [(i, f"{CODE} {random_key(r)}") for i in range(80)]
+    out = s.report(docs_of(spark, rows)).collect()
+    at = len(CODE) + 1
+    assert {x.spans for x in out} <= {"", f"random:{at}:{at + 32}"} and sum(x.spans != "" for x in out) >= 40
+
+
+def test_thresholds_count_one_more_decoy(spark):
+    keys = [(i, f"see {random_key(random.Random(i))} here") for i in range(60)]
+    assert s.thresholds(docs_of(spark, keys)) and not s.thresholds(docs_of(spark, keys), false_share=1 / 61)
+    assert s.thresholds(docs_of(spark, keys[:5])) == {}
+
+
+def test_tokens_that_touch_base_spans_are_not_added(spark):
+    """Held against a plain search of all spans."""
+    r = random.Random(6)
+    texts = []
+    for i in range(60):
+        parts = [random_key(r, r.choice([8, 20, 32])), "token=" + random_key(r, 12), "AKIA" + "Z" * r.choice([3, 14]), "0123456789abcdef" * r.choice([1, 2]), "xx\x01yy", "é" * 3]
+        r.shuffle(parts)
+        texts.append("".join(p + r.choice([" ", "", "-", "=", "\n"]) for p in parts))
+    df = docs_of(spark, list(enumerate(texts))).withColumn("b", s.base_spans(F.col("text")))
+    for row in df.withColumn("c", s.candidates(F.col("text"), F.col("b"))).collect():
+        tokens = [m.span() for m in re.finditer(s.TOKEN, row.text)]
+        clear = [t for t in tokens if not any(a < t[1] and e > t[0] for a, _, e in base(row.text))]
+        assert [(c.start, c.end) for c in row.c] == clear, row.text
+
+
+def test_many_matches_in_one_text(spark):
+    r = random.Random(7)
+    text = " ".join(f"token={random_key(r, 24)} {random_key(r)} é" for _ in range(2_500))
+    start = time.perf_counter()
+    row = s.report(docs_of(spark, [(1, text)])).first()
+    assert row.n_assign == 2_500 and row.spans.count("random") > 2_000
+    clean = s.redact(docs_of(spark, [(1, text)])).first().text
+    assert clean.count("[SECRET]") == row.n_assign + row.spans.count("random") and clean.endswith(" é")
+    assert time.perf_counter() - start < 120
+
+
 def test_redact(spark):
     docs = [(i, t) for i, t in enumerate(TEXTS, 100)] + EDGE
     out = s.redact(docs_of(spark, docs))
