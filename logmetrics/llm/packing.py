@@ -3,8 +3,9 @@
 Every text becomes its token ids and one end id; only longer ones are cut, into pieces of
 ``CAPACITY`` tokens.  Pieces are dealt by a hash into groups of about ``GROUP`` pieces.
 Within a group, best fit in falling order of length gives the first bins; then documents
-move, or are exchanged one for one or two for one, between underfull bins whenever that
-raises the sum of squared fills, so that weak bins drain until they are empty.
+move, or are exchanged one for one or two for one, between any two underfull bins whenever
+that raises the sum of squared fills, so that weak bins drain until they are empty.  The
+search ends when no step is left, or when no fewer bins can hold the tokens.
 
 Scale.  Tokenising is one narrow scan; a bounded cache of words makes it cheap.  What is
 shuffled afterwards is one short row per piece.  A group is bounded whatever the input,
@@ -211,7 +212,7 @@ def pieces(docs: DataFrame, text: str = "text", capacity: int = CAPACITY, with_i
     return found.select(*kept, F.explode(into).alias(into)).select(*kept, *(F.col(into)[n].alias(fresh(rest, n)) for n, _ in fields))
 
 
-def pack(lengths: np.ndarray, capacity: int = CAPACITY, rounds: int = 40) -> np.ndarray:
+def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     """Bin number of each length (1 to ``capacity``): best fit in falling order, then
     local search on the underfull bins."""
     lengths = np.asarray(lengths, dtype=np.int64)
@@ -228,73 +229,92 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY, rounds: int = 40) -> np.
         bin_of[i] = b
         if free > size:
             insort(space, (free - size, b))
-    _local_search(lengths, bin_of, capacity, rounds)
+    if n_bins > -(-int(lengths.sum()) // capacity):
+        _Search(lengths, bin_of, capacity).run()
     return np.unique(bin_of, return_inverse=True)[1] if len(bin_of) else bin_of
 
 
-def _local_search(lengths: np.ndarray, bin_of: np.ndarray, capacity: int, rounds: int) -> None:
-    """Drain the weakest bin into other underfull bins by moves and exchanges, each of
-    which raises the squared fill; stop when a round empties nothing."""
-    members: dict[int, list[int]] = {}
-    for i, b in enumerate(bin_of.tolist()):
-        members.setdefault(b, []).append(i)
-    fill = {b: int(lengths[m].sum()) for b, m in members.items()}
-    least = -(-int(lengths.sum()) // capacity) if len(lengths) else 0
-    for _ in range(rounds):
-        open_bins = sorted((b for b in fill if fill[b] < capacity), key=lambda b: (fill[b], b))
-        if len(fill) <= least or len(open_bins) < 2:
-            return
-        weak = open_bins[0]
-        others = open_bins[1:]
-        if not _drain(weak, others, members, fill, lengths, capacity):
-            return
-        if not members[weak]:
-            del members[weak], fill[weak]
-        for b in (weak, *others):
-            for i in members.get(b, ()):
-                bin_of[i] = b
-
-
-def _drain(weak, others, members, fill, lengths, capacity) -> bool:
-    """Steps from ``weak`` to the fuller bins while one raises the squared fill."""
-    gained = False
-
-    def shift(src, dst, out, back):
-        nonlocal gained
-        for i in out:
-            members[src].remove(i)
-            members[dst].append(i)
-        for i in back:
-            members[dst].remove(i)
-            members[src].append(i)
-        d = int(lengths[out].sum()) - (int(lengths[back].sum()) if back else 0)
-        fill[src] -= d
-        fill[dst] += d
-        gained = True
-
-    # Moves: each document to the fullest bin that holds it.
-    for i in sorted(members[weak], key=lambda i: -lengths[i]):
-        fits = [b for b in others if fill[b] + lengths[i] <= capacity]
-        if fits:
-            shift(weak, max(fits, key=lambda b: (fill[b], -b)), [i], [])
-    # Exchanges: out of the weak bin one or two documents, back one shorter one, so that
-    # a fuller bin gains; the largest gain that still fits, first.
-    for b in sorted(others, key=lambda b: (-fill[b], b)):
-        room = capacity - fill[b]
-        if not members[weak] or not room:
-            continue
-        own = sorted(members[weak], key=lambda i: (-lengths[i], i))[:64]
-        theirs = sorted(members[b], key=lambda i: (lengths[i], i))
-        outs = [[i] for i in own] + [[i, j] for k, i in enumerate(own) for j in own[k + 1 :]]
-        out_len = np.array([int(lengths[o].sum()) for o in outs])
-        back_len = lengths[theirs]
-        gain = out_len[:, None] - back_len[None, :]
-        gain[(gain <= 0) | (gain > room)] = 0
-        at = int(gain.argmax())
-        if gain.flat[at] > 0:
-            o, k = divmod(at, len(theirs))
-            shift(weak, b, outs[o], [theirs[k]])
-    return gained
+class _Search:
+    """Steps that raise the sum of squared fills: from an underfull bin, one or two
+    documents go to a fuller one that has room, in exchange for a shorter one or none.
+
+    Giving d tokens from fill f to fill g raises the sum by 2 d (g - f + d).  As lengths
+    are whole numbers up to the capacity, a table of what one or two documents of the
+    giving bin add up to finds the longest that fits each partner in one look-up, for all
+    partners at once.  The sum only rises, so the search ends by itself: when all bins are
+    empty that can be, or when no bin has a step left."""
+
+    def __init__(self, lengths: np.ndarray, bin_of: np.ndarray, capacity: int):
+        self.lengths, self.bin_of, self.capacity = lengths, bin_of, capacity
+        self.fill = np.bincount(bin_of, weights=lengths).astype(np.int64)
+        self.members: list[list[int]] = [[] for _ in self.fill]
+        for i, b in enumerate(bin_of.tolist()):
+            self.members[b].append(i)
+        self.least = -(-int(lengths.sum()) // capacity)
+
+    def run(self) -> None:
+        used = int((self.fill > 0).sum())
+        moved = True
+        while moved and used > self.least:
+            moved = False
+            for b in np.argsort(self.fill, kind="stable").tolist():
+                while 0 < self.fill[b] < self.capacity and used > self.least and self._step(b):
+                    moved = True
+                    used -= int(self.fill[b] == 0)
+
+    def _step(self, b: int) -> bool:
+        """The best step that gives from bin ``b``, if there is one."""
+        f, mine = int(self.fill[b]), self.members[b]
+        # Partners: documents of underfull bins that are as full or fuller, and their room.
+        others = (self.fill >= f) & (self.fill < self.capacity)
+        others[b] = False
+        bins = np.flatnonzero(others)
+        if not len(bins):
+            return False
+        docs = np.flatnonzero(others[self.bin_of])
+        back = np.concatenate([np.zeros(len(bins), dtype=np.int64), self.lengths[docs]])  # none, or one document
+        to = np.concatenate([bins, self.bin_of[docs]])
+        sizes = np.unique(self.lengths[mine])
+        twice = np.unique(self.lengths[mine], return_counts=True)[1] > 1
+        best = np.zeros(self.capacity + 1, dtype=np.int64)
+        pairs = np.add.outer(sizes, sizes)
+        pairs = np.concatenate([pairs[np.triu_indices(len(sizes), 1)], 2 * sizes[twice]])
+        best[sizes] = sizes
+        pairs = pairs[pairs <= self.capacity]
+        best[pairs] = pairs
+        best = np.maximum.accumulate(best)  # the largest that fits
+        room = self.capacity - self.fill[to] + back
+        given = best[np.minimum(room, self.capacity)]
+        d = given - back
+        gain = np.where(d > 0, 2 * d * (self.fill[to] - f + d), 0)
+        k = int(gain.argmax())
+        if gain[k] <= 0:
+            return False
+        out = self._of_size(mine, int(given[k]))
+        self._shift(out, b, int(to[k]))
+        if k >= len(bins):
+            self._shift([int(docs[k - len(bins)])], int(to[k]), b)
+        return True
+
+    def _of_size(self, mine: list[int], size: int) -> list[int]:
+        first: dict[int, int] = {}
+        for i in mine:
+            n = int(self.lengths[i])
+            if n == size:
+                return [i]
+            if size - n in first:
+                pair = [first[size - n], i]
+            first.setdefault(n, i)
+        return pair
+
+    def _shift(self, docs: list[int], src: int, dst: int) -> None:
+        for i in docs:
+            self.members[src].remove(i)
+            self.members[dst].append(i)
+            self.bin_of[i] = dst
+        n = int(self.lengths[docs].sum())
+        self.fill[src] -= n
+        self.fill[dst] += n
 
 
 def assign(parts: DataFrame, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece"), capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:

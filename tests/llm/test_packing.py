@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import EDGE, docs_of, empty_docs
@@ -90,6 +91,42 @@ def test_local_search_beats_best_fit():
     assert len(set(p.pack(lengths, 10).tolist())) == 2
 
 
+def best_fit(lengths, capacity):
+    """The first bins alone."""
+    free = []
+    for n in sorted(lengths, reverse=True):
+        fits = [b for b, x in enumerate(free) if x >= n]
+        b = min(fits, key=lambda b: free[b]) if fits else len(free)
+        free[b : b + 1] = [(free[b] if fits else capacity) - n]
+    return len(free)
+
+
+@pytest.mark.parametrize("low, high, share", [(600, 760, 1.02), (400, 512, 1.1), (500, 900, 1.07)])
+def test_search_empties_bins_of_best_fit(low, high, share):
+    """Lengths of which best fit in falling order wastes room: at a realistic size."""
+    lengths = np.random.default_rng(low).integers(low, high, 4000)
+    bins = p.pack(lengths)
+    fill = np.bincount(bins, weights=lengths)
+    assert fill.max() <= p.CAPACITY and fill.min() > 0
+    bound = -(-int(lengths.sum()) // p.CAPACITY)
+    assert len(fill) <= share * bound and len(fill) < best_fit(lengths.tolist(), p.CAPACITY)
+
+
+def test_each_step_raises_the_squared_fill():
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(20, 70, 80)
+    search = p._Search(lengths, np.arange(80) // 2, 140)
+    before = (search.fill**2).sum()
+    steps = 0
+    for b in list(range(40)) * 3:
+        while 0 < search.fill[b] < 140 and search._step(b):
+            now = (search.fill**2).sum()
+            assert now > before and search.fill.max() <= 140
+            assert (search.fill == np.bincount(search.bin_of, weights=lengths, minlength=40)).all()
+            before, steps = now, steps + 1
+    assert steps > 40 and (search.fill == 0).any()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 100), max_size=60))
 def test_pack_is_valid(lengths):
