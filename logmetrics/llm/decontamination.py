@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_from_text, fresh
+from .common import add_from_text, fresh, store
 
 WINDOW = 10
 #: Words of benchmark text that one broadcast block may hold (about 0.3 GB in a worker).
@@ -112,20 +112,10 @@ def _scan_texts(block: WindowSet, texts: list[bytes | None]):
     return [len(w) for w in lists], spans, [sorted(s) for s in items]
 
 
-def _merge(a: list[dict], b: list[dict]) -> list[dict]:
-    out: list[dict] = []
-    for s in sorted([*a, *b], key=lambda s: (s["start"], s["end"])):
-        if out and s["start"] <= out[-1]["end"]:
-            out[-1]["end"] = max(out[-1]["end"], s["end"])
-        else:
-            out.append(dict(s))
-    return out
-
-
 def _blocks(benchmark: DataFrame, item_id: str, text: str, max_words: int):
     """The benchmark as lists of (id, text), each of about ``max_words`` words at most
     (or one item, if that is longer)."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(text).cast("binary").alias("text"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).cast("binary").alias("text"))
     items = items.where(F.col("text").isNotNull())
     n_words = items.agg(F.sum(F.size(F.split(F.col("text").cast("string"), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"))).alias("n")).first()["n"] or 0
     n = max(1, -(-2 * n_words // max_words)) if n_words > max_words else 1
@@ -145,23 +135,29 @@ def find_contamination(
     into: str = "contamination",
 ) -> DataFrame:
     """All columns of ``docs`` plus the struct ``into`` with ``n_words``, ``spans`` (hit
-    word ranges, merged, end exclusive) and ``items`` (sorted ids with occurrences)."""
+    word ranges, merged, end exclusive) and ``items`` (sorted ids with occurrences, in
+    the type they have in ``benchmark``).
+
+    Between blocks the result is stored, so a task holds one block's windows at a time."""
+    id_type = benchmark.schema[item_id].dataType.simpleString()
     plain, into = docs.columns, fresh(docs, into)
     n_col, s_col, i_col = (fresh(docs, f"{into}_{x}") for x in ("n", "spans", "items"))
     out = docs.withColumns(
         {
             n_col: F.lit(0).cast("long"),
             s_col: F.array().cast("array<struct<start:bigint,end:bigint>>"),
-            i_col: F.array().cast("array<bigint>"),
+            i_col: F.array().cast("array<string>"),
         }
     )
     fields = [
         ("new_n", "bigint", pa.int64()),
         ("new_spans", "array<struct<start:bigint,end:bigint>>", _SPAN),
-        ("new_items", "array<bigint>", pa.list_(pa.int64())),
+        ("new_items", "array<string>", pa.list_(pa.string())),
     ]
     first = True
     for items in _blocks(benchmark, item_id, item_text, max_block_words):
+        if not first:
+            out = store(out, "contamination")
 
         def make(items=items):
             block = WindowSet(items, window)
@@ -171,15 +167,27 @@ def find_contamination(
         scanned = add_from_text(out, named, make, text, as_bytes=True)
         new_n, new_s, new_i = (F.col(x) for x, _, _ in named)
         if not first:
-            merge = F.udf(lambda a, b: [(s["start"], s["end"]) for s in _merge([x.asDict() for x in a], [x.asDict() for x in b])], "array<struct<start:bigint,end:bigint>>")
-            new_s = F.when(F.size(new_s) == 0, F.col(s_col)).otherwise(merge(s_col, new_s))
-            new_i = F.array_sort(F.array_union(i_col, new_i))
+            new_s = F.when(F.size(new_s) == 0, F.col(s_col)).otherwise(_merged(F.concat(s_col, new_s)))
+            new_i = F.array_union(i_col, new_i)
         out = scanned.select(*plain, new_n.alias(n_col), new_s.alias(s_col), new_i.alias(i_col))
         first = False
-    packed = F.struct(F.col(n_col).alias("n_words"), F.col(s_col).alias("spans"), F.col(i_col).alias("items"))
+    packed = F.struct(F.col(n_col).alias("n_words"), F.col(s_col).alias("spans"), F.array_sort(F.col(i_col).cast(f"array<{id_type}>")).alias("items"))
     return out.select(*plain, packed.alias(into))
 
 
+def _merged(spans: F.Column) -> F.Column:
+    """Spans sorted, those that meet made one."""
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def add(out, s):
+        last = F.try_element_at(out, F.lit(-1))
+        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        meets = (F.size(out) > 0) & (s["start"] <= F.try_element_at(out, F.lit(-1))["end"])
+        return F.when(meets, F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(both))).otherwise(F.concat(out, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), none, add)
+
+
 def n_hit(found) -> F.Column:
     """Number of hit words of the struct column that ``find_contamination`` adds."""
     return F.aggregate(found["spans"], F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])

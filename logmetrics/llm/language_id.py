@@ -11,10 +11,12 @@ The trees of all languages share their nodes, so one walk finds the longest cont
 all of them: since no context is longer than ``ORDER`` bytes, walking the last ``ORDER``
 bytes from the root does, for all positions at once.
 
-Bounds.  The trees of the ``MAX_LANGUAGES`` languages with most rows are fitted on
-``TEXTS_PER_LANGUAGE`` texts each of at most ``MAX_TRAIN_CHARS`` characters, drawn by a
-hash of the id; the frozen table has
-``MAX_CELLS`` cells.  Prediction is one narrow scan of whole texts, without a shuffle.
+Bounds.  Every language is learned, on about ``CHARS_PER_LANGUAGE`` characters of texts
+drawn by a hash of the id; of a longer text, its first ``MAX_TRAIN_CHARS`` characters are
+learned.  Languages go in groups of ``GROUP``, each with its own trees and a frozen table
+of ``MAX_CELLS`` cells, so further languages don't make the trees of others shallower, and
+the driver holds one group's texts at a time.  Prediction is one narrow scan of whole
+texts, without a shuffle.
 
 Cases.  Null texts and those without a letter are ``und`` with score 0; without any
 labelled row all are.  Null languages are not learned.  Ties go to the language that
@@ -33,14 +35,14 @@ from pyspark.sql import functions as F
 from .common import add_from_text, fold
 
 ORDER = 5
-TEXTS_PER_LANGUAGE = 600
+CHARS_PER_LANGUAGE = 2_000_000
 MAX_TRAIN_CHARS = 20_000
 #: Least occurrences of a context that becomes a node.
 MIN_COUNT = 4
 #: Nodes x symbols x languages of the frozen table (float32).
 MAX_CELLS = 4_000_000
-#: Languages that are learned: those with the most rows.
-MAX_LANGUAGES = 100
+#: Languages whose trees share nodes.
+GROUP = 24
 _CHUNK = 1 << 20
 UNDETERMINED = "und"
 
@@ -160,33 +162,51 @@ def learn(texts: list[bytes], languages: list[str]) -> Model:
     return Model(names, symbol_of, step, np.minimum(bits, 64).astype(np.float32))
 
 
-def fit(docs: DataFrame, train, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model | None:
+@dataclass
+class Grouped:
+    """Models of groups of languages, as one."""
+
+    models: list[Model]
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for m in self.models for name in m.languages]
+
+    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
+        return np.concatenate([m.code_lengths(texts) for m in self.models], axis=1)
+
+
+def fit(docs: DataFrame, train, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Grouped | None:
     """Learn from the rows of ``docs`` with a language for which the condition ``train``
     holds: a draw by a hash of the id, whose rate per language comes from a count."""
-    rows = docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= MAX_TRAIN_CHARS))
-    sizes = rows.groupBy(F.col(lang).alias("lang")).count()
-    n = {r[0]: r[1] for r in sizes.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not n:
-        return None
-    draw = F.pmod(F.xxhash64(F.col(doc_id), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    # Twice the wanted number, for chance; one condition per rate keeps it one scan.
-    rate = F.lit(0.0)
-    for name, size in n.items():
-        rate = F.when(F.col(lang) == name, min(1.0, 1.5 * TEXTS_PER_LANGUAGE / size)).otherwise(rate)
-    got = rows.where(draw < rate).select(F.col(text).cast("binary"), lang, F.xxhash64(doc_id, F.lit(11)).alias("h")).collect()
-    taken: Counter = Counter()
-    texts, languages = [], []
-    for r in sorted(got, key=lambda r: (r[2], bytes(r[0]))):
-        if taken[r[1]] < TEXTS_PER_LANGUAGE and len(r[0]):
-            taken[r[1]] += 1
-            texts.append(bytes(r[0]))
-            languages.append(r[1])
-    return learn(texts, languages) if texts else None
-
-
-def predict(docs: DataFrame, model: Model | None, text: str = "text", into: tuple[str, str, str] = ("lang_pred", "score", "bits_per_byte")) -> DataFrame:
+    part = F.substring(text, 1, MAX_TRAIN_CHARS)
+    rows = docs.where(train & F.col(lang).isNotNull() & (F.length(text) > 0)).select(part.alias("t"), F.col(lang).alias("lang"), F.xxhash64(doc_id, F.lit(11)).alias("h"))
+    size = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.length("t"))).collect()}
+    draw = F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30)
+    names, models = sorted(size), []
+    for at in range(0, len(names), GROUP):
+        rate = F.lit(0.0)
+        for name in names[at : at + GROUP]:  # half more than wanted, for chance
+            share = 1.5 * max(CHARS_PER_LANGUAGE, 20 * MAX_TRAIN_CHARS) / size[name]
+            rate = F.when(F.col("lang") == name, 2.0 if share >= 1 else share).otherwise(rate)
+        got = rows.where(draw < rate).select(F.col("t").cast("binary"), "lang", "h").collect()
+        taken: Counter = Counter()
+        texts, languages = [], []
+        for t, name, _ in sorted(got, key=lambda r: (r[2], bytes(r[0]))):
+            if taken[name] < CHARS_PER_LANGUAGE:
+                taken[name] += len(t)
+                texts.append(bytes(t))
+                languages.append(name)
+        if texts:
+            models.append(learn(texts, languages))
+    return Grouped(models) if models else None
+
+
+def predict(docs: DataFrame, model: Model | Grouped | None, text: str = "text", into: tuple[str, str, str] = ("lang_pred", "score", "bits_per_byte")) -> DataFrame:
     """All columns of ``docs`` plus the language, its posterior and its code length."""
 
+    names = model.languages if model else []
+
     def make():
         def work(texts):
             known = [t.decode("utf-8", "replace") if t else "" for t in texts]
@@ -199,7 +219,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", into: tupl
                 least = bits[np.arange(len(at)), best]
                 post = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1)
                 for i, k, s, b in zip(at, best.tolist(), post.tolist(), least.tolist(), strict=True):
-                    lang[i], score[i], rate[i] = model.languages[k], s, b / len(texts[i])
+                    lang[i], score[i], rate[i] = names[k], s, b / len(texts[i])
             return [lang, score, rate]
 
         return work

@@ -34,7 +34,8 @@ RULES = (
 )
 DAMPING = 0.85
 DISTRUST_SHARE = 0.5
-ROUNDS, STILL = 30, 1e-6
+#: Rank is passed on until less than this is left on its way.
+STILL = 1e-6
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
@@ -65,33 +66,28 @@ def host_links(pages: DataFrame, host: str, html: str = "html") -> DataFrame:
     return links.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").cast("double").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, still: float = STILL) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, still: float = STILL) -> DataFrame:
     """Personalised PageRank: ``seeds`` (host, s), with s summing to one or empty;
     ``links`` (src, dst, n).  What ranks at hosts without links goes back to the seeds.
-    Returns (host, r) for hosts with rank."""
+    Returns (host, r) for hosts with rank.
+
+    The fixed point r = (1 - damping m) s + damping W r, m being the rank at hosts with
+    links, is a multiple of s + damping W s + (damping W)^2 s + ..., so these terms are
+    added up, until one holds less than ``still``, and made to sum to one.  A term holds
+    at most ``damping`` of the one before it, which bounds the rounds."""
     out = links.groupBy("src").agg(F.sum("n").alias("of"))
     edges = store(links.join(out, "src").select("src", "dst", (F.col("n") / F.col("of")).alias("w")), "edges")
+    term = rank = seeds.select("host", F.col("s").alias("r"))
     if edges.isEmpty():
-        return seeds.select("host", F.col("s").alias("r"))
-    rank = seeds.select("host", F.col("s").alias("r"))
-    for _ in range(rounds):
-        flow = edges.join(rank, edges.src == rank.host).groupBy("dst").agg(F.sum(F.col("r") * F.col("w")).alias("got"))
-        moved = flow.agg(F.sum("got")).first()[0] or 0.0
-        new = (
-            seeds.withColumnRenamed("host", "h")
-            .join(flow, F.col("h") == F.col("dst"), "full")
-            .select(
-                F.coalesce("h", "dst").alias("host"),
-                (F.coalesce("s", F.lit(0.0)) * (1 - damping * moved) + damping * F.coalesce("got", F.lit(0.0))).alias("r"),
-            )
-        )
-        new = store(new, "ranks")
-        old = rank.select(F.col("host").alias("h0"), F.col("r").alias("r0"))
-        change = new.join(old, F.col("host") == F.col("h0"), "full").agg(F.sum(F.abs(F.coalesce("r", F.lit(0.0)) - F.coalesce("r0", F.lit(0.0))))).first()[0]
-        rank = new
-        if (change or 0.0) < still:
+        return rank
+    while True:
+        term = store(edges.join(term, edges.src == term.host).groupBy(F.col("dst").alias("host")).agg(F.sum(damping * F.col("r") * F.col("w")).alias("r")), "term")
+        left = term.agg(F.sum("r")).first()[0] or 0.0
+        if left < still:
             break
-    return rank
+        rank = store(rank.unionByName(term).groupBy("host").agg(F.sum("r").alias("r")), "ranks")
+    total = rank.agg(F.sum("r")).first()[0] or 1.0
+    return rank.select("host", (F.col("r") / total).alias("r"))
 
 
 def _seeds(hosts: DataFrame, count: str, total: float) -> DataFrame:

@@ -76,3 +76,20 @@ def test_empty_tables(spark):
     assert d.report(empty_docs(spark), table(spark, ITEMS)).count() == 0
     clean = d.report(docs_of(spark, DOCS), table(spark, []))
     assert not any(r.contaminated for r in clean.collect())
+
+
+def test_item_ids_of_any_type(spark):
+    docs = docs_of(spark, DOCS)
+    text = spark.createDataFrame([(f"q-{i}" if i is not None else None, t, 1) for i, t in ITEMS], "item_id string, text string, score int")
+    for how in ({}, {"max_block_words": 4}):
+        found = d.find_contamination(docs, text, **how)
+        assert dict(found.select("contamination.items").dtypes)["items"] == "array<string>"
+        ints = {r.doc_id: r.contamination["items"] for r in d.find_contamination(docs, table(spark, ITEMS), **how).collect() if r.doc_id}
+        for r in found.collect():
+            if r.doc_id:
+                assert r.contamination["items"] == sorted(f"q-{i}" for i in ints[r.doc_id])
+
+
+def test_blocks_are_stored_in_between(spark):
+    plan = d.find_contamination(docs_of(spark, DOCS), table(spark, ITEMS), max_block_words=4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Python UDF" not in plan and "PythonEval" not in plan

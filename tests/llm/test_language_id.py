@@ -63,6 +63,28 @@ def test_report(spark):
     assert by[1003].lang_pred == "en" and 0 <= by[1003].score <= 1
 
 
+def test_a_language_of_long_texts_only_is_learned(spark):
+    words = {"en": "the of and to river house with that which".split(), "fr": "le la été où maison avec rivière que dans".split()}
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(words[lang], n)), lang, 1.0) for i in range(60) for lang, n in [[("en", 12), ("fr", 5000)][i % 2]]]
+    out = m.report(spark.createDataFrame(rows, FULL)).collect()
+    assert all(r.lang_pred == ["en", "fr"][r.doc_id % 2] for r in out)
+
+
+def test_all_languages_are_learned_at_full_depth(spark, monkeypatch):
+    """Many languages, in groups; each is told by its own words."""
+    monkeypatch.setattr(m, "GROUP", 20)
+    monkeypatch.setattr(m, "MAX_CELLS", 400_000)
+    rng = np.random.default_rng(3)
+    words = [["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(12)] for _ in range(130)]
+    rows = [(i, " ".join(rng.choice(words[i % 130], 30)), f"l{i % 130}", 1.0) for i in range(130 * 12)]
+    docs = spark.createDataFrame(rows, FULL)
+    model = m.fit(docs, F.lit(True))
+    assert len(model.models) == 7 and sorted(model.languages) == sorted({r[2] for r in rows})
+    out = m.report(docs).where("held_out").collect()
+    assert sum(r.lang_pred == f"l{r.doc_id % 130}" for r in out) > 0.95 * len(out) > 100
+
+
 def test_edges(spark):
     assert m.report(empty_docs(spark)).count() == 0
     nolang = docs_of(spark, EDGE).withColumn("lang", F.lit(None).cast("string"))
