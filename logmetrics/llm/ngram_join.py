@@ -4,18 +4,27 @@ A text's shingles are its runs of ``SHINGLE`` words (lower-cased A-Z; words as i
 ``decontamination``); a shorter text is one shingle.  Texts with the same words form a
 class at once; from here on classes count, weighted by their copies.
 
-Each of ``TREES`` prefix trees labels a class with ``DEPTH`` minima of its hashed
-shingles.  Matched prefixes start at full depth and are shortened until the chance that a
-pair at the threshold shares a prefix in some tree reaches ``RECALL``; all labels that
-share that prefix are one subtree, and its members are tied to its least one.  Tied
-classes form candidate groups, and within a group all pairs are verified exactly on
-their shingle sets, so pairs that no single tree brought together are found as well.
-
-Scale.  Signatures come from one narrow scan.  The forest shuffles two numbers per tree
-and class.  Texts travel once to be joined with their group and once to be verified; a
-group beyond ``BLOCK`` classes is dealt into blocks, one task per pair of blocks, so no
-group meets in one task.  Pairs are counted inside the task: a class and its number of
-links leave it, not the pairs.
+A class's signature holds ``DEPTH`` minima of its hashed shingles for each of ``TREES``
+trees.  A tree is the sorted list of its signatures, a prefix trie without nodes: classes
+that share a prefix stand together, so those next to each other, with the length of the
+prefix they share, say for every depth which classes are one subtree.  Matched prefixes
+start at full depth and are shortened, one minimum at a time, until the estimated recall
+of the pairs that are tied reaches ``RECALL``; at the latest at the depth at which even a
+pair of just the threshold is tied with that probability.  Tied classes form candidate
+groups, and within a group all pairs are verified exactly on their shingle sets, so pairs
+that no tree brought together are found as well.
+
+The estimate: a pair tied at depth d in c of t trees has a similarity of about (c / t) to
+the power 1 / d, and pairs of similarity s are tied with p = 1 - (1 - s^d)^t; over tied
+pairs of at least the threshold, recall is their number by the sum of 1 / p.
+
+Scale.  Signatures come from one narrow scan.  Each tree is range-partitioned and sorted
+once for all depths; neighbours are compared within a partition, and the driver compares
+the two ends of each partition.  A prefix that many classes share spans partitions, no
+task gathers it.  Texts travel once to be joined with their group, and once per block of
+the group's classes to be verified; a group beyond ``BLOCK`` classes is dealt into blocks,
+one task per pair of blocks, so no group meets in one task.  Pairs are counted inside the
+task: a class and its number of links leave it, not the pairs.
 
 Cases.  Null texts and those without words link with nothing.  Repeated rows, also of
 one id, are copies of each other.  Words of a class are compared by a 128-bit checksum,
@@ -41,6 +50,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TREES, DEPTH, RECALL = 24, 8, 0.999
 BLOCK = 256
+SALTS = 16
 #: Columns of one dense multiplication in verification.
 _COLUMNS = 4096
 
@@ -78,34 +88,108 @@ def _shingles(plain: bytes, size: int) -> np.ndarray:
     return mix((sums[b] - sums[a]) * down[a])
 
 
-def forest_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """Shorten the matched prefix until a pair at the threshold is found surely enough."""
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
+def tied(similarity, depth: int, trees: int = TREES):
+    """Probability that a pair shares a prefix of ``depth`` minima in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
+def least_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """Depth at which a pair of just the threshold is tied surely enough."""
+    while depth > 1 and tied(threshold, depth, trees) < recall:
         depth -= 1
     return depth
 
 
 class Forest:
-    """Prefix keys of a class in every tree."""
+    """Signatures of a class in every tree."""
 
     def __init__(self, trees: int = TREES, depth: int = DEPTH, threshold: float = THRESHOLD, recall: float = RECALL):
-        self.trees, self.depth = trees, forest_depth(trees, depth, threshold, recall)
+        self.trees, self.depth, self.threshold, self.recall = trees, depth, threshold, recall
+        self.least = least_depth(trees, depth, threshold, recall)
         rng = np.random.default_rng(44)
-        n = trees * self.depth
+        n = trees * depth
         self.a = rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = rng.integers(0, 1 << 32, n, dtype=np.uint32)
-        self.join = rng.integers(0, 1 << 63, (trees, self.depth), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.salt = rng.integers(0, 1 << 63, trees, dtype=np.uint64)
 
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
+    def paths(self, hashes: np.ndarray) -> list[bytes]:
+        """Per tree, the minima in order as big-endian bytes, which sort as they do."""
         x = (hashes >> np.uint64(32)).astype(np.uint32)
         least = np.full(len(self.a), 0xFFFFFFFF, dtype=np.uint32)
         for i in range(0, len(x), 2048):
             h = x[i : i + 2048, None] * self.a
             h += self.b
             np.minimum(least, h.min(axis=0), out=least)
-        labels = least.reshape(self.trees, self.depth).astype(np.uint64)
-        return mix((labels * self.join).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
+        return [row.tobytes() for row in least.reshape(self.trees, self.depth).astype(">u4")]
+
+
+def shared_prefix(tree: np.ndarray, path: np.ndarray) -> np.ndarray:
+    """Minima that each row of (tree, path) but the first shares with the one before."""
+    same = (path[1:] == path[:-1]) & (tree[1:] == tree[:-1])[:, None]
+    return np.cumprod(same, axis=1).sum(axis=1)
+
+
+def neighbours(classes: DataFrame, forest: Forest) -> DataFrame:
+    """(a, b, shared): classes (nodes) that stand next to each other in a tree and share
+    ``shared`` minima, ``forest.least`` or more; a pair comes once per such tree.  Those
+    that share d or more are the edges that tie the subtrees at depth d."""
+    depth, least = forest.depth, forest.least
+    sorted_paths = classes.select("node", F.posexplode("trees").alias("tree", "path")).repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
+
+    def numbers(batch):
+        path = np.frombuffer(b"".join(batch.column("path").to_pylist()), dtype=">u4").reshape(-1, depth)
+        return batch.column("tree").to_numpy(), path, batch.column("node").to_numpy()
+
+    names = ["a", "b", "shared", "tree", "path"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def rows(a, b, shared, tree, path):
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip((a, b, shared, tree, path), kinds, strict=True)], names=names)
+
+    def scan(batches):
+        end = None  # last row so far
+        for batch in batches:
+            if not len(batch):
+                continue
+            tree, path, node = numbers(batch)
+            if end is None:  # the partition's first row, and later its last, go to the driver
+                yield rows([node[0]], [None], [None], [tree[0]], [path[0].tobytes()])
+            else:
+                tree, path, node = np.append(end[0], tree), np.vstack([end[1], path]), np.append(end[2], node)
+            shared = shared_prefix(tree, path)
+            at = np.flatnonzero(shared >= least)
+            nothing = [None] * len(at)
+            yield rows(node[at], node[at + 1], shared[at], nothing, nothing)
+            end = tree[-1:], path[-1:], node[-1:]
+        if end is not None:
+            yield rows(end[2], [None], [None], end[0], [end[1][0].tobytes()])
+
+    found = store(sorted_paths.mapInArrow(scan, "a bigint, b bigint, shared int, tree int, path binary"), "neighbours")
+    edges = found.where("b is not null").select("a", "b", "shared")
+    ends = sorted((r["tree"], bytes(r["path"]), r["a"]) for r in found.where("b is null").collect())  # two rows per partition
+    if len(ends) > 1:
+        tree = np.array([t for t, _, _ in ends])
+        path = np.frombuffer(b"".join(p for _, p, _ in ends), dtype=">u4").reshape(-1, depth)
+        shared = shared_prefix(tree, path)
+        across = [(ends[i][2], ends[i + 1][2], int(shared[i])) for i in np.flatnonzero(shared >= least).tolist()]
+        edges = edges.union(classes.sparkSession.createDataFrame(across, "a bigint, b bigint, shared int"))
+    return edges.where("a <> b")
+
+
+def matched_depth(edges: DataFrame, forest: Forest) -> int:
+    """Shorten the matched prefix until the tied pairs' estimated recall is reached."""
+    pairs = edges.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    depths = range(forest.least, forest.depth + 1)
+    counts = pairs.agg(*[F.count_if(F.col("shared") >= d).alias(f"c{d}") for d in depths])
+    sums = []
+    for d in depths:
+        share = F.least(F.col(f"c{d}") / forest.trees, F.lit(1.0))
+        alike = F.pow(share, F.lit(1.0 / d)) >= forest.threshold
+        sums += [F.count_if(alike).alias(f"n{d}"), F.sum(F.when(alike, 1 / (1 - F.pow(1 - share, F.lit(forest.trees))))).alias(f"s{d}")]
+    got = counts.agg(*sums).first()
+    for d in reversed(depths):
+        if got[f"n{d}"] and got[f"n{d}"] >= forest.recall * got[f"s{d}"]:
+            return d
+    return forest.least
 
 
 def _plain(text: bytes | None) -> bytes:
@@ -114,7 +198,7 @@ def _plain(text: bytes | None) -> bytes:
 
 def signatures(docs: DataFrame, text: str, forest: Forest | None, size: int, into: tuple[str, str] = ("key", "trees")) -> DataFrame:
     """All columns of ``docs`` plus the class checksum (null without words) and, with a
-    forest, the prefix keys."""
+    forest, the signature."""
 
     def make():
         def work(texts):
@@ -123,14 +207,14 @@ def signatures(docs: DataFrame, text: str, forest: Forest | None, size: int, int
                 plain = _plain(t)
                 keys.append(hashlib.md5(plain, usedforsecurity=False).digest() if plain else None)
                 if forest:
-                    trees.append(forest.keys(shingles(plain, size)) if plain else None)
+                    trees.append(forest.paths(shingles(plain, size)) if plain else None)
             return [keys, trees] if forest else [keys]
 
         return work
 
     fields = [(into[0], "binary", pa.binary())]
     if forest:
-        fields.append((into[1], "array<bigint>", pa.list_(pa.int64())))
+        fields.append((into[1], "array<binary>", pa.list_(pa.binary())))
     return add_from_text(docs, fields, make, text, as_bytes=True)
 
 
@@ -222,10 +306,9 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .withColumn("node", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")),
         "classes",
     )
-    # The forest: members of a subtree are tied to its least member.
-    labels = classes.select("node", F.explode("trees").alias("label"))
-    subtrees = labels.groupBy("label").agg(F.min("node").alias("root"), F.max("node").alias("top")).where("root < top").select("label", "root")
-    ties = labels.join(subtrees, "label").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    # The forest: neighbours that share the matched prefix are tied.
+    edges = neighbours(classes, forest)
+    ties = edges.where(F.col("shared") >= matched_depth(edges, forest)).select("a", "b").distinct()
     groups = components(ties).withColumnRenamed("component", "grp")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
     members = store(groups.join(sizes, "grp").join(classes.drop("trees"), "node").select("key", "least_id", "copies", "grp", "members"), "members")
@@ -267,7 +350,10 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key")).alias("first")
     firsts = known.groupBy("component").agg(first).select("component", F.col("first.least_id").alias("group_id"), F.col("first.key").alias("first"))
     links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
-    out = known.join(firsts, "component").select("key", "least_id", "copies", links.alias("n_links"), "group_id", "first")
+    # A component with most of the classes is dealt over salts of this join.
+    salted = firsts.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    known = known.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    out = known.join(salted, ["component", "salt"]).select("key", "least_id", "copies", links.alias("n_links"), "group_id", "first")
     return rows.select("doc_id", "key"), store(out, "similar")
 
 

@@ -104,17 +104,57 @@ def test_one_of_each_group_with_null_or_shared_ids(spark):
 
 
 def test_depth_and_recall():
-    assert 1 - (1 - 0.8 ** n.forest_depth()) ** n.TREES >= n.RECALL
-    assert 1 - (1 - 0.8 ** (n.forest_depth() + 1)) ** n.TREES < n.RECALL
+    assert n.tied(0.8, n.least_depth()) >= n.RECALL > n.tied(0.8, n.least_depth() + 1)
     f, rng = n.Forest(), np.random.default_rng(3)
     met = 0
     for _ in range(200):
         x = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
-        a, b = f.keys(n.mix(x[:810])), f.keys(n.mix(x[90:]))  # similarity 720/900
-        met += bool((a == b).any())
+        a, b = f.paths(n.mix(x[:810])), f.paths(n.mix(x[90:]))  # similarity 720/900
+        met += any(p[: 4 * f.least] == q[: 4 * f.least] for p, q in zip(a, b))
     assert met >= 198
 
 
+def test_neighbours_tie_what_shares_a_prefix(spark):
+    """Components of the neighbours at each depth equal grouping by prefix, also where a
+    subtree spans partitions."""
+    f, rng = n.Forest(trees=3, depth=5, recall=0.4), np.random.default_rng(4)
+    f.least = 1
+    paths = [[b"".join(int(v).to_bytes(4, "big") for v in rng.integers(0, 2, 5)) for _ in range(3)] for _ in range(150)]
+    classes = spark.createDataFrame(list(enumerate(paths)), "node bigint, trees array<binary>")
+    edges = [tuple(r) for r in n.neighbours(classes, f).collect()]
+    for d in range(1, 6):
+        for tree in range(3):
+            assert len({p[tree][: 4 * d] for p in paths}) <= 2**d
+        want, have = list(range(150)), list(range(150))
+
+        def join(root, a, b):
+            a, b = root[a], root[b]
+            return [min(a, b) if r in (a, b) else r for r in root]
+
+        for tree in range(3):
+            first = {}
+            for i, p in enumerate(paths):
+                want = join(want, i, first.setdefault(p[tree][: 4 * d], i))
+        for a, b, shared in edges:
+            if shared >= d:
+                have = join(have, a, b)
+        assert have == want
+
+
+def test_prefixes_are_shortened_until_the_recall(spark):
+    f = n.Forest()
+    assert f.least < f.depth
+
+    def edges(rows):
+        return spark.createDataFrame(rows, "a bigint, b bigint, shared int")
+
+    sure = [(i, i + 1, 8) for i in range(0, 40, 2) for _ in range(f.trees)]  # alike in all trees
+    assert n.matched_depth(edges(sure), f) == f.depth
+    less = [(i, i + 1, 8) for i in range(100, 140, 2) for _ in range(5)]  # about 0.82
+    assert n.matched_depth(edges(sure + less), f) < f.depth
+    assert n.matched_depth(edges([]), f) == f.least
+
+
 def test_shingles_are_position_free():
     a = n.shingles(b"p q a b c d e f")
     assert set(n.shingles(b"a b c d e f").tolist()) <= set(a.tolist()) and len(a) == 4

@@ -1,3 +1,4 @@
+import math
 import random
 
 from llm.helpers import EDGE, docs_of, empty_docs
@@ -24,10 +25,52 @@ def corpus(n=900, seed=3):
 
 
 def test_fold():
-    assert t.fold_text("1d10T Ёж nаïvе​").split() == ["idiot", "ez" if False else t.fold_text("Ёж").strip(), "naive"]
+    assert t.fold_text("1d10T nаïvе\u200b").split() == ["idiot", "naive"]
+    assert t.fold_text("Ёж") == " eж " and t.fold_text("$h1t-b4d") == " shit bad "
     assert t.fold_text("ѕtupіd") == " stupid " and t.fold_text(None) == "  "
 
 
+def plain_score(model, text):
+    """Every entry by plain substring search at every place, one text at a time."""
+    folded = t.fold_text(text)
+    total = 0.0
+    for entry, weight in [*model.weights.items(), *((e, -w) for e, w in model.exceptions.items())]:
+        total += weight * sum(folded.startswith(entry, i) for i in range(len(folded)))
+    total = max(0.0, total)
+    b0, b1, b2 = model.coefficients
+    z = b0 + b1 * math.log1p(total) + b2 * math.log1p(100 * total / max(len(folded.split()), 1))
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_equal_plain_search(spark):
+    """Overlapping and nested entries, ties, exceptions, repeated and long texts."""
+    model = t.Model(
+        weights={" grum": 2.0, " grumblo": 1.5, " zor": 0.5, " zorp": 0.5, " aa": 1.0, " aaaa": 0.25},
+        exceptions={" harmless zorpak ": 1.0, " grum bar ": 2.0, " zor ": 0.5},
+        coefficients=(-2.0, 0.7, 0.3),
+    )
+    r = random.Random(9)
+    pool = ["grum", "grumblo", "Grumbl0", "zor", "zorpak", "harmless", "bar", "aaaa", "aaaaaa", "pl\u0430in", "words", "z0r", "!", "grum-bar"]
+    rows = [(i, " ".join(r.choice(pool) for _ in range(r.randint(0, 30)))) for i in range(200)] + [(900 + (i or 0), x) for i, x in EDGE]
+    rows.append((5000, "aaaa zorpak " * 20_000))
+    got = {(x.doc_id, x.text): x.toxicity for x in t.score(docs_of(spark, rows), model).collect()}
+    for i, text in rows[:-1]:
+        assert abs(got[i, text] - plain_score(model, text)) < 1e-12, text
+    assert 0.9 < got[rows[-1]] <= 1
+
+
+def test_threshold_includes_ties(spark, monkeypatch):
+    """A score of exactly the threshold is toxic, in the report and in the pipeline."""
+    model = t.Model(coefficients=(math.log(0.3 / 0.7), 0.0, 0.0))
+    monkeypatch.setattr(t, "fit", lambda *a, **k: model)
+    docs = docs_of(spark, [(1, "one"), (2, None)])
+    score = t.score(docs, model).first().toxicity
+    monkeypatch.setattr(t, "THRESHOLD", score)
+    assert {r.predicted for r in t.report(docs, docs).collect()} == {1}
+    assert t.remove_toxic(docs, docs, threshold=score).count() == 0
+    assert t.remove_toxic(docs, docs, threshold=score + 1e-9).count() == 2
+
+
 def test_held_out_accuracy_and_disguise(spark):
     rows, labels = corpus()
     docs, lab = docs_of(spark, rows), spark.createDataFrame([(i, y, 1) for i, y in labels], "doc_id bigint, toxic int, score int")
