@@ -82,7 +82,7 @@ def initial(layout: Layout, class_counts: np.ndarray, word_counts: np.ndarray, s
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 def run(p: Params, h: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, keep: bool = False):
@@ -110,7 +110,7 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(logits, their exponentials, row sums); rows are shifted only if they need it,
     since weights of usual size are far from overflow."""
     e = np.exp(logits)
-    total = e.sum(axis=1)
+    total = e @ np.ones(e.shape[1], dtype=e.dtype)
     if not np.isfinite(total).all() or (total == 0).any():
         logits = logits - logits.max(axis=1, keepdims=True)
         e = np.exp(logits)
@@ -120,8 +120,11 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def log_likelihood(p: Params, layout: Layout, states: np.ndarray, targets: np.ndarray, grads: Params | None = None):
     """Natural log-probability of each target's class and, within the vocabulary, word.
-    With ``grads``, adds the gradient of the summed loss and returns that of the states."""
-    cls = layout.class_of(targets)
+    With ``grads``, adds the gradient of the summed loss and returns that of the states.
+    Rows are worked in the order of their classes, so a class is one slice."""
+    cls = layout.class_of(targets).astype(np.int16)
+    order = np.argsort(cls, kind="stable")
+    cls, states, targets = cls[order], states[order], targets[order]
     rows = np.arange(len(targets))
     logits, e, total = _softmax(states @ p.cls + p.cls_b)
     out = logits[rows, cls] - np.log(total)
@@ -132,53 +135,59 @@ def log_likelihood(p: Params, layout: Layout, states: np.ndarray, targets: np.nd
         grads.cls += states.T @ e
         grads.cls_b += e.sum(axis=0)
         d_states = e @ p.cls.T
-    order = np.argsort(cls, kind="stable")
-    bounds = np.searchsorted(cls[order], np.arange(layout.n_fine + 1))
-    for c in range(layout.n_fine):
-        at = order[bounds[c] : bounds[c + 1]]
-        if not len(at):
+    bounds = np.searchsorted(cls, np.arange(layout.n_fine + 1)).tolist()
+    for c, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        if lo == hi:
             continue
         a, b = layout.start[c], layout.start[c + 1]
-        hs, own = states[at], targets[at] - a
+        hs, own, k = states[lo:hi], targets[lo:hi] - a, rows[: hi - lo]
         logits, e, total = _softmax(hs @ p.out[a:b].T + p.out_b[a:b])
-        k = np.arange(len(at))
-        out[at] += logits[k, own] - np.log(total)
+        out[lo:hi] += logits[k, own] - np.log(total)
         if grads is not None:
             e /= total[:, None]
             e[k, own] -= 1
             grads.out[a:b] += e.T @ hs
             grads.out_b[a:b] += e.sum(axis=0)
-            d_states[at] += e @ p.out[a:b]
-    return out, d_states
+            d_states[lo:hi] += e @ p.out[a:b]
+    back = np.empty_like(order)
+    back[order] = rows
+    return out[back], d_states[back] if d_states is not None else None
 
 
 def _backward(p: Params, g: Params, tokens, fresh, before, saved, d_before):
     """Truncated back-propagation through the window's steps."""
     steps, lanes = tokens.shape
     d_h = np.zeros((lanes, HIDDEN), dtype=np.float32)
-    d_gx = np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32)
+    d_gx, d_gh = (np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32) for _ in range(2))
+    back = p.u.T.copy()
     for s in range(steps - 1, -1, -1):
         z, r, n, gn = saved[s]
-        h = before[s]
-        d_n = d_h * (1 - z) * (1 - n * n)
-        d_z = d_h * (h - n) * z * (1 - z)
-        d_r = d_n * gn * r * (1 - r)
-        d_gx[s] = np.concatenate([d_z, d_r, d_n], axis=1)
-        d_gh = np.concatenate([d_z, d_r, d_n * r], axis=1)
-        g.u += h.T @ d_gh
-        d_h = d_h * z + d_gh @ p.u.T + d_before[s]
-        d_h[fresh[s]] = 0
+        h, gx, gh = before[s], d_gx[s], d_gh[s]
+        d_n = d_h * (1 - z)
+        d_n *= 1 - n * n
+        gx[:, :HIDDEN] = d_h * (h - n) * (z * (1 - z))
+        gx[:, HIDDEN : 2 * HIDDEN] = d_n * gn * (r * (1 - r))
+        gx[:, 2 * HIDDEN :] = d_n
+        gh[:, : 2 * HIDDEN] = gx[:, : 2 * HIDDEN]
+        gh[:, 2 * HIDDEN :] = d_n * r
+        d_h = d_h * z + gh @ back + d_before[s]
+        if fresh[s].any():
+            d_h[fresh[s]] = 0
+    g.u += before.reshape(-1, HIDDEN).T @ d_gh.reshape(-1, 3 * HIDDEN)
     flat = d_gx.reshape(-1, 3 * HIDDEN)
     t = tokens.ravel()
     g.w += p.emb[t].T @ flat
     g.b += flat.sum(axis=0)
-    np.add.at(g.emb, t, flat @ p.w.T)
+    d_emb = flat @ p.w.T
+    for k in range(EMBED):
+        g.emb[:, k] += np.bincount(t, weights=d_emb[:, k], minlength=len(g.emb))
 
 
 class Lanes:
-    """Texts dealt to lanes, longest first, each to the shortest lane."""
+    """Texts dealt to lanes, longest first, each to the shortest lane.  The first
+    ``warm[i]`` tokens of text i only set the state; they don't count."""
 
-    def __init__(self, texts: list[np.ndarray], n_lanes: int):
+    def __init__(self, texts: list[np.ndarray], n_lanes: int, warm: list[int] | None = None):
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
         heap = [(0, k) for k in range(min(n_lanes, len(texts)))]
         lanes: list[list[int]] = [[] for _ in heap]
@@ -194,24 +203,32 @@ class Lanes:
         self.fresh = np.zeros(len(self.flat), dtype=bool)
         ends = np.cumsum(lengths[order]) if order else np.zeros(0, dtype=np.int64)
         self.fresh[ends - lengths[order]] = True
+        self.counts = np.ones(len(self.flat), dtype=bool)
+        if warm is not None and order:
+            lead = np.array(warm, dtype=np.int64)[order]
+            at = np.repeat(ends - lengths[order] - np.cumsum(lead) + lead, lead) + np.arange(int(lead.sum()))
+            self.counts[at] = False
         self.at = np.cumsum(self.sizes) - self.sizes
 
-    def windows(self, steps: int):
-        """Per window: (lanes that still run, index of each (step, lane) or -1)."""
-        longest = int(self.sizes.max(initial=0))
-        for s in range(0, longest, steps):
+    def windows(self, steps: int, tokens: int = 0):
+        """Per window: (lanes that still run, index of each (step, lane) or -1).  A window
+        has ``steps`` steps, or more if that gives it at most ``tokens`` tokens, so that
+        the last lanes of long texts don't go by many small windows."""
+        longest, s = int(self.sizes.max(initial=0)), 0
+        while s < longest:
             k = int((self.sizes > s).sum())
-            n = min(steps, longest - s)
+            n = min(max(steps, tokens // k), longest - s)
             step = s + np.arange(n)[:, None]
             yield k, np.where(step < self.sizes[None, :k], self.at[None, :k] + step, -1)
+            s += n
 
 
-def score(p: Params, layout: Layout, texts: list[np.ndarray], n_lanes: int = 512, steps: int = 32) -> np.ndarray:
+def score(p: Params, layout: Layout, texts: list[np.ndarray], n_lanes: int = 512, steps: int = 16, window: int = 8192) -> np.ndarray:
     """Summed natural log-probability of each text's tokens."""
     lanes = Lanes(texts, n_lanes)
     out = np.zeros(len(texts))
     h = np.zeros((len(lanes.sizes), HIDDEN), dtype=np.float32)
-    for k, at in lanes.windows(steps):
+    for k, at in lanes.windows(steps, window):
         tokens = np.where(at >= 0, lanes.flat[at], 0)
         before, h, _ = run(p, h[:k], tokens, (at >= 0) & lanes.fresh[at])
         real = at >= 0
@@ -220,23 +237,37 @@ def score(p: Params, layout: Layout, texts: list[np.ndarray], n_lanes: int = 512
     return out
 
 
-def train(p: Params, layout: Layout, texts: list[np.ndarray], rate: float, n_lanes: int = 96, steps: int = 16) -> Params:
-    """One pass of Adam over the texts."""
+def segments(texts: list[np.ndarray], most: int, lead: int) -> tuple[list[np.ndarray], list[int]]:
+    """Long texts as consecutive segments of ``most`` tokens, so that one text doesn't
+    occupy one lane alone; each but the first is preceded by ``lead`` tokens that only set
+    the state.  Every token counts in one segment."""
+    out, warm = [], []
+    for t in texts:
+        for a in range(0, max(len(t), 1), most):
+            w = min(a, lead)
+            out.append(t[a - w : a + most])
+            warm.append(w)
+    return out, warm
+
+
+def train(p: Params, layout: Layout, texts: list[np.ndarray], rate: float, n_lanes: int = 512, steps: int = 8, most: int = 512) -> Params:
+    """One pass of Adam over the texts, each token once."""
     p = Params(layout, p.flat.copy())
-    lanes = Lanes(texts, n_lanes)
+    parts, warm = segments(texts, most, steps)
+    lanes = Lanes(parts, n_lanes, warm)
     m, v = np.zeros_like(p.flat), np.zeros_like(p.flat)
     h = np.zeros((len(lanes.sizes), HIDDEN), dtype=np.float32)
     for t, (k, at) in enumerate(lanes.windows(steps), 1):
         real = at >= 0
         tokens = np.where(real, lanes.flat[at], 0)
-        fresh = real & lanes.fresh[at]
+        fresh, counted = real & lanes.fresh[at], real & lanes.counts[at]
         before, h, saved = run(p, h[:k], tokens, fresh, keep=True)
         g = Params(layout)
         d_before = np.zeros_like(before)
-        _, d = log_likelihood(p, layout, before[real], tokens[real], g)
-        d_before[real] = d
+        _, d = log_likelihood(p, layout, before[counted], tokens[counted], g)
+        d_before[counted] = d
         _backward(p, g, tokens, fresh, before, saved, d_before)
-        grad = g.flat / max(1, int(real.sum()))
+        grad = g.flat / max(1, int(counted.sum()))
         norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm

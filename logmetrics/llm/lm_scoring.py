@@ -6,10 +6,12 @@ in classes of similar frequency; every other word belongs to the class of its la
 bytes and is told apart there by its smoothed count.  A text's score is the log10
 probability of all its tokens, with the state carried through the whole text.
 
-Training is data-parallel: in each of ``ROUNDS`` rounds every task trains the current
-network on all of its own training texts, and the results are averaged, weighted by their
-tokens, in a tree of bounded groups.  Every training text is thus learned from in every
-round, at every size of the input; a task holds about ``_LEARN_TOKENS`` at once.
+Training is one data-parallel pass: a hash deals the training texts to ``ROUNDS`` rounds,
+in each of which every task trains the current network on its own texts of that round,
+and the results are averaged, weighted by their tokens, in a tree of bounded groups.
+Every token of every training text is thus learned from once, at every size of the input;
+long texts are cut into segments that run side by side.  A task holds about
+``_LEARN_TOKENS`` at once.
 
 Scale.  Counting flushes bounded tables from each task and sums them by word.  Words from
 a count up, at most ``DICTIONARY``, go to all tasks; a text's other words leave the scan
@@ -40,7 +42,7 @@ SMOOTH = 0.1
 #: Words whose counts every task gets (about 30 MB in a worker).
 DICTIONARY = 200_000
 VOCABULARY, CLASS_WORDS = 1536, 64
-ENDINGS = 48
+ENDINGS = 32
 ROUNDS = 3
 RATES = (0.02, 0.012, 0.006)
 _FLUSH = 300_000
@@ -196,14 +198,15 @@ def _bounded(texts: Iterable[np.ndarray], most: int = _LEARN_TOKENS) -> Iterator
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> gru.Params:
-    """Rounds of local training and averaging over ``docs`` (training rows only), all rows
-    in every round."""
+    """Rounds of local training and averaging over ``docs`` (training rows only), each row
+    in one round."""
     ship(docs.sparkSession)
     layout, ids_of = vocabulary.layout, _NetworkIds(vocabulary)
     params = gru.initial(layout, vocabulary.class_counts, vocabulary.word_counts)
     rows = docs.select(F.col(text).cast("binary").alias("t"))
     for k in range(ROUNDS):
         flat = params.flat
+        mine = rows.where(F.pmod(F.xxhash64("t"), F.lit(ROUNDS)) == k)
 
         def scan(batches, flat=flat, rate=RATES[k]):
             p, n = gru.Params(layout, flat), 0
@@ -213,7 +216,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> gru.Pa
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([p.flat.tobytes()], pa.binary())], names=["weight", "params"])
 
-        mean = _tree_average(rows.mapInArrow(scan, "weight double, params binary"))
+        mean = _tree_average(mine.mapInArrow(scan, "weight double, params binary"))
         if mean is not None:
             params = gru.Params(layout, mean)
     return params

@@ -43,8 +43,8 @@ TEXTS = [np.array(x) for x in ([0, 1, 6], [2], [4, 5, 3, 3, 1, 0, 2, 6, 5] * 9,
 def test_scores_equal_a_plain_walk():
     p = params()
     want = [plain_score(p, layout(), t) for t in TEXTS]
-    for lanes, steps in ((1, 4), (2, 7), (8, 100)):
-        assert np.allclose(gru.score(p, layout(), TEXTS, lanes, steps), want, atol=1e-3)
+    for lanes, steps, window in ((1, 4, 0), (2, 7, 0), (8, 100, 0), (4, 2, 12), (4, 1, 1000)):
+        assert np.allclose(gru.score(p, layout(), TEXTS, lanes, steps, window), want, atol=1e-3)
     assert len(gru.score(p, layout(), [])) == 0
 
 
@@ -88,11 +88,35 @@ def test_training_lowers_the_loss():
     texts = [np.array([(i + s) % 5 for i in range(20)] + [6]) for s in rng.integers(0, 5, 200)]
     p = gru.initial(lay, np.ones(4), np.ones(5))
     before = gru.score(p, lay, texts).sum()
-    assert gru.score(gru.train(p, lay, texts * 8, 0.03), lay, texts).sum() > 0.5 * before
+    assert gru.score(gru.train(p, lay, texts * 8, 0.03, 96), lay, texts).sum() > 0.5 * before
+
+
+def test_segments_count_every_token_once():
+    texts = [np.arange(n) + 100 * n for n in (1, 7, 10, 11, 35)]
+    parts, warm = gru.segments(texts, 10, 4)
+    assert max(map(len, parts)) <= 14
+    own = [p[w:] for p, w in zip(parts, warm, strict=True)]
+    assert np.concatenate(own).tolist() == np.concatenate(texts).tolist()
+    lanes = gru.Lanes(parts, 3, warm)
+    assert sorted(lanes.flat[lanes.counts].tolist()) == sorted(np.concatenate(texts).tolist())
+    starts = np.flatnonzero(lanes.fresh)
+    assert len(starts) == len(parts) and sum(~lanes.counts) == sum(warm)
+    for a in starts:  # what doesn't count stands at a segment's start
+        part = lanes.text[a]
+        assert (~lanes.counts[a : a + len(parts[part])]).tolist() == [i < warm[part] for i in range(len(parts[part]))]
+
+
+def test_segments_train_as_whole_texts_do():
+    rng, lay = np.random.default_rng(5), layout()
+    texts = [np.array([(i + s) % 5 for i in range(400)] + [6]) for s in rng.integers(0, 5, 60)]
+    p = gru.initial(lay, np.ones(4), np.ones(5))
+    whole = gru.score(gru.train(p, lay, texts, 0.02, 16, most=1000), lay, texts).sum()
+    cut = gru.score(gru.train(p, lay, texts, 0.02, 16, most=50), lay, texts).sum()
+    assert cut > 1.5 * whole and cut > 0.5 * gru.score(p, lay, texts).sum()
 
 
 def test_every_text_is_learned_from(spark, monkeypatch):
-    """A round's tokens are those of all training texts, however large the table."""
+    """The rounds' tokens are those of all training texts, once, however large the table."""
     learned = []
     average = m._tree_average
 
@@ -106,7 +130,7 @@ def test_every_text_is_learned_from(spark, monkeypatch):
     v = m.build_vocabulary(m.count_tokens(docs))
     n, v.n = v.n, 10**9
     m.train(docs, v)
-    assert sum(learned) == m.ROUNDS * n
+    assert sum(learned) == n and len(learned) >= m.ROUNDS
 
 
 def test_texts_in_bounded_lists():
