@@ -64,11 +64,12 @@ def test_threshold_includes_ties(spark, monkeypatch):
     model = t.Model(coefficients=(math.log(0.3 / 0.7), 0.0, 0.0))
     monkeypatch.setattr(t, "fit", lambda *a, **k: model)
     docs = docs_of(spark, [(1, "one"), (2, None)])
+    labels = spark.createDataFrame([(1, 0)], "doc_id bigint, toxic int")
     score = t.score(docs, model).first().toxicity
     monkeypatch.setattr(t, "THRESHOLD", score)
-    assert {r.predicted for r in t.report(docs, docs).collect()} == {1}
-    assert t.remove_toxic(docs, docs, threshold=score).count() == 0
-    assert t.remove_toxic(docs, docs, threshold=score + 1e-9).count() == 2
+    assert {r.predicted for r in t.report(docs, labels).collect()} == {1}
+    assert t.remove_toxic(docs, labels, threshold=score).count() == 0
+    assert t.remove_toxic(docs, labels, threshold=score + 1e-9).count() == 2
 
 
 def test_held_out_accuracy_and_disguise(spark):
