@@ -19,6 +19,8 @@ the page's own host count for nothing.  Repeated rows are judged row by row."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,19 +79,27 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, stil
     at most ``damping`` of the one before it, which bounds the rounds."""
     out = links.groupBy("src").agg(F.sum("n").alias("of"))
     edges = store(links.join(out, "src").select("src", "dst", (F.col("n") / F.col("of")).alias("w")), "edges")
-    term = rank = seeds.select("host", F.col("s").alias("r"))
+    term = seeds.select("host", F.col("s").alias("r"))
     if edges.isEmpty():
-        return rank
+        return term
+    terms = [term]
     while True:
         term = store(edges.join(term, edges.src == term.host).groupBy(F.col("dst").alias("host")).agg(F.sum(damping * F.col("r") * F.col("w")).alias("r")), "term")
         left = term.agg(F.sum("r")).first()[0] or 0.0
         if left < still:
             break
-        rank = store(rank.unionByName(term).groupBy("host").agg(F.sum("r").alias("r")), "ranks")
+        terms.append(term)
+        if len(terms) > 16:  # added up now and then, so that plans stay short
+            terms = [_added(terms)]
+    rank = _added(terms)
     total = rank.agg(F.sum("r")).first()[0] or 1.0
     return rank.select("host", (F.col("r") / total).alias("r"))
 
 
+def _added(terms: list[DataFrame]) -> DataFrame:
+    return store(reduce(DataFrame.unionByName, terms).groupBy("host").agg(F.sum("r").alias("r")), "ranks")
+
+
 def _seeds(hosts: DataFrame, count: str, total: float) -> DataFrame:
     return hosts.where(F.col(count) > 0).select("host", (F.col(count) / (total or 1.0)).alias("s"))
 

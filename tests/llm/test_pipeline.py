@@ -81,7 +81,7 @@ def test_entry_without_the_subpackage(monkeypatch):
     """The rest imports and registers its queries when this folder and the pipeline are gone."""
     import __spark_entry__ as entry
 
-    assert "pipeline" in entry.queries() and sum(q.startswith("op") for q in entry.queries()) == 10
+    assert "pipeline" in entry.queries() and sum(q.startswith("op") for q in entry.queries()) == 13
     gone = [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("logmetrics.llm")]
     for m in gone:
         monkeypatch.delitem(sys.modules, m)

