@@ -306,9 +306,13 @@ def similar_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .withColumn("node", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")),
         "classes",
     )
-    # The forest: neighbours that share the matched prefix are tied.
-    edges = neighbours(classes, forest)
-    ties = edges.where(F.col("shared") >= matched_depth(edges, forest)).select("a", "b").distinct()
+    # The forest: members of a subtree at the matched depth are tied to its least member,
+    # which is mostly the same in all trees.
+    depth = matched_depth(neighbours(classes, forest), forest)
+    prefix = F.xxhash64("tree", F.substring("path", 1, 4 * depth))
+    labels = classes.select("node", F.posexplode("trees").alias("tree", "path")).select("node", prefix.alias("label"))
+    subtrees = labels.groupBy("label").agg(F.min("node").alias("root"), F.max("node").alias("top")).where("root < top").select("label", "root")
+    ties = labels.join(subtrees, "label").where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     groups = components(ties).withColumnRenamed("component", "grp")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
     members = store(groups.join(sizes, "grp").join(classes.drop("trees"), "node").select("key", "least_id", "copies", "grp", "members"), "members")
