@@ -333,8 +333,8 @@ def evaluated_steps(starts: DataFrame, by: Sequence[str], last: Column, step: st
     return grid_points(begin.filter(F.col("start").isNotNull()), by, last, step)
 
 
-def _point_rates(logs: DataFrame, range_: str, step: str, keys: Sequence[str], time_col: str, start, end):
-    points, starts, last = change_points(step_counts(logs, step, keys, time_col), keys, range_, step, start=start, end=end)
+def _point_rates(counts: DataFrame, range_: str, step: str, keys: Sequence[str], start, end):
+    points, starts, last = change_points(counts, keys, range_, step, start=start, end=end)
     return points.select(*keys, from_epoch_micros(F.col("t_us")).alias("ts"), extrapolated(range_, True).alias("rate")), starts, last
 
 
@@ -342,8 +342,14 @@ def rate_sums(logs: DataFrame, range_: str, step: str, by: Sequence[str] = (), k
               time_col: str = "event_ts", out: str = "value", start=None, end=None) -> DataFrame:
     """``sum by (by) (rate(logs_produced_total[range]))`` at every step, straight from raw
     logs: ``sum_rates(log_rates(...))`` without a row per series and step."""
+    return counts_rate_sums(step_counts(logs, step, keys, time_col), range_, step, by, keys, out, start, end)
+
+
+def counts_rate_sums(counts: DataFrame, range_: str, step: str, by: Sequence[str] = (), keys: Sequence[str] = ("service", "level"),
+                     out: str = "value", start=None, end=None) -> DataFrame:
+    """``rate_sums`` from step counts, one row per (labels, ts)."""
     by = list(by)
-    rates, starts, last = _point_rates(logs, range_, step, keys, time_col, start, end)
+    rates, starts, last = _point_rates(counts, range_, step, keys, start, end)
     zeros = evaluated_steps(starts, by, last, step, start).withColumn("rate", F.lit(0.0))
     return rates.select(*by, "ts", "rate").unionByName(zeros).groupBy("ts", *by).agg(F.sum("rate").alias(out))
 
@@ -352,7 +358,13 @@ def rate_ratio(logs: DataFrame, range_: str, step: str, level: str = ERROR_LEVEL
                time_col: str = "event_ts", out: str = "value", start=None, end=None) -> DataFrame:
     """``ratio_of_rates(log_rates(...))``, straight from raw logs: at every step from which a
     series of ``level`` has a rate; NULL where all rates are zero."""
-    rates, starts, last = _point_rates(logs, range_, step, keys, time_col, start, end)
+    return counts_rate_ratio(step_counts(logs, step, keys, time_col), range_, step, level, keys, out, start, end)
+
+
+def counts_rate_ratio(counts: DataFrame, range_: str, step: str, level: str = ERROR_LEVEL, keys: Sequence[str] = ("service", "level"),
+                      out: str = "value", start=None, end=None) -> DataFrame:
+    """``rate_ratio`` from step counts, one row per (labels, ts)."""
+    rates, starts, last = _point_rates(counts, range_, step, keys, start, end)
     mine = F.col("level") == F.lit(level)
     grid = evaluated_steps(starts.filter(mine), [], last, step, start)
     rows = rates.select("ts", "rate", F.when(mine, F.col("rate")).otherwise(F.lit(0.0)).alias("_num"), F.lit(0).alias("_step"))

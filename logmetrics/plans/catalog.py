@@ -406,6 +406,8 @@ from logmetrics.sources import versions as V  # noqa: E402
 from logmetrics.sources.streams import read_log_stream  # noqa: E402
 from logmetrics.streaming import job as J  # noqa: E402
 from logmetrics.streaming import ledger as LG  # noqa: E402
+from logmetrics.streaming import offsets as OF  # noqa: E402
+from logmetrics.streaming import panels as PN  # noqa: E402
 from logmetrics.streaming import stateful as ST  # noqa: E402
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -414,20 +416,21 @@ AVAILABLE_NOW = {"availableNow": True}
 SLICES = 3
 
 
-def replay_stream(spark, sf_dir, name, start, max_files=None, logs=None):
+def replay_stream(spark, sf_dir, name, start, max_files=None, logs=None, offsets=False):
     """Replay the fixture's topic records in ``SLICES`` equal parts of their time.
 
     Each slice's records are added to the topic folder after the one before has been
     processed, and ``start(stream, root)`` is run again from its checkpoint, so batches
     follow the slices whatever order a file store lists files in.  ``logs`` may carry a
-    ``slice`` of their own.  Returns the scratch folder."""
+    ``slice`` of their own, and with ``offsets`` their place in the topic.  Returns the
+    scratch folder."""
     root = scratch_path(spark, name)
     logs = with_slices(load_logs(spark, sf_dir)) if logs is None else logs
-    wire_records(logs, keep=["slice"]).write.partitionBy("slice").parquet(f"{root}/staged")
+    wire_records(logs, keep=["slice", *(["partition", "offset"] if offsets else [])]).write.partitionBy("slice").parquet(f"{root}/staged")
     staged = spark.read.parquet(f"{root}/staged")
     for k in range(SLICES):
         staged.filter(F.col("slice") == k).drop("slice").write.mode("append").parquet(f"{root}/wire")
-        start(read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=max_files), root).awaitTermination()
+        start(read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=max_files, offsets=offsets), root).awaitTermination()
     return root
 
 
@@ -552,6 +555,43 @@ def ledger_job(spark, sf_dir):
     return replay_stream(spark, sf_dir, "stream-ledger", start, logs=logs) + "/ledger"
 
 
+def panel_job(spark, sf_dir):
+    """Steps and bases, a batch per slice, of which the panel queries read what they need."""
+    start = lambda s, root: PN.start_panel_job(s, f"{root}/panels", f"{root}/ckpt", trigger=AVAILABLE_NOW)
+    return replay_stream(spark, sf_dir, "stream-panels", start) + "/panels"
+
+
+@register("panel_counter")
+def q_panel_counter(spark, sf_dir):
+    """The counter over the dashboard's range, from one base and the range's steps."""
+    return PN.panel_samples(spark, panel_job(spark, sf_dir))
+
+
+@register("panel_rate_by_service")
+def q_panel_rate_by_service(spark, sf_dir):
+    return rounded(PN.panel_rate_sums(spark, panel_job(spark, sf_dir), LONG_RANGE, by=["service"]), "value")
+
+
+@register("panel_error_rate")
+def q_panel_error_rate(spark, sf_dir):
+    return rounded(PN.panel_rate_ratio(spark, panel_job(spark, sf_dir), LONG_RANGE), "value")
+
+
+@register("offset_ledger")
+def q_offset_ledger(spark, sf_dir):
+    """Lost and repeated offsets of a topic with three partitions, one of which holds more
+    than half of the records: some records are lost, some come again a slice later."""
+    e = F.col("event_id")
+    logs = with_slices(load_logs(spark, sf_dir))
+    hot, turn = e % 5 < 3, F.floor(e / 5)
+    logs = logs.withColumn("partition", F.when(hot, 0).otherwise(e % 5 - 2).cast("int")).withColumn("offset", F.when(hot, turn * 3 + e % 5).otherwise(turn))
+    again = logs.where(e % 101 < 3).withColumn("slice", F.least(F.col("slice") + 1, F.lit(SLICES - 1)))
+    logs = logs.where(e % 97 != 5).unionByName(again.where(e % 97 != 5))
+    start = lambda s, root: OF.start_offset_ledger(s, f"{root}/offsets", f"{root}/ckpt", AVAILABLE_NOW)
+    root = replay_stream(spark, sf_dir, "stream-offsets", start, logs=logs, offsets=True)
+    return OF.faults(OF.read_ranges(spark, f"{root}/offsets"))
+
+
 @register("retention_split")
 def q_retention_split(spark, sf_dir):
     t = A.retention_tiers(load_logs(spark, sf_dir))

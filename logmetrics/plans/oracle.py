@@ -471,4 +471,18 @@ ORACLE["ledger_balance"] = with_logs("SELECT fate, service, count(*) AS rows FRO
 ORACLE["ledger_windows"] = with_logs(
     f"""SELECT w_end - INTERVAL '1 minute' AS window_start, w_end AS window_end, service, level, {MEASURES}
 FROM judged WHERE fate = 'emitted' GROUP BY ALL""", _LEDGER)
+_PANEL = "ts >= (SELECT max(ts) FROM counts) - INTERVAL '15 minutes'"
+ORACLE["panel_counter"] = with_logs(f"SELECT service, level, ts, value FROM samples WHERE {_PANEL}", COUNTS, GRID, SAMPLES)
+ORACLE["panel_rate_by_service"] = with_logs(
+    f"SELECT ts, service, {sig('sum(rate)')} AS value FROM rates WHERE {_PANEL} GROUP BY ALL", COUNTS, GRID, SAMPLES, LONG_RATES)
+ORACLE["panel_error_rate"] = ORACLE["error_rate_5m"].replace("FROM rates GROUP BY ts", f"FROM rates WHERE {_PANEL} GROUP BY ts")
+ORACLE["offset_ledger"] = with_logs(
+    """SELECT partition, 'lost' AS fault, prev + 1 AS first_offset, "offset" - 1 AS last_offset
+FROM (SELECT *, lag("offset") OVER (PARTITION BY partition ORDER BY "offset") AS prev FROM placed) p WHERE "offset" > prev + 1
+UNION ALL
+SELECT partition, 'repeated', min("offset"), max("offset")
+FROM (SELECT *, "offset" - row_number() OVER (PARTITION BY partition ORDER BY "offset") AS island FROM placed WHERE again) r
+GROUP BY partition, island""",
+    """placed AS (SELECT CAST(CASE WHEN event_id % 5 < 3 THEN 0 ELSE event_id % 5 - 2 END AS INTEGER) AS partition,
+  CASE WHEN event_id % 5 < 3 THEN event_id // 5 * 3 + event_id % 5 ELSE event_id // 5 END AS "offset", event_id % 101 < 3 AS again FROM logs WHERE event_id % 97 <> 5)""")
 ORACLE["logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")

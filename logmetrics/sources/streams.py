@@ -4,11 +4,13 @@ columns (``value BINARY``, ``timestamp``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import BinaryType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType, TimestampNTZType
 
 from logmetrics.config import DEFAULT_TOPIC
 
 WIRE_SCHEMA = StructType([StructField("value", BinaryType(), True), StructField("timestamp", TimestampNTZType(), True)])
+#: A record's place in the topic, for the ledger of offsets.
+PLACE_SCHEMA = StructType([*WIRE_SCHEMA.fields, StructField("partition", IntegerType(), True), StructField("offset", LongType(), True)])
 
 
 def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "latest",
@@ -30,21 +32,22 @@ def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_o
 
 
 def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                    options: dict[str, str] | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of topic records.
+                    options: dict[str, str] | None = None, max_files_per_trigger: int | None = None, offsets: bool = False) -> DataFrame:
+    """Streaming DataFrame of topic records, with ``offsets`` also their ``partition`` and
+    ``offset``.
 
     ``fmt='kafka'`` needs the Kafka connector on the classpath and ``options`` from
     ``kafka_options``.  File formats (``parquet``, ``json``) read folders of wire
     records (``value``, ``timestamp``); ``max_files_per_trigger`` is their admission
     control."""
-    reader = spark.readStream.format(fmt)
+    reader, schema = spark.readStream.format(fmt), PLACE_SCHEMA if offsets else WIRE_SCHEMA
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "kafka":
-        return reader.load().select("value", "timestamp")
+        return reader.load().select(*schema.names)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
-    return reader.schema(WIRE_SCHEMA).load(path)
+    return reader.schema(schema).load(path)
 
 
 def write_topic(records: DataFrame, bootstrap_servers: str, topic: str = DEFAULT_TOPIC) -> None:
