@@ -25,6 +25,10 @@ class Layout:
     start: np.ndarray
     n_classes: int
 
+    def __post_init__(self):
+        words = np.repeat(np.arange(self.n_fine), np.diff(self.start))
+        self.classes = np.concatenate([words, np.arange(self.n_fine, self.n_classes)]).astype(np.int16)
+
     @property
     def n_fine(self) -> int:
         return len(self.start) - 1
@@ -38,8 +42,7 @@ class Layout:
         return self.n_words + self.n_classes - self.n_fine
 
     def class_of(self, tokens: np.ndarray) -> np.ndarray:
-        fine = np.searchsorted(self.start, tokens, side="right") - 1
-        return np.where(tokens < self.n_words, fine, tokens - self.n_words + self.n_fine)
+        return self.classes[tokens]
 
 
 class Params:
@@ -81,53 +84,69 @@ def initial(layout: Layout, class_counts: np.ndarray, word_counts: np.ndarray, s
     return p
 
 
-def _sigmoid(x):
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
 def run(p: Params, h: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, keep: bool = False):
     """Steps over ``tokens`` (step, lane); ``fresh`` marks a text's first token.  Returns
     the states before each token, the last state and, if asked for, what backward needs."""
     steps, lanes = tokens.shape
-    gx = (p.emb[tokens.ravel()] @ p.w + p.b).reshape(steps, lanes, 3 * HIDDEN)
+    # A gate is 0.5 + 0.5 * tanh(x / 2): the halves go into its weights.
+    half = np.ones(3 * HIDDEN, dtype=np.float32)
+    half[: 2 * HIDDEN] = 0.5
+    u = p.u * half
+    if tokens.size > len(p.emb):  # each input's share once, not once per token
+        gx = ((p.emb @ p.w + p.b) * half)[tokens]
+    else:
+        gx = ((p.emb[tokens.ravel()] @ p.w + p.b) * half).reshape(steps, lanes, 3 * HIDDEN)
     before = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
+    new = fresh.any(axis=1).tolist()
     saved = []
     for s in range(steps):
-        if fresh[s].any():
+        if new[s]:
             h = np.where(fresh[s][:, None], np.float32(0), h)
         before[s] = h
-        gh = h @ p.u
-        zr = _sigmoid(gx[s, :, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])
+        gh = h @ u
+        x, gn = gx[s], gh[:, 2 * HIDDEN :]
+        zr = x[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN]
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(gx[s, :, 2 * HIDDEN :] + r * gh[:, 2 * HIDDEN :])
+        n = r * gn
+        n += x[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
         if keep:
-            saved.append((z, r, n, gh[:, 2 * HIDDEN :]))
-        h = n + z * (h - n)
+            saved.append((z, r, n, gn))
+        h = h - n
+        h *= z
+        h += n
     return before, h, saved
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(logits, their exponentials, row sums); rows are shifted only if they need it,
-    since weights of usual size are far from overflow."""
+def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(logits, their exponentials, row sums, logs of the sums); rows are shifted only if
+    they need it, since weights of usual size are far from overflow."""
     e = np.exp(logits)
     total = e @ np.ones(e.shape[1], dtype=e.dtype)
-    if not np.isfinite(total).all() or (total == 0).any():
+    log = np.log(total)
+    if not np.isfinite(log.sum()):
         logits = logits - logits.max(axis=1, keepdims=True)
         e = np.exp(logits)
         total = e.sum(axis=1)
-    return logits, e, total
+        log = np.log(total)
+    return logits, e, total, log
 
 
 def log_likelihood(p: Params, layout: Layout, states: np.ndarray, targets: np.ndarray, grads: Params | None = None):
     """Natural log-probability of each target's class and, within the vocabulary, word.
     With ``grads``, adds the gradient of the summed loss and returns that of the states.
     Rows are worked in the order of their classes, so a class is one slice."""
-    cls = layout.class_of(targets).astype(np.int16)
+    cls = layout.class_of(targets)
     order = np.argsort(cls, kind="stable")
     cls, states, targets = cls[order], states[order], targets[order]
     rows = np.arange(len(targets))
-    logits, e, total = _softmax(states @ p.cls + p.cls_b)
-    out = logits[rows, cls] - np.log(total)
+    logits = states @ p.cls
+    logits += p.cls_b
+    logits, e, total, log = _softmax(logits)
+    out = logits[rows, cls] - log
     d_states = None
     if grads is not None:
         e /= total[:, None]
@@ -141,8 +160,10 @@ def log_likelihood(p: Params, layout: Layout, states: np.ndarray, targets: np.nd
             continue
         a, b = layout.start[c], layout.start[c + 1]
         hs, own, k = states[lo:hi], targets[lo:hi] - a, rows[: hi - lo]
-        logits, e, total = _softmax(hs @ p.out[a:b].T + p.out_b[a:b])
-        out[lo:hi] += logits[k, own] - np.log(total)
+        logits = hs @ p.out[a:b].T
+        logits += p.out_b[a:b]
+        logits, e, total, log = _softmax(logits)
+        out[lo:hi] += logits[k, own] - log
         if grads is not None:
             e /= total[:, None]
             e[k, own] -= 1
@@ -159,7 +180,7 @@ def _backward(p: Params, g: Params, tokens, fresh, before, saved, d_before):
     steps, lanes = tokens.shape
     d_h = np.zeros((lanes, HIDDEN), dtype=np.float32)
     d_gx, d_gh = (np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32) for _ in range(2))
-    back = p.u.T.copy()
+    back, new = p.u.T.copy(), fresh.any(axis=1).tolist()
     for s in range(steps - 1, -1, -1):
         z, r, n, gn = saved[s]
         h, gx, gh = before[s], d_gx[s], d_gh[s]
@@ -171,16 +192,19 @@ def _backward(p: Params, g: Params, tokens, fresh, before, saved, d_before):
         gh[:, : 2 * HIDDEN] = gx[:, : 2 * HIDDEN]
         gh[:, 2 * HIDDEN :] = d_n * r
         d_h = d_h * z + gh @ back + d_before[s]
-        if fresh[s].any():
+        if new[s]:
             d_h[fresh[s]] = 0
     g.u += before.reshape(-1, HIDDEN).T @ d_gh.reshape(-1, 3 * HIDDEN)
     flat = d_gx.reshape(-1, 3 * HIDDEN)
-    t = tokens.ravel()
-    g.w += p.emb[t].T @ flat
-    g.b += flat.sum(axis=0)
-    d_emb = flat @ p.w.T
-    for k in range(EMBED):
-        g.emb[:, k] += np.bincount(t, weights=d_emb[:, k], minlength=len(g.emb))
+    # An input's tokens act alike, so their gradients are summed first, in the order of inputs.
+    t = tokens.ravel().astype(np.int32)
+    order = np.argsort(t, kind="stable")
+    t = t[order]
+    first = np.flatnonzero(np.diff(t, prepend=-1))
+    sums, own = np.add.reduceat(flat[order], first, axis=0), t[first]
+    g.w += p.emb[own].T @ sums
+    g.b += sums.sum(axis=0)
+    g.emb[own] += sums @ p.w.T
 
 
 class Lanes:
@@ -271,7 +295,16 @@ def train(p: Params, layout: Layout, texts: list[np.ndarray], rate: float, n_lan
         norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm
-        m += 0.1 * (grad - m)
-        v += 0.002 * (grad * grad - v)
-        p.flat -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.998**t)) + 1e-7)
+        m *= 0.9
+        m += 0.1 * grad
+        v *= 0.998
+        grad *= grad
+        grad *= 0.002
+        v += grad
+        np.sqrt(v, out=grad)
+        grad *= (1 - 0.998**t) ** -0.5
+        grad += 1e-7
+        np.divide(m, grad, out=grad)
+        grad *= rate / (1 - 0.9**t)
+        p.flat -= grad
     return p
