@@ -416,8 +416,9 @@ AVAILABLE_NOW = {"availableNow": True}
 SLICES = 3
 
 
-def replay_stream(spark, sf_dir, name, start, max_files=None, logs=None, offsets=False):
-    """Replay the fixture's topic records in ``SLICES`` equal parts of their time.
+def replay_stream(spark, sf_dir, name, start, max_files=None, logs=None, offsets=False, weekly=False):
+    """Replay the fixture's topic records in ``SLICES`` equal parts of their time, or
+    ``weekly``, in as many parts as there are weeks with records.
 
     Each slice's records are added to the topic folder after the one before has been
     processed, and ``start(stream, root)`` is run again from its checkpoint, so batches
@@ -425,10 +426,15 @@ def replay_stream(spark, sf_dir, name, start, max_files=None, logs=None, offsets
     ``slice`` of their own, and with ``offsets`` their place in the topic.  Returns the
     scratch folder."""
     root = scratch_path(spark, name)
-    logs = with_slices(load_logs(spark, sf_dir)) if logs is None else logs
-    wire_records(logs, keep=["slice", *(["partition", "offset"] if offsets else [])]).write.partitionBy("slice").parquet(f"{root}/staged")
+    if logs is None:
+        logs = with_weeks(load_logs(spark, sf_dir)) if weekly else with_slices(load_logs(spark, sf_dir))
+    wire = wire_records(logs, keep=["slice", *(["partition", "offset"] if offsets else [])])
+    if weekly:  # a few files a week, not one from every task
+        wire = wire.repartitionByRange("slice", "timestamp")
+    wire.write.partitionBy("slice").parquet(f"{root}/staged")
     staged = spark.read.parquet(f"{root}/staged")
-    for k in range(SLICES):
+    slices = [r["slice"] for r in staged.select("slice").distinct().orderBy("slice").collect()] if weekly else range(SLICES)
+    for k in slices:
         staged.filter(F.col("slice") == k).drop("slice").write.mode("append").parquet(f"{root}/wire")
         start(read_log_stream(spark, "parquet", f"{root}/wire", max_files_per_trigger=max_files, offsets=offsets), root).awaitTermination()
     return root
@@ -443,15 +449,22 @@ def with_slices(logs):
     return logs.withColumn("slice", F.coalesce(part, F.lit(0)).cast("int"))
 
 
+def with_weeks(logs):
+    """``slice``: the week, from Monday, an event falls in; without a time, the first."""
+    week = F.floor(F.datediff(F.to_date("event_ts"), F.lit("2000-01-03").cast("date")) / 7)
+    first = logs.agg(F.min(week).alias("first")).scalar()
+    return logs.withColumn("slice", F.coalesce(week, first, F.lit(0)).cast("int"))
+
+
 @register("stream_batch_metrics")
 def q_stream_batch_metrics(spark, sf_dir):
-    """All gauges of every micro-batch, as the job's sink stored them."""
-    root = metrics_job(spark, sf_dir)
+    """All gauges of every micro-batch, one a week, as the job's sink stored them."""
+    root = metrics_job(spark, sf_dir, weekly=True)
     return J.read_history(spark, f"{root}/history").drop("date")
 
 
-def metrics_job(spark, sf_dir):
-    return replay_stream(spark, sf_dir, "stream-metrics", lambda s, root: J.start_metrics_job(s, f"{root}/history", f"{root}/ckpt", AVAILABLE_NOW))
+def metrics_job(spark, sf_dir, weekly=False):
+    return replay_stream(spark, sf_dir, "stream-metrics", lambda s, root: J.start_metrics_job(s, f"{root}/history", f"{root}/ckpt", AVAILABLE_NOW), weekly=weekly)
 
 
 @register("history_compacted")

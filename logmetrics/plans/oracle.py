@@ -421,14 +421,14 @@ ORACLE["histogram_quantile"] = with_logs(
 
 _SLICE = """span AS (SELECT min(epoch_us(event_ts)) AS lo, max(epoch_us(event_ts)) AS hi FROM logs),
 sliced AS (SELECT *, coalesce(least(2, (epoch_us(event_ts) - lo) * 3 // (hi - lo + 1)), 0) AS slice FROM logs, span)"""
-STREAM = f"""{_SLICE},
-w0 AS (
+_WEEK = """sliced AS (SELECT *, coalesce(week, min(week) OVER (), 0) AS slice
+  FROM (SELECT *, CAST(floor(date_diff('day', DATE '2000-01-03', CAST(event_ts AS DATE)) / 7) AS BIGINT) AS week FROM logs) d)"""
+_BATCHES = """w0 AS (
   SELECT slice, time_bucket(INTERVAL '1 second', event_ts) + INTERVAL '1 second' AS kts, service, level, response_time_ms
   FROM sliced),
 parts AS (SELECT slice, row_number() OVER (ORDER BY slice) - 1 AS batch_id, max(kts) AS ts FROM w0 GROUP BY slice),
 w AS (SELECT batch_id, ts, service, level, response_time_ms FROM w0 JOIN parts USING (slice))"""
-ORACLE["stream_batch_metrics"] = with_logs(
-    f"""SELECT batch_id, ts, 'spark_logs_per_batch' AS metric, service, level, CAST(NULL AS VARCHAR) AS percentile,
+_GAUGES = f"""SELECT batch_id, ts, 'spark_logs_per_batch' AS metric, service, level, CAST(NULL AS VARCHAR) AS percentile,
   CAST(count(*) AS DOUBLE) AS value
 FROM w GROUP BY batch_id, ts, service, level
 UNION ALL
@@ -439,9 +439,10 @@ UNION ALL
 SELECT batch_id, ts, 'spark_latency_ms', service, NULL, pct, v
 FROM (SELECT batch_id, ts, service, {PCT} FROM w GROUP BY batch_id, ts, service) s,
   LATERAL (VALUES ('p50', CAST(p50 AS DOUBLE)), ('p95', CAST(p95 AS DOUBLE)), ('p99', CAST(p99 AS DOUBLE))) v(pct, v)
-WHERE p50 IS NOT NULL""", STREAM)
+WHERE p50 IS NOT NULL"""
+ORACLE["stream_batch_metrics"] = with_logs(_GAUGES, _WEEK, _BATCHES)
 ORACLE["history_compacted"] = ORACLE["metrics_history"]
-ORACLE["history_snapshot"] = f"SELECT * FROM ({ORACLE['stream_batch_metrics']}) s WHERE batch_id = 2"
+ORACLE["history_snapshot"] = f"SELECT * FROM ({with_logs(_GAUGES, _SLICE, _BATCHES)}) s WHERE batch_id = 2"
 ORACLE["rate_limited_stream"] = with_logs("SELECT service, level, count(*) AS log_count FROM logs GROUP BY ALL")
 ORACLE["archive_logs"] = with_logs("SELECT CAST(event_ts AS DATE) AS date, request_id, service, level, response_time_ms FROM logs")
 ORACLE["stream_logs_total"] = with_logs("SELECT service, level, count(*) AS logs_total FROM logs GROUP BY ALL")

@@ -48,3 +48,23 @@ def test_counters_per_series(spark, name, tmp_path):
 
 def test_no_simulator_is_registered():
     assert not [q for q in E.queries() if q.startswith("synth")]
+
+
+def test_stream_batch_metrics_has_a_batch_for_every_week(spark, tmp_path):
+    """However many weeks there are, also with gaps, before 2000 and around records without a time."""
+    days = ["1999-12-28", "2024-01-01", "2024-01-07", "2024-01-08", "2024-01-16", "2024-01-24", "2024-02-14", "2024-02-14"]
+    rows = [f"({i}, TIMESTAMP '{d} 10:00:{i}.25', {i % 2}, '{('view', 'error')[i % 3 == 0]}', {i * 10.5}, '{{\"k\": {i}}}')" for i, d in enumerate(days)]
+    rows += [rows[3], "(90, NULL, 1, 'error', 5.0, NULL)", "(NULL, TIMESTAMP '2024-01-08 11:00:00', 1, NULL, NULL, NULL)"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR)")
+    con.execute(f"INSERT INTO events VALUES {', '.join(rows)}")
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    out = E.queries()["stream_batch_metrics"](spark, str(tmp_path))
+    got = sorted(map(tuple, out.collect()), key=repr)
+    counted = {}
+    for r in got:
+        if r[2] == "spark_logs_per_batch":
+            counted[r[0]] = counted.get(r[0], 0) + r[6]
+    assert counted == {0: 2, 1: 2, 2: 3, 3: 1, 4: 1, 5: 2}  # the record without a time is in the first
+    sql = f"SELECT {', '.join(out.columns)} FROM ({E.oracle_sql()['stream_batch_metrics']}) s"
+    assert got == sorted(con.execute(sql).fetchall(), key=repr)
